@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions import fixed
 from gleaner.functions import signals as S
 from gleaner.functions import text as T
-from gleaner.operators import article, keys, outcomes, screen
+from gleaner.functions.timefmt import iso_text
+from gleaner.operators import article, keys, outbox, outcomes, packages, prompts, schedule, screen
 from gleaner.operators.common import spread
 from gleaner.plans import sqltext as Q
 from gleaner.session import use_utc
@@ -326,6 +327,286 @@ def o_run_summary():
     FROM oc GROUP BY source"""
 
 
+# --------------------------------------------------------------------------
+# Packages: validation, promo wording, prompts, outbox
+
+
+def _conv_packages(spark, sf_dir):
+    """Assistant turns of a conversation stand in for a model response: one
+    turn is a single post, several turns are a thread in turn order.
+    Returns (packages, items) in long form."""
+    a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+         .select("conv_id", "turn", "text"))
+    pk = (a.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"), F.max("text").alias("_one"))
+           .select("conv_id",
+                   F.when(F.col("_n") == 1, "single").otherwise("thread").alias("delivery_mode"),
+                   F.when(F.col("_n") == 1, F.col("_one")).otherwise(F.lit("")).alias("single_tweet")))
+    items = a.join(pk.where(F.col("delivery_mode") == "thread").select("conv_id"), "conv_id",
+                   "left_semi")
+    return pk, items
+
+
+def _validated(spark, sf_dir, max_chars):
+    pk, items = _conv_packages(spark, sf_dir)
+    return packages.validate_long(pk, items, "conv_id", "turn", "text", max_chars=max_chars)
+
+
+def _q_validate(max_chars):
+    def q(spark, sf_dir):
+        v = _validated(spark, sf_dir, max_chars)
+        return v.select("conv_id", "delivery_mode", "n_items", "error",
+                        F.col("error").isNull().alias("valid"))
+    return q
+
+
+def _o_validated(max_chars):
+    too_long = fixed.ERR_SINGLE_TOO_LONG.replace("280", str(max_chars))
+    head, tail = fixed.ERR_THREAD_ITEM_TOO_LONG.replace("280", str(max_chars)).split("{idx}")
+    return f"""
+    a AS (SELECT conv_id, turn, trim(text, {Q.WS}) AS t FROM conversations WHERE role = 'assistant'),
+    p AS (SELECT conv_id, CASE WHEN count(*) = 1 THEN 'single' ELSE 'thread' END AS delivery_mode,
+                 CASE WHEN count(*) = 1 THEN max(t) ELSE '' END AS single_tweet
+          FROM a GROUP BY conv_id),
+    it AS (SELECT a.conv_id, a.t,
+                  row_number() OVER (PARTITION BY a.conv_id ORDER BY a.turn) AS idx
+           FROM a JOIN p USING (conv_id) WHERE p.delivery_mode = 'thread' AND a.t <> ''),
+    st AS (SELECT conv_id, count(*) AS n_items,
+                  coalesce(min(CASE WHEN length(t) > {max_chars} THEN idx END), 0) AS first_long
+           FROM it GROUP BY conv_id),
+    v AS (
+      SELECT p.conv_id, p.delivery_mode, p.single_tweet,
+             CAST(coalesce(st.n_items, 0) AS BIGINT) AS n_items,
+             CASE WHEN p.delivery_mode = 'single' AND p.single_tweet = '' THEN {Q.q(fixed.ERR_SINGLE_MISSING)}
+                  WHEN p.delivery_mode = 'single' AND length(p.single_tweet) > {max_chars} THEN {Q.q(too_long)}
+                  WHEN p.delivery_mode = 'single' AND coalesce(st.n_items, 0) > 0 THEN {Q.q(fixed.ERR_SINGLE_HAS_THREAD)}
+                  WHEN p.delivery_mode = 'single' THEN NULL
+                  WHEN p.single_tweet <> '' THEN {Q.q(fixed.ERR_THREAD_HAS_SINGLE)}
+                  WHEN coalesce(st.n_items, 0) <> {fixed.THREAD_SIZE} THEN {Q.q(fixed.ERR_THREAD_SIZE)}
+                  WHEN st.first_long > 0 THEN {Q.q(head)} || CAST(st.first_long AS VARCHAR) || {Q.q(tail)}
+             END AS error
+      FROM p LEFT JOIN st USING (conv_id)
+    )"""
+
+
+def _o_validate(max_chars):
+    def o():
+        return f"""WITH {_o_validated(max_chars)}
+        SELECT conv_id, delivery_mode, n_items, error, error IS NULL AS valid FROM v"""
+    return o
+
+
+PROMO_FIXTURE = {"hit_on": [r"\bon\b"], "hit_for": [r"\bfor\b"]}
+
+
+def q_promo_flag(spark, sf_dir):
+    """Every assistant turn checked as a post: the fixture word lists
+    ``on`` / ``for`` (which do occur) and the default promotional list."""
+    a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+         .select("conv_id", "turn", "text"))
+    cols = [packages.promo_flag("text", None, pats).alias(name) for name, pats in PROMO_FIXTURE.items()]
+    cols.append(packages.promo_flag("text").alias("promo_default"))
+    return a.select("conv_id", "turn", *cols)
+
+
+def _re2_word(p: str) -> str:
+    """RE2 form of a ``\\b...\\b`` pattern whose ends are word characters."""
+    assert p.startswith(r"\b") and p.endswith(r"\b")
+    return Q.PRE + "(?:" + p[2:-2] + ")" + Q.POST
+
+
+def o_promo_flag():
+    cols = [f"regexp_matches(lower(coalesce(text, '')), {Q.q('|'.join(_re2_word(x) for x in pats))}) AS {name}"
+            for name, pats in PROMO_FIXTURE.items()]
+    dflt = "|".join(_re2_word(x) for x in fixed.PROMO_PATTERNS)
+    cols.append(f"regexp_matches(lower(coalesce(text, '')), {Q.q(dflt)}) AS promo_default")
+    return f"SELECT conv_id, turn, {', '.join(cols)} FROM conversations WHERE role = 'assistant'"
+
+
+def q_prompt_table(spark, sf_dir):
+    """Generation prompts for every document: the first clean line is the
+    title, the source the author, no publish time."""
+    d = _docs(spark, sf_dir, "doc_id", "source", "text")
+    a = (d.withColumn("_l", T.clean_lines(F.col("text")))
+          .withColumn("clean_text", F.array_join("_l", "\n"))
+          .withColumn("pts", S.key_points(F.col("_l")))
+          .withColumn("title", F.coalesce(F.element_at("_l", 1), F.lit(""))))
+    allow = S.allow_thread(F.col("pts"), F.col("clean_text"))
+    pr = prompts.generate_prompt("title", "source", F.lit(None).cast("timestamp"),
+                                 "clean_text", "pts", allow)
+    return a.select("doc_id", pr.alias("prompt"), F.length(pr).cast("bigint").alias("prompt_chars"))
+
+
+def _o_render(template: str, fields: dict[str, str]) -> str:
+    import re as _re
+    parts, pos = [], 0
+    for m in _re.finditer(r"\{(\w+)\}", template):
+        if m.start() > pos:
+            parts.append(Q.q(template[pos:m.start()]))
+        parts.append(f"coalesce({fields[m.group(1)]}, '')")
+        pos = m.end()
+    if pos < len(template):
+        parts.append(Q.q(template[pos:]))
+    return "concat(" + ", ".join(parts) + ")"
+
+
+def o_prompt_table():
+    src = f"SELECT doc_id, {Q.clean_lines('text')} AS arr FROM documents"
+    bullets = (f"CASE WHEN len(coalesce(pts, [])[1:{fixed.PROMPT_POINTS_GENERATE}]) = 0 THEN {Q.q(fixed.NO_POINTS_LINE)} "
+               f"ELSE array_to_string(list_transform(pts[1:{fixed.PROMPT_POINTS_GENERATE}], lambda x: {Q.q(fixed.POINT_BULLET)} || x), chr(10)) END")
+    text = f"substring(array_to_string(arr, chr(10)), 1, {fixed.PROMPT_TEXT_CHARS})"
+    allow = (f"CASE WHEN len(coalesce(pts, [])) >= {fixed.MIN_INSIGHTS_FOR_THREAD} AND "
+             f"length(array_to_string(arr, chr(10))) >= {fixed.MIN_CHARS_FOR_THREAD} THEN 'true' ELSE 'false' END")
+    pr = _o_render(prompts.GENERATE_TEMPLATE, {
+        "title": "coalesce(arr[1], '')", "author": f"coalesce(nullif(source, ''), {Q.q(fixed.UNKNOWN)})",
+        "published": Q.q(fixed.UNKNOWN), "text": text, "points": bullets, "thread_allowed": allow})
+    return f"""
+    WITH {Q.key_point_rows(src, fixed.MAX_KEY_POINTS)},
+    agg AS (SELECT doc_id, list(l ORDER BY i) AS pts FROM points GROUP BY doc_id),
+    base AS (SELECT d.doc_id, d.source, c.arr, agg.pts FROM documents d
+             JOIN ({src}) c USING (doc_id) LEFT JOIN agg USING (doc_id)),
+    pr AS (SELECT doc_id, {pr} AS prompt FROM base)
+    SELECT doc_id, prompt, CAST(length(prompt) AS BIGINT) AS prompt_chars FROM pr"""
+
+
+OUTBOX_MAX_CHARS = 1000
+
+
+def q_outbox_rows(spark, sf_dir):
+    """Posts of every valid package (checked at 1,000 characters so that
+    some pass) in long form: thread items in turn order, or the single
+    post, then the "Read more" reply built from the page whose id is the
+    conversation id.  Valid threads have exactly three items, so ranking
+    them needs no unbounded group."""
+    pk, items = _conv_packages(spark, sf_dir)
+    v = packages.validate_long(pk, items, "conv_id", "turn", "text", max_chars=OUTBOX_MAX_CHARS)
+    ok = v.where(F.col("error").isNull()).select("conv_id", "delivery_mode", "single_tweet")
+    pages = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), "url")
+    ok = ok.join(pages, "conv_id", "left").withColumn("reply", outbox.read_more("url"))
+    th_items = (items.join(ok.where(F.col("delivery_mode") == "thread").select("conv_id"), "conv_id",
+                           "left_semi")
+                     .withColumn("_t", T.py_strip(F.col("text"))).where(F.col("_t") != ""))
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    thread_posts = th_items.select("conv_id", F.lit("thread").alias("draft_type"),
+                                   F.row_number().over(w).cast("bigint").alias("post_no"),
+                                   F.col("_t").alias("text"))
+    single_posts = ok.where(F.col("delivery_mode") == "single").select(
+        "conv_id", F.lit("single").alias("draft_type"), F.lit(1).cast("bigint").alias("post_no"),
+        F.col("single_tweet").alias("text"))
+    replies = ok.where(F.col("reply").isNotNull()).select(
+        "conv_id", F.col("delivery_mode").alias("draft_type"),
+        F.when(F.col("delivery_mode") == "thread", F.lit(fixed.THREAD_SIZE + 1))
+         .otherwise(F.lit(2)).cast("bigint").alias("post_no"),
+        F.col("reply").alias("text"))
+    return thread_posts.unionByName(single_posts).unionByName(replies)
+
+
+def o_outbox_rows():
+    return f"""
+    WITH {_o_validated(OUTBOX_MAX_CHARS)},
+    ok AS (SELECT v.conv_id, v.delivery_mode, v.single_tweet,
+                  CASE WHEN trim(pg.url, {Q.WS}) <> '' THEN {Q.q(fixed.READ_MORE_PREFIX)} || trim(pg.url, {Q.WS}) END AS reply
+           FROM v LEFT JOIN pages pg ON pg.page_id = v.conv_id WHERE v.error IS NULL)
+    SELECT ok.conv_id, 'thread' AS draft_type, it.idx AS post_no, it.t AS text
+      FROM ok JOIN it USING (conv_id) WHERE ok.delivery_mode = 'thread'
+    UNION ALL
+    SELECT conv_id, 'single', CAST(1 AS BIGINT), single_tweet FROM ok WHERE delivery_mode = 'single'
+    UNION ALL
+    SELECT conv_id, delivery_mode, CAST(CASE WHEN delivery_mode = 'thread' THEN {fixed.THREAD_SIZE + 1} ELSE 2 END AS BIGINT), reply
+      FROM ok WHERE reply IS NOT NULL"""
+
+
+# --------------------------------------------------------------------------
+# Scheduling
+
+
+def q_publish_slots(spark, sf_dir):
+    """Events are arrivals; each user is a channel; 30-minute spacing."""
+    e = _t(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    s = schedule.publish_slots(e, "ts", "event_id", ["user_id"])
+    return s.select("event_id", "user_id", schedule.slot_text("slot").alias("slot"),
+                    (F.col("slot") > F.col("ts").cast("timestamp")).alias("delayed"))
+
+
+def _o_iso(us: str, suffix: str = "Z") -> str:
+    return (f"strftime(make_timestamp({us}), '%Y-%m-%dT%H:%M:%S') || "
+            f"CASE WHEN ({us}) % 1000000 = 0 THEN '' ELSE '.' || lpad(CAST(({us}) % 1000000 AS VARCHAR), 6, '0') END"
+            f" || {Q.q(suffix)}")
+
+
+def o_publish_slots():
+    d = fixed.PUBLISH_SPACING_MINUTES * 60_000_000
+    return f"""
+    WITH r AS (
+      SELECT event_id, user_id, epoch_us(ts) AS t,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events
+    ), m AS (
+      SELECT *, i * {d} + max(t - i * {d}) OVER (PARTITION BY user_id ORDER BY t, event_id
+                                                 ROWS UNBOUNDED PRECEDING) AS s FROM r
+    )
+    SELECT event_id, user_id, {_o_iso('s')} AS slot, s > t AS delayed FROM m"""
+
+
+QUEUE_NOW = "2024-01-20 00:00:00"
+
+
+def _queue_pages(spark, sf_dir):
+    """Queue snapshots built from events: one JSON page per event, owned by
+    the user; the page number comes from the event value.  Each page holds a
+    naive ``scheduledAt``, an offset ``publish_at`` one value-minutes later,
+    a numeric look-alike, and an escaped look-alike inside a note."""
+    e = _t(spark, sf_dir, "events")
+    later = F.col("ts").cast("timestamp") + F.make_dt_interval(
+        F.lit(0), F.lit(2), F.floor(F.col("value")).cast("int"), F.lit(0))
+    body = F.concat(
+        F.lit('{"id":'), F.col("event_id").cast("string"),
+        F.lit(',"type":"'), F.col("event_type"),
+        F.lit('","drafts":[{"scheduledAt":"'), iso_text("ts", ""),
+        F.lit('","meta":{"publish_at":"'), iso_text(later, "+02:00"),
+        F.lit('","scheduled_date":'), F.col("user_id").cast("string"),
+        F.lit('}}],"note":"\\"publish_at\\": \\"2099-01-01T00:00:00Z\\"","props":'), F.col("props"),
+        F.lit("}"))
+    return e.select("user_id", F.floor(F.col("value") / 5).cast("int").alias("page"), body.alias("body"))
+
+
+def q_queue_latest(spark, sf_dir):
+    q = _queue_pages(spark, sf_dir)
+    out = schedule.latest_queued(q, F.lit(QUEUE_NOW).cast("timestamp"), ["user_id"])
+    return out.select("user_id", F.when(F.col("latest").isNotNull(),
+                                        schedule.slot_text("latest")).alias("latest"))
+
+
+def o_queue_latest():
+    keys = "|".join(fixed.SCHEDULE_KEYS)
+    rx = '"(?:' + keys + r')"\s*:\s*"([^"\\]*)"'
+    body = ("'{\"id\":' || CAST(event_id AS VARCHAR) || ',\"type\":\"' || event_type || "
+            "'\",\"drafts\":[{\"scheduledAt\":\"' || " + _o_iso('epoch_us(ts)', '') + " || "
+            "'\",\"meta\":{\"publish_at\":\"' || " +
+            _o_iso('epoch_us(ts) + 7200000000 + CAST(floor(value) AS BIGINT) * 60000000', '+02:00') + " || "
+            "'\",\"scheduled_date\":' || CAST(user_id AS VARCHAR) || "
+            "'}}],\"note\":\"\\\"publish_at\\\": \\\"2099-01-01T00:00:00Z\\\"\",\"props\":' || props || '}'")
+    parse = ("CASE WHEN regexp_matches(v, '(Z|[+-][0-9][0-9]:?[0-9][0-9])$') "
+             "THEN epoch_us(try_cast(v AS TIMESTAMPTZ)) ELSE epoch_us(try_cast(v AS TIMESTAMP)) END")
+    now = f"epoch_us(TIMESTAMP '{QUEUE_NOW}')"
+    return f"""
+    WITH pg AS (SELECT user_id, CAST(floor(value / 5) AS INTEGER) AS page, {body} AS body FROM events),
+    vals AS (SELECT user_id, unnest(CASE WHEN len(x) = 0 THEN [NULL] ELSE x END) AS v
+             FROM (SELECT user_id, regexp_extract_all(body, {Q.q(rx)}, 1) AS x FROM pg
+                   WHERE page < {fixed.MAX_QUEUE_PAGES})),
+    p AS (SELECT user_id, {parse} AS us FROM vals),
+    m AS (SELECT user_id, max(CASE WHEN us >= {now} THEN us END) AS latest FROM p GROUP BY user_id)
+    SELECT user_id, CASE WHEN latest IS NOT NULL THEN {_o_iso('latest')} END AS latest FROM m"""
+
+
+def q_latest_draft(spark, sf_dir):
+    """Event times stand in for draft creation times; latest per user."""
+    e = _t(spark, sf_dir, "events").select("user_id", "ts")
+    return outbox.latest_draft_text(e, "ts", ("user_id",))
+
+
+def o_latest_draft():
+    return f"SELECT user_id, {_o_iso('epoch_us(max(ts))')} AS latest FROM events GROUP BY user_id"
+
+
 # --------------------------------------------------------------------------
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -341,6 +622,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_outcomes": q_ingest_outcomes,
     "run_summary": q_run_summary,
     "thread_gate": q_thread_gate,
+    "validate_packages": _q_validate(fixed.MAX_POST_CHARS),
+    "validate_packages_1000": _q_validate(1000),
+    "promo_flag": q_promo_flag,
+    "prompt_table": q_prompt_table,
+    "outbox_rows": q_outbox_rows,
+    "publish_slots": q_publish_slots,
+    "queue_latest": q_queue_latest,
+    "latest_draft": q_latest_draft,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -356,4 +645,12 @@ ORACLES: dict[str, Callable[[], str]] = {
     "ingest_outcomes": o_ingest_outcomes,
     "run_summary": o_run_summary,
     "thread_gate": o_thread_gate,
+    "validate_packages": _o_validate(fixed.MAX_POST_CHARS),
+    "validate_packages_1000": _o_validate(1000),
+    "promo_flag": o_promo_flag,
+    "prompt_table": o_prompt_table,
+    "outbox_rows": o_outbox_rows,
+    "publish_slots": o_publish_slots,
+    "queue_latest": o_queue_latest,
+    "latest_draft": o_latest_draft,
 }
