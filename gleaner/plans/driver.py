@@ -546,7 +546,7 @@ def o_publish_slots():
     SELECT event_id, user_id, {_o_iso('s')} AS slot, s > t AS delayed FROM m"""
 
 
-QUEUE_NOW = "2024-01-20 00:00:00"
+QUEUE_NOW = "2024-01-29 12:00:00"
 
 
 def _queue_pages(spark, sf_dir):
@@ -607,6 +607,46 @@ def o_latest_draft():
     return f"SELECT user_id, {_o_iso('epoch_us(max(ts))')} AS latest FROM events GROUP BY user_id"
 
 
+# --------------------------------------------------------------------------
+# Streaming
+
+
+def q_stream_ledger(spark, sf_dir):
+    """STR-01/02 + SNK-01: the documents file is consumed by a checkpointed
+    file stream (availableNow); each micro-batch is deduplicated against the
+    ledger and appends its new keys.  The ledger read back is the result:
+    one row per distinct text, first document id as url, source as title."""
+    import uuid
+
+    from gleaner.session import shared_dir
+    from gleaner.streaming import start_feed_stream
+
+    use_utc(spark)
+    base = shared_dir(spark, f"stream_ledger/{uuid.uuid4().hex}")
+    path = f"{sf_dir}/documents.parquet"
+    schema = spark.read.parquet(path).schema
+    # A glob naming the one file: the file source wants a directory or glob.
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+           .parquet(f"{sf_dir}/documents*.parquet")
+           .select(keys.article_key(id_col=F.col("text")).alias("article_id"),
+                   F.col("doc_id").cast("string").alias("url"),
+                   F.col("source").alias("title"),
+                   F.lit(None).cast("timestamp").alias("published_at"),
+                   F.col("doc_id").alias("feed_pos")))
+    q = start_feed_stream(src, f"{base}/checkpoint", f"{base}/ledger")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(f"{base}/ledger").select("article_id", "url", "title")
+
+
+def o_stream_ledger():
+    return """
+    SELECT sha256(text) AS article_id, CAST(min(doc_id) AS VARCHAR) AS url,
+           arg_min(source, doc_id) AS title
+    FROM documents GROUP BY sha256(text)"""
+
+
 # --------------------------------------------------------------------------
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -630,6 +670,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_slots": q_publish_slots,
     "queue_latest": q_queue_latest,
     "latest_draft": q_latest_draft,
+    "stream_ledger": q_stream_ledger,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -653,4 +694,5 @@ ORACLES: dict[str, Callable[[], str]] = {
     "publish_slots": o_publish_slots,
     "queue_latest": o_queue_latest,
     "latest_draft": o_latest_draft,
+    "stream_ledger": o_stream_ledger,
 }

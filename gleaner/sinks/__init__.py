@@ -1,0 +1,71 @@
+"""Sinks: ledger, drafts, runs and outcomes (SNK-01..04).
+
+Every batch writes into its own ``batch_id=<n>`` folder with dynamic
+partition overwrite, so a batch that is retried after a failure replaces its
+own earlier attempt instead of adding a second copy.  Write order is
+drafts/outbox first and ledger last: a crash in between leaves articles that
+are retried, never articles marked done without their drafts.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from gleaner.operators.keys import distinct_articles
+from gleaner.operators.screen import ledger_anti_join
+
+LEDGER_COLUMNS = ["article_id", "url", "title", "published_at", "processed_at"]
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+       .write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id")
+       .format(fmt).save(path))
+
+
+def ledger_rows(entries: DataFrame, ledger: DataFrame | None, batch_id: int,
+                processed_at: Column | None = None, key: str = "article_id",
+                order_col: str = "feed_pos") -> DataFrame:
+    """SNK-01 rows: one per new key (earliest position in the batch wins),
+    minus keys already in the ledger.  Rows the same batch wrote in an
+    earlier attempt are ignored, so a replay rewrites the same rows."""
+    ts = processed_at if processed_at is not None else F.current_timestamp()
+    cols = [c for c in ("url", "title", "published_at") if c in entries.columns]
+    e = entries.select(key, order_col, *cols)
+    for c in ("url", "title"):
+        if c not in cols:
+            e = e.withColumn(c, F.lit(None).cast("string"))
+    if "published_at" not in cols:
+        e = e.withColumn("published_at", F.lit(None).cast("timestamp"))
+    firsts = distinct_articles(e, key, order_col, count_col=None)
+    if ledger is not None:
+        prior = ledger.where(F.col("batch_id") != F.lit(int(batch_id))) if "batch_id" in ledger.columns else ledger
+        firsts = ledger_anti_join(firsts, prior, key)
+    return firsts.select(key, "url", "title", F.col("published_at").cast("timestamp"),
+                         ts.cast("timestamp").alias("processed_at"))
+
+
+def append_ledger(rows: DataFrame, path: str, batch_id: int, dry_run: bool = False) -> None:
+    """SNK-01: write this batch's ledger rows (nothing on a dry run)."""
+    if not dry_run:
+        _write_batch(rows.select(*LEDGER_COLUMNS), path, batch_id)
+
+
+def append_drafts(drafts: DataFrame, path: str, batch_id: int, dry_run: bool = False) -> None:
+    """SNK-02: write this batch's draft rows."""
+    if not dry_run:
+        _write_batch(drafts, path, batch_id)
+
+
+def write_run(run_row: DataFrame, path: str, batch_id: int) -> None:
+    """SNK-03: the finished run row (no in-place update: the row is written
+    once, complete)."""
+    _write_batch(run_row, path, batch_id)
+
+
+def write_outcomes(outcomes: DataFrame, path: str, batch_id: int) -> None:
+    """SNK-04: per-article outcome facts, queryable by run."""
+    _write_batch(outcomes, path, batch_id)
