@@ -138,7 +138,10 @@ def clean_lines(c: ColumnOrName,
     for inputs known to be plain text."""
     col = _col(c)
     if markup:
-        lines = markup_lines(remove_invisible(col))
+        # Text with neither '<' nor '&' has no tags or entities: skip the
+        # markup passes (CASE evaluates only the branch it takes).
+        has_markup = (F.instr(col, "<") > 0) | (F.instr(col, "&") > 0)
+        lines = F.when(has_markup, markup_lines(remove_invisible(col))).otherwise(nonblank_lines(col))
     else:
         lines = nonblank_lines(col)
     disclaimers = list(disclaimers)

@@ -73,8 +73,9 @@ def parse_responses(df: DataFrame, json_col: str = "response") -> DataFrame:
     thread_bad = raw_thread.isNotNull() & ~F.trim(raw_thread).startswith("[")
     bad = parsed.isNull() | parsed["_corrupt_record"].isNotNull()
     pkg = normalize_package(parsed["delivery_mode"], parsed["single_tweet"], parsed["thread"])
-    err: Column = (F.when(F.col(json_col).isNull() | bad, F.lit("response is not a JSON object"))
-                    .when(thread_bad, F.lit("thread is not a list")))
+    err: Column = (F.when(F.col(json_col).isNull(), F.lit("response is not a JSON object"))
+                    .when(thread_bad, F.lit("thread is not a list"))
+                    .when(bad, F.lit("response is not a JSON object")))
     return (df.withColumn("_pkg", pkg)
               .withColumn("delivery_mode", F.col("_pkg.delivery_mode"))
               .withColumn("single_tweet", F.col("_pkg.single_tweet"))
