@@ -24,3 +24,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if have >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint directory and continue
+    from the written copy (a reliable checkpoint, never a local one).
+
+    Used where one intermediate result feeds two branches of a plan, so the
+    work under it (a sort, a window, a scan of wide text) runs once, and the
+    lineage that a lost executor would replay stops here."""
+    from gleaner.session import shared_dir
+
+    shared_dir(df.sparkSession, "checkpoints")  # sets a dir only when none is configured
+    return df.checkpoint(eager=True)

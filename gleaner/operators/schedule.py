@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import fixed
 from gleaner.functions.timefmt import epoch_micros, iso_text, parse_iso
+from gleaner.operators.common import materialize
 
 ColumnOrName = Column | str
 
@@ -60,7 +61,8 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
                   latest: ColumnOrName | None = None,
                   fixed_at: ColumnOrName | None = None,
                   bucket_minutes: int = 360,
-                  out: str = "slot") -> DataFrame:
+                  out: str = "slot",
+                  materialize_rows: bool = True) -> DataFrame:
     """WIN-02: give every row a publish slot.
 
     Loop semantics, per channel in (time, key) order, with ``t`` the row's
@@ -93,6 +95,11 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
                 .withColumn("_v", F.col("_t") - F.col("_j") * F.lit(d))
                 .withColumn("_lmax", F.max("_v").over(
                     wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    if materialize_rows:
+        # Both the block table and the final join read these rows: write
+        # them once instead of sorting and windowing the input twice.
+        rows = materialize(rows.select(key_col, *ch, "_t", "_b", "_j", "_v", "_lmax",
+                                       *[c for c in df.columns if c not in (key_col, *ch)]))
     blocks = rows.groupBy(*ch, "_b").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_bmax"))
     wc = (Window.partitionBy(*ch).orderBy("_b")
                 .rowsBetween(Window.unboundedPreceding, -1)) if ch else \

@@ -18,7 +18,7 @@ from gleaner.functions import signals as S
 from gleaner.functions import text as T
 from gleaner.functions.timefmt import iso_text
 from gleaner.operators import article, keys, outbox, outcomes, packages, prompts, schedule, screen
-from gleaner.operators.common import spread
+from gleaner.operators.common import materialize, spread
 from gleaner.plans import sqltext as Q
 from gleaner.session import use_utc
 
@@ -201,11 +201,15 @@ def o_body_ladder():
 # Keys, ledger, authors, cap, outcomes
 
 
-def _keyed_docs(spark, sf_dir):
+def _keyed_docs(spark, sf_dir, thin=False):
+    """Documents as a feed: key = sha256 of the text, position = doc id.
+    ``thin=True`` writes the key table once (no text) for plans that read
+    it twice, so the wide text column is scanned and hashed once."""
     d = _t(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return d.select("doc_id", "source",
-                    keys.article_key(id_col=F.col("text")).alias("article_id"),
-                    F.col("doc_id").alias("feed_pos"))
+    k = d.select("doc_id", "source",
+                 keys.article_key(id_col=F.col("text")).alias("article_id"),
+                 F.col("doc_id").alias("feed_pos"))
+    return materialize(k) if thin else k
 
 
 def q_article_keys(spark, sf_dir):
@@ -267,7 +271,7 @@ def o_batch_cap():
 
 
 def _outcomes(spark, sf_dir):
-    d = _keyed_docs(spark, sf_dir)
+    d = _keyed_docs(spark, sf_dir, thin=True)
     lab = _t(spark, sf_dir, "labels").select("doc_id", "toxic")
     f = (d.join(lab, "doc_id", "left")
           .withColumn("excluded", screen.author_excluded("source", EXCLUDED_SOURCES))
