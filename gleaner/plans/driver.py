@@ -21,6 +21,7 @@ from gleaner.operators import article, keys, outbox, outcomes, packages, prompts
 from gleaner.operators.common import materialize, spread
 from gleaner.plans import sqltext as Q
 from gleaner.session import use_utc
+from gleaner.sources.tables import parse_responses
 
 # Fixture parameters.
 KEY_POINT_CAP = 3
@@ -611,6 +612,120 @@ def o_latest_draft():
     return f"SELECT user_id, {_o_iso('epoch_us(max(ts))')} AS latest FROM events GROUP BY user_id"
 
 
+# --------------------------------------------------------------------------
+# Sources: RSS items and model responses derived from the tables
+
+
+RSS_ROOT = "rss"
+
+
+def _rss_items(spark, sf_dir):
+    """Every document as one RSS ``<item>``: guid = doc id (left empty for
+    English documents, so the key falls back to the link), padded title,
+    source as ``creator``, an RFC 822 date (German documents carry an
+    unparseable one), the text as ``encoded`` (Spark's XML writer takes no
+    namespace prefixes; the reader accepts both spellings)."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    ts = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 3600)
+    pub = F.when(F.col("lang") == "de", F.lit("not a date")).otherwise(
+        F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
+    guid = F.when(F.col("lang") == "en", F.lit("")).otherwise(F.col("doc_id").cast("string"))
+    link = F.concat(F.lit("https://news.example.org/"), F.col("source"), F.lit("/"),
+                    F.col("doc_id").cast("string"))
+    return d.select(
+        F.concat(F.lit("  "), F.col("source"), F.lit(" story "), F.col("doc_id").cast("string"),
+                 F.lit("  ")).alias("title"),
+        link.alias("link"),
+        F.struct(guid.alias("_text"), F.lit("false").alias("_attr_isPermaLink")).alias("guid"),
+        F.col("source").alias("creator"),
+        pub.alias("pubDate"),
+        F.col("text").alias("encoded"))
+
+
+def q_feed_scan(spark, sf_dir):
+    """SRC-01 + PRJ-01..04: the RSS items are written as landed feed files
+    in the shared folder, then read back with the XML source and
+    normalized."""
+    import uuid
+
+    from gleaner.session import shared_dir
+    from gleaner.sources.feed import read_feed
+
+    use_utc(spark)
+    path = shared_dir(spark, f"feed_scan/{uuid.uuid4().hex}")
+    (_rss_items(spark, sf_dir).write.format("xml")
+        .option("rootTag", RSS_ROOT).option("rowTag", "item")
+        .option("attributePrefix", "_attr_").option("valueTag", "_text")
+        .save(path))
+    f = read_feed(spark, path)
+    return f.select("article_id", "title", "author", "url",
+                    F.when(F.col("published_at").isNotNull(),
+                           iso_text("published_at", "Z")).alias("published"),
+                    "feed_content")
+
+
+def o_feed_scan():
+    link = "'https://news.example.org/' || source || '/' || CAST(doc_id AS VARCHAR)"
+    us = "(CAST(1704067200 + doc_id * 3600 AS BIGINT) * 1000000)"
+    return f"""
+    SELECT sha256(CASE WHEN lang = 'en' THEN {link} ELSE CAST(doc_id AS VARCHAR) END) AS article_id,
+           source || ' story ' || CAST(doc_id AS VARCHAR) AS title,
+           source AS author, {link} AS url,
+           CASE WHEN lang = 'de' THEN NULL ELSE {_o_iso(us)} END AS published,
+           text AS feed_content
+    FROM documents"""
+
+
+RESPONSE_MAX_CHARS = 1000
+
+
+def q_response_check(spark, sf_dir):
+    """SRC-05 + FLT-07 (array form): each assistant turn is turned into a
+    model response JSON -- a multi-line turn as a thread of its lines, a
+    one-line turn as a padded single post -- then parsed, normalized and
+    validated at 1,000 characters."""
+    a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+         .select("conv_id", "turn", "text"))
+    multi = F.instr(F.col("text"), "\n") > 0
+    resp = F.to_json(F.struct(
+        F.when(multi, F.lit("Thread")).otherwise(F.lit(" single ")).alias("delivery_mode"),
+        F.when(multi, F.lit("")).otherwise(F.concat(F.lit(" "), F.col("text"), F.lit(" "))).alias("single_tweet"),
+        F.when(multi, F.split(F.col("text"), "\n")).otherwise(F.array().cast("array<string>")).alias("thread")))
+    parsed = parse_responses(a.select("conv_id", "turn", resp.alias("response")))
+    v = packages.validate_packages(parsed, max_chars=RESPONSE_MAX_CHARS)
+    return v.select("conv_id", "turn", "delivery_mode",
+                    F.size("thread").cast("bigint").alias("n_items"),
+                    F.coalesce("parse_error", "error").alias("error"))
+
+
+def o_response_check():
+    m = RESPONSE_MAX_CHARS
+    too_long = fixed.ERR_SINGLE_TOO_LONG.replace("280", str(m))
+    head, tail = fixed.ERR_THREAD_ITEM_TOO_LONG.replace("280", str(m)).split("{idx}")
+    return f"""
+    WITH a AS (SELECT conv_id, turn, text, contains(text, chr(10)) AS multi
+               FROM conversations WHERE role = 'assistant'),
+    p AS (SELECT conv_id, turn,
+                 CASE WHEN multi THEN 'thread' ELSE 'single' END AS delivery_mode,
+                 CASE WHEN multi THEN '' ELSE trim(text, {Q.WS}) END AS single_tweet,
+                 CASE WHEN multi THEN list_filter(list_transform(string_split(text, chr(10)),
+                        lambda x: trim(x, {Q.WS})), lambda x: x <> '') ELSE [] END AS thread
+          FROM a),
+    f AS (SELECT *, len(thread) AS n,
+                 coalesce(list_position(list_transform(thread, lambda x: length(x) > {m}), true), 0) AS first_long
+          FROM p)
+    SELECT conv_id, turn, delivery_mode, CAST(n AS BIGINT) AS n_items,
+           CASE WHEN delivery_mode = 'single' AND single_tweet = '' THEN {Q.q(fixed.ERR_SINGLE_MISSING)}
+                WHEN delivery_mode = 'single' AND length(single_tweet) > {m} THEN {Q.q(too_long)}
+                WHEN delivery_mode = 'single' AND n > 0 THEN {Q.q(fixed.ERR_SINGLE_HAS_THREAD)}
+                WHEN delivery_mode = 'single' THEN NULL
+                WHEN single_tweet <> '' THEN {Q.q(fixed.ERR_THREAD_HAS_SINGLE)}
+                WHEN n <> {fixed.THREAD_SIZE} THEN {Q.q(fixed.ERR_THREAD_SIZE)}
+                WHEN first_long > 0 THEN {Q.q(head)} || CAST(first_long AS VARCHAR) || {Q.q(tail)}
+           END AS error
+    FROM f"""
+
+
 # --------------------------------------------------------------------------
 # Streaming
 
@@ -675,6 +790,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "queue_latest": q_queue_latest,
     "latest_draft": q_latest_draft,
     "stream_ledger": q_stream_ledger,
+    "feed_scan": q_feed_scan,
+    "response_check": q_response_check,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -699,4 +816,6 @@ ORACLES: dict[str, Callable[[], str]] = {
     "queue_latest": o_queue_latest,
     "latest_draft": o_latest_draft,
     "stream_ledger": o_stream_ledger,
+    "feed_scan": o_feed_scan,
+    "response_check": o_response_check,
 }

@@ -20,7 +20,8 @@ from gleaner.operators.keys import article_key
 RSS_ITEM_SCHEMA = T.StructType([
     T.StructField("title", T.StringType()),
     T.StructField("link", T.StringType()),
-    T.StructField("guid", T.StringType()),
+    T.StructField("guid", T.StructType([T.StructField("_text", T.StringType()),
+                                        T.StructField("_attr_isPermaLink", T.StringType())])),
     T.StructField("id", T.StringType()),
     T.StructField("author", T.StringType()),
     T.StructField("creator", T.StringType()),
@@ -77,7 +78,11 @@ def normalize_feed(items: DataFrame, pos_col: str = "_pos") -> DataFrame:
     * feed_pos: the item's position in landing order (WIN-04)
     """
     def c(name: str) -> Column:
-        return F.col(name) if name in items.columns else F.lit(None).cast("string")
+        if name not in items.columns:
+            return F.lit(None).cast("string")
+        col = F.col(name)
+        # Elements that may carry attributes are read as (text, attributes).
+        return col["_text"] if isinstance(items.schema[name].dataType, T.StructType) else col
 
     content = F.col("encoded") if "encoded" in items.columns else F.lit(None).cast("array<string>")
     summary = F.coalesce(F.nullif(c("summary"), F.lit("")), c("description"))
