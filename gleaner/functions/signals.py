@@ -36,15 +36,44 @@ def angle_regex(hints: Iterable[str] = fixed.ANGLE_HINTS) -> str:
     return literal_alternation(list(hints))
 
 
+# A necessary condition of the default statistic patterns: every one of them
+# needs a decimal digit, except the "PK" branch.  Lines failing this cheap
+# single-class scan (most prose lines) skip the four-way alternation.
+DEFAULT_STAT_PREFILTER = r"(?U)\d|(?i:pk)"
+_DIGIT = r"(?U)\d"
+DEFAULT_PATTERN_PREFILTERS = {"record": _DIGIT, "percentage": _DIGIT,
+                              "odds": DEFAULT_STAT_PREFILTER, "total": _DIGIT}
+
+
+def _stat_test(line: Column, patterns: Mapping[str, str],
+               ignorecase: Mapping[str, bool]) -> Column:
+    full = line.rlike(stat_regex(patterns, ignorecase))
+    if patterns is fixed.STAT_PATTERNS and ignorecase is fixed.STAT_IGNORECASE:
+        return line.rlike(DEFAULT_STAT_PREFILTER) & full
+    return full
+
+
+def _contains_any(lowered: Column, hints: list[str]) -> Column:
+    """Plain substring tests (byte search, no regex) on a lower-cased line."""
+    out = F.lit(False)
+    for h in hints:
+        out = out | F.contains(lowered, F.lit(h))
+    return out
+
+
 def stat_flags(line: Column, patterns: Mapping[str, str] = fixed.STAT_PATTERNS,
                ignorecase: Mapping[str, bool] = fixed.STAT_IGNORECASE) -> dict[str, Column]:
     """FLT-04 per pattern, as named boolean columns (for reporting)."""
-    return {name: line.rlike(rx) for name, rx in stat_regexes(patterns, ignorecase).items()}
+    rxs = stat_regexes(patterns, ignorecase)
+    if patterns is fixed.STAT_PATTERNS and ignorecase is fixed.STAT_IGNORECASE:
+        return {name: line.rlike(DEFAULT_PATTERN_PREFILTERS[name]) & line.rlike(rx)
+                for name, rx in rxs.items()}
+    return {name: line.rlike(rx) for name, rx in rxs.items()}
 
 
 def is_stat(line: Column, patterns: Mapping[str, str] = fixed.STAT_PATTERNS,
             ignorecase: Mapping[str, bool] = fixed.STAT_IGNORECASE) -> Column:
-    return line.rlike(stat_regex(patterns, ignorecase))
+    return _stat_test(line, patterns, ignorecase)
 
 
 def is_angle(line: Column, hints: Iterable[str] = fixed.ANGLE_HINTS) -> Column:
@@ -52,7 +81,7 @@ def is_angle(line: Column, hints: Iterable[str] = fixed.ANGLE_HINTS) -> Column:
     hints = list(hints)
     if not hints:
         return F.lit(False)
-    return F.lower(line).rlike(angle_regex(hints))
+    return _contains_any(F.lower(line), hints)
 
 
 def key_points(lines: Column,
@@ -70,16 +99,17 @@ def key_points(lines: Column,
     ``n_i >= cap``; hits up to and including that line are kept.
     ``strict_cap=True`` lets statistic lines stop the walk as well.
     """
-    srx = stat_regex(patterns, ignorecase)
     hints = list(hints)
-    arx = angle_regex(hints) if hints else None
 
-    def flag(l: Column) -> Column:
-        s = l.rlike(srx)
-        a = F.lower(l).rlike(arx) if arx else F.lit(False)
-        return F.struct(l.alias("l"), s.alias("s"), (s | a).alias("h"))
+    def flag(x: Column) -> Column:
+        s = _stat_test(x["l"], patterns, ignorecase)
+        a = _contains_any(x["lo"], hints) if hints else F.lit(False)
+        return F.struct(x["l"].alias("l"), s.alias("s"), (s | a).alias("h"))
 
-    flags = F.transform(lines, flag)
+    # Lower-case each line once, then flag it (lambda bodies get no common
+    # subexpression elimination, so shared values are materialized first).
+    lowered = F.transform(lines, lambda l: F.struct(l.alias("l"), F.lower(l).alias("lo")))
+    flags = F.transform(lowered, flag)
     init = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("stop"), F.lit(0).alias("i"))
 
     def step(acc: Column, f: Column) -> Column:

@@ -129,6 +129,18 @@ def markup_text(c: ColumnOrName) -> Column:
     return F.array_join(markup_lines(c), "\n")
 
 
+def text_lines(c: ColumnOrName, markup: bool = True) -> Column:
+    """Stripped, non-blank lines of a text that may hold markup: comments,
+    script and style dropped, each tag a line break, entities decoded."""
+    col = _col(c)
+    if not markup:
+        return nonblank_lines(col)
+    # Text with neither '<' nor '&' has no tags or entities: skip the markup
+    # passes (CASE evaluates only the branch it takes).
+    has_markup = (F.instr(col, "<") > 0) | (F.instr(col, "&") > 0)
+    return F.when(has_markup, markup_lines(remove_invisible(col))).otherwise(nonblank_lines(col))
+
+
 def clean_lines(c: ColumnOrName,
                 disclaimers: Iterable[str] = fixed.DISCLAIMER_PATTERNS,
                 min_chars: int = 2,
@@ -136,14 +148,7 @@ def clean_lines(c: ColumnOrName,
     """PRJ-08 as an array: text nodes -> lines stripped -> blank, disclaimer
     and too-short lines dropped.  ``markup=False`` skips tag/entity handling
     for inputs known to be plain text."""
-    col = _col(c)
-    if markup:
-        # Text with neither '<' nor '&' has no tags or entities: skip the
-        # markup passes (CASE evaluates only the branch it takes).
-        has_markup = (F.instr(col, "<") > 0) | (F.instr(col, "&") > 0)
-        lines = F.when(has_markup, markup_lines(remove_invisible(col))).otherwise(nonblank_lines(col))
-    else:
-        lines = nonblank_lines(col)
+    lines = text_lines(c, markup)
     disclaimers = list(disclaimers)
     return F.filter(lines, lambda l: keep_line(l, disclaimers, min_chars))
 

@@ -8,6 +8,7 @@ with scalar columns whose names equal the oracle's.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,9 +34,34 @@ THREAD_MIN_CHARS = 1000
 BATCH_CAP = 10
 
 
+# Table handles and built column expressions are reused across calls: a
+# parquet read costs a footer round trip and a deep expression tree costs
+# hundreds of JVM calls to build, while both are immutable plans.  Handles
+# are keyed by session, path and file modification time.
+_TABLES: dict[tuple, DataFrame] = {}
+_EXPRS: dict[str, F.Column] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    try:
+        stamp = os.stat(path).st_mtime_ns
+    except OSError:
+        stamp = None
+    key = (id(spark), path, stamp)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
+
+
+def _expr(key: str, build: Callable[[], F.Column]) -> F.Column:
+    col = _EXPRS.get(key)
+    if col is None:
+        col = _EXPRS[key] = build()
+    return col
 
 
 def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -49,7 +75,7 @@ def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 
 def q_clean_documents(spark, sf_dir):
     d = _docs(spark, sf_dir, "doc_id", "text")
-    lines = T.clean_lines(F.col("text"))
+    lines = _expr("clean_lines", lambda: T.clean_lines(F.col("text")))
     return (d.withColumn("_l", lines)
              .select("doc_id",
                      F.array_join("_l", "\n").alias("clean_text"),
@@ -64,7 +90,7 @@ def o_clean_documents():
 
 def q_key_points(spark, sf_dir):
     d = _docs(spark, sf_dir, "doc_id", "text")
-    pts = S.key_points(T.clean_lines(F.col("text")), cap=KEY_POINT_CAP)
+    pts = _expr("key_points", lambda: S.key_points(T.clean_lines(F.col("text")), cap=KEY_POINT_CAP))
     return (d.select("doc_id", F.posexplode(pts).alias("_i", "point"))
              .select("doc_id", (F.col("_i") + 1).cast("bigint").alias("point_no"), "point"))
 
@@ -81,7 +107,7 @@ def q_line_flags(spark, sf_dir):
     """FLT-02..06 counted per language.  Lines are exploded row-locally and
     reduced with a partial aggregate; nothing is collected per document."""
     d = _docs(spark, sf_dir, "doc_id", "lang", "text")
-    lines = d.select("lang", F.explode(T.markup_lines(T.remove_invisible(F.col("text")))).alias("l"))
+    lines = d.select("lang", F.explode(_expr("text_lines", lambda: T.text_lines(F.col("text")))).alias("l"))
     l = F.col("l")
     disc = l.rlike(T.disclaimer_regex(LICENSE_DISCLAIMERS))
     kept = ~disc & (F.length(l) >= 2)
