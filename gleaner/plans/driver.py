@@ -752,6 +752,125 @@ def o_response_check():
     FROM f"""
 
 
+# --------------------------------------------------------------------------
+# Both batch jobs end to end
+
+
+RUN_NOW = "2024-02-01 00:00:00"
+
+
+def q_curation_run(spark, sf_dir):
+    """``prepare`` then ``deliver`` over whole tables, outputs written per
+    batch to the shared folder and the outcome facts read back.
+
+    Mapping: every document is a feed entry (key = sha256 of the text,
+    position = doc id, author = source, url ``page:<id>``); the page with
+    the same id is its web page; labelled documents are already in the
+    ledger; ``src1`` is an excluded author; the model's answer for an
+    article is the first assistant turn of the conversation whose id is the
+    article's position, as JSON (a multi-line turn is a thread of its
+    lines); posts are scheduled 30 minutes apart from a fixed ``now``."""
+    import uuid
+
+    from gleaner.plans import jobs
+    from gleaner.session import shared_dir
+
+    docs = _t(spark, sf_dir, "documents")
+    feed = docs.select(
+        keys.article_key(id_col=F.col("text")).alias("article_id"),
+        F.concat(F.col("source"), F.lit(" "), F.col("doc_id").cast("string")).alias("title"),
+        F.col("source").alias("author"),
+        F.concat(F.lit("page:"), F.col("doc_id").cast("string")).alias("url"),
+        F.lit(None).cast("timestamp").alias("published_at"),
+        F.col("text").alias("feed_content"),
+        F.col("doc_id").alias("feed_pos"))
+    pages = _t(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page:"), F.col("page_id").cast("string")).alias("url"), "html")
+    labelled = _t(spark, sf_dir, "labels").select("doc_id")
+    ledger = (docs.join(labelled, "doc_id", "left_semi")
+                  .select(keys.article_key(id_col=F.col("text")).alias("article_id")))
+    prep = jobs.prepare(feed, pages, ledger, excluded_authors=EXCLUDED_SOURCES, max_articles=None)
+    conv = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+            .groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")))
+    multi = F.instr(F.col("text"), "\n") > 0
+    resp = F.to_json(F.struct(
+        F.when(multi, F.lit("thread")).otherwise(F.lit("single")).alias("delivery_mode"),
+        F.when(multi, F.lit("")).otherwise(F.col("text")).alias("single_tweet"),
+        F.when(multi, F.split(F.col("text"), "\n")).otherwise(F.array().cast("array<string>")).alias("thread")))
+    responses = (prep.articles.select("article_id", "feed_pos")
+                 .join(conv, F.col("feed_pos") == F.col("conv_id"))
+                 .select("article_id", resp.alias("response")))
+    out = jobs.deliver(prep, responses, "run_fixture", publish_mode="schedule",
+                       now=F.lit(RUN_NOW).cast("timestamp"))
+    base = shared_dir(spark, f"curation_run/{uuid.uuid4().hex}")
+    jobs.write_outputs(out, base, 0)
+    facts = spark.read.parquet(f"{base}/outcomes")
+    return facts.select("feed_pos", "article_id", "outcome", "error")
+
+
+def o_curation_run():
+    v = _o_author_match("d.source", EXCLUDED_SOURCES)
+    return f"""
+    WITH e AS (
+      SELECT d.doc_id AS feed_pos, sha256(d.text) AS article_id, {v} AS ex,
+             sha256(d.text) IN (SELECT sha256(x.text) FROM documents x JOIN labels l USING (doc_id)) AS in_ledger
+      FROM documents d
+    ),
+    pre AS (SELECT *, CASE WHEN in_ledger THEN 'duplicate' WHEN ex THEN 'excluded' END AS pre_outcome FROM e),
+    fx AS (SELECT article_id, min(feed_pos) AS first_ex FROM pre WHERE pre_outcome = 'excluded' GROUP BY article_id),
+    todo AS (SELECT p.* FROM pre p LEFT JOIN fx USING (article_id)
+             WHERE p.pre_outcome IS NULL AND (fx.first_ex IS NULL OR p.feed_pos < fx.first_ex)),
+    art AS (SELECT article_id, min(feed_pos) AS pos FROM todo GROUP BY article_id),
+    {_o_page_bodies()},
+    body AS (
+      SELECT art.article_id, art.pos AS doc_id,
+             CASE WHEN coalesce(length(regexp_replace(d.text, '<[^>]+>', '', 'g')) > 500, false) THEN d.text
+                  WHEN pb.article_text IS NOT NULL THEN pb.article_text ELSE pb.page_text END AS body
+      FROM art JOIN documents d ON d.doc_id = art.pos LEFT JOIN pb ON pb.page_id = art.pos
+    ),
+    cl AS (SELECT article_id, doc_id, {Q.clean_lines('body')} AS arr FROM body),
+    {Q.key_point_rows("SELECT doc_id, arr FROM cl", fixed.MAX_KEY_POINTS)},
+    np AS (SELECT doc_id, count(*) AS n FROM points GROUP BY doc_id),
+    gate AS (SELECT cl.article_id, coalesce(np.n, 0) >= {fixed.MIN_INSIGHTS_FOR_THREAD}
+                    AND length(array_to_string(cl.arr, chr(10))) >= {fixed.MIN_CHARS_FOR_THREAD} AS allow
+             FROM cl LEFT JOIN np USING (doc_id)),
+    turn1 AS (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+    pk AS (
+      SELECT art.article_id, t.text IS NULL AS missing,
+             CASE WHEN contains(t.text, chr(10)) THEN 'thread' ELSE 'single' END AS mode,
+             CASE WHEN contains(t.text, chr(10)) THEN '' ELSE trim(t.text, {Q.WS}) END AS single_tweet,
+             CASE WHEN contains(t.text, chr(10)) THEN list_filter(list_transform(string_split(t.text, chr(10)),
+                    lambda x: trim(x, {Q.WS})), lambda x: x <> '') ELSE [] END AS thread
+      FROM art LEFT JOIN turn1 t ON t.conv_id = art.pos
+    ),
+    pkg AS (SELECT pk.*, gate.allow FROM pk JOIN gate USING (article_id)),
+    err AS (
+      SELECT article_id,
+             CASE WHEN missing THEN 'no model response'
+                  WHEN mode = 'single' AND single_tweet = '' THEN {Q.q(fixed.ERR_SINGLE_MISSING)}
+                  WHEN mode = 'single' AND length(single_tweet) > 280 THEN {Q.q(fixed.ERR_SINGLE_TOO_LONG)}
+                  WHEN mode = 'single' THEN NULL
+                  WHEN NOT allow THEN {Q.q(fixed.ERR_THREAD_DISABLED)}
+                  WHEN len(thread) <> {fixed.THREAD_SIZE} THEN {Q.q(fixed.ERR_THREAD_SIZE)}
+                  WHEN list_position(list_transform(thread, lambda x: length(x) > 280), true) > 0
+                    THEN 'thread tweet ' || CAST(list_position(list_transform(thread, lambda x: length(x) > 280), true) AS VARCHAR)
+                         || ' exceeds 280 characters'
+             END AS error
+      FROM pkg
+    ),
+    f AS (SELECT pre.*, coalesce(err.error IS NOT NULL, false) AS fail, err.error
+          FROM pre LEFT JOIN err USING (article_id)),
+    w AS (SELECT *, coalesce(max(CASE WHEN ex OR NOT fail THEN 1 ELSE 0 END) OVER (
+                  PARTITION BY article_id ORDER BY feed_pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done_before
+          FROM f),
+    oc AS (SELECT feed_pos, article_id, error,
+                  coalesce(pre_outcome, CASE WHEN done_before = 1 THEN 'duplicate' WHEN ex THEN 'excluded'
+                                             WHEN fail THEN 'failed' ELSE 'processed' END) AS outcome
+           FROM w)
+    SELECT feed_pos, article_id, outcome, CASE WHEN outcome = 'failed' THEN error END AS error FROM oc"""
+
+
 # --------------------------------------------------------------------------
 # Streaming
 
@@ -818,6 +937,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ledger": q_stream_ledger,
     "feed_scan": q_feed_scan,
     "response_check": q_response_check,
+    "curation_run": q_curation_run,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -844,4 +964,5 @@ ORACLES: dict[str, Callable[[], str]] = {
     "stream_ledger": o_stream_ledger,
     "feed_scan": o_feed_scan,
     "response_check": o_response_check,
+    "curation_run": o_curation_run,
 }

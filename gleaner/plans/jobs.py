@@ -22,6 +22,7 @@ from gleaner import sinks
 from gleaner.functions import fixed
 from gleaner.functions import signals as S
 from gleaner.operators import article, keys, outbox, outcomes, packages, prompts, schedule, screen
+from gleaner.operators.common import materialize
 from gleaner.sources.tables import parse_responses
 
 
@@ -68,7 +69,14 @@ def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
         seen = F.coalesce(F.col("_seen"), F.lit(False))
     f = f.withColumn("pre_outcome", F.when(seen, "duplicate").when(F.col("excluded"), "excluded"))
     f = f.drop("_seen") if ledger is not None else f
-    todo = f.where(F.col("pre_outcome").isNull() & F.col("article_id").isNotNull())
+    # A copy after an excluded copy of the same key is a duplicate (the
+    # excluded one marks the ledger), so it is not sent to the model.
+    first_ex = (f.where(F.col("pre_outcome") == "excluded")
+                 .groupBy("article_id").agg(F.min("feed_pos").alias("_first_ex")))
+    todo = (f.where(F.col("pre_outcome").isNull() & F.col("article_id").isNotNull())
+             .join(first_ex, "article_id", "left")
+             .where(F.col("_first_ex").isNull() | (F.col("feed_pos") < F.col("_first_ex")))
+             .drop("_first_ex"))
     first = keys.distinct_articles(todo, "article_id", "feed_pos", count_col=None)
     bodies = article.body_ladder(first, pages, "url", "url", "feed_content")
     arts = article.assemble_articles(bodies, "body")
@@ -100,6 +108,10 @@ def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
                 F.col("parse_error"), F.col("error")))
                 .withColumn("promo", packages.promo_flag("single_tweet", "thread"))
                 .withColumn("reply", outbox.read_more("url")))
+    # Every output below reads these rows: write them once (thin: no text,
+    # no prompt) so the prepare chain is not recomputed per sink.
+    arts = materialize(arts.select("article_id", "feed_pos", "url", "delivery_mode", "single_tweet",
+                                   "thread", "reply", "error", "promo"))
     ok = arts.where(F.col("error").isNull())
     if publish_mode == "schedule" and fixed_schedule is None:
         latest = None
@@ -124,6 +136,9 @@ def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
     labelled = outcomes.ingest_outcomes(entries, "article_id", "feed_pos",
                                         excluded="excluded", failed="failed")
     labelled = labelled.withColumn("outcome", F.coalesce(F.col("pre_outcome"), F.col("outcome")))
+    keep = [c for c in ("article_id", "feed_pos", "outcome", "url", "title", "published_at")
+            if c in labelled.columns]
+    labelled = materialize(labelled.select(*keep))
     errors = arts.select("article_id", F.col("error").alias("error_text"))
     facts = (labelled.join(errors, "article_id", "left")
              .select(F.lit(run_id).alias("run_id"), "article_id", "feed_pos", "outcome",
