@@ -88,8 +88,9 @@ def remote_id(body: ColumnOrName) -> Column:
 def draft_rows(df: DataFrame, article_id: str = "article_id", mode: str = "delivery_mode",
                single: str = "single_tweet", thread: str = "thread", reply: str = "reply",
                publish_mode: str = "draft", response_body: str | None = None,
-               created_at: ColumnOrName | None = None) -> DataFrame:
-    """SNK-02 row shape: one draft row per delivered package."""
+               created_at: ColumnOrName | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """SNK-02 row shape: one draft row per delivered package (``keep``
+    carries extra columns along)."""
     rid = remote_id(response_body) if response_body else F.lit(None).cast("string")
     ts = _col(created_at) if created_at is not None else F.current_timestamp()
     return df.select(
@@ -99,7 +100,8 @@ def draft_rows(df: DataFrame, article_id: str = "article_id", mode: str = "deliv
         draft_payload(mode, single, thread, reply).alias("payload"),
         F.lit(publish_mode).alias("publish_mode"),
         F.lit("ok").alias("status"),
-        ts.cast("timestamp").alias("created_at"))
+        ts.cast("timestamp").alias("created_at"),
+        *keep)
 
 
 def latest_draft(drafts: DataFrame, time_col: str = "created_at",

@@ -724,23 +724,23 @@ def q_response_check(spark, sf_dir):
                     F.coalesce("parse_error", "error").alias("error"))
 
 
-def o_response_check():
+def _o_response_rows() -> str:
     m = RESPONSE_MAX_CHARS
     too_long = fixed.ERR_SINGLE_TOO_LONG.replace("280", str(m))
     head, tail = fixed.ERR_THREAD_ITEM_TOO_LONG.replace("280", str(m)).split("{idx}")
     return f"""
-    WITH a AS (SELECT conv_id, turn, text, contains(text, chr(10)) AS multi
-               FROM conversations WHERE role = 'assistant'),
+    a AS (SELECT conv_id, turn, text, contains(text, chr(10)) AS multi
+          FROM conversations WHERE role = 'assistant'),
     p AS (SELECT conv_id, turn,
                  CASE WHEN multi THEN 'thread' ELSE 'single' END AS delivery_mode,
                  CASE WHEN multi THEN '' ELSE trim(text, {Q.WS}) END AS single_tweet,
                  CASE WHEN multi THEN list_filter(list_transform(string_split(text, chr(10)),
                         lambda x: trim(x, {Q.WS})), lambda x: x <> '') ELSE [] END AS thread
           FROM a),
-    f AS (SELECT *, len(thread) AS n,
-                 coalesce(list_position(list_transform(thread, lambda x: length(x) > {m}), true), 0) AS first_long
-          FROM p)
-    SELECT conv_id, turn, delivery_mode, CAST(n AS BIGINT) AS n_items,
+    f0 AS (SELECT *, len(thread) AS n,
+                  coalesce(list_position(list_transform(thread, lambda x: length(x) > {m}), true), 0) AS first_long
+           FROM p),
+    f AS (SELECT *,
            CASE WHEN delivery_mode = 'single' AND single_tweet = '' THEN {Q.q(fixed.ERR_SINGLE_MISSING)}
                 WHEN delivery_mode = 'single' AND length(single_tweet) > {m} THEN {Q.q(too_long)}
                 WHEN delivery_mode = 'single' AND n > 0 THEN {Q.q(fixed.ERR_SINGLE_HAS_THREAD)}
@@ -749,7 +749,53 @@ def o_response_check():
                 WHEN n <> {fixed.THREAD_SIZE} THEN {Q.q(fixed.ERR_THREAD_SIZE)}
                 WHEN first_long > 0 THEN {Q.q(head)} || CAST(first_long AS VARCHAR) || {Q.q(tail)}
            END AS error
-    FROM f"""
+          FROM f0)"""
+
+
+def o_response_check():
+    return f"""WITH {_o_response_rows()}
+    SELECT conv_id, turn, delivery_mode, CAST(n AS BIGINT) AS n_items, error FROM f"""
+
+
+def q_draft_rows(spark, sf_dir):
+    """PRJ-11 + PRJ-14 + SNK-02 row shape: valid packages from
+    ``response_check`` become draft rows; the reply comes from the page with
+    the conversation's id; the publishing service's answer is simulated per
+    row (top-level id on even turns, an empty id with a nested draft id on
+    odd ones) and the remote id is picked from it."""
+    v = q_response_check(spark, sf_dir)
+    a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+         .select("conv_id", "turn", "text"))
+    multi = F.instr(F.col("text"), "\n") > 0
+    pk = a.select("conv_id", "turn",
+                  F.when(multi, F.lit("")).otherwise(T.py_strip(F.col("text"))).alias("single_tweet"),
+                  F.when(multi, F.filter(F.transform(F.split(F.col("text"), "\n"), T.py_strip),
+                                         lambda x: x != "")).otherwise(F.array().cast("array<string>"))
+                  .alias("thread"))
+    ok = v.where(F.col("error").isNull()).join(pk, ["conv_id", "turn"])
+    pages = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), "url")
+    ok = ok.join(pages, "conv_id", "left").withColumn("reply", outbox.read_more("url"))
+    body = F.when(F.col("turn") % 2 == 0, F.concat(F.lit('{"id": '), F.col("conv_id").cast("string"), F.lit("}"))) \
+            .otherwise(F.concat(F.lit('{"id": "", "draft": {"id": "d'), F.col("conv_id").cast("string"),
+                                F.lit("_"), F.col("turn").cast("string"), F.lit('"}}')))
+    rows = outbox.draft_rows(ok.withColumn("article_id", F.col("conv_id").cast("string"))
+                               .withColumn("_body", body),
+                             response_body="_body", created_at=F.lit(RUN_NOW), keep=("conv_id", "turn"))
+    return rows.select("conv_id", "turn", "draft_type", "payload", "draft_remote_id")
+
+
+def o_draft_rows():
+    return f"""
+    WITH {_o_response_rows()},
+    ok AS (SELECT f.conv_id, f.turn, f.delivery_mode, f.single_tweet, f.thread,
+                  CASE WHEN trim(pg.url, {Q.WS}) <> '' THEN {Q.q(fixed.READ_MORE_PREFIX)} || trim(pg.url, {Q.WS}) END AS reply
+           FROM f LEFT JOIN pages pg ON pg.page_id = f.conv_id WHERE f.error IS NULL)
+    SELECT conv_id, turn, delivery_mode AS draft_type,
+           CASE WHEN delivery_mode = 'thread' THEN json_object('thread', thread, 'reply', reply)
+                ELSE json_object('single_tweet', single_tweet, 'reply', reply) END::VARCHAR AS payload,
+           CASE WHEN turn % 2 = 0 THEN CAST(conv_id AS VARCHAR)
+                ELSE 'd' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) END AS draft_remote_id
+    FROM ok"""
 
 
 # --------------------------------------------------------------------------
@@ -938,6 +984,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_scan": q_feed_scan,
     "response_check": q_response_check,
     "curation_run": q_curation_run,
+    "draft_rows": q_draft_rows,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -965,4 +1012,5 @@ ORACLES: dict[str, Callable[[], str]] = {
     "feed_scan": o_feed_scan,
     "response_check": o_response_check,
     "curation_run": o_curation_run,
+    "draft_rows": o_draft_rows,
 }

@@ -68,3 +68,24 @@ def test_stream_pieces_equal_batch_and_replay_adds_nothing(spark):
                            f"{base}/ledger")
     q2.awaitTermination()
     assert spark.read.parquet(f"{base}/ledger").count() == batch.count()
+
+
+def test_read_queue_pages(spark):
+    import datetime as dt
+
+    from gleaner.operators.schedule import latest_queued
+    from gleaner.sources.tables import read_queue
+    d = tempfile.mkdtemp(prefix="gleaner-queue-")
+    pages = {
+        "page_0.json": '{"results": [{"scheduled_date": "2027-01-05T10:00:00+02:00"}], "next": "p1"}',
+        "page_1.json": '{"results": [{"publishAt": "2027-01-06T00:00:00Z"}]}',
+        "page_12.json": '{"results": [{"publishAt": "2030-01-01T00:00:00Z"}]}',
+        "page_2.json": '["not", "a", "dict"]',
+    }
+    for name, body in pages.items():
+        with open(os.path.join(d, name), "w") as f:
+            f.write(body)
+    q = read_queue(spark, d)
+    assert sorted(r.page for r in q.collect()) == [0, 1, 12]
+    got = latest_queued(q, F.lit(dt.datetime(2026, 1, 1))).first().latest
+    assert got == dt.datetime(2027, 1, 6, 0, 0)
