@@ -43,7 +43,12 @@ def ingest_outcomes(feed: DataFrame,
     df = df.join(first_ok, keys, "left")
     in_ledger = F.lit(False)
     if ledger is not None:
-        seen = ledger.select(key).distinct().withColumn("_in_ledger", F.lit(True))
+        # Only ledger keys that occur in this feed matter: a semi join against
+        # the feed's keys shrinks the (ever-growing) ledger before the
+        # distinct and the join back.
+        batch_keys = feed.select(key).where(F.col(key).isNotNull()).distinct()
+        seen = (ledger.select(key).join(batch_keys, key, "left_semi").distinct()
+                      .withColumn("_in_ledger", F.lit(True)))
         df = df.join(seen, key, "left")
         in_ledger = F.coalesce(F.col("_in_ledger"), F.lit(False))
     dup = in_ledger | F.coalesce(F.col(order_col) > F.col("_first_ok"), F.lit(False))

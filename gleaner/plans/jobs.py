@@ -64,7 +64,9 @@ def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
     f = screen.screen_authors(f, "author", excluded_authors, out="excluded")
     seen = F.lit(False)
     if ledger is not None:
-        led = ledger.select("article_id").distinct().withColumn("_seen", F.lit(True))
+        batch_keys = f.select("article_id").where(F.col("article_id").isNotNull()).distinct()
+        led = (ledger.select("article_id").join(batch_keys, "article_id", "left_semi").distinct()
+                     .withColumn("_seen", F.lit(True)))
         f = f.join(led, "article_id", "left")
         seen = F.coalesce(F.col("_seen"), F.lit(False))
     f = f.withColumn("pre_outcome", F.when(seen, "duplicate").when(F.col("excluded"), "excluded"))
