@@ -30,12 +30,23 @@ def page_bodies(pages: DataFrame, html_col: str = "html",
                  .drop("_stripped", "_inner", html_col))
 
 
+def longer_than(body: F.Column, min_chars: int) -> F.Column:
+    """PRJ-05 test ``len(strip_tags(body)) > min_chars`` without running the
+    tag regex when the answer is already known: stripping only shortens, so
+    a body of at most ``min_chars`` characters fails, and one without ``<``
+    is its own stripped form.  Null is false."""
+    n = F.length(body)
+    return (F.when(body.isNull() | (n <= min_chars), F.lit(False))
+             .when(F.instr(body, "<") == 0, F.lit(True))
+             .otherwise(F.length(T.strip_tags(body)) > min_chars))
+
+
 def choose_body(feed_body: F.Column, main_text: F.Column, article_text: F.Column,
                 page_text: F.Column, min_chars: int = fixed.MIN_BODY_CHARS) -> F.Column:
     """PRJ-07 as a struct(body, body_source): the feed body when its
     tag-stripped length is over ``min_chars``; else main-content text when
     over ``min_chars``; else the ``<article>`` text; else the whole page."""
-    feed_ok = F.coalesce(F.length(T.strip_tags(feed_body)) > min_chars, F.lit(False))
+    feed_ok = longer_than(feed_body, min_chars)
     main_ok = F.coalesce(F.length(main_text) > min_chars, F.lit(False))
     return (F.when(feed_ok, F.struct(feed_body.alias("body"), F.lit("feed").alias("body_source")))
              .when(main_ok, F.struct(main_text.alias("body"), F.lit("main").alias("body_source")))
@@ -58,7 +69,7 @@ def body_ladder(feed: DataFrame, pages: DataFrame,
     split on that test, only the short-body side is joined (left, on the
     page key) with page text extracted beforehand, and the two sides are
     unioned back.  A row with no page gets ``body_source = 'missing'``."""
-    long_enough = F.coalesce(F.length(T.strip_tags(F.col(feed_body))) > min_chars, F.lit(False))
+    long_enough = longer_than(F.col(feed_body), min_chars)
     pcols = [page_key, html_col] + ([main_col] if main_col else [])
     bodies = page_bodies(pages.select(*pcols), html_col)
     if page_key != feed_key:

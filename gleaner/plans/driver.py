@@ -202,7 +202,7 @@ def q_body_ladder(spark, sf_dir):
     """Documents act as feed bodies; each document's page is the page with
     the same id (left join, so bodies without a page are 'missing')."""
     d = _docs(spark, sf_dir, "doc_id", "text")
-    pages = _t(spark, sf_dir, "pages")
+    pages = spread(_t(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
     out = article.body_ladder(d, pages, feed_key="doc_id", page_key="page_id",
                               feed_body="text")
     return out.select("doc_id", "body_source", "body",
