@@ -36,12 +36,13 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     Ledger files are written per batch under ``batch_id=`` folders; the
     partition column is kept so a replayed batch can leave its own rows
     out."""
+    schema = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
     try:
-        return spark.read.parquet(path)
+        # An explicit schema also covers a folder that holds no files yet.
+        return spark.read.schema(schema).parquet(path)
     except Exception as e:  # noqa: BLE001 - only "path does not exist" is expected
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        schema = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
         return spark.createDataFrame([], schema)
 
 

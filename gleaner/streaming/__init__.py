@@ -28,7 +28,7 @@ from gleaner.sources.tables import read_ledger
 
 def _read_or_empty(spark, path: str, like: DataFrame) -> DataFrame:
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(like.schema).parquet(path)
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise

@@ -89,3 +89,28 @@ def test_read_queue_pages(spark):
     assert sorted(r.page for r in q.collect()) == [0, 1, 12]
     got = latest_queued(q, F.lit(dt.datetime(2026, 1, 1))).first().latest
     assert got == dt.datetime(2027, 1, 6, 0, 0)
+
+
+def test_failed_rows_are_retried_next_batch(spark):
+    """STR-04: a row that fails in one micro-batch is carried in a retry
+    table and processed by a later batch."""
+    land = tempfile.mkdtemp(prefix="gleaner-retry-land-")
+    base = tempfile.mkdtemp(prefix="gleaner-retry-")
+    schema = "article_id string, url string, title string, published_at timestamp, feed_pos long"
+    spark.createDataFrame([("A", "u", "t", None, 1)], schema).coalesce(1).write.parquet(f"{land}/b0")
+    spark.createDataFrame([("B", "u", "t", None, 2)], schema).coalesce(1).write.parquet(f"{land}/b1")
+    calls = {"n": 0}
+
+    def decide(df):
+        calls["n"] += 1
+        first = calls["n"] == 1  # the service is down during the first batch
+        return df.withColumn("excluded", F.lit(False)).withColumn("failed", F.lit(first))
+
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{land}/b*")
+    q = start_feed_stream(src, f"{base}/ck", f"{base}/ledger", retry_path=f"{base}/retry",
+                          outcomes_path=f"{base}/outcomes", decide=decide)
+    q.awaitTermination()
+    got = sorted(r.article_id for r in spark.read.parquet(f"{base}/ledger").collect())
+    assert got == ["A", "B"]
+    oc = {(r.article_id, r.batch_id): r.outcome for r in spark.read.parquet(f"{base}/outcomes").collect()}
+    assert oc[("A", 0)] == "failed" and oc[("A", 1)] == "processed"
