@@ -12,8 +12,10 @@ per batch id in the safe order (drafts and outbox first, ledger last).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,26 @@ from gleaner.operators.common import materialize
 from gleaner.sources.tables import parse_responses
 
 
+def make_run_id(now: datetime | None = None) -> str:
+    """PRJ-15: ``run_`` + compact UTC time + ``_`` + 8 hex digits.  Made on
+    the driver once per run and passed to the jobs, so a replay of the same
+    run keeps its id."""
+    now = now or datetime.now(timezone.utc)
+    return f"run_{now.strftime('%Y%m%dT%H%M%SZ')}_{uuid.uuid4().hex[:8]}"
+
+
+def failed_run_row(spark, run_id: str, found: int = 0, processed: int = 0,
+                   failed: int = 0) -> DataFrame:
+    """AGG-02 fatal branch: the run row written when a job aborts; the
+    counters so far, with one more failure for the fatal error."""
+    return (spark.createDataFrame(
+        [(run_id, found, processed, failed + 1, 0, 0, "failed")],
+        "run_id string, articles_found long, articles_processed long, articles_failed long, "
+        "skipped_duplicate long, skipped_excluded long, status string")
+        .withColumn("started_at", F.current_timestamp())
+        .withColumn("completed_at", F.current_timestamp()))
+
+
 @dataclass
 class Prepared:
     entries: DataFrame   # every capped entry with ``pre_outcome`` (duplicate / excluded / null)

@@ -62,9 +62,11 @@ def read_rss_items(spark: SparkSession, path: str, streaming: bool = False,
          .option("attributePrefix", "_attr_")
          .option("valueTag", "_text")
          .schema(RSS_ITEM_SCHEMA))
-    df = r.load(path)
-    return (df.withColumn("feed_file", F.input_file_name())
-              .withColumn("_pos", F.monotonically_increasing_id()))
+    df = r.load(path).withColumn("feed_file", F.input_file_name())
+    # A stream has no stable row ids; its micro-batches number their rows
+    # (``streaming.handle_batch``).
+    pos = F.lit(None).cast("bigint") if streaming else F.monotonically_increasing_id()
+    return df.withColumn("_pos", pos)
 
 
 def normalize_feed(items: DataFrame, pos_col: str = "_pos") -> DataFrame:

@@ -45,6 +45,10 @@ def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
     ``decide`` adds ``excluded`` / ``failed`` columns (author screen, body
     and model steps); without it every new entry is processed."""
     spark = batch.sparkSession
+    if "feed_pos" in batch.columns:
+        # Streamed XML rows carry no position: number them within the batch.
+        batch = batch.withColumn("feed_pos", F.coalesce(F.col("feed_pos"),
+                                                        F.monotonically_increasing_id()))
     entries = batch
     if retry_path is not None:
         pending = _read_or_empty(spark, retry_path, batch.withColumn("batch_id", F.lit(0).cast("bigint")))
