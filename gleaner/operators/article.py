@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import fixed
 from gleaner.functions import signals as S
 from gleaner.functions import text as T
+from gleaner.operators.common import spread
 
 
 def page_bodies(pages: DataFrame, html_col: str = "html",
@@ -71,7 +72,9 @@ def body_ladder(feed: DataFrame, pages: DataFrame,
     unioned back.  A row with no page gets ``body_source = 'missing'``."""
     long_enough = longer_than(F.col(feed_body), min_chars)
     pcols = [page_key, html_col] + ([main_col] if main_col else [])
-    bodies = page_bodies(pages.select(*pcols), html_col)
+    # Page text extraction is CPU-heavy regex work: give it a task per core
+    # when the page table arrives in few splits (no-op on large inputs).
+    bodies = page_bodies(spread(pages.select(*pcols), page_key), html_col)
     if page_key != feed_key:
         bodies = bodies.withColumnRenamed(page_key, feed_key)
     bodies = bodies.withColumnRenamed(feed_key, "_page_key")

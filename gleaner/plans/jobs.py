@@ -24,7 +24,7 @@ from gleaner import sinks
 from gleaner.functions import fixed
 from gleaner.functions import signals as S
 from gleaner.operators import article, keys, outbox, outcomes, packages, prompts, schedule, screen
-from gleaner.operators.common import materialize
+from gleaner.operators.common import materialize, spread
 from gleaner.sources.tables import parse_responses
 
 
@@ -70,7 +70,8 @@ def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
             allow_threads: bool = True,
             min_points_for_thread: int = fixed.MIN_INSIGHTS_FOR_THREAD,
             min_chars_for_thread: int = fixed.MIN_CHARS_FOR_THREAD,
-            cap_after_dedup: bool = False) -> Prepared:
+            cap_after_dedup: bool = False,
+            body_col: str = "feed_content") -> Prepared:
     """Job 1.  ``feed`` is normalized (``sources.feed.read_feed``); ``pages``
     holds ``url`` and ``html``; ``ledger`` holds ``article_id``.
 
@@ -83,26 +84,37 @@ def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
         f = screen.ledger_anti_join(f, ledger)
     if max_articles is not None:
         f = keys.batch_cap(f, max_articles, ["feed_pos"], part)
-    f = screen.screen_authors(f, "author", excluded_authors, out="excluded")
+    # Decisions are taken on a thin copy of the entries (no body text),
+    # written once: the ledger test, the author screen and the per-key
+    # minima below all read it instead of rescanning the wide feed.
+    thin = screen.screen_authors(f.drop(body_col), "author", excluded_authors, out="excluded")
     seen = F.lit(False)
     if ledger is not None:
-        batch_keys = f.select("article_id").where(F.col("article_id").isNotNull()).distinct()
+        batch_keys = thin.select("article_id").where(F.col("article_id").isNotNull()).distinct()
         led = (ledger.select("article_id").join(batch_keys, "article_id", "left_semi").distinct()
                      .withColumn("_seen", F.lit(True)))
-        f = f.join(led, "article_id", "left")
+        thin = thin.join(led, "article_id", "left")
         seen = F.coalesce(F.col("_seen"), F.lit(False))
-    f = f.withColumn("pre_outcome", F.when(seen, "duplicate").when(F.col("excluded"), "excluded"))
-    f = f.drop("_seen") if ledger is not None else f
+    thin = thin.withColumn("pre_outcome", F.when(seen, "duplicate").when(F.col("excluded"), "excluded"))
+    entries = materialize(thin.drop("_seen") if ledger is not None else thin)
     # A copy after an excluded copy of the same key is a duplicate (the
-    # excluded one marks the ledger), so it is not sent to the model.
-    first_ex = (f.where(F.col("pre_outcome") == "excluded")
-                 .groupBy("article_id").agg(F.min("feed_pos").alias("_first_ex")))
-    todo = (f.where(F.col("pre_outcome").isNull() & F.col("article_id").isNotNull())
-             .join(first_ex, "article_id", "left")
-             .where(F.col("_first_ex").isNull() | (F.col("feed_pos") < F.col("_first_ex")))
-             .drop("_first_ex"))
-    first = keys.distinct_articles(todo, "article_id", "feed_pos", count_col=None)
-    bodies = article.body_ladder(first, pages, "url", "url", "feed_content")
+    # excluded one marks the ledger), so it is not sent to the model; of the
+    # rest, the first copy of each key is.
+    first_ex = (entries.where(F.col("pre_outcome") == "excluded")
+                       .groupBy("article_id").agg(F.min("feed_pos").alias("_first_ex")))
+    first_pos = (entries.where(F.col("pre_outcome").isNull() & F.col("article_id").isNotNull())
+                        .join(first_ex, "article_id", "left")
+                        .where(F.col("_first_ex").isNull() | (F.col("feed_pos") < F.col("_first_ex")))
+                        .groupBy("article_id").agg(F.min("feed_pos").alias("feed_pos")))
+    # One more pass over the wide feed fetches the bodies of those copies;
+    # the article set is written once since the body ladder reads it twice.
+    first = materialize(
+        entries.join(first_pos, ["article_id", "feed_pos"], "left_semi")
+               .join(f.select("article_id", "feed_pos", body_col), ["article_id", "feed_pos"]))
+    # Small article sets may land in a few (coalesced) partitions; text work
+    # is CPU-bound, so keep at least one task per core.
+    first = spread(first, "article_id")
+    bodies = article.body_ladder(first, pages, "url", "url", body_col)
     arts = article.assemble_articles(bodies, "body")
     allow = S.allow_thread(F.col("extracted_insights"), F.col("clean_text"), allow_threads,
                            min_points_for_thread, min_chars_for_thread)
@@ -110,7 +122,7 @@ def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
                 .withColumn("prompt", prompts.generate_prompt(
                     "title", "author", "published_at", "clean_text", "extracted_insights",
                     F.col("allow_thread"))))
-    return Prepared(entries=f, articles=arts)
+    return Prepared(entries=entries, articles=arts)
 
 
 def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
