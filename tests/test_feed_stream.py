@@ -14,7 +14,7 @@ RSS = """<?xml version="1.0"?>
      xmlns:dc="http://purl.org/dc/elements/1.1/">
 <channel><title>t</title>
 <item><title>  First  </title><link>https://x/a</link><guid isPermaLink="false">g-1</guid>
-  <dc:creator>Bill Adee</dc:creator><pubDate>Tue, 05 Jan 2027 10:00:00 +0200</pubDate>
+  <dc:creator>Jane Roe</dc:creator><pubDate>Tue, 05 Jan 2027 10:00:00 +0200</pubDate>
   <content:encoded><![CDATA[<p>Body one</p>]]></content:encoded></item>
 <item><title>Second</title><link>https://x/b</link><guid></guid>
   <pubDate>bad date</pubDate><description>Summary two</description></item>
@@ -35,7 +35,7 @@ def test_read_rss(spark):
     a, b = rows["https://x/a"], rows["https://x/b"]
     assert a.article_id == hashlib.sha256(b"g-1").hexdigest()
     assert b.article_id == hashlib.sha256(b"https://x/b").hexdigest()
-    assert a.title == "First" and a.author == "Bill Adee"
+    assert a.title == "First" and a.author == "Jane Roe"
     assert a.published_at == dt.datetime(2027, 1, 5, 8, 0)
     assert b.published_at is None
     assert a.feed_content == "<p>Body one</p>" and b.feed_content == "Summary two"

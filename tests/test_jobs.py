@@ -12,7 +12,7 @@ from gleaner.plans import jobs
 def _feed(spark):
     rows = [  # guid, author, link, body, pos
         ("g1", "Staff", "https://x/1", "<p>" + "Long body 10-2 ATS trend. " * 40 + "</p>", 1),
-        ("g2", "Bill Adee", "https://x/2", "short", 2),
+        ("g2", "Jane Roe", "https://x/2", "short", 2),
         ("g3", "Staff", "https://x/3", "short", 3),
         ("g0", "Staff", "https://x/0", "short", 4),
         ("g1", "Staff", "https://x/1", "copy", 5),
@@ -29,7 +29,7 @@ def test_prepare_and_deliver(spark):
     pages = spark.createDataFrame([("https://x/3", "<article><p>Page three 55-40</p></article>"),
                                    ("https://x/4", "<p>Four</p>")], "url string, html string")
     ledger = feed.where(F.col("title") == "g0").select("article_id")
-    prep = jobs.prepare(feed, pages, ledger, excluded_authors=["bill adee"])
+    prep = jobs.prepare(feed, pages, ledger, excluded_authors=["jane roe"])
     arts = {r.title: r for r in prep.articles.collect()}
     assert set(arts) == {"g1", "g3", "g4"}
     assert arts["g3"].clean_text == "Page three 55-40"
