@@ -62,7 +62,9 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
                   fixed_at: ColumnOrName | None = None,
                   bucket_minutes: int = 360,
                   out: str = "slot",
-                  materialize_rows: bool = True) -> DataFrame:
+                  materialize_rows: bool = True,
+                  block_by: str = "time",
+                  key_block: int = 100_000) -> DataFrame:
     """WIN-02: give every row a publish slot.
 
     Loop semantics, per channel in (time, key) order, with ``t`` the row's
@@ -81,6 +83,12 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
        offset (rows before it) and the max carried in from earlier blocks;
     4. rows join their block's carry and combine it with the local values.
 
+    Blocks must be contiguous in (time, key) order.  ``block_by='time'``
+    cuts fixed time buckets; ``block_by='key'`` cuts ranges of an integer
+    key, which is right when every row has the same arrival time (one
+    ``now`` per batch) and bounds each block to ``key_block`` rows when keys
+    are unique.
+
     ``fixed_at`` gives every row that same slot (a configured time)."""
     if fixed_at is not None:
         return df.withColumn(out, _col(fixed_at).cast("timestamp"))
@@ -88,8 +96,14 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
     width = int(bucket_minutes) * MICROS_PER_MINUTE
     ch = list(channel_cols)
     t_us = epoch_micros(time_col)
+    if block_by == "time":
+        block = F.floor(F.col("_t") / F.lit(width))
+    elif block_by == "key":
+        block = F.floor(F.col(key_col) / F.lit(int(key_block)))
+    else:
+        raise ValueError("block_by must be 'time' or 'key'")
     rows = (df.withColumn("_t", t_us)
-              .withColumn("_b", F.floor(F.col("_t") / F.lit(width)).cast("bigint")))
+              .withColumn("_b", block.cast("bigint")))
     wb = Window.partitionBy(*ch, "_b").orderBy("_t", key_col)
     rows = (rows.withColumn("_j", (F.row_number().over(wb) - 1).cast("bigint"))
                 .withColumn("_v", F.col("_t") - F.col("_j") * F.lit(d))

@@ -88,6 +88,14 @@ def test_slot_after_queue_and_stale(spark):
     assert txt == "2026-01-01T10:00:00.000005Z"
 
 
+def test_slots_blocked_by_key_for_one_arrival_time(spark):
+    base = dt.datetime(2026, 1, 1, 9, 0)
+    df = spark.createDataFrame([(k, base) for k in range(0, 50, 3)], "k int, t timestamp")
+    got = [r.slot for r in schedule.publish_slots(df, "t", "k", (), 30, block_by="key", key_block=4)
+           .orderBy("k").collect()]
+    assert got == [base + dt.timedelta(minutes=30 * i) for i in range(len(got))]
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 600)), min_size=1, max_size=40),
        st.sampled_from([1, 7, 60, 100000]), st.one_of(st.none(), st.integers(0, 300)))
