@@ -33,17 +33,27 @@ def article_key(id_col: ColumnOrName | None = None,
 
 
 def feed_position(df: DataFrame, order_col: str = "_pos", out: str = "feed_pos",
-                  partition_cols: Sequence[str] = ()) -> DataFrame:
-    """WIN-04: 1-based position within each feed, ordered by ``order_col``.
-
-    Sources attach ``_pos`` (file order) at scan time; this turns it into a
-    dense per-feed position.  Without ``partition_cols`` the source's own
-    increasing id is kept as the position, since a global row_number would
-    pull every row into one task."""
-    if not partition_cols:
-        return df.withColumn(out, F.col(order_col))
-    w = Window.partitionBy(*partition_cols).orderBy(order_col)
-    return df.withColumn(out, F.row_number().over(w))
+                  partition_cols: Sequence[str] = (), key_block: int = 100_000) -> DataFrame:
+    """WIN-04: dense 1-based position within each feed, in ``order_col``
+    order (unique integers, e.g. the id a source attaches at scan time).
+
+    A plain ``row_number()`` per feed would sort a feed holding most rows in
+    one task.  Instead rows are cut into blocks of ``key_block`` consecutive
+    key values (so no block holds more than ``key_block`` rows), numbered
+    locally, and offset by the row counts of earlier blocks -- a partial
+    count per block and a window over the small block table."""
+    part = list(partition_cols)
+    blk = F.floor(F.col(order_col) / F.lit(int(key_block))).cast("bigint")
+    rows = df.withColumn("_blk", blk)
+    local = F.row_number().over(Window.partitionBy(*part, "_blk").orderBy(order_col))
+    rows = rows.withColumn("_local", local)
+    counts = rows.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    wc = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("_blk") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*part, "_blk", F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_off"))
+    return (rows.join(offsets, [*part, "_blk"])
+                .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
+                .drop("_blk", "_local", "_off"))
 
 
 def batch_cap(df: DataFrame, n: int = fixed.MAX_ARTICLES_PER_RUN,

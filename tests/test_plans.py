@@ -82,3 +82,15 @@ def test_slots_exact_with_a_hot_channel(spark):
     # The hot channel is spread over many blocks, never one window partition.
     blocks = df.where(F.col("ch") == 0).select(F.floor(F.unix_timestamp("t") / 3600)).distinct().count()
     assert blocks > 50
+
+
+def test_feed_position_dense_per_feed(spark):
+    rnd = random.Random(11)
+    ids = rnd.sample(range(10_000_000), 2000)
+    rows = [(i, "hot" if j % 3 else f"f{j % 7}") for j, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "_pos long, feed string")
+    got = {(r.feed, r._pos): r.feed_pos for r in keys.feed_position(df, partition_cols=["feed"],
+                                                                     key_block=50_000).collect()}
+    for feed in {f for _, f in rows}:
+        mine = sorted(p for p, f in rows if f == feed)
+        assert [got[(feed, p)] for p in mine] == list(range(1, len(mine) + 1))
