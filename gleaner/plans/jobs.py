@@ -162,13 +162,18 @@ def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
         ok = ok.withColumn("slot_text", schedule.slot_text("slot"))
     else:
         ok = ok.withColumn("slot_text", F.lit(fixed_schedule).cast("string"))
+    # An unknown publish mode or a schedule without a usable time fails the
+    # article while building its request, as the send step would.
+    ok = ok.withColumn("_perr", outbox.payload_error(F.lit(publish_mode), "slot_text"))
+    send = ok.where(F.col("_perr").isNull())
     posts = outbox.post_list("delivery_mode", "single_tweet", "thread", "reply")
-    ob = ok.select("article_id", posts.alias("posts"),
-                   outbox.outbox_payload(posts, F.lit(publish_mode), "slot_text").alias("payload"),
-                   outbox.payload_error(F.lit(publish_mode), "slot_text").alias("payload_error"))
-    drafts = outbox.draft_rows(ok, publish_mode=publish_mode, created_at=now)
-    failed_keys = (arts.where(F.col("error").isNotNull()).select("article_id")
-                       .withColumn("failed", F.lit(True)))
+    ob = send.select("article_id", "feed_pos", posts.alias("posts"), "slot_text",
+                     outbox.outbox_payload(posts, F.lit(publish_mode), "slot_text").alias("payload"))
+    drafts = outbox.draft_rows(send, publish_mode=publish_mode, created_at=now)
+    errors = (arts.where(F.col("error").isNotNull()).select("article_id", F.col("error").alias("error_text"))
+              .unionByName(ok.where(F.col("_perr").isNotNull())
+                             .select("article_id", F.col("_perr").alias("error_text"))))
+    failed_keys = errors.select("article_id").distinct().withColumn("failed", F.lit(True))
     entries = (prepared.entries.join(failed_keys, "article_id", "left")
                .withColumn("failed", F.coalesce(F.col("failed"), F.lit(False))))
     labelled = outcomes.ingest_outcomes(entries, "article_id", "feed_pos",
@@ -177,7 +182,6 @@ def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
     keep = [c for c in ("article_id", "feed_pos", "outcome", "url", "title", "published_at")
             if c in labelled.columns]
     labelled = materialize(labelled.select(*keep))
-    errors = arts.select("article_id", F.col("error").alias("error_text"))
     facts = (labelled.join(errors, "article_id", "left")
              .select(F.lit(run_id).alias("run_id"), "article_id", "feed_pos", "outcome",
                      F.when(F.col("outcome") == "failed", F.col("error_text")).alias("error")))

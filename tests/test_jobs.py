@@ -59,3 +59,16 @@ def test_prepare_and_deliver(spark):
     jobs.write_outputs(out, base, 7)  # a retried batch replaces its own rows
     assert spark.read.parquet(f"{base}/ledger").count() == 2
     assert os.path.isdir(f"{base}/ledger/batch_id=7")
+
+
+def test_bad_publish_mode_fails_articles(spark):
+    feed = _feed(spark)
+    pages = spark.createDataFrame([], "url string, html string")
+    prep = jobs.prepare(feed, pages, None, excluded_authors=["jane roe"])
+    ids = {r.title: r.article_id for r in prep.articles.collect()}
+    resp = spark.createDataFrame([(ids["g1"], json.dumps({"delivery_mode": "single", "single_tweet": "ok"}))],
+                                 "article_id string, response string")
+    out = jobs.deliver(prep, resp, "run_2", publish_mode="sometimes")
+    facts = {r.feed_pos: (r.outcome, r.error) for r in out.outcomes.collect()}
+    assert facts[1] == ("failed", "Invalid publish mode")
+    assert out.outbox.count() == 0 and out.drafts.count() == 0
