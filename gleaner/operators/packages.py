@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import fixed
 from gleaner.functions.text import py_strip
+from gleaner.operators.common import materialize
 
 ColumnOrName = Column | str
 
@@ -94,11 +95,13 @@ def item_stats(items: DataFrame, key: str, pos: str, text: str,
 
     Two partial aggregates and one key join; a package with millions of
     items is still reduced map-side."""
-    t = py_strip(F.coalesce(F.col(text), F.lit("")))
-    it = items.select(key, pos, t.alias("_t")).where(F.col("_t") != "")
+    # The item text is read once: only (key, position, stripped length) of
+    # non-blank items is kept, written once, and both passes read that.
+    n = F.length(py_strip(F.coalesce(F.col(text), F.lit(""))))
+    it = materialize(items.select(key, pos, n.alias("_len")).where(F.col("_len") > 0))
     first = (it.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.min(F.when(F.length("_t") > max_chars, F.col(pos))).alias("_first_pos")))
+        F.min(F.when(F.col("_len") > max_chars, F.col(pos))).alias("_first_pos")))
     before = (it.join(first.where(F.col("_first_pos").isNotNull()).select(key, "_first_pos"), key)
                 .groupBy(key).agg(F.count_if(F.col(pos) < F.col("_first_pos")).alias("_before")))
     return (first.join(before, key, "left")
