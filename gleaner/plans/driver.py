@@ -282,6 +282,42 @@ def o_author_screen():
     return f"SELECT p_partkey, p_name, {_o_author_match('p_name', EXCLUDED_PARTS)} AS excluded FROM part"
 
 
+def q_author_screen_table(spark, sf_dir):
+    """JOIN-04 with the names as a table: the full names of size-1 parts are
+    the excluded bylines, matched against every part name through the
+    bounded boundary-aligned candidate join (no broadcast of the list)."""
+    p = _t(spark, sf_dir, "part")
+    names = p.where(F.col("p_size") == 1).select(F.col("p_name").alias("name"))
+    return screen.screen_authors(p.select("p_partkey", "p_name"), "p_name", names)
+
+
+def o_author_screen_table():
+    norm = f"lower(trim(regexp_replace(@COL@, {Q.q(fixed.char_class(fixed.PY_WHITESPACE) + '+')}, ' ', 'g'), {Q.WS}))"
+    a = norm.replace("@COL@", "p.p_name")
+    n = norm.replace("@COL@", "x.p_name")
+    return f"""
+    WITH names AS (SELECT DISTINCT {n} AS name FROM part x WHERE x.p_size = 1 AND {n} <> '')
+    SELECT p.p_partkey, p.p_name,
+           coalesce(p.p_name <> '' AND EXISTS (
+             SELECT 1 FROM names WHERE regexp_matches({a},
+               '(?:^|[^a-z])' || regexp_escape(names.name) || '(?:[^a-z]|$)')), false) AS excluded
+    FROM part p"""
+
+
+def q_feed_positions(spark, sf_dir):
+    """WIN-04: dense position of every document within its source (the
+    feed), in id order, computed with key blocks rather than a per-feed
+    row_number."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source")
+    return keys.feed_position(d, "doc_id", "feed_pos", ["source"], key_block=64)
+
+
+def o_feed_positions():
+    return """
+    SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS feed_pos
+    FROM documents"""
+
+
 def q_batch_cap(spark, sf_dir):
     """Each source is a feed; its first entries by position make the batch."""
     d = _keyed_docs(spark, sf_dir)
@@ -985,6 +1021,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "response_check": q_response_check,
     "curation_run": q_curation_run,
     "draft_rows": q_draft_rows,
+    "author_screen_table": q_author_screen_table,
+    "feed_positions": q_feed_positions,
 }
 
 ORACLES: dict[str, Callable[[], str]] = {
@@ -1013,4 +1051,6 @@ ORACLES: dict[str, Callable[[], str]] = {
     "response_check": o_response_check,
     "curation_run": o_curation_run,
     "draft_rows": o_draft_rows,
+    "author_screen_table": o_author_screen_table,
+    "feed_positions": o_feed_positions,
 }
