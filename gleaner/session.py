@@ -31,6 +31,17 @@ SESSION_CONF = {
 }
 
 
+def _default_driver_memory() -> str:
+    """Half of the machine's memory, between 1 and 8 GiB (local mode runs
+    everything in the driver JVM)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gib = max(1, min(8, int(total / 2 / 2**30)))
+    return f"{gib}g"
+
+
 def build_session(master: str | None = None, app: str = "gleaner",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -41,7 +52,7 @@ def build_session(master: str | None = None, app: str = "gleaner",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("GLEANER_DRIVER_MEMORY", "8g"),
+        "spark.driver.memory": os.environ.get("GLEANER_DRIVER_MEMORY", _default_driver_memory()),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })
     conf.update(extra or {})
