@@ -28,6 +28,9 @@ SESSION_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Checkpoint files written by ``operators.common.materialize`` are
+    # removed once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
