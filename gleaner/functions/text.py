@@ -68,9 +68,35 @@ def strip_tags(c: ColumnOrName) -> Column:
     return F.regexp_replace(_col(c), TAG, "")
 
 
+# Tokens that cover a text exactly: numeric character references, runs
+# without '&', and single '&'.
+NUMERIC_REF_TOKENS = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|[^&]+|&"
+
+
+def _numeric_ref_char(tok: Column) -> Column:
+    n = F.length(tok)
+    dec = (F.when(tok.rlike(r"^&#[0-9]+;$"), F.substring(tok, F.lit(3), n - 3).cast("int"))
+            .when(tok.rlike(r"^&#[xX][0-9a-fA-F]+;$"),
+                  F.conv(F.substring(tok, F.lit(4), n - 4), 16, 10).cast("int")))
+    valid = (dec >= 1) & (dec <= 0x10FFFF) & ~dec.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(dec), 8, "0")), "UTF-32")
+    return F.when(F.coalesce(valid, F.lit(False)), char).otherwise(tok)
+
+
+def decode_numeric_refs(c: ColumnOrName) -> Column:
+    """``&#8217;`` / ``&#x2019;`` -> the character (valid Unicode scalar
+    values only; anything else stays as written).  Only texts holding
+    ``&#`` are tokenized."""
+    col = _col(c)
+    toks = F.regexp_extract_all(col, F.lit(NUMERIC_REF_TOKENS), 0)
+    return F.when(F.instr(col, "&#") > 0,
+                  F.array_join(F.transform(toks, _numeric_ref_char), "")).otherwise(col)
+
+
 def decode_entities(c: ColumnOrName) -> Column:
-    """Decode the fixed entity list, ``&amp;`` last so text decodes once."""
-    out = _col(c)
+    """Decode numeric references, then the fixed named list with ``&amp;``
+    last, so that text decodes exactly once (``&amp;#38;`` -> ``&#38;``)."""
+    out = decode_numeric_refs(c)
     for ent, ch in fixed.HTML_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out

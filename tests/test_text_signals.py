@@ -126,3 +126,9 @@ def test_sha_key_fallback(spark):
     df = spark.createDataFrame([(None, "", "L")], "id string, guid string, link string")
     got = df.select(article_key("id", "guid", "link").alias("k")).first().k
     assert got == hashlib.sha256(b"L").hexdigest()
+
+
+def test_numeric_character_references(spark):
+    text = "a &#8217; b &#x1F600; c &amp;#38; &#65 &#55296; &#0; &lt;x"
+    df = one_col(spark, [text]).select(T.decode_entities(F.col("t")).alias("d"))
+    assert df.first().d == "a ’ b \U0001F600 c &#38; &#65 &#55296; &#0; <x"
