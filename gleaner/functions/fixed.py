@@ -119,23 +119,6 @@ PY_WHITESPACE = (
 )
 PY_LINE_BREAKS = "\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x85\u2028\u2029"
 
-# HTML entities decoded in page text; "&amp;" must be decoded last.
-HTML_ENTITIES = [
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&nbsp;", "\xa0"),
-    ("&copy;", "\xa9"),
-    ("&reg;", "\xae"),
-    ("&middot;", "\xb7"),
-    ("&ndash;", "\u2013"),
-    ("&mdash;", "\u2014"),
-    ("&hellip;", "\u2026"),
-    ("&amp;", "&"),
-]
-
 # --------------------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ pruning and predicate pushdown intact.
 
 from __future__ import annotations
 
+import html.entities
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -68,38 +69,52 @@ def strip_tags(c: ColumnOrName) -> Column:
     return F.regexp_replace(_col(c), TAG, "")
 
 
-# Tokens that cover a text exactly: numeric character references, runs
-# without '&', and single '&'.
-NUMERIC_REF_TOKENS = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|[^&]+|&"
+# Named character references: the HTML 4 table of Python's standard library
+# plus ``apos``.
+NAMED_ENTITIES: dict[str, str] = {n: chr(cp) for n, cp in html.entities.name2codepoint.items()}
+NAMED_ENTITIES["apos"] = "'"
 
+# Tokens that cover a text exactly: numeric and named character references,
+# runs without '&', and a lone '&'.
+ENTITY_TOKENS = (r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[A-Za-z][A-Za-z0-9]{0,31};"
+                 r"|[^&]+|&")
 
-def _numeric_ref_char(tok: Column) -> Column:
+_ENTITY_MAP: Column | None = None
+
+
+def _entity_map() -> Column:
+    global _ENTITY_MAP
+    if _ENTITY_MAP is None:
+        pairs = []
+        for name, ch in sorted(NAMED_ENTITIES.items()):
+            pairs += [F.lit(name), F.lit(ch)]
+        _ENTITY_MAP = F.create_map(*pairs)
+    return _ENTITY_MAP
+
+
+def _entity_char(tok: Column) -> Column:
     n = F.length(tok)
     dec = (F.when(tok.rlike(r"^&#[0-9]+;$"), F.substring(tok, F.lit(3), n - 3).cast("int"))
             .when(tok.rlike(r"^&#[xX][0-9a-fA-F]+;$"),
                   F.conv(F.substring(tok, F.lit(4), n - 4), 16, 10).cast("int")))
     valid = (dec >= 1) & (dec <= 0x10FFFF) & ~dec.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(dec), 8, "0")), "UTF-32")
-    return F.when(F.coalesce(valid, F.lit(False)), char).otherwise(tok)
-
-
-def decode_numeric_refs(c: ColumnOrName) -> Column:
-    """``&#8217;`` / ``&#x2019;`` -> the character (valid Unicode scalar
-    values only; anything else stays as written).  Only texts holding
-    ``&#`` are tokenized."""
-    col = _col(c)
-    toks = F.regexp_extract_all(col, F.lit(NUMERIC_REF_TOKENS), 0)
-    return F.when(F.instr(col, "&#") > 0,
-                  F.array_join(F.transform(toks, _numeric_ref_char), "")).otherwise(col)
+    numeric = F.decode(F.unhex(F.lpad(F.hex(dec), 8, "0")), "UTF-32")
+    named = F.try_element_at(_entity_map(), F.substring(tok, F.lit(2), n - 2))
+    return (F.when(F.coalesce(valid, F.lit(False)), numeric)
+             .when(tok.rlike(r"^&[A-Za-z]"), F.coalesce(named, tok))
+             .otherwise(tok))
 
 
 def decode_entities(c: ColumnOrName) -> Column:
-    """Decode numeric references, then the fixed named list with ``&amp;``
-    last, so that text decodes exactly once (``&amp;#38;`` -> ``&#38;``)."""
-    out = decode_numeric_refs(c)
-    for ent, ch in fixed.HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Decode character references in one pass: numeric ones (``&#8217;``,
+    ``&#x2019;``) for valid Unicode scalar values, named ones from the HTML 4
+    table; anything else stays as written.  One pass means text decodes
+    exactly once (``&amp;lt;`` -> ``&lt;``).  Texts without ``&`` are
+    returned untouched."""
+    col = _col(c)
+    toks = F.regexp_extract_all(col, F.lit(ENTITY_TOKENS), 0)
+    return F.when(F.instr(col, "&") > 0,
+                  F.array_join(F.transform(toks, _entity_char), "")).otherwise(col)
 
 
 def _element_regex(tags: Iterable[str]) -> str:

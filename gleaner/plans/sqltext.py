@@ -58,24 +58,21 @@ def angle_any(x: str, hints=fixed.ANGLE_HINTS) -> str:
     return "(" + " OR ".join(f"contains(lower({x}), {q(h)})" for h in hints) + ")"
 
 
-def _numeric_refs(x: str) -> str:
+def decode_entities(x: str) -> str:
+    from gleaner.functions.text import ENTITY_TOKENS, NAMED_ENTITIES
     dec = ("CASE WHEN regexp_matches(t, '^&#[0-9]+;$') THEN TRY_CAST(substr(t, 3, length(t) - 3) AS INTEGER) "
            "WHEN regexp_matches(t, '^&#[xX][0-9a-fA-F]+;$') "
            "THEN TRY_CAST('0x' || substr(t, 4, length(t) - 4) AS INTEGER) END")
     valid = f"coalesce(({dec}) BETWEEN 1 AND 1114111 AND NOT (({dec}) BETWEEN 55296 AND 57343), false)"
-    tok = q(r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|[^&]+|&")
-    return (f"CASE WHEN contains({x}, '&#') THEN array_to_string(list_transform("
-            f"regexp_extract_all({x}, {tok}, 0), lambda t: CASE WHEN {valid} THEN chr({dec}) ELSE t END), '') "
+    m = "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in sorted(NAMED_ENTITIES.items())) + "}"
+    named = f"map_extract({m}, substr(t, 2, length(t) - 2))[1]"
+    return (f"CASE WHEN contains({x}, '&') THEN array_to_string(list_transform("
+            f"regexp_extract_all({x}, {q(ENTITY_TOKENS)}, 0), lambda t: "
+            f"CASE WHEN {valid} THEN chr({dec}) "
+            f"WHEN regexp_matches(t, '^&[A-Za-z]') THEN coalesce({named}, t) ELSE t END), '') "
             f"ELSE {x} END")
 
 
-def decode_entities(x: str) -> str:
-    out = _numeric_refs(x)
-    for ent, ch in fixed.HTML_ENTITIES:
-        out = f"replace({out}, {q(ent)}, {q(ch)})"
-    return out
-
-
 def nonblank_lines(x: str) -> str:
     return (f"list_filter(list_transform(regexp_split_to_array(coalesce({x}, ''), {q(LINE_SPLIT)}), "
             f"lambda s: trim(s, {WS})), lambda s: s <> '')")

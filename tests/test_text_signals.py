@@ -132,3 +132,9 @@ def test_numeric_character_references(spark):
     text = "a &#8217; b &#x1F600; c &amp;#38; &#65 &#55296; &#0; &lt;x"
     df = one_col(spark, [text]).select(T.decode_entities(F.col("t")).alias("d"))
     assert df.first().d == "a ’ b \U0001F600 c &#38; &#65 &#55296; &#0; <x"
+
+
+def test_named_references_decode_once(spark):
+    text = "caf&eacute; &amp;lt;b&amp;gt; &copy; &middot; &notanentity; & alone &apos;q&apos;"
+    df = one_col(spark, [text]).select(T.decode_entities(F.col("t")).alias("d"))
+    assert df.first().d == "café &lt;b&gt; © · &notanentity; & alone 'q'"
