@@ -93,3 +93,33 @@ def start_feed_stream(feed: DataFrame, checkpoint: str, ledger_path: str,
                                                         outcomes_path, decide)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "15 minutes")
     return w.start()
+
+
+def start_prepare_stream(feed: DataFrame, pages: DataFrame, checkpoint: str, out_dir: str,
+                         ledger_path: str, excluded_authors=(),
+                         max_articles: int | None = None,
+                         available_now: bool = True,
+                         processing_time: str | None = None) -> StreamingQuery:
+    """STR-01 for the first job: every micro-batch of landed feed entries is
+    prepared against the ledger (dedup, author screen, bodies, clean text,
+    key points, prompts) and written under ``batch_id=<n>``: the prompt
+    table to ``out_dir/prompts`` and the entry decisions to
+    ``out_dir/entries``, ready for the model step and ``plans.jobs.deliver``."""
+    from gleaner.plans import jobs  # local import: plans depend on this package
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if "feed_pos" in batch.columns:
+            batch = batch.withColumn("feed_pos", F.coalesce(F.col("feed_pos"),
+                                                            F.monotonically_increasing_id()))
+        ledger = read_ledger(spark, ledger_path)
+        prep = jobs.prepare(batch, pages, ledger.select("article_id"),
+                            excluded_authors=excluded_authors, max_articles=max_articles)
+        sinks.write_outcomes(prep.articles.select("article_id", "feed_pos", "title", "url",
+                                                  "body_source", "allow_thread", "prompt"),
+                             f"{out_dir}/prompts", batch_id)
+        sinks.write_outcomes(prep.entries, f"{out_dir}/entries", batch_id)
+
+    w = (feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "15 minutes")
+    return w.start()

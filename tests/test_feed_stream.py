@@ -114,3 +114,21 @@ def test_failed_rows_are_retried_next_batch(spark):
     assert got == ["A", "B"]
     oc = {(r.article_id, r.batch_id): r.outcome for r in spark.read.parquet(f"{base}/outcomes").collect()}
     assert oc[("A", 0)] == "failed" and oc[("A", 1)] == "processed"
+
+
+def test_prepare_stream_writes_prompts_per_batch(spark):
+    from gleaner.streaming import start_prepare_stream
+    land = tempfile.mkdtemp(prefix="gleaner-prep-land-")
+    with open(os.path.join(land, "feed.xml"), "w") as f:
+        f.write(RSS)
+    pages = spark.createDataFrame([("https://x/b", "<article><p>Page b text</p></article>")],
+                                  "url string, html string")
+    base = tempfile.mkdtemp(prefix="gleaner-prep-")
+    q = start_prepare_stream(read_feed(spark, land, streaming=True), pages, f"{base}/ck", base,
+                             f"{base}/ledger", excluded_authors=["jane roe"])
+    q.awaitTermination()
+    prompts = spark.read.parquet(f"{base}/prompts").collect()
+    assert [r.url for r in prompts] == ["https://x/b"]
+    assert prompts[0].body_source == "article" and "Page b text" in prompts[0].prompt
+    entries = {r.url: r.pre_outcome for r in spark.read.parquet(f"{base}/entries").collect()}
+    assert entries == {"https://x/a": "excluded", "https://x/b": None}
