@@ -39,7 +39,7 @@ BATCH_CAP = 10
 # hundreds of JVM calls to build, while both are immutable plans.  Handles
 # are keyed by session, path and file modification time.
 _TABLES: dict[tuple, DataFrame] = {}
-_EXPRS: dict[str, F.Column] = {}
+_EXPRS: dict[tuple, F.Column] = {}
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,10 +57,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _expr(key: str, build: Callable[[], F.Column]) -> F.Column:
-    col = _EXPRS.get(key)
+def _expr(spark: SparkSession, key: str, build: Callable[[], F.Column]) -> F.Column:
+    k = (id(spark), key)
+    col = _EXPRS.get(k)
     if col is None:
-        col = _EXPRS[key] = build()
+        col = _EXPRS[k] = build()
     return col
 
 
@@ -75,7 +76,7 @@ def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 
 def q_clean_documents(spark, sf_dir):
     d = _docs(spark, sf_dir, "doc_id", "text")
-    lines = _expr("clean_lines", lambda: T.clean_lines(F.col("text")))
+    lines = _expr(spark, "clean_lines", lambda: T.clean_lines(F.col("text")))
     return (d.withColumn("_l", lines)
              .select("doc_id",
                      F.array_join("_l", "\n").alias("clean_text"),
@@ -90,7 +91,7 @@ def o_clean_documents():
 
 def q_key_points(spark, sf_dir):
     d = _docs(spark, sf_dir, "doc_id", "text")
-    pts = _expr("key_points", lambda: S.key_points(T.clean_lines(F.col("text")), cap=KEY_POINT_CAP))
+    pts = _expr(spark, "key_points", lambda: S.key_points(T.clean_lines(F.col("text")), cap=KEY_POINT_CAP))
     return (d.select("doc_id", F.posexplode(pts).alias("_i", "point"))
              .select("doc_id", (F.col("_i") + 1).cast("bigint").alias("point_no"), "point"))
 
@@ -107,7 +108,7 @@ def q_line_flags(spark, sf_dir):
     """FLT-02..06 counted per language.  Lines are exploded row-locally and
     reduced with a partial aggregate; nothing is collected per document."""
     d = _docs(spark, sf_dir, "doc_id", "lang", "text")
-    lines = d.select("lang", F.explode(_expr("text_lines", lambda: T.text_lines(F.col("text")))).alias("l"))
+    lines = d.select("lang", F.explode(_expr(spark, "text_lines", lambda: T.text_lines(F.col("text")))).alias("l"))
     l = F.col("l")
     disc = l.rlike(T.disclaimer_regex(LICENSE_DISCLAIMERS))
     kept = ~disc & (F.length(l) >= 2)
