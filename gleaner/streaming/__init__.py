@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleaner import sinks
+from gleaner.operators.common import materialize
 from gleaner.operators.outcomes import ingest_outcomes
 from gleaner.sources.tables import read_ledger
 
@@ -49,6 +50,10 @@ def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
         # Streamed XML rows carry no position: number them within the batch.
         batch = batch.withColumn("feed_pos", F.coalesce(F.col("feed_pos"),
                                                         F.monotonically_increasing_id()))
+    # The micro-batch is read by several writes below; writing it once also
+    # turns the rest into ordinary batch queries that adaptive execution can
+    # re-plan (partition counts, join strategies) from measured sizes.
+    batch = materialize(batch)
     entries = batch
     if retry_path is not None:
         pending = _read_or_empty(spark, retry_path, batch.withColumn("batch_id", F.lit(0).cast("bigint")))
