@@ -1,0 +1 @@
+"""Row-local Column builders: text, line signals, time, fixed values."""

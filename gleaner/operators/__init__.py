@@ -1,0 +1,2 @@
+"""DataFrame operators; every one is built from Spark expressions, joins,
+aggregates and windows."""

@@ -1,0 +1 @@
+"""Job plans: the two batch jobs and the registered driver queries."""

@@ -1,0 +1,2 @@
+"""Scans: landed feed files (XML, batch or stream), pages, ledger, queue
+snapshots and model responses."""
