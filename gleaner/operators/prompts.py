@@ -63,6 +63,15 @@ PROMO_REWRITE_TEMPLATE = (
 _FIELD = re.compile(r"\{(\w+)\}")
 
 
+def _budgeted(text: ColumnOrName, budget: int | None) -> Column:
+    """The article text as placed into a prompt.  Every upstream step
+    (cleaning, key points, thread gate) reads the whole text; only the copy
+    handed to the model is held to its context budget (LIM-03).
+    ``budget=None`` places the whole text."""
+    t = F.coalesce(_col(text), F.lit(""))
+    return t if budget is None else F.substring(t, 1, budget)
+
+
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -99,7 +108,7 @@ def generate_prompt(title: ColumnOrName, author: ColumnOrName, published: Column
                     clean_text: ColumnOrName, points: ColumnOrName,
                     allow_thread: Column | bool = True,
                     template: str = GENERATE_TEMPLATE,
-                    text_budget: int = fixed.PROMPT_TEXT_CHARS,
+                    text_budget: int | None = fixed.PROMPT_TEXT_CHARS,
                     max_points: int = fixed.PROMPT_POINTS_GENERATE) -> Column:
     """Generation prompt: title, author or "Unknown", ISO time or "Unknown",
     the clean text within the model's text budget, the first points."""
@@ -109,7 +118,7 @@ def generate_prompt(title: ColumnOrName, author: ColumnOrName, published: Column
         title=F.coalesce(_col(title), F.lit("")),
         author=F.coalesce(F.nullif(_col(author), F.lit("")), F.lit(fixed.UNKNOWN)),
         published=F.when(pub.isNull(), F.lit(fixed.UNKNOWN)).otherwise(iso_text(pub, "+00:00")),
-        text=F.substring(F.coalesce(_col(clean_text), F.lit("")), 1, text_budget),
+        text=_budgeted(clean_text, text_budget),
         points=bullet_points(points, max_points),
         thread_allowed=_flag_text(allow_thread))
 
@@ -124,11 +133,11 @@ def draft_json(mode: ColumnOrName, single: ColumnOrName, thread: ColumnOrName) -
 def fact_check_prompt(clean_text: ColumnOrName, points: ColumnOrName, draft: ColumnOrName,
                       allow_thread: Column | bool = True,
                       template: str = FACT_CHECK_TEMPLATE,
-                      text_budget: int = fixed.PROMPT_TEXT_CHARS,
+                      text_budget: int | None = fixed.PROMPT_TEXT_CHARS,
                       max_points: int = fixed.PROMPT_POINTS_FACT_CHECK) -> Column:
     return render(
         template,
-        text=F.substring(F.coalesce(_col(clean_text), F.lit("")), 1, text_budget),
+        text=_budgeted(clean_text, text_budget),
         points=bullet_points(points, max_points),
         draft=_col(draft),
         thread_allowed=_flag_text(allow_thread))
@@ -137,9 +146,9 @@ def fact_check_prompt(clean_text: ColumnOrName, points: ColumnOrName, draft: Col
 def promo_rewrite_prompt(clean_text: ColumnOrName, draft: ColumnOrName,
                          allow_thread: Column | bool = True,
                          template: str = PROMO_REWRITE_TEMPLATE,
-                         text_budget: int = fixed.PROMPT_TEXT_CHARS) -> Column:
+                         text_budget: int | None = fixed.PROMPT_TEXT_CHARS) -> Column:
     return render(
         template,
-        text=F.substring(F.coalesce(_col(clean_text), F.lit("")), 1, text_budget),
+        text=_budgeted(clean_text, text_budget),
         draft=_col(draft),
         thread_allowed=_flag_text(allow_thread))
