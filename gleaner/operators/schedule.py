@@ -63,8 +63,9 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
                   bucket_minutes: int = 360,
                   out: str = "slot",
                   materialize_rows: bool = True,
-                  block_by: str = "time",
-                  key_block: int = 100_000) -> DataFrame:
+                  block_by: str = "range",
+                  key_block: int = 100_000,
+                  range_blocks: int | None = None) -> DataFrame:
     """WIN-02: give every row a publish slot.
 
     Loop semantics, per channel in (time, key) order, with ``t`` the row's
@@ -76,8 +77,9 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
     The running max is a prefix scan, computed in parallel so that a channel
     holding a large share of all rows is never sorted in one task:
 
-    1. rows are cut into (channel, time bucket) blocks; inside a block a
-       window gives the local index and local running max;
+    1. rows are cut into blocks that are contiguous in (channel, time, key)
+       order; inside a block a window gives the local index and local
+       running max;
     2. a partial aggregate gives each block's row count and max;
     3. a window over the (small) block table per channel gives each block's
        offset (rows before it) and the max carried in from earlier blocks;
@@ -87,7 +89,10 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
     cuts fixed time buckets; ``block_by='key'`` cuts ranges of an integer
     key, which is right when every row has the same arrival time (one
     ``now`` per batch) and bounds each block to ``key_block`` rows when keys
-    are unique.
+    are unique; ``block_by='range'`` lets a sampled range partitioning of
+    (channel, time, key) cut ``range_blocks`` similarly sized blocks, which
+    holds for any skew, bursts and ties included, at the price of a sampling
+    pass and one write.
 
     ``fixed_at`` gives every row that same slot (a configured time)."""
     if fixed_at is not None:
@@ -96,14 +101,23 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
     width = int(bucket_minutes) * MICROS_PER_MINUTE
     ch = list(channel_cols)
     t_us = epoch_micros(time_col)
-    if block_by == "time":
-        block = F.floor(F.col("_t") / F.lit(width))
-    elif block_by == "key":
-        block = F.floor(F.col(key_col) / F.lit(int(key_block)))
+    if block_by == "range":
+        # Sampled range partitioning on (channel, time, key): every partition
+        # holds one contiguous, similarly sized stretch of the global order,
+        # whatever the skew, and its id is the block.  The ids are written
+        # with the rows so that a recomputation cannot renumber them.
+        n = range_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = (df.withColumn("_t", t_us)
+                  .repartitionByRange(n, *ch, "_t", key_col)
+                  .withColumn("_b", F.spark_partition_id().cast("bigint")))
+        rows = materialize(rows)
+    elif block_by in ("time", "key"):
+        block = (F.floor(F.col("_t") / F.lit(width)) if block_by == "time"
+                 else F.floor(F.col(key_col) / F.lit(int(key_block))))
+        rows = (df.withColumn("_t", t_us)
+                  .withColumn("_b", block.cast("bigint")))
     else:
-        raise ValueError("block_by must be 'time' or 'key'")
-    rows = (df.withColumn("_t", t_us)
-              .withColumn("_b", block.cast("bigint")))
+        raise ValueError("block_by must be 'range', 'time' or 'key'")
     wb = Window.partitionBy(*ch, "_b").orderBy("_t", key_col)
     rows = (rows.withColumn("_j", (F.row_number().over(wb) - 1).cast("bigint"))
                 .withColumn("_v", F.col("_t") - F.col("_j") * F.lit(d))

@@ -154,11 +154,11 @@ def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
         if queue is not None:
             latest = schedule.latest_queued(queue, now).first()[0]
         ok = ok.withColumn("_arrival", now)
-        # One ``now`` for the whole batch: slots follow feed position, so the
-        # parallel scan cuts its blocks by position rather than by time.
+        # One ``now`` for the whole batch: slots follow feed position; the
+        # range blocks split that single run of equal times by position.
         ok = schedule.publish_slots(ok, "_arrival", "feed_pos", (), spacing_minutes,
                                     latest=F.lit(latest) if latest is not None else None,
-                                    materialize_rows=False, block_by="key").drop("_arrival")
+                                    materialize_rows=False).drop("_arrival")
         ok = ok.withColumn("slot_text", schedule.slot_text("slot"))
     else:
         ok = ok.withColumn("slot_text", F.lit(fixed_schedule).cast("string"))

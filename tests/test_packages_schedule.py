@@ -96,6 +96,21 @@ def test_slots_blocked_by_key_for_one_arrival_time(spark):
     assert got == [base + dt.timedelta(minutes=30 * i) for i in range(len(got))]
 
 
+def test_slots_range_blocks_match_loop(spark):
+    import random
+    rnd = random.Random(5)
+    base = dt.datetime(2026, 1, 1)
+    rows = [(i, 0 if i % 3 else rnd.randrange(1, 4), base + dt.timedelta(minutes=rnd.choice([0, 0, 5, 90])))
+            for i in range(400)]  # bursts: many rows share one arrival time
+    df = spark.createDataFrame(rows, "k int, ch int, t timestamp")
+    got = {r.k: r.slot for r in schedule.publish_slots(df, "t", "k", ["ch"], 30, block_by="range",
+                                                          range_blocks=7).collect()}
+    for ch in {c for _, c, _ in rows}:
+        mine = sorted((t, k) for k, c, t in rows if c == ch)
+        want = loops.slots([int((t - base).total_seconds() // 60) for t, _ in mine], 30)
+        assert [got[k] for _, k in mine] == [base + dt.timedelta(minutes=w) for w in want]
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 600)), min_size=1, max_size=40),
        st.sampled_from([1, 7, 60, 100000]), st.one_of(st.none(), st.integers(0, 300)))
