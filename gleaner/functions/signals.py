@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import fixed
 from gleaner.functions.fixed import literal_alternation, to_java
+from gleaner.functions.memo import by_column_name
 
 
 def stat_regexes(patterns: Mapping[str, str] = fixed.STAT_PATTERNS,
@@ -84,7 +85,8 @@ def is_angle(line: Column, hints: Iterable[str] = fixed.ANGLE_HINTS) -> Column:
     return _contains_any(F.lower(line), hints)
 
 
-def key_points(lines: Column,
+@by_column_name
+def key_points(lines: Column | str,
                cap: int = fixed.MAX_KEY_POINTS,
                patterns: Mapping[str, str] = fixed.STAT_PATTERNS,
                ignorecase: Mapping[str, bool] = fixed.STAT_IGNORECASE,
@@ -100,6 +102,8 @@ def key_points(lines: Column,
     ``strict_cap=True`` lets statistic lines stop the walk as well.
     """
     hints = list(hints)
+    if isinstance(lines, str):
+        lines = F.col(lines)
 
     def flag(x: Column) -> Column:
         s = _stat_test(x["l"], patterns, ignorecase)

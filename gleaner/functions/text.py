@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import fixed
 from gleaner.functions.fixed import char_class
+from gleaner.functions.memo import by_column_name
 
 ColumnOrName = Column | str
 
@@ -170,6 +171,7 @@ def markup_text(c: ColumnOrName) -> Column:
     return F.array_join(markup_lines(c), "\n")
 
 
+@by_column_name
 def text_lines(c: ColumnOrName, markup: bool = True) -> Column:
     """Stripped, non-blank lines of a text that may hold markup: comments,
     script and style dropped, each tag a line break, entities decoded."""
@@ -182,6 +184,7 @@ def text_lines(c: ColumnOrName, markup: bool = True) -> Column:
     return F.when(has_markup, markup_lines(remove_invisible(col))).otherwise(nonblank_lines(col))
 
 
+@by_column_name
 def clean_lines(c: ColumnOrName,
                 disclaimers: Iterable[str] = fixed.DISCLAIMER_PATTERNS,
                 min_chars: int = 2,

@@ -102,9 +102,9 @@ def assemble_articles(df: DataFrame, body_col: str = "body",
     """PRJ-17: add ``clean_text`` and ``extracted_insights`` (key points).
 
     The cleaned line array is computed once and feeds both columns."""
-    lines = T.clean_lines(F.col(body_col), list(disclaimers), markup=markup)
+    lines = T.clean_lines(body_col, list(disclaimers), markup=markup)
     return (df.withColumn("_lines", lines)
               .withColumn("clean_text", F.array_join("_lines", "\n"))
               .withColumn("extracted_insights",
-                          S.key_points(F.col("_lines"), cap=cap, strict_cap=strict_cap))
+                          S.key_points("_lines", cap=cap, strict_cap=strict_cap))
               .drop("_lines"))

@@ -494,9 +494,9 @@ def q_prompt_table(spark, sf_dir):
     """Generation prompts for every document: the first clean line is the
     title, the source the author, no publish time."""
     d = _docs(spark, sf_dir, "doc_id", "source", "text")
-    a = (d.withColumn("_l", T.clean_lines(F.col("text")))
+    a = (d.withColumn("_l", T.clean_lines("text"))
           .withColumn("clean_text", F.array_join("_l", "\n"))
-          .withColumn("pts", S.key_points(F.col("_l")))
+          .withColumn("pts", S.key_points("_l"))
           .withColumn("title", F.coalesce(F.element_at("_l", 1), F.lit(""))))
     allow = S.allow_thread(F.col("pts"), F.col("clean_text"))
     pr = prompts.generate_prompt("title", "source", F.lit(None).cast("timestamp"),
