@@ -57,3 +57,29 @@ def test_xml_feed_as_stream(spark):
     q.awaitTermination()
     got = sorted(r.url for r in spark.read.parquet(f"{out}/data").collect())
     assert got == ["https://x/a", "https://x/b"]
+
+
+def test_ledger_anti_join_prefilter(spark):
+    from gleaner.operators.screen import ledger_anti_join
+    feed = spark.createDataFrame([("a",), ("b",), ("c",)], "article_id string")
+    ledger = spark.createDataFrame([("b",), ("z",)], "article_id string")
+    for pre in (False, True):
+        got = sorted(r.article_id for r in ledger_anti_join(feed, ledger, prefilter=pre).collect())
+        assert got == ["a", "c"]
+
+
+def test_body_ladder_main_rung(spark):
+    from gleaner.operators.article import body_ladder
+    feed = spark.createDataFrame([("u1", "short"), ("u2", "short")], "url string, feed_content string")
+    pages = spark.createDataFrame([("u1", "<article>A</article>", "m" * 501),
+                                   ("u2", "<article>B</article>", "m" * 500)],
+                                  "url string, html string, main string")
+    got = {r.url: (r.body_source, r.body) for r in body_ladder(feed, pages, main_col="main").collect()}
+    assert got["u1"] == ("main", "m" * 501)
+    assert got["u2"] == ("article", "B")
+
+
+def test_latest_draft_overall(spark):
+    from gleaner.operators.outbox import latest_draft
+    df = spark.createDataFrame([(dt.datetime(2026, 1, 1),), (dt.datetime(2026, 3, 1),)], "created_at timestamp")
+    assert latest_draft(df).first().latest == dt.datetime(2026, 3, 1)
