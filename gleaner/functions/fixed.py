@@ -88,6 +88,9 @@ RUN_STATUSES = ["running", "completed", "completed_with_errors", "failed"]
 OUTCOMES = ["duplicate", "excluded", "failed", "processed"]
 
 READ_MORE_PREFIX = "Read more: "
+RUN_ID_PREFIX = "run_"
+RUN_ID_TIME_FORMAT = "%Y%m%dT%H%M%SZ"
+RUN_ID_HEX_DIGITS = 8
 UNKNOWN = "Unknown"
 NO_POINTS_LINE = "- none extracted"
 POINT_BULLET = "- "

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -40,11 +39,7 @@ def ledger_anti_join(feed: DataFrame, ledger: DataFrame, key: str = "article_id"
 def normalize_names(names: Iterable[str | None]) -> list[str]:
     """Setting list -> normalized names: blanks dropped, whitespace runs
     collapsed, stripped, case-folded."""
-    out = []
-    for n in names:
-        if n and n.strip():
-            out.append(re.sub(r"\s+", " ", n).strip().casefold())
-    return out
+    return [" ".join(n.split()).casefold() for n in names if n and n.split()]
 
 
 def normalize_author(c: ColumnOrName) -> Column:
