@@ -24,7 +24,9 @@ ColumnOrName = Column | str
 
 LINE_SPLIT = char_class(fixed.PY_LINE_BREAKS) + "+"
 TAG = r"<[^>]+>"
-ANY_TAG = r"<[^>]*>"
+# Markup as an HTML tokenizer sees it: '<' then a letter, '/', '!' or '?'.
+# A bare "a < b > c" stays text.
+ANY_TAG = r"<[A-Za-z/!?][^>]*>"
 COMMENT = r"(?s)<!--.*?(?:-->|$)"
 
 
@@ -161,7 +163,8 @@ def article_inner(c: ColumnOrName) -> Column:
 
 def markup_lines(c: ColumnOrName) -> Column:
     """Text nodes of an HTML fragment as stripped, non-blank lines: every tag
-    becomes a line break, entities are decoded once."""
+    (start, end, comment, doctype) becomes a line break, entities are decoded
+    once."""
     text = decode_entities(F.regexp_replace(_col(c), ANY_TAG, "\n"))
     return nonblank_lines(text)
 

@@ -138,3 +138,8 @@ def test_named_references_decode_once(spark):
     text = "caf&eacute; &amp;lt;b&amp;gt; &copy; &middot; &notanentity; & alone &apos;q&apos;"
     df = one_col(spark, [text]).select(T.decode_entities(F.col("t")).alias("d"))
     assert df.first().d == "café &lt;b&gt; © · &notanentity; & alone 'q'"
+
+
+def test_comparison_signs_are_not_tags(spark):
+    df = one_col(spark, ["<p>if x < 5 and y > 3</p>"]).select(T.clean_text(F.col("t")).alias("c"))
+    assert df.first().c == "if x < 5 and y > 3"
