@@ -24,9 +24,10 @@ ColumnOrName = Column | str
 
 LINE_SPLIT = char_class(fixed.PY_LINE_BREAKS) + "+"
 TAG = r"<[^>]+>"
-# Markup as an HTML tokenizer sees it: '<' then a letter, '/', '!' or '?'.
-# A bare "a < b > c" stays text.
-ANY_TAG = r"<[A-Za-z/!?][^>]*>"
+# Markup as an HTML tokenizer sees it: '<' then a letter, '/', '!' or '?',
+# up to the first '>' outside a quoted attribute value.  A bare "a < b > c"
+# stays text.
+ANY_TAG = r"""<[A-Za-z/!?](?:"[^"]*"|'[^']*'|[^'">])*>"""
 COMMENT = r"(?s)<!--.*?(?:-->|$)"
 
 

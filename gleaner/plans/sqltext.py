@@ -100,7 +100,8 @@ def remove_boilerplate(x: str, tags=fixed.BOILERPLATE_TAGS, classes=fixed.BOILER
 
 
 def markup_lines(x: str) -> str:
-    return nonblank_lines(decode_entities(f"regexp_replace({x}, '<[A-Za-z/!?][^>]*>', chr(10), 'g')"))
+    from gleaner.functions.text import ANY_TAG
+    return nonblank_lines(decode_entities(f"regexp_replace({x}, {q(ANY_TAG)}, chr(10), 'g')"))
 
 
 def markup_text(x: str) -> str:

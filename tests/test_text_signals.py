@@ -143,3 +143,8 @@ def test_named_references_decode_once(spark):
 def test_comparison_signs_are_not_tags(spark):
     df = one_col(spark, ["<p>if x < 5 and y > 3</p>"]).select(T.clean_text(F.col("t")).alias("c"))
     assert df.first().c == "if x < 5 and y > 3"
+
+
+def test_quoted_angle_bracket_in_attribute(spark):
+    df = one_col(spark, ['<a title="x>y" href=\'q>r\'>Link</a> tail']).select(T.clean_text(F.col("t")).alias("c"))
+    assert df.first().c == "Link\ntail"
