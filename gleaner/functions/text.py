@@ -127,12 +127,26 @@ def _element_regex(tags: Iterable[str]) -> str:
     return "(?is)" + "|".join(parts)
 
 
+# Elements that never have content (and never a close tag).
+VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
+             "source", "track", "wbr"]
+
+
+def class_attr_regex(classes: Iterable[str]) -> str:
+    """A start tag's remainder after its name when one of its classes is in
+    ``classes``: ``class`` must be a whole attribute name; the value may be
+    double-, single- or unquoted."""
+    n = "|".join(classes)
+    quoted = (r"""\sclass\s*=\s*(?:"(?:[^"]*\s)?(?:%s)(?:\s[^"]*)?"|'(?:[^']*\s)?(?:%s)(?:\s[^']*)?')"""
+              % (n, n))
+    bare = r"\sclass\s*=\s*(?:%s)" % n
+    return r"[^>]*?(?:" + quoted + r"[^>]*>|" + bare + r"(?:\s[^>]*>|/?>))"
+
+
 def _class_regex(classes: Iterable[str]) -> str:
     """Elements carrying one of the CSS classes, up to their own close tag."""
-    names = "|".join(classes)
-    cls = (r"""class\s*=\s*(?:"(?:[^"]*\s)?(?:%s)(?:\s[^"]*)?"|'(?:[^']*\s)?(?:%s)(?:\s[^']*)?')"""
-           % (names, names))
-    return r"(?is)<([a-z][a-z0-9]*)\b[^>]*?" + cls + r"[^>]*>.*?(?:</\1\s*>|$)"
+    return (r"(?is)<(?!(?:" + "|".join(VOID_TAGS) + r")\b)([a-z][a-z0-9]*)\b"
+            + class_attr_regex(classes) + r".*?(?:</\1\s*>|$)")
 
 
 def remove_invisible(c: ColumnOrName) -> Column:

@@ -92,10 +92,9 @@ def remove_boilerplate(x: str, tags=fixed.BOILERPLATE_TAGS, classes=fixed.BOILER
     out = f"regexp_replace({x}, {q(r'(?s)<!--.*?(?:-->|$)')}, '', 'g')"
     el = "(?is)" + "|".join(rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|$)" for t in tags)
     out = f"regexp_replace({out}, {q(el)}, '', 'g')"
-    names = "|".join(classes)
-    cls = (r"""class\s*=\s*(?:"(?:[^"]*\s)?(?:%s)(?:\s[^"]*)?"|'(?:[^']*\s)?(?:%s)(?:\s[^']*)?')"""
-           % (names, names))
-    alts = "|".join(rf"<{t}\b[^>]*?{cls}[^>]*>.*?(?:</{t}\s*>|$)" for t in CLASS_TAGS)
+    from gleaner.functions.text import class_attr_regex
+    cls = class_attr_regex(classes)
+    alts = "|".join(rf"<{t}\b{cls}.*?(?:</{t}\s*>|$)" for t in CLASS_TAGS)
     return f"regexp_replace({out}, {q('(?is)' + alts)}, '', 'g')"
 
 

@@ -148,3 +148,12 @@ def test_comparison_signs_are_not_tags(spark):
 def test_quoted_angle_bracket_in_attribute(spark):
     df = one_col(spark, ['<a title="x>y" href=\'q>r\'>Link</a> tail']).select(T.clean_text(F.col("t")).alias("c"))
     assert df.first().c == "Link\ntail"
+
+
+def test_class_attribute_forms(spark):
+    from gleaner.operators.article import page_bodies
+    html = ("<body><div class=ad>a1</div><div data-class=\"ad\">keep1</div>"
+            "<div id=x class=\"big ad\">a2</div><span class='menu'>m</span>"
+            "<p class=adverts>keep2</p><img class=ad/><p>keep3</p></body>")
+    df = spark.createDataFrame([(1, html)], "id int, html string")
+    assert page_bodies(df).first().page_text == "keep1\nkeep2\nkeep3"
