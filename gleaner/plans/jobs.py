@@ -6,8 +6,11 @@ clean text and key points -> thread gate -> prompt table.
 ``deliver``: model responses -> parse -> validate -> promo flag -> publish
 slots -> outbox and draft rows -> outcomes, ledger rows and the run row.
 
-Both return DataFrames (nothing is collected); ``write_outputs`` writes them
-per batch id in the safe order (drafts and outbox first, ledger last).
+Both return DataFrames.  Nothing reaches the driver but one scalar (the
+latest queued publish time); intermediate tables that several outputs read
+are written once as thin reliable checkpoints, so calling a job runs those
+stages.  ``write_outputs`` writes the results per batch id in the safe order
+(drafts and outbox first, ledger last).
 """
 
 from __future__ import annotations
