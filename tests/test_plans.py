@@ -94,3 +94,20 @@ def test_feed_position_dense_per_feed(spark):
     for feed in {f for _, f in rows}:
         mine = sorted(p for p, f in rows if f == feed)
         assert [got[(feed, p)] for p in mine] == list(range(1, len(mine) + 1))
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10**9), st.sampled_from("abc")), min_size=1, max_size=60,
+                unique_by=lambda t: t[0]),
+       st.sampled_from([1, 3, 1000, 10**6]))
+def test_feed_position_matches_rank(spark, rows, block):
+    df = spark.createDataFrame(rows, "_pos long, feed string")
+    got = {r._pos: r.feed_pos for r in keys.feed_position(df, partition_cols=["feed"],
+                                                          key_block=block).collect()}
+    for feed in {f for _, f in rows}:
+        mine = sorted(p for p, f in rows if f == feed)
+        assert [got[p] for p in mine] == list(range(1, len(mine) + 1))
