@@ -78,6 +78,12 @@ def body_ladder(feed: DataFrame, pages: DataFrame,
     if page_key != feed_key:
         bodies = bodies.withColumnRenamed(page_key, feed_key)
     bodies = bodies.withColumnRenamed(feed_key, "_page_key")
+    # One page per key, so a re-crawled URL cannot duplicate feed rows: the
+    # smallest extracted text wins (deterministic).  The aggregate is keyed
+    # like the join, so it adds no exchange of its own.
+    text_cols = ["article_text", "page_text"] + ([main_col] if main_col else [])
+    bodies = (bodies.groupBy("_page_key").agg(F.min(F.struct(*text_cols)).alias("_b"))
+                    .select("_page_key", *[F.col("_b")[c].alias(c) for c in text_cols]))
 
     long_side = (feed.where(long_enough)
                      .withColumn("body", F.col(feed_body))

@@ -83,3 +83,12 @@ def test_latest_draft_overall(spark):
     from gleaner.operators.outbox import latest_draft
     df = spark.createDataFrame([(dt.datetime(2026, 1, 1),), (dt.datetime(2026, 3, 1),)], "created_at timestamp")
     assert latest_draft(df).first().latest == dt.datetime(2026, 3, 1)
+
+
+def test_duplicate_pages_do_not_duplicate_rows(spark):
+    from gleaner.operators.article import body_ladder
+    feed = spark.createDataFrame([("u1", "short")], "url string, feed_content string")
+    pages = spark.createDataFrame([("u1", "<article>B</article>"), ("u1", "<article>A</article>")],
+                                  "url string, html string")
+    got = [(r.body_source, r.body) for r in body_ladder(feed, pages).collect()]
+    assert got == [("article", "A")]
