@@ -140,7 +140,10 @@ def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
     In schedule mode every valid post gets a slot ``spacing`` after the
     previous one, starting after the latest queued post."""
     now = now if now is not None else F.current_timestamp()
-    arts = prepared.articles.join(responses.select("article_id", response_col), "article_id", "left")
+    # One response per article: a retried model step may have landed more
+    # than one; the greatest text is kept so the choice is deterministic.
+    resp = responses.groupBy("article_id").agg(F.max(response_col).alias(response_col))
+    arts = prepared.articles.join(resp, "article_id", "left")
     arts = parse_responses(arts, response_col)
     arts = packages.validate_packages(arts, allow_thread=F.col("allow_thread"), out="error")
     arts = (arts.withColumn("error", F.coalesce(
