@@ -111,3 +111,13 @@ def test_feed_position_matches_rank(spark, rows, block):
     for feed in {f for _, f in rows}:
         mine = sorted(p for p, f in rows if f == feed)
         assert [got[p] for p in mine] == list(range(1, len(mine) + 1))
+
+
+def test_no_python_in_any_registered_plan(spark):
+    """Every registered query stays in the JVM: no Python UDF or pandas
+    operator appears in its physical plan."""
+    for name, q in E.queries().items():
+        p = plan(q(spark, SF))
+        for op in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
+                   "PythonUDF"):
+            assert op not in p, (name, op)
