@@ -50,15 +50,16 @@ def read_queue(spark: SparkSession, path: str, page_pattern: str = r"page[-_=]?(
     """SRC-04: landed queue snapshots, one JSON document per file.
 
     Each file is read whole; its page number comes from the file name (e.g.
-    ``page_3.json``); bodies that are not JSON objects are dropped, as the
-    reference keeps only dict bodies."""
+    ``page_3.json``); bodies that are not JSON objects (arrays, scalars,
+    broken text) are dropped: only object bodies are scanned for times."""
     df = spark.read.text(path, wholetext=True)
     fname = F.input_file_name()
     page = F.regexp_extract(fname, page_pattern, 1)
     return (df.select(fname.alias("file"),
                       F.when(page != "", page.cast("int")).otherwise(F.lit(0)).alias("page"),
                       F.col("value").alias("body"))
-              .where(F.trim(F.col("body")).startswith("{")))
+              .where(F.trim(F.col("body")).startswith("{")
+                     & F.get_json_object(F.col("body"), "$").isNotNull()))
 
 
 def parse_responses(df: DataFrame, json_col: str = "response") -> DataFrame:

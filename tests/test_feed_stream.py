@@ -81,6 +81,7 @@ def test_read_queue_pages(spark):
         "page_1.json": '{"results": [{"publishAt": "2027-01-06T00:00:00Z"}]}',
         "page_12.json": '{"results": [{"publishAt": "2030-01-01T00:00:00Z"}]}',
         "page_2.json": '["not", "a", "dict"]',
+        "page_3.json": '{"publishAt": "2031-01-01T00:00:00Z", broken',
     }
     for name, body in pages.items():
         with open(os.path.join(d, name), "w") as f:
