@@ -62,7 +62,7 @@ def read_rss_items(spark: SparkSession, path: str, streaming: bool = False,
          .option("attributePrefix", "_attr_")
          .option("valueTag", "_text")
          .schema(RSS_ITEM_SCHEMA))
-    df = r.load(path).withColumn("feed_file", F.input_file_name())
+    df = r.load(path).withColumn("feed_file", F.col("_metadata.file_path"))
     # A stream has no stable row ids; its micro-batches number their rows
     # (``streaming.handle_batch``).
     pos = F.lit(None).cast("bigint") if streaming else F.monotonically_increasing_id()

@@ -53,7 +53,7 @@ def read_queue(spark: SparkSession, path: str, page_pattern: str = r"page[-_=]?(
     ``page_3.json``); bodies that are not JSON objects (arrays, scalars,
     broken text) are dropped: only object bodies are scanned for times."""
     df = spark.read.text(path, wholetext=True)
-    fname = F.input_file_name()
+    fname = F.col("_metadata.file_path")
     page = F.regexp_extract(fname, page_pattern, 1)
     return (df.select(fname.alias("file"),
                       F.when(page != "", page.cast("int")).otherwise(F.lit(0)).alias("page"),
