@@ -92,3 +92,11 @@ def test_duplicate_pages_do_not_duplicate_rows(spark):
                                   "url string, html string")
     got = [(r.body_source, r.body) for r in body_ladder(feed, pages).collect()]
     assert got == [("article", "A")]
+
+
+def test_shared_dir_uses_the_session_checkpoint_dir(spark):
+    from gleaner.session import shared_dir
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    got = shared_dir(spark, "x/y")
+    assert base and got.rstrip("/").endswith("/x/y")
+    assert got.replace("file:", "").startswith(base.replace("file:", "").rstrip("/"))
