@@ -157,3 +157,10 @@ def test_class_attribute_forms(spark):
             "<p class=adverts>keep2</p><img class=ad/><p>keep3</p></body>")
     df = spark.createDataFrame([(1, html)], "id int, html string")
     assert page_bodies(df).first().page_text == "keep1\nkeep2\nkeep3"
+
+
+def test_null_and_empty_text(spark):
+    df = spark.createDataFrame([(None,), ("",), ("   ",)], "t string")
+    rows = df.select(T.clean_text(F.col("t")).alias("c"),
+                     F.size(S.key_points(T.clean_lines(F.col("t")))).alias("n")).collect()
+    assert [(r.c, r.n) for r in rows] == [("", 0), ("", 0), ("", 0)]
