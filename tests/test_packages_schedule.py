@@ -142,3 +142,9 @@ def test_outbox_payload_and_remote_id(spark):
     assert json.loads(r.d) == {"thread": ["a", "b", "c"], "reply": None}
     ids = spark.createDataFrame([('{"id": 7}',), ('{"id": "", "draft": {"id": "d9"}}',), ("{}",)], "b string")
     assert [x.r for x in ids.select(outbox.remote_id("b").alias("r")).collect()] == ["7", "d9", ""]
+
+
+def test_parse_response_item_types(spark):
+    rows = [('{"delivery_mode": "thread", "thread": ["a", null, 5, "  "], "single_tweet": null}',)]
+    r = parse_responses(spark.createDataFrame(rows, "response string")).first()
+    assert (r.delivery_mode, r.single_tweet, list(r.thread), r.parse_error) == ("thread", "", ["a", "5"], None)
