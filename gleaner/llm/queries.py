@@ -9,10 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import suffixes
+from gleaner.llm import simhash, suffixes
 from gleaner.llm.common import table
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=3, k=3).select(
+        "doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.remove_repeats(docs, keep_text=False).select(
@@ -20,6 +26,7 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
 }
 
