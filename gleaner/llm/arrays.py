@@ -112,3 +112,43 @@ def xxhash64_long(x: np.ndarray, seed: int = 42) -> np.ndarray:
     h = (h ^ (h >> U64(33))) * p2
     h = (h ^ (h >> U64(29))) * p3
     return (h ^ (h >> U64(32))).view(np.int64)
+
+
+def power_tables(n: int, base: int = 0xD6E8FEB86659FD93) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64 (grown on demand)."""
+    have = _POWERS.get(base)
+    if have is None or len(have[0]) < n:
+        size = max(n, 1 << 21)
+        up, down = np.full(size, base, U64), np.full(size, pow(base, -1, 2**64), U64)
+        up[0] = down[0] = U64(1)
+        have = _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return have
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def runs_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the maximal runs of true places; none crosses an offset."""
+    n = len(inside)
+    if n == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begin = inside.copy()
+    begin[1:] &= ~inside[:-1]
+    heads = offsets[:-1][offsets[:-1] < n]
+    begin[heads] = inside[heads]
+    start = np.flatnonzero(begin)
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:]
+    tails = offsets[1:][offsets[1:] > 0] - 1
+    stop[tails] = inside[tails]
+    return start, np.flatnonzero(stop) + 1
+
+
+def hash_runs(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run ``values[start:end]`` of 64-bit values."""
+    n = len(values)
+    up, down = power_tables(n + 1)
+    total = np.zeros(n + 1, U64)
+    np.cumsum(values * up[:n], out=total[1:])
+    return mix64((total[end] - total[start]) * down[start] + (end - start).astype(U64))

@@ -6,10 +6,11 @@ its contract from the operator's own output.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import simhash, suffixes
+from gleaner.llm import decontam, packing, simhash, suffixes
 from gleaner.llm.common import table
 
 
@@ -25,9 +26,23 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contamination(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated")
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_decontamination": op9_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
