@@ -47,10 +47,11 @@ from gleaner.llm.arrays import (GOLD, U64, expand, mix64, pack, ranges, squeeze,
 from gleaner.llm.common import order_key, partitions, small_batches, written
 
 MATCH = 50
-QGRAM = 12
+QGRAM = 20
 SHALLOW = 16
-#: Text bytes handled at once inside a task.
-CHUNK = 4 << 20
+#: Text bytes handled at once inside a task, and per block of ids.
+CHUNK = 1 << 20
+BLOCK = 2 << 20
 #: An anchor is hot from this share of all segments on; at most 2/HOT_SHARE are listed.
 HOT_SHARE = 1 / 4096
 #: ... and at least this many.
@@ -73,14 +74,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grams(data: np.ndarray, q: int) -> np.ndarray:
-    """A 64-bit hash of the q-gram (8 <= q <= 16) at every position that has one."""
+    """A 64-bit hash of the q-gram (8 <= q <= 24) at every position that has one."""
     raw, n = data.tobytes(), len(data) - q + 1
-    low = np.ndarray((n,), "<u8", raw, 0, (1,))
-    high = np.ndarray((n,), "<u8", raw, q - 8, (1,))
-    h = low * GOLD
-    h ^= h >> U64(32)
-    h += high
-    h *= _ODD
+    h = np.ndarray((n,), "<u8", raw, 0, (1,)) * GOLD
+    for at in {min(8, q - 8), q - 8} - {0}:
+        h ^= h >> U64(32)
+        h += np.ndarray((n,), "<u8", raw, at, (1,))
+        h *= _ODD
     h ^= h >> U64(29)
     h *= GOLD
     h ^= h >> U64(32)
@@ -424,43 +424,51 @@ def _lcp(flat: np.ndarray, a: np.ndarray, b: np.ndarray, start: int, depth: int)
 
 
 def _sort_texts(match, n_blocks):
-    """Pass 3, reduce side: deep-shallow sort of a bucket, then equal windows."""
+    """Pass 3, reduce side, rows sorted by bucket: equal windows of a bucket."""
 
     def run(batches):
-        meta, texts = [], []
+        bucket, meta, texts = None, [], []
         for b in batches:
             for row in b.to_pylist():
                 if row["kind"] == 1:
                     yield pa.RecordBatch.from_pylist(
                         [{"block": row["bucket"], "kind": 0, "runs": row["blob"]}], schema=_RUNS)
-                else:
-                    meta.append(unpack(row["blob"], "i8", "u4", "u4", "u2"))
-                    texts.append(expand(row["text"]))
-        if not meta:
-            return
-        order, tag, lo, n = (np.concatenate([m[i] for m in meta]) for i in range(4))
-        text = np.concatenate(texts)
-        n = n.astype(np.int64)
-        start = starts_of(n + match - 1)[:-1]
-        seg = np.repeat(np.arange(len(n)), n)
-        at = ranges(start, n)
-        sorted_, label = deep_shallow_groups(text, at, match)
-        own = order[seg[sorted_]]
-        first = np.flatnonzero(np.diff(label, prepend=-1))
-        least = np.minimum.reduceat(own, first)[label]
-        gone = np.sort(sorted_[own > least])
-        s = seg[gone]
-        win = lo[s] + (at[gone] - start[s])
-        new = np.ones(len(gone), bool)
-        new[1:] = (s[1:] != s[:-1]) | (win[1:] != win[:-1] + 1)
-        head = np.flatnonzero(new)
-        count = np.diff(np.append(head, len(gone)))
-        rows = _run_rows(order[s[head]], tag[s[head]], win[head], count, 0, n_blocks) if len(gone) else []
-        yield pa.RecordBatch.from_pylist(rows, schema=_RUNS)
+                    continue
+                if row["bucket"] != bucket and meta:
+                    yield pa.RecordBatch.from_pylist(_repeated(meta, texts, match, n_blocks), schema=_RUNS)
+                    meta, texts = [], []
+                bucket = row["bucket"]
+                meta.append(unpack(row["blob"], "i8", "u4", "u4", "u2"))
+                texts.append(expand(row["text"]))
+        if meta:
+            yield pa.RecordBatch.from_pylist(_repeated(meta, texts, match, n_blocks), schema=_RUNS)
 
     return run
 
 
+def _repeated(meta, texts, match, n_blocks):
+    """Runs of windows that a smaller id also has, among the segments of a bucket."""
+    order, tag, lo, n = (np.concatenate([m[i] for m in meta]) for i in range(4))
+    text = np.concatenate(texts)
+    n = n.astype(np.int64)
+    start = starts_of(n + match - 1)[:-1]
+    seg = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    at = ranges(start, n)
+    sorted_, label = deep_shallow_groups(text, at, match)
+    own = order[seg[sorted_]]
+    least = np.minimum.reduceat(own, np.flatnonzero(np.diff(label, prepend=-1)))[label]
+    gone = np.sort(sorted_[own > least])
+    if not len(gone):
+        return []
+    s = seg[gone]
+    win = lo[s] + (at[gone] - start[s])
+    new = np.ones(len(gone), bool)
+    new[1:] = (s[1:] != s[:-1]) | (win[1:] != win[:-1] + 1)
+    head = np.flatnonzero(new)
+    count = np.diff(np.append(head, len(gone)))
+    return _run_rows(order[s[head]], tag[s[head]], win[head], count, 0, n_blocks)
+
+
 def _cut(match, fields, text):
     """Last pass, by blocks of ids: what is left of every document."""
 
@@ -495,7 +503,7 @@ OUT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_rem
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH,
-                   q: int = QGRAM, block_bytes: int = CHUNK, keep_text: bool = True,
+                   q: int = QGRAM, block_bytes: int = BLOCK, keep_text: bool = True,
                    hot_share: float = HOT_SHARE, hot_least: int = HOT_LEAST) -> DataFrame:
     """``docs`` with ``kept`` (remaining bytes), ``n_bytes``, ``n_removed`` and
     ``n_spans`` (maximal removed runs) added.
@@ -529,8 +537,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = src.withColumn("_sa_block", F.pmod(F.xxhash64("_sa_ord"), F.lit(n_blocks)))
     blocks = src.repartition(n_buckets, "_sa_block").groupBy("_sa_block")
     texts = blocks.cogroup(runs.groupBy("block")).applyInArrow(
-        _ship_texts(match, q, n_buckets, n_blocks, text_col), PARTS)
-    later = texts.repartition(n_buckets, "bucket").mapInArrow(_sort_texts(match, n_blocks), RUNS)
+        _ship_texts(match, q, 4 * n_blocks, n_blocks, text_col), PARTS)
+    later = texts.repartition(n_buckets, "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(_sort_texts(match, n_blocks), RUNS)
     fields = [c for c in src.columns if not c.startswith("_sa_") and (keep_text or c != text_col)]
     schema = T.StructType([src.schema[c] for c in fields] + OUT.fields)
     return blocks.cogroup(runs.where("kind = 0").unionByName(later).groupBy("block")).applyInArrow(
