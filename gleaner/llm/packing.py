@@ -16,8 +16,9 @@ pieces of its length; ranks are counted in salted sub-groups with running
 totals, so a length that a third of all pieces share is not ranked in one task.
 
 Ids are put together from white-space units: the tokenizer drops white space and
-never merges across it, so a text's ids are those of its units in turn, and
-units repeat.
+never merges across it, so a text's ids are those of its units in turn.  Units
+repeat and are remembered; new words of plain letters go through the file's merge
+rules many at a time, all other new units through the tokenizer itself.
 
 Defined cases: null text is empty and becomes the end id alone; null document
 ids are packed like others; repeated rows are separate documents; an empty table
@@ -26,6 +27,7 @@ gives an empty table; other input columns named like an output are replaced.
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -40,11 +42,64 @@ from gleaner.llm.common import partitions, small_batches, written
 CAPACITY = 4096
 END_ID = 1
 #: Units remembered by a worker; beyond it the memory starts anew.
-MEMORY = 300_000
+MEMORY = 400_000
 #: ASCII marks that the tokenizer's pattern always parts from a preceding letter.
 MARKS = ".,!?;:*%$&#|()\"-"
 
 
+class Merges:
+    """The merge rules of a tokenizer file, applied to many words at once."""
+
+    NONE = np.int64(2**62)
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, self.suffix = model["vocab"], model["end_of_word_suffix"] or ""
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        key = np.array([(vocab[a] << 20) + vocab[b] for a, b in pairs], np.int64)
+        into = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        by = np.argsort(key, kind="stable")
+        self.key, self.rank, self.into = key[by], by.astype(np.int64), into[by]
+        # Bytes as the characters of byte-level vocabularies: printable Latin-1
+        # stands for itself, the others follow from U+0100 on in order.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        chars = [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+        self.inner = np.array([vocab.get(c, -1) for c in chars], np.int64)
+        self.final = np.array([vocab.get(c + self.suffix, -1) for c in chars], np.int64)
+
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words (lower-cased UTF-8, not empty) as little-endian 32-bit."""
+        out: list[bytes] = [b""] * len(words)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum(size) - 1
+        sym = self.inner[data]
+        sym[ends] = self.final[data[ends]]
+        who = np.arange(len(words))
+        while len(who):
+            start = np.cumsum(size) - size
+            pair = np.empty(len(sym), np.int64)
+            pair[:-1] = (sym[:-1] << 20) + sym[1:]
+            pair[-1] = -1
+            at = np.minimum(np.searchsorted(self.key, pair), len(self.key) - 1)
+            rank = np.where(self.key[at] == pair, (self.rank[at] << 32) + np.arange(len(sym)), self.NONE)
+            rank[start + size - 1] = self.NONE
+            best = np.minimum.reduceat(rank, start)
+            done = best == self.NONE
+            if done.any():
+                flat = sym.astype("<u4").tobytes()
+                for w, a, n in zip(who[done].tolist(), (4 * start[done]).tolist(), (4 * size[done]).tolist()):
+                    out[w] = flat[a:a + n]
+            where = best[~done] & np.int64(0xFFFFFFFF)
+            sym[where] = self.into[at[where]]
+            keep = np.repeat(~done, size)
+            keep[where + 1] = False
+            sym, who, size = sym[keep], who[~done], size[~done] - 1
+        return out
+
+
 class Units(dict):
     """Little-endian 32-bit ids of white-space units, remembered."""
 
@@ -52,27 +107,41 @@ class Units(dict):
         super().__init__()
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.merges = Tokenizer.from_file(path), Merges(path)
         self[""] = b""
 
-    def encode(self, unit: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, unit: str) -> bytes:
-        head = unit.rstrip(MARKS)
-        if head and len(head) < len(unit) and head[-1].isalpha() and head[-1] < "ɐ":
-            ids = self[head] + self[unit[len(head):]]
-        else:
-            ids = self.encode(unit)
-        if len(unit) <= 64:
-            if len(self) >= MEMORY:
-                self.clear()
-                self[""] = b""
-            self[unit] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def learn(self, units: set[str]) -> None:
+        """Remember units that are new.  Words of ASCII or Latin-1 letters, and the
+        words of units that end in MARKS, are one word of the pattern each."""
+        new = units.difference(self)
+        if not new:
+            return
+        if len(self) + len(new) > MEMORY:
+            self.clear()
+            self[""] = b""
+            new = units
+        plain, split, odd = {}, [], set()
+        for u in new:
+            head = u.rstrip(MARKS)
+            if head.isalpha() and (head.isascii() or max(head) < "\u0100"):
+                if len(head) < len(u):
+                    split.append((u, head))
+                    odd.add(u[len(head):])
+                if head not in self:
+                    plain[head] = head.lower().encode()
+            else:
+                odd.add(u)
+        if plain:
+            self.update(zip(plain, self.merges.words(list(plain.values()))))
+        for u in odd.difference(self):
+            self[u] = np.asarray(self.tokenizer.encode(u, add_special_tokens=False).ids, "<u4").tobytes()
+        for u, head in split:
+            self[u] = self[head] + self[u[len(head):]]
+
+    def all_ids(self, texts: list[str]) -> list[bytes]:
+        lists = [t.replace("\n", " ").split(" ") for t in texts]
+        self.learn(set().union(*lists))
+        return [b"".join(map(self.__getitem__, x)) for x in lists]
 
 
 _UNITS: dict[str, Units] = {}
@@ -105,8 +174,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, text_col: str = "text", capaci
         known = units(tokenizer)
         for b in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, text in enumerate(b.column("_pk_text")):
-                buf = known.ids(text.as_py() or "") + end
+            for i, buf in enumerate(known.all_ids([t or "" for t in b.column("_pk_text").to_pylist()])):
+                buf += end
                 for k, at in enumerate(range(0, len(buf), 4 * capacity)):
                     part = buf[at:at + 4 * capacity]
                     row.append(i)
