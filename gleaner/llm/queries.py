@@ -10,16 +10,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, decontam, packing, quality, simhash, suffixes, tokencount
+from gleaner.llm import chat, chunkdedup, decontam, licenses, packing, parsing, quality, simhash, suffixes, tokencount
 from gleaner.llm.common import table
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunkdedup.drop_repeated_chunks(docs, keep_text=False).select(
+        "doc_id", "n_bytes", "n_chunks", "n_removed_chunks", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/<doc_id mod 50>/<doc_id>.txt``."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")),
+                                      F.pmod("doc_id", F.lit(50)), F.concat("doc_id", F.lit(".txt"))).alias("path"))
+    return licenses.scan(docs)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, shingle=3, k=3).select(
         "doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.edit_study(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffixes.remove_repeats(docs, keep_text=False).select(
@@ -61,7 +79,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_license_scan": op3_license_scan,
+    "op4_document_fingerprints": op4_document_fingerprints,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_token_counts": op7_token_counts,
