@@ -315,15 +315,29 @@ def links(fps: DataFrame, k: int = 3, part_rows: int = PART_ROWS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     k: int = 3, part_rows: int = PART_ROWS) -> DataFrame:
-    """``docs`` without its text, plus ``fp`` and ``component_id`` (the smallest
-    id reachable over links of at most ``k`` differing bits, itself included)."""
-    docs = docs.select(*[c for c in docs.columns if c not in ("fp", "component_id")])
+    """``docs`` without its text, plus ``fp``, ``component_id`` (the smallest id
+    reachable over links of at most ``k`` differing bits, itself included) and
+    ``component_fp`` (a fingerprint that names the component)."""
+    docs = docs.select(*[c for c in docs.columns if c not in ("fp", "component_id", "component_fp")])
     marked = written(with_fingerprint(docs, text_col, shingle), "fps")
     entries = marked.groupBy("fp").agg(F.min(order_key(id_col)).alias("least"))
     comp = connected_components(links(entries.select("fp"), k, part_rows))
     classes = entries.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     least = classes.groupBy("root").agg(F.min("least").alias("class_least"))
-    by_fp = classes.join(least, "root").select("fp", F.when(F.col("class_least") < 2**63 - 1, F.col("class_least"))
-                                               .alias("component_id"))
-    return marked.join(written(by_fp, "classes"), "fp").select(*marked.columns, "component_id")
+    by_fp = classes.join(least, "root").select(
+        "fp", F.when(F.col("class_least") < 2**63 - 1, F.col("class_least")).alias("component_id"),
+        F.col("root").alias("component_fp"))
+    return marked.join(written(by_fp, "classes"), "fp").select(*marked.columns, "component_id", "component_fp")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                k: int = 3) -> DataFrame:
+    """``docs`` with one row of every component: that of the smallest id (of
+    equal ids, the one with the smallest hash of the row)."""
+    names = docs.columns
+    keyed = docs.withColumns({"_sh_ord": order_key(id_col), "_sh_row": F.xxhash64(*names)})
+    classes = near_duplicates(keyed.select(id_col, text_col, "_sh_ord", "_sh_row"), id_col, text_col, shingle, k)
+    first = classes.groupBy("component_fp").agg(F.min(F.struct("_sh_ord", "_sh_row")).alias("f")).select(
+        F.col("f._sh_ord").alias("_sh_ord"), F.col("f._sh_row").alias("_sh_row"))
+    return keyed.join(first, ["_sh_ord", "_sh_row"], "left_semi").dropDuplicates(["_sh_ord", "_sh_row"]).select(*names)

@@ -469,7 +469,7 @@ def _repeated(meta, texts, match, n_blocks):
     return _run_rows(order[s[head]], tag[s[head]], win[head], count, 0, n_blocks)
 
 
-def _cut(match, fields, text):
+def _cut(match, fields, text, whole):
     """Last pass, by blocks of ids: what is left of every document."""
 
     def run(_key, docs: pa.Table, runs: pa.Table) -> pa.Table:
@@ -493,6 +493,14 @@ def _cut(match, fields, text):
             pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(kept_at.tobytes()), pa.py_buffer(left.tobytes())])
         out = {"n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(removed),
                "n_spans": pa.array(spans[offsets[1:]] - spans[offsets[:-1]]), "kept": kept.cast(pa.binary())}
+        if whole:
+            # Characters with a removed byte go as a whole, so the rest is valid text.
+            heads = np.flatnonzero((data & 0xC0) != 0x80)
+            if len(heads):
+                gone = np.repeat(np.logical_or.reduceat(gone, heads), np.diff(np.append(heads, len(data))))
+            at = (offsets - starts_of(gone)[offsets]).astype(np.int64)
+            out[text] = pa.LargeStringArray.from_buffers(
+                len(offsets) - 1, pa.py_buffer(at.tobytes()), pa.py_buffer(data[~gone].tobytes())).cast(pa.string())
         return pa.table({f: out[f] if f in out else docs.column(f) for f in fields})
 
     return run
@@ -504,12 +512,13 @@ OUT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_rem
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH,
                    q: int = QGRAM, block_bytes: int = BLOCK, keep_text: bool = True,
-                   hot_share: float = HOT_SHARE, hot_least: int = HOT_LEAST) -> DataFrame:
+                   whole_chars: bool = False, hot_share: float = HOT_SHARE, hot_least: int = HOT_LEAST) -> DataFrame:
     """``docs`` with ``kept`` (remaining bytes), ``n_bytes``, ``n_removed`` and
     ``n_spans`` (maximal removed runs) added.
 
     ``block_bytes`` is the text aimed at per block of ids in the last pass;
-    ``keep_text=False`` leaves the input text out of the result.  ``hot_share``
+    ``keep_text=False`` leaves the input text out of the result; ``whole_chars``
+    replaces it by what is left of it without split characters.  ``hot_share``
     and ``hot_least`` say from where on an anchor is dealt by its segments; they
     move work, never results.
     """
@@ -542,4 +551,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fields = [c for c in src.columns if not c.startswith("_sa_") and (keep_text or c != text_col)]
     schema = T.StructType([src.schema[c] for c in fields] + OUT.fields)
     return blocks.cogroup(runs.where("kind = 0").unionByName(later).groupBy("block")).applyInArrow(
-        _cut(match, schema.names, text_col), schema)
+        _cut(match, schema.names, text_col, whole_chars), schema)
