@@ -2,38 +2,42 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give CPU-heavy row-local work at least one task per core.
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Give CPU-heavy row-local work on a plain file scan one task per core.
 
-    A table stored as one large row group is scanned by a single task; text
-    cleaning on it would then use one core.  When the scan has fewer
-    partitions than the cluster's default parallelism, rows are hash
+    A table stored as one large row group is scanned by a single task; when a
+    scan has fewer partitions than the default parallelism, its rows are hash
     partitioned on ``keys`` (deterministic, so a retried task sees the same
-    rows).  On a real data set the scan already has thousands of splits and
-    this is a no-op: no extra shuffle is planned.
+    rows).  A real data set has thousands of splits and no shuffle is planned.
+    Only for scans: asking a plan with a shuffle for its partitions would run
+    a job.
     """
-    spark = df.sparkSession
+    spark = scan.sparkSession
     try:
         target = spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
+        have = scan.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - Spark Connect has no RDD access
-        return df
+        return scan
     if have >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+        return scan
+    return scan.repartition(target, *keys) if keys else scan.repartition(target)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint directory and continue
-    from the written copy (a reliable checkpoint, never a local one).
+def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and continue from the
+    written table.
 
     Used where one intermediate result feeds two branches of a plan, so the
-    work under it (a sort, a window, a scan of wide text) runs once, and the
-    lineage that a lost executor would replay stops here."""
+    work under it (a sort, a window, a scan of wide text) runs once; lineage
+    that a lost executor would replay stops here, and later branches read only
+    the columns they need."""
     from gleaner.session import shared_dir
 
-    shared_dir(df.sparkSession, "checkpoints")  # sets a dir only when none is configured
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession, 'tables')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

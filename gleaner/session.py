@@ -3,13 +3,14 @@
 ``build_session`` is for tests, benches and scripts; library operators never
 create sessions, they take DataFrames.  On a cluster the session comes from
 the platform and ``spark.checkpoint.dir`` names the shared folder used to cut
-lineage and to keep streaming state; a local temporary folder is used only
-when that setting is absent (tests, local runs).
+lineage and to keep streaming state.  Where it is absent, a session of one local
+process gets a temporary folder; any other session is refused.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -28,9 +29,6 @@ SESSION_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
-    # Checkpoint files written by ``operators.common.materialize`` are
-    # removed once nothing refers to them any more.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -75,22 +73,25 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's checkpoint directory.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); only
-    when neither is set -- tests and local runs -- a temporary folder is made
-    and registered as the checkpoint dir."""
-    base = None
-    try:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001 - conf lookup on some connect servers
-        base = None
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Executors
+    on other hosts cannot see a temporary folder of the driver, so without that
+    setting only a master of one process (``local``, ``local[...]``) is served,
+    and anything else is an error."""
+    base = _configured_dir(spark)
+    if not base:
+        context = spark.sparkContext
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
+        base = context.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}"
+
+
+def _configured_dir(spark: SparkSession) -> str | None:
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         try:
             base = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
             base = None
-    if not base:
-        base = tempfile.mkdtemp(prefix="gleaner-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
-    base = base.rstrip("/")
-    return f"{base}/{name}"
+    return base

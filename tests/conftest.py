@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from gleaner.session import build_session
 
-    s = build_session("local[4]", app="gleaner-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="gleaner-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="gleaner-tests-")})
     yield s
     s.stop()
