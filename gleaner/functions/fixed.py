@@ -75,19 +75,18 @@ SCHEDULE_KEYS = [
 # Validation error texts, first failing check wins.
 ERR_BAD_MODE = "delivery_mode must be either 'single' or 'thread'"
 ERR_SINGLE_MISSING = "Missing single_tweet in single mode"
-ERR_SINGLE_TOO_LONG = "single_tweet exceeds 280 characters"
+ERR_SINGLE_TOO_LONG = "single_tweet exceeds {max} characters"
 ERR_SINGLE_HAS_THREAD = "thread must be empty in single mode"
 ERR_THREAD_DISABLED = "Thread returned while thread generation is disabled"
 ERR_THREAD_HAS_SINGLE = "single_tweet must be empty in thread mode"
 ERR_THREAD_SIZE = "Thread must have exactly 3 tweets"
-ERR_THREAD_ITEM_TOO_LONG = "thread tweet {idx} exceeds 280 characters"
+ERR_THREAD_ITEM_TOO_LONG = "thread tweet {idx} exceeds {max} characters"
 
 DELIVERY_MODES = ["single", "thread"]
 PUBLISH_MODES = ["draft", "schedule", "publish_now"]
-RUN_STATUSES = ["running", "completed", "completed_with_errors", "failed"]
-OUTCOMES = ["duplicate", "excluded", "failed", "processed"]
 
 READ_MORE_PREFIX = "Read more: "
+# A run id: this prefix, the UTC time in this format, "_", this many hex digits.
 RUN_ID_PREFIX = "run_"
 RUN_ID_TIME_FORMAT = "%Y%m%dT%H%M%SZ"
 RUN_ID_HEX_DIGITS = 8

@@ -33,10 +33,6 @@ def stat_regex(patterns: Mapping[str, str] = fixed.STAT_PATTERNS,
     return "(?U)" + "|".join(parts)
 
 
-def angle_regex(hints: Iterable[str] = fixed.ANGLE_HINTS) -> str:
-    return literal_alternation(list(hints))
-
-
 # A necessary condition of the default statistic patterns: every one of them
 # needs a decimal digit, except the "PK" branch.  Lines failing this cheap
 # single-class scan (most prose lines) skip the four-way alternation.
@@ -87,7 +83,7 @@ def is_angle(line: Column, hints: Iterable[str] = fixed.ANGLE_HINTS) -> Column:
 
 @by_column_name
 def key_points(lines: Column | str,
-               cap: int = fixed.MAX_KEY_POINTS,
+               cap: int | None = None,
                patterns: Mapping[str, str] = fixed.STAT_PATTERNS,
                ignorecase: Mapping[str, bool] = fixed.STAT_IGNORECASE,
                hints: Iterable[str] = fixed.ANGLE_HINTS,
@@ -99,7 +95,8 @@ def key_points(lines: Column | str,
     the count has reached ``cap``.  Set-based form: with ``n_i`` the running
     hit count, the walk stops at the first non-statistic line with
     ``n_i >= cap``; hits up to and including that line are kept.
-    ``strict_cap=True`` lets statistic lines stop the walk as well.
+    ``strict_cap=True`` lets statistic lines stop the walk as well.  Without a
+    cap every hit is a point.
     """
     hints = list(hints)
     if isinstance(lines, str):
@@ -114,6 +111,8 @@ def key_points(lines: Column | str,
     # subexpression elimination, so shared values are materialized first).
     lowered = F.transform(lines, lambda l: F.struct(l.alias("l"), F.lower(l).alias("lo")))
     flags = F.transform(lowered, flag)
+    if cap is None:
+        return F.transform(F.filter(flags, lambda f: f["h"]), lambda f: f["l"])
     init = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("stop"), F.lit(0).alias("i"))
 
     def step(acc: Column, f: Column) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from gleaner.functions import fixed
 from gleaner.functions import signals as S
 from gleaner.functions import text as T
-from gleaner.operators.common import spread
 
 
 def page_bodies(pages: DataFrame, html_col: str = "html",
@@ -63,46 +62,40 @@ def body_ladder(feed: DataFrame, pages: DataFrame,
                 feed_key: str = "url", page_key: str = "url",
                 feed_body: str = "feed_content", main_col: str | None = None,
                 min_chars: int = fixed.MIN_BODY_CHARS,
-                html_col: str = "html") -> DataFrame:
+                html_col: str = "html", crawl_col: str | None = None) -> DataFrame:
     """PRJ-07 + JOIN-02: add ``body`` and ``body_source`` to the feed.
 
-    Rows whose feed body is long enough never touch the pages: the feed is
-    split on that test, only the short-body side is joined (left, on the
-    page key) with page text extracted beforehand, and the two sides are
-    unioned back.  A row with no page gets ``body_source = 'missing'``."""
+    Rows whose feed body is long enough, and rows without a page key, never
+    touch the pages.  Of the pages only those that a short row asks for are
+    kept (a semi join on the thin keys) before any text is extracted.  A page
+    crawled several times counts once: a crawl with an article before one
+    without, then the latest by ``crawl_col`` (if there is one), then the one
+    with the greater text.  A row with no page gets ``body_source = 'missing'``."""
     long_enough = longer_than(F.col(feed_body), min_chars)
-    pcols = [page_key, html_col] + ([main_col] if main_col else [])
-    # Page text extraction is CPU-heavy regex work: give it a task per core
-    # when the page table arrives in few splits (no-op on large inputs).
-    bodies = page_bodies(spread(pages.select(*pcols), page_key), html_col)
-    if page_key != feed_key:
-        bodies = bodies.withColumnRenamed(page_key, feed_key)
-    bodies = bodies.withColumnRenamed(feed_key, "_page_key")
-    # One page per key, so a re-crawled URL cannot duplicate feed rows: the
-    # smallest extracted text wins (deterministic).  The aggregate is keyed
-    # like the join, so it adds no exchange of its own.
+    blank = F.col(feed_key).isNull() | (F.trim(F.col(feed_key).cast("string")) == "")
+    settled = feed.where(long_enough | blank)
+    short = feed.where(~long_enough & ~blank)
+    extra = [c for c in (main_col, crawl_col) if c]
+    wanted = short.select(F.col(feed_key).alias(page_key)).distinct()
+    bodies = page_bodies(pages.select(page_key, html_col, *extra).join(wanted, page_key, "left_semi"), html_col)
     text_cols = ["article_text", "page_text"] + ([main_col] if main_col else [])
-    bodies = (bodies.groupBy("_page_key").agg(F.min(F.struct(*text_cols)).alias("_b"))
+    best = F.struct(F.col("article_text").isNotNull().alias("_has"),
+                    *([F.col(crawl_col)] if crawl_col else []), *text_cols)
+    bodies = (bodies.groupBy(F.col(page_key).alias("_page_key")).agg(F.max(best).alias("_b"))
                     .select("_page_key", *[F.col("_b")[c].alias(c) for c in text_cols]))
 
-    long_side = (feed.where(long_enough)
-                     .withColumn("body", F.col(feed_body))
-                     .withColumn("body_source", F.lit("feed")))
-    short = feed.where(~long_enough)
+    none = F.lit(None).cast("string")
+    done = settled.withColumn("_pick", choose_body(F.col(feed_body), none, none, none, min_chars))
     joined = short.join(bodies, short[feed_key] == bodies["_page_key"], "left")
-    main = F.col(main_col) if main_col else F.lit(None).cast("string")
-    pick = choose_body(F.col(feed_body), main, F.col("article_text"), F.col("page_text"),
-                       min_chars)
-    short_side = (joined.withColumn("_pick", pick)
-                        .withColumn("body", F.col("_pick.body"))
-                        .withColumn("body_source", F.col("_pick.body_source"))
-                        .drop("_pick", "_page_key", "article_text", "page_text",
-                              *([main_col] if main_col else [])))
-    return long_side.unionByName(short_side)
+    pick = choose_body(none, F.col(main_col) if main_col else none, F.col("article_text"),
+                       F.col("page_text"), min_chars)
+    found = joined.withColumn("_pick", pick).drop("_page_key", *text_cols)
+    return (done.unionByName(found).withColumn("body", F.col("_pick.body"))
+                .withColumn("body_source", F.col("_pick.body_source")).drop("_pick"))
 
 
 def assemble_articles(df: DataFrame, body_col: str = "body",
-                      cap: int = fixed.MAX_KEY_POINTS,
+                      cap: int | None = None,
                       disclaimers: Iterable[str] = fixed.DISCLAIMER_PATTERNS,
                       markup: bool = True, strict_cap: bool = False) -> DataFrame:
     """PRJ-17: add ``clean_text`` and ``extracted_insights`` (key points).

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions import fixed
+from gleaner.operators.common import materialize
 
 ColumnOrName = Column | str
 
@@ -33,31 +33,42 @@ def article_key(id_col: ColumnOrName | None = None,
 
 
 def feed_position(df: DataFrame, order_col: str = "_pos", out: str = "feed_pos",
-                  partition_cols: Sequence[str] = (), key_block: int = 100_000) -> DataFrame:
+                  partition_cols: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
     """WIN-04: dense 1-based position within each feed, in ``order_col``
     order (unique integers, e.g. the id a source attaches at scan time).
 
     A plain ``row_number()`` per feed would sort a feed holding most rows in
-    one task.  Instead rows are cut into blocks of ``key_block`` consecutive
-    key values (so no block holds more than ``key_block`` rows), numbered
-    locally, and offset by the row counts of earlier blocks -- a partial
-    count per block and a window over the small block table."""
+    one task.  Instead a sampled range partitioning on (feed, order) cuts the
+    rows into ``blocks`` similarly sized stretches, however sparse or skewed the
+    ids are; a stretch is numbered locally and offset by the row counts of the
+    stretches before it.  Block counts are at most ``blocks`` rows per feed.
+    Only (feed, order) is shuffled and written; other columns are joined back."""
     part = list(partition_cols)
-    blk = F.floor(F.col(order_col) / F.lit(int(key_block))).cast("bigint")
-    rows = df.withColumn("_blk", blk)
+    n = blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    thin = materialize(df.select(*part, order_col).repartitionByRange(n, *part, order_col)
+                         .withColumn("_blk", F.spark_partition_id()), "feed_blocks")
     local = F.row_number().over(Window.partitionBy(*part, "_blk").orderBy(order_col))
-    rows = rows.withColumn("_local", local)
-    counts = rows.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    counts = thin.groupBy(*part, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     wc = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("_blk") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, "_blk", F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_off"))
-    return (rows.join(offsets, [*part, "_blk"])
-                .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-                .drop("_blk", "_local", "_off"))
-
-
-def batch_cap(df: DataFrame, n: int = fixed.MAX_ARTICLES_PER_RUN,
-              order_cols: Sequence[str] = ("feed_pos",),
+    offsets = counts.select(*[F.col(c).alias(f"_o_{c}") for c in part], F.col("_blk").alias("_o_blk"),
+                            F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_off"))
+    rows = thin.withColumn("_local", local)
+    same = F.col("_blk") == F.col("_o_blk")
+    for c in part:
+        same = same & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    pos = rows.join(offsets, same).select(*part, order_col, (F.col("_off") + F.col("_local")).cast("bigint").alias(out))
+    others = [c for c in df.columns if c not in (*part, order_col, out)]
+    if not others:
+        return pos
+    pos = pos.select(*[F.col(c).alias(f"_p_{c}") for c in part], F.col(order_col).alias("_p_order"), out)
+    same = F.col(order_col) == F.col("_p_order")
+    for c in part:
+        same = same & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+    return df.drop(out).join(pos, same).select(*part, order_col, *others, out)
+
+
+def batch_cap(df: DataFrame, n: int, order_cols: Sequence[str] = ("feed_pos",),
               partition_cols: Sequence[str] = ()) -> DataFrame:
     """LIM-01: the first ``n`` entries of each feed, taken before dedup.
 

@@ -87,7 +87,7 @@ def remote_id(body: ColumnOrName) -> Column:
 
 def draft_rows(df: DataFrame, article_id: str = "article_id", mode: str = "delivery_mode",
                single: str = "single_tweet", thread: str = "thread", reply: str = "reply",
-               publish_mode: str = "draft", response_body: str | None = None,
+               publish_mode: ColumnOrName | None = None, response_body: str | None = None,
                created_at: ColumnOrName | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """SNK-02 row shape: one draft row per delivered package (``keep``
     carries extra columns along)."""
@@ -98,7 +98,7 @@ def draft_rows(df: DataFrame, article_id: str = "article_id", mode: str = "deliv
         rid.alias("draft_remote_id"),
         F.col(mode).alias("draft_type"),
         draft_payload(mode, single, thread, reply).alias("payload"),
-        F.lit(publish_mode).alias("publish_mode"),
+        (F.lit("draft") if publish_mode is None else _col(publish_mode)).alias("publish_mode"),
         F.lit("ok").alias("status"),
         ts.cast("timestamp").alias("created_at"),
         *keep)

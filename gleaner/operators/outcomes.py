@@ -13,7 +13,7 @@ ColumnOrName = Column | str
 
 def ingest_outcomes(feed: DataFrame,
                     key: str = "article_id",
-                    order_col: str = "feed_pos",
+                    order_col: str | Sequence[str] = "feed_pos",
                     excluded: ColumnOrName | None = "excluded",
                     failed: ColumnOrName | None = "failed",
                     ledger: DataFrame | None = None,
@@ -33,13 +33,16 @@ def ingest_outcomes(feed: DataFrame,
     back on the key: no window sorts a hot key's rows in one task, and AQE
     splits a skewed join partition.  A null key is ``failed``.
     ``scope`` columns (e.g. a feed id) restrict the "earlier copy" rule to
-    entries of the same scope."""
+    entries of the same scope.  ``order_col`` may name several columns (e.g.
+    batch, position, row id) where one alone has ties: entries that tie on all
+    of them count as the same entry."""
+    order = F.struct(*([order_col] if isinstance(order_col, str) else order_col))
     ex = _flag(excluded)
     fa = _flag(failed)
     df = feed.withColumn("_ex", ex).withColumn("_fail", fa)
     keys = [*scope, key]
     first_ok = (df.where(F.col(key).isNotNull() & (F.col("_ex") | ~F.col("_fail")))
-                  .groupBy(*keys).agg(F.min(order_col).alias("_first_ok")))
+                  .groupBy(*keys).agg(F.min(order).alias("_first_ok")))
     df = df.join(first_ok, keys, "left")
     in_ledger = F.lit(False)
     if ledger is not None:
@@ -51,7 +54,7 @@ def ingest_outcomes(feed: DataFrame,
                       .withColumn("_in_ledger", F.lit(True)))
         df = df.join(seen, key, "left")
         in_ledger = F.coalesce(F.col("_in_ledger"), F.lit(False))
-    dup = in_ledger | F.coalesce(F.col(order_col) > F.col("_first_ok"), F.lit(False))
+    dup = in_ledger | F.coalesce(order > F.col("_first_ok"), F.lit(False))
     outcome = (F.when(F.col(key).isNull(), F.lit("failed"))
                 .when(dup, F.lit("duplicate"))
                 .when(F.col("_ex"), F.lit("excluded"))
@@ -68,12 +71,16 @@ def _flag(c: ColumnOrName | None) -> Column:
     return F.coalesce(col.cast("boolean"), F.lit(False))
 
 
+COUNTERS = ("articles_found", "articles_processed", "articles_failed", "skipped_duplicate", "skipped_excluded")
+
+
 def run_summary(outcomes: DataFrame, run_col: str = "run_id",
-                outcome_col: str = "outcome") -> DataFrame:
+                outcome_col: str = "outcome", runs: DataFrame | None = None) -> DataFrame:
     """AGG-01 + AGG-02: one row per run with the counters and the status.
 
     found counts every entry inside the cap; duplicates and excluded entries
-    count only there."""
+    count only there.  ``runs`` (a table with ``run_col``) lists the runs that
+    must have a row: one without entries is completed with zeros."""
     o = F.col(outcome_col)
     agg = outcomes.groupBy(run_col).agg(
         F.count(F.lit(1)).alias("articles_found"),
@@ -81,6 +88,8 @@ def run_summary(outcomes: DataFrame, run_col: str = "run_id",
         F.count_if(o == "failed").alias("articles_failed"),
         F.count_if(o == "duplicate").alias("skipped_duplicate"),
         F.count_if(o == "excluded").alias("skipped_excluded"))
+    if runs is not None:
+        agg = runs.select(run_col).distinct().join(agg, run_col, "left").fillna(0, list(COUNTERS))
     status = F.when(F.col("articles_failed") == 0, F.lit("completed")).otherwise(
         F.lit("completed_with_errors"))
     return agg.withColumn("status", status)

@@ -41,24 +41,24 @@ def normalize_package(mode: ColumnOrName, single: ColumnOrName, thread: ColumnOr
 
 
 def _too_long_msg(max_chars: int) -> str:
-    return fixed.ERR_SINGLE_TOO_LONG.replace("280", str(max_chars))
+    return fixed.ERR_SINGLE_TOO_LONG.format(max=max_chars)
 
 
 def _item_msg(idx: Column, max_chars: int) -> Column:
-    head, tail = fixed.ERR_THREAD_ITEM_TOO_LONG.replace("280", str(max_chars)).split("{idx}")
-    return F.concat(F.lit(head), idx.cast("string"), F.lit(tail))
+    head, tail = fixed.ERR_THREAD_ITEM_TOO_LONG.split("{idx}")
+    return F.concat(F.lit(head), idx.cast("string"), F.lit(tail.format(max=max_chars)))
 
 
-def _error(mode: Column, single: Column, n_items: Column, first_long: Column,
+def _error(mode: Column, single_len: Column, n_items: Column, first_long: Column,
            allow_thread: Column | bool, max_chars: int, thread_size: int) -> Column:
     allow = F.lit(allow_thread) if isinstance(allow_thread, bool) else allow_thread
     return (F.when(~mode.isin(*fixed.DELIVERY_MODES), F.lit(fixed.ERR_BAD_MODE))
-             .when((mode == "single") & (single == ""), F.lit(fixed.ERR_SINGLE_MISSING))
-             .when((mode == "single") & (F.length(single) > max_chars), F.lit(_too_long_msg(max_chars)))
+             .when((mode == "single") & (single_len == 0), F.lit(fixed.ERR_SINGLE_MISSING))
+             .when((mode == "single") & (single_len > max_chars), F.lit(_too_long_msg(max_chars)))
              .when((mode == "single") & (n_items > 0), F.lit(fixed.ERR_SINGLE_HAS_THREAD))
              .when(mode == "single", F.lit(None).cast("string"))
              .when(~allow, F.lit(fixed.ERR_THREAD_DISABLED))
-             .when(single != "", F.lit(fixed.ERR_THREAD_HAS_SINGLE))
+             .when(single_len > 0, F.lit(fixed.ERR_THREAD_HAS_SINGLE))
              .when(n_items != thread_size, F.lit(fixed.ERR_THREAD_SIZE))
              .when(first_long > 0, _item_msg(first_long, max_chars)))
 
@@ -71,7 +71,7 @@ def package_error(mode: ColumnOrName, single: ColumnOrName, thread: ColumnOrName
     null when the package is valid."""
     th = _col(thread)
     first_long = F.array_position(F.transform(th, lambda t: F.length(t) > max_chars), True)
-    return _error(_col(mode), _col(single), F.size(th), first_long,
+    return _error(_col(mode), F.length(_col(single)), F.size(th), first_long,
                   allow_thread, max_chars, thread_size)
 
 
@@ -88,20 +88,18 @@ def validate_packages(df: DataFrame, mode: str = "delivery_mode", single: str =
                                             max_chars, thread_size))
 
 
-def item_stats(items: DataFrame, key: str, pos: str, text: str,
+def item_stats(items: DataFrame, key: str, pos: str, length: str,
                max_chars: int = fixed.MAX_POST_CHARS) -> DataFrame:
     """Per package: number of non-blank items and the 1-based index (among
-    non-blank items) of the first item over ``max_chars`` (0 when none).
+    non-blank items) of the first item over ``max_chars`` (0 when none), from
+    the items' stripped lengths.
 
-    Two partial aggregates and one key join; a package with millions of
-    items is still reduced map-side."""
-    # The item text is read once: only (key, position, stripped length) of
-    # non-blank items is kept, written once, and both passes read that.
-    n = F.length(py_strip(F.coalesce(F.col(text), F.lit(""))))
-    it = materialize(items.select(key, pos, n.alias("_len")).where(F.col("_len") > 0))
+    Two partial aggregates and one key join; a package with millions of items is
+    still reduced map-side.  ``items`` is read twice: pass a written table."""
+    it = items.where(F.col(length) > 0)
     first = (it.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.min(F.when(F.col("_len") > max_chars, F.col(pos))).alias("_first_pos")))
+        F.min(F.when(F.col(length) > max_chars, F.col(pos))).alias("_first_pos")))
     before = (it.join(first.where(F.col("_first_pos").isNotNull()).select(key, "_first_pos"), key)
                 .groupBy(key).agg(F.count_if(F.col(pos) < F.col("_first_pos")).alias("_before")))
     return (first.join(before, key, "left")
@@ -110,22 +108,37 @@ def item_stats(items: DataFrame, key: str, pos: str, text: str,
                           .otherwise(F.col("_before") + 1).alias("first_long")))
 
 
+def validate_lengths(packages: DataFrame, items: DataFrame, key: str, pos: str, length: str,
+                     mode: str = "delivery_mode", single_len: str = "single_len",
+                     allow_thread: Column | bool = True, max_chars: int = fixed.MAX_POST_CHARS,
+                     thread_size: int = fixed.THREAD_SIZE, out: str = "error") -> DataFrame:
+    """FLT-07 where only lengths are known: ``packages`` has one row per key with
+    its normalized mode and the length of its single text, ``items`` one row per
+    thread item with its stripped length.  Adds ``n_items`` and ``out``."""
+    stats = item_stats(items, key, pos, length, max_chars)
+    p = (packages.join(stats, key, "left")
+                 .withColumn("n_items", F.coalesce(F.col("n_items"), F.lit(0)).cast("bigint"))
+                 .withColumn("first_long", F.coalesce(F.col("first_long"), F.lit(0))))
+    err = _error(F.col(mode), F.col(single_len), F.col("n_items"), F.col("first_long"),
+                 allow_thread, max_chars, thread_size)
+    return p.withColumn(out, err).drop("first_long")
+
+
 def validate_long(packages: DataFrame, items: DataFrame, key: str, pos: str, text: str,
                   mode: str = "delivery_mode", single: str = "single_tweet",
                   allow_thread: Column | bool = True,
                   max_chars: int = fixed.MAX_POST_CHARS,
                   thread_size: int = fixed.THREAD_SIZE, out: str = "error") -> DataFrame:
     """FLT-07 for long-form packages: ``packages`` has one row per key with
-    mode and single text, ``items`` one row per thread item."""
-    stats = item_stats(items, key, pos, text, max_chars)
+    mode and single text, ``items`` one row per thread item.  Item texts are
+    read once; only (key, position, length) is written and aggregated."""
+    n = F.length(py_strip(F.coalesce(F.col(text), F.lit(""))))
+    thin = materialize(items.select(key, pos, n.alias("_len")), "items")
     p = (packages.withColumn(mode, F.lower(py_strip(F.coalesce(F.col(mode), F.lit("")))))
                  .withColumn(single, py_strip(F.coalesce(F.col(single), F.lit(""))))
-                 .join(stats, key, "left")
-                 .withColumn("n_items", F.coalesce(F.col("n_items"), F.lit(0)).cast("bigint"))
-                 .withColumn("first_long", F.coalesce(F.col("first_long"), F.lit(0))))
-    err = _error(F.col(mode), F.col(single), F.col("n_items"), F.col("first_long"),
-                 allow_thread, max_chars, thread_size)
-    return p.withColumn(out, err).drop("first_long")
+                 .withColumn("_single", F.length(single)))
+    return validate_lengths(p, thin, key, pos, "_len", mode, "_single", allow_thread, max_chars,
+                            thread_size, out).drop("_single")
 
 
 def promo_regex(patterns: Iterable[str] = fixed.PROMO_PATTERNS) -> str | None:

@@ -65,9 +65,9 @@ _FIELD = re.compile(r"\{(\w+)\}")
 
 def _budgeted(text: ColumnOrName, budget: int | None) -> Column:
     """The article text as placed into a prompt.  Every upstream step
-    (cleaning, key points, thread gate) reads the whole text; only the copy
-    handed to the model is held to its context budget (LIM-03).
-    ``budget=None`` places the whole text."""
+    (cleaning, key points, thread gate) reads the whole text, and by default
+    the whole text is placed; ``budget`` holds the copy handed to the model to
+    its context size (LIM-03)."""
     t = F.coalesce(_col(text), F.lit(""))
     return t if budget is None else F.substring(t, 1, budget)
 
@@ -90,10 +90,10 @@ def render(template: str, **fields: Column) -> Column:
     return F.concat(*parts)
 
 
-def bullet_points(points: ColumnOrName, limit: int) -> Column:
-    """First ``limit`` points as ``- `` lines, or the "none extracted" line."""
+def bullet_points(points: ColumnOrName, limit: int | None = None) -> Column:
+    """Points (the first ``limit``, if given) as ``- `` lines, or the "none extracted" line."""
     p = F.coalesce(_col(points), F.array().cast("array<string>"))
-    head = F.slice(p, 1, limit)
+    head = p if limit is None else F.slice(p, 1, limit)
     return F.when(F.size(head) == 0, F.lit(fixed.NO_POINTS_LINE)).otherwise(
         F.array_join(F.transform(head, lambda x: F.concat(F.lit(fixed.POINT_BULLET), x)), "\n"))
 
@@ -108,8 +108,8 @@ def generate_prompt(title: ColumnOrName, author: ColumnOrName, published: Column
                     clean_text: ColumnOrName, points: ColumnOrName,
                     allow_thread: Column | bool = True,
                     template: str = GENERATE_TEMPLATE,
-                    text_budget: int | None = fixed.PROMPT_TEXT_CHARS,
-                    max_points: int = fixed.PROMPT_POINTS_GENERATE) -> Column:
+                    text_budget: int | None = None,
+                    max_points: int | None = None) -> Column:
     """Generation prompt: title, author or "Unknown", ISO time or "Unknown",
     the clean text within the model's text budget, the first points."""
     pub = _col(published)
@@ -133,8 +133,8 @@ def draft_json(mode: ColumnOrName, single: ColumnOrName, thread: ColumnOrName) -
 def fact_check_prompt(clean_text: ColumnOrName, points: ColumnOrName, draft: ColumnOrName,
                       allow_thread: Column | bool = True,
                       template: str = FACT_CHECK_TEMPLATE,
-                      text_budget: int | None = fixed.PROMPT_TEXT_CHARS,
-                      max_points: int = fixed.PROMPT_POINTS_FACT_CHECK) -> Column:
+                      text_budget: int | None = None,
+                      max_points: int | None = None) -> Column:
     return render(
         template,
         text=_budgeted(clean_text, text_budget),
@@ -146,7 +146,7 @@ def fact_check_prompt(clean_text: ColumnOrName, points: ColumnOrName, draft: Col
 def promo_rewrite_prompt(clean_text: ColumnOrName, draft: ColumnOrName,
                          allow_thread: Column | bool = True,
                          template: str = PROMO_REWRITE_TEMPLATE,
-                         text_budget: int | None = fixed.PROMPT_TEXT_CHARS) -> Column:
+                         text_budget: int | None = None) -> Column:
     return render(
         template,
         text=_budgeted(clean_text, text_budget),

@@ -35,7 +35,7 @@ def schedule_values(body: ColumnOrName, keys: Iterable[str] = fixed.SCHEDULE_KEY
 
 def latest_queued(queue: DataFrame, now: ColumnOrName, group_cols: Sequence[str] = (),
                   body: str = "body", page: str | None = "page",
-                  max_pages: int | None = fixed.MAX_QUEUE_PAGES,
+                  max_pages: int | None = None,
                   keys: Iterable[str] = fixed.SCHEDULE_KEYS,
                   out: str = "latest") -> DataFrame:
     """AGG-03 (+ LIM-04, FLT-09): the latest queued publish time at or after
@@ -43,7 +43,7 @@ def latest_queued(queue: DataFrame, now: ColumnOrName, group_cols: Sequence[str]
 
     Values are pulled from the raw JSON text row-locally, exploded, parsed
     (text without an offset is UTC; unparseable text is ignored) and
-    reduced with a partial ``max``; pages past the page cap are skipped."""
+    reduced with a partial ``max``; ``max_pages`` skips pages from that number on."""
     q = queue
     if page is not None and max_pages is not None:
         q = q.where(F.col(page) < max_pages)
@@ -60,13 +60,8 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
                   spacing_minutes: int = fixed.PUBLISH_SPACING_MINUTES,
                   latest: ColumnOrName | None = None,
                   fixed_at: ColumnOrName | None = None,
-                  bucket_minutes: int = 360,
-                  out: str = "slot",
-                  materialize_rows: bool = True,
-                  block_by: str = "range",
-                  key_block: int = 100_000,
-                  range_blocks: int | None = None) -> DataFrame:
-    """WIN-02: give every row a publish slot.
+                  out: str = "slot", block_rows: int = 500_000) -> DataFrame:
+    """WIN-02: give every row a publish slot; ``key_col`` is unique.
 
     Loop semantics, per channel in (time, key) order, with ``t`` the row's
     arrival time: ``slot = max(t, previous slot + spacing)``; the first slot
@@ -77,73 +72,46 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
     The running max is a prefix scan, computed in parallel so that a channel
     holding a large share of all rows is never sorted in one task:
 
-    1. rows are cut into blocks that are contiguous in (channel, time, key)
-       order; inside a block a window gives the local index and local
-       running max;
-    2. a partial aggregate gives each block's row count and max;
-    3. a window over the (small) block table per channel gives each block's
-       offset (rows before it) and the max carried in from earlier blocks;
-    4. rows join their block's carry and combine it with the local values.
-
-    Blocks must be contiguous in (time, key) order.  ``block_by='time'``
-    cuts fixed time buckets; ``block_by='key'`` cuts ranges of an integer
-    key, which is right when every row has the same arrival time (one
-    ``now`` per batch) and bounds each block to ``key_block`` rows when keys
-    are unique; ``block_by='range'`` lets a sampled range partitioning of
-    (channel, time, key) cut ``range_blocks`` similarly sized blocks, which
-    holds for any skew, bursts and ties included, at the price of a sampling
-    pass and one write.
+    1. a sampled range partitioning of (channel, time, key) cuts the rows into
+       similarly sized contiguous blocks, whatever the skew, bursts and ties;
+       only these three columns are shuffled, and written once with their block
+       (so that a recomputation cannot renumber it);
+    2. a window inside a block gives the local index and running max, a partial
+       aggregate each block's row count and max;
+    3. a window over the block table (one row per channel and block) gives the
+       rows before a block and the max carried in;
+    4. rows join their block's carry; other columns are joined back at the end.
 
     ``fixed_at`` gives every row that same slot (a configured time)."""
     if fixed_at is not None:
         return df.withColumn(out, _col(fixed_at).cast("timestamp"))
     d = int(spacing_minutes) * MICROS_PER_MINUTE
-    width = int(bucket_minutes) * MICROS_PER_MINUTE
-    ch = list(channel_cols)
-    t_us = epoch_micros(time_col)
-    if block_by == "range":
-        # Sampled range partitioning on (channel, time, key): every partition
-        # holds one contiguous, similarly sized stretch of the global order,
-        # whatever the skew, and its id is the block.  The ids are written
-        # with the rows so that a recomputation cannot renumber them.
-        n = range_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = (df.withColumn("_t", t_us)
-                  .repartitionByRange(n, *ch, "_t", key_col)
-                  .withColumn("_b", F.spark_partition_id().cast("bigint")))
-        rows = materialize(rows)
-    elif block_by in ("time", "key"):
-        block = (F.floor(F.col("_t") / F.lit(width)) if block_by == "time"
-                 else F.floor(F.col(key_col) / F.lit(int(key_block))))
-        rows = (df.withColumn("_t", t_us)
-                  .withColumn("_b", block.cast("bigint")))
-    else:
-        raise ValueError("block_by must be 'range', 'time' or 'key'")
-    wb = Window.partitionBy(*ch, "_b").orderBy("_t", key_col)
-    rows = (rows.withColumn("_j", (F.row_number().over(wb) - 1).cast("bigint"))
+    names = [f"_c{i}" for i in range(len(channel_cols))]
+    thin = df.select(*[F.col(c).alias(n) for c, n in zip(channel_cols, names)],
+                     F.col(key_col).alias("_k"), epoch_micros(time_col).alias("_t"))
+    n_blocks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // block_rows))
+    thin = materialize(thin.repartitionByRange(n_blocks, *names, "_t", "_k")
+                           .withColumn("_b", F.spark_partition_id().cast("bigint")), "slot_blocks")
+    wb = Window.partitionBy(*names, "_b").orderBy("_t", "_k")
+    rows = (thin.withColumn("_j", (F.row_number().over(wb) - 1).cast("bigint"))
                 .withColumn("_v", F.col("_t") - F.col("_j") * F.lit(d))
                 .withColumn("_lmax", F.max("_v").over(
                     wb.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    if materialize_rows:
-        # Both the block table and the final join read these rows: write
-        # them once instead of sorting and windowing the input twice.
-        rows = materialize(rows.select(key_col, *ch, "_t", "_b", "_j", "_v", "_lmax",
-                                       *[c for c in df.columns if c not in (key_col, *ch)]))
-    blocks = rows.groupBy(*ch, "_b").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_bmax"))
-    wc = (Window.partitionBy(*ch).orderBy("_b")
-                .rowsBetween(Window.unboundedPreceding, -1)) if ch else \
-         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_bmax"))
+    wc = Window.partitionBy(*names).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(wc), F.lit(0)).cast("bigint"))
     blocks = (blocks.withColumn("_vo", F.col("_bmax") - F.col("_off") * F.lit(d))
                     .withColumn("_carry", F.max("_vo").over(wc))
-                    .select(*ch, "_b", "_off", "_carry"))
-    r = rows.join(blocks, [*ch, "_b"])
+                    .select(*[F.col(n).alias(f"_x{n}") for n in names], F.col("_b").alias("_xb"), "_off", "_carry"))
+    same = F.col("_b") == F.col("_xb")
+    for n in names:
+        same = same & F.col(n).eqNullSafe(F.col(f"_x{n}"))
     prefix = F.greatest(F.col("_carry"), F.col("_lmax") - F.col("_off") * F.lit(d))
     if latest is not None:
-        seed = epoch_micros(_col(latest)) + F.lit(d)
-        prefix = F.greatest(prefix, seed)
-    slot_us = (F.col("_off") + F.col("_j")) * F.lit(d) + prefix
-    return (r.withColumn(out, F.timestamp_micros(slot_us))
-             .drop("_t", "_b", "_j", "_v", "_lmax", "_off", "_carry"))
+        prefix = F.greatest(prefix, epoch_micros(_col(latest)) + F.lit(d))
+    slot = F.timestamp_micros((F.col("_off") + F.col("_j")) * F.lit(d) + prefix)
+    slots = rows.join(blocks, same).select(F.col("_k"), slot.alias("_slot"))
+    return df.join(slots, F.col(key_col) == F.col("_k")).withColumn(out, F.col("_slot")).drop("_k", "_slot")
 
 
 def slot_text(c: ColumnOrName) -> Column:

@@ -14,10 +14,6 @@ ColumnOrName = Column | str
 
 _WS_RUN = char_class(PY_WHITESPACE) + "+"
 
-# Name lists up to this size are matched with one regex; larger ones go
-# through a join against a names table.
-MAX_INLINE_NAMES = 256
-
 
 def ledger_anti_join(feed: DataFrame, ledger: DataFrame, key: str = "article_id",
                      prefilter: bool = False) -> DataFrame:
@@ -36,34 +32,28 @@ def ledger_anti_join(feed: DataFrame, ledger: DataFrame, key: str = "article_id"
     return feed.join(keys, key, "left_anti")
 
 
-def normalize_names(names: Iterable[str | None]) -> list[str]:
-    """Setting list -> normalized names: blanks dropped, whitespace runs
-    collapsed, stripped, case-folded."""
-    return [" ".join(n.split()).casefold() for n in names if n and n.split()]
-
-
 def normalize_author(c: ColumnOrName) -> Column:
-    """Author text with whitespace runs collapsed, stripped, lower-cased
-    (Spark's ``lower`` stands in for ``casefold``; they differ on a few
-    letters such as the German sharp s)."""
+    """Author or excluded name with white-space runs collapsed, stripped and
+    case-folded (lower case, the sharp s as ``ss``, one form of sigma)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.lower(py_strip(F.regexp_replace(col, _WS_RUN, " ")))
+    text = F.lower(py_strip(F.regexp_replace(col, _WS_RUN, " ")))
+    return F.translate(F.replace(text, F.lit("\u00df"), F.lit("ss")), "\u03c2", "\u03c3")
 
 
-def author_excluded(c: ColumnOrName, names: Iterable[str]) -> Column:
+def author_excluded(c: ColumnOrName, names: Iterable[str | None]) -> Column:
     """FLT-01: true when a normalized excluded name occurs in the author with
     a non ``[a-z]`` character (or the edge) on both sides.  Null or empty
-    author, or an empty list, is never excluded."""
-    norm = normalize_names(names)
+    author, a blank name or an empty list never excludes.
+
+    Names go through the same rule as authors; their patterns are constants
+    that Spark folds."""
     col = F.col(c) if isinstance(c, str) else c
-    if not norm:
-        return F.lit(False)
-    alt = "|".join(r"\Q" + n + r"\E" for n in norm)
-    rx = "(?:^|[^a-z])(?:" + alt + ")(?:[^a-z]|$)"
-    return F.coalesce(
-        F.when(col.isNull() | (col == ""), F.lit(False))
-         .otherwise(normalize_author(col).rlike(rx)),
-        F.lit(False))
+    author, out = normalize_author(col), F.lit(False)
+    for n in names:
+        name = normalize_author(F.lit(n).cast("string"))
+        pattern = F.concat(F.lit(r"(?:^|[^a-z])(?:\Q"), name, F.lit(r"\E)(?:[^a-z]|$)"))
+        out = out | F.when(name != "", F.regexp_like(author, pattern)).otherwise(F.lit(False))
+    return F.when(col.isNull() | (col == ""), F.lit(False)).otherwise(F.coalesce(out, F.lit(False)))
 
 
 def _name_candidates(author_norm: Column, max_len: Column) -> Column:
@@ -85,20 +75,13 @@ def screen_authors(df: DataFrame, author_col: str, names: DataFrame | Iterable[s
                    name_col: str = "name", out: str = "excluded") -> DataFrame:
     """JOIN-04: add ``out`` = author matches any excluded name.
 
-    ``names`` may be a Python list (one regex) or a DataFrame of names of any
-    size.  For a table, every author is expanded into the bounded set of
-    boundary-aligned substrings (no longer than the longest name) and
-    equi-joined to the names: exact, shuffle-based, and with no broadcast
-    whose size would grow with the name list."""
+    ``names`` is a Python list or a DataFrame of names, of any size.  Every
+    author is expanded into the bounded set of boundary-aligned substrings (no
+    longer than the longest name) and equi-joined to the names: exact,
+    shuffle-based, and with no broadcast whose size would grow with the list."""
     if not isinstance(names, DataFrame):
-        names = list(names)
-        if len(names) <= MAX_INLINE_NAMES:
-            return df.withColumn(out, author_excluded(author_col, names))
-        spark = df.sparkSession
-        names = spark.createDataFrame([(n,) for n in normalize_names(names)], name_col)
-    else:
-        names = names.select(normalize_author(name_col).alias(name_col)).where(
-            F.col(name_col) != "")
+        names = df.sparkSession.createDataFrame([(n,) for n in names], f"{name_col} string")
+    names = names.select(normalize_author(name_col).alias(name_col)).where(F.col(name_col) != "")
     names = names.select(F.col(name_col).alias("_cand")).distinct()
     max_len = names.agg(F.max(F.length("_cand"))).first()[0]
     if max_len is None:

@@ -8,10 +8,9 @@ with scalar columns whose names equal the oracle's.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions import fixed
@@ -34,35 +33,9 @@ THREAD_MIN_CHARS = 1000
 BATCH_CAP = 10
 
 
-# Table handles and built column expressions are reused across calls: a
-# parquet read costs a footer round trip and a deep expression tree costs
-# hundreds of JVM calls to build, while both are immutable plans.  Handles
-# are keyed by session, path and file modification time.
-_TABLES: dict[tuple, DataFrame] = {}
-_EXPRS: dict[tuple, F.Column] = {}
-
-
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
-    path = f"{sf_dir}/{name}.parquet"
-    try:
-        stamp = os.stat(path).st_mtime_ns
-    except OSError:
-        stamp = None
-    key = (id(spark), path, stamp)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
-
-
-def _expr(spark: SparkSession, key: str, build: Callable[[], F.Column]) -> F.Column:
-    k = (id(spark), key)
-    col = _EXPRS.get(k)
-    if col is None:
-        col = _EXPRS[k] = build()
-    return col
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
@@ -76,7 +49,7 @@ def _docs(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
 
 def q_clean_documents(spark, sf_dir):
     d = _docs(spark, sf_dir, "doc_id", "text")
-    lines = _expr(spark, "clean_lines", lambda: T.clean_lines(F.col("text")))
+    lines = T.clean_lines("text")
     return (d.withColumn("_l", lines)
              .select("doc_id",
                      F.array_join("_l", "\n").alias("clean_text"),
@@ -91,7 +64,7 @@ def o_clean_documents():
 
 def q_key_points(spark, sf_dir):
     d = _docs(spark, sf_dir, "doc_id", "text")
-    pts = _expr(spark, "key_points", lambda: S.key_points(T.clean_lines(F.col("text")), cap=KEY_POINT_CAP))
+    pts = S.key_points(T.clean_lines("text"), cap=KEY_POINT_CAP)
     return (d.select("doc_id", F.posexplode(pts).alias("_i", "point"))
              .select("doc_id", (F.col("_i") + 1).cast("bigint").alias("point_no"), "point"))
 
@@ -104,11 +77,51 @@ def o_key_points():
     FROM points"""
 
 
+def q_key_points_all(spark, sf_dir):
+    """WIN-01 without its cap: every hit of every document."""
+    pts = S.key_points(T.clean_lines("text"))
+    return (_docs(spark, sf_dir, "doc_id", "text").select("doc_id", F.posexplode(pts).alias("_i", "point"))
+            .select("doc_id", (F.col("_i") + 1).cast("bigint").alias("point_no"), "point"))
+
+
+def o_key_points_all():
+    return f"""
+    WITH l AS (SELECT doc_id, unnest(arr) AS point, generate_subscripts(arr, 1) AS i
+               FROM (SELECT doc_id, {Q.clean_lines('text')} AS arr FROM documents))
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS point_no, point
+    FROM l WHERE {Q.stat_any('point')} OR {Q.angle_any('point')}"""
+
+
+# Lines appended to a document's first one, by its id: each statistic pattern is
+# hit by some and missed by others.
+STAT_SAMPLES = ["went 12-5 last year", "went 12-5b last year", "hit 55.25%x of them", "hit 55% of them",
+                "opened at 110 flat", "a pk game", "stays under 45.5", "stayed Over 7 again", "nothing here", "1234-5678"]
+
+
+def q_stat_lines(spark, sf_dir):
+    """FLT-04 pattern by pattern on lines that hit every one of them."""
+    d = _docs(spark, sf_dir, "doc_id", "source")
+    sample = F.element_at(F.array(*[F.lit(x) for x in STAT_SAMPLES]), (F.col("doc_id") % len(STAT_SAMPLES) + 1).cast("int"))
+    d = d.withColumn("line", F.concat_ws(" ", "source", sample))
+    return d.select("doc_id", "line", *[c.alias(f"is_{n}") for n, c in S.stat_flags(F.col("line")).items()])
+
+
+def o_stat_lines():
+    # The four patterns as they read, in RE2 with ASCII word ends: the lines are ASCII.
+    rx = {"record": r"\b[0-9]{1,3}-[0-9]{1,3}\b", "percentage": r"\b[0-9]{1,3}\.[0-9]+%\b",
+          "odds": r"(?i)\b(-?[0-9]{3,4}|\+[0-9]{3,4}|PK)\b", "total": r"(?i)\b(Over|Under)\s*[0-9]{1,3}(\.[0-9])?\b"}
+    samples = "[" + ", ".join(Q.q(x) for x in STAT_SAMPLES) + "]"
+    flags = ", ".join(f"regexp_matches(line, {Q.q(p)}) AS is_{n}" for n, p in rx.items())
+    return f"""
+    WITH d AS (SELECT doc_id, source || ' ' || ({samples})[doc_id % {len(STAT_SAMPLES)} + 1] AS line FROM documents)
+    SELECT doc_id, line, {flags} FROM d"""
+
+
 def q_line_flags(spark, sf_dir):
     """FLT-02..06 counted per language.  Lines are exploded row-locally and
     reduced with a partial aggregate; nothing is collected per document."""
     d = _docs(spark, sf_dir, "doc_id", "lang", "text")
-    lines = d.select("lang", F.explode(_expr(spark, "text_lines", lambda: T.text_lines(F.col("text")))).alias("l"))
+    lines = d.select("lang", F.explode(T.text_lines(F.col("text"))).alias("l"))
     l = F.col("l")
     disc = l.rlike(T.disclaimer_regex(LICENSE_DISCLAIMERS))
     kept = ~disc & (F.length(l) >= 2)
@@ -149,7 +162,7 @@ def o_line_flags():
 
 def q_thread_gate(spark, sf_dir):
     d = _docs(spark, sf_dir, "doc_id", "text")
-    a = article.assemble_articles(d, "text")
+    a = article.assemble_articles(d, "text", cap=fixed.MAX_KEY_POINTS)
     return a.select(
         "doc_id",
         F.size("extracted_insights").cast("bigint").alias("n_points"),
@@ -225,6 +238,42 @@ def o_body_ladder():
     SELECT doc_id, body_source, body, CAST(length(body) AS BIGINT) AS body_chars FROM lad"""
 
 
+def q_body_ladder_main(spark, sf_dir):
+    """All rungs of the ladder: every third document is a marked-up feed body (in
+    every sixth long only by its tags), every fifth page has main text, every
+    page was crawled again as an error page, every seventh document has no url."""
+    d = _docs(spark, sf_dir, "doc_id", "text")
+    body = F.when(F.col("doc_id") % 6 == 0, F.concat(F.lit("<p>short</p>"), F.repeat(F.lit("<br/>"), 200))) \
+            .when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<p class='a'>"), F.col("text"), F.lit("</p>"))) \
+            .otherwise(F.substring("text", 1, 100))
+    feed = d.select("doc_id", body.alias("feed_body"),
+                    F.when(F.col("doc_id") % 7 == 0, F.lit(" ")).otherwise(F.col("doc_id").cast("string")).alias("url"))
+    pages = _t(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("string").alias("url"), "html",
+        F.when(F.col("page_id") % 5 == 0, F.repeat(F.col("url"), 20)).alias("main"), F.lit(1).alias("crawl"))
+    again = pages.select("url", F.lit("<p>404 not found</p>").alias("html"), "main", F.lit(2).alias("crawl"))
+    out = article.body_ladder(feed, pages.unionByName(again), feed_body="feed_body", main_col="main", crawl_col="crawl")
+    return out.select("doc_id", "body_source", "body")
+
+
+def o_body_ladder_main():
+    ok = "length(regexp_replace(f.fb, '<[^>]+>', '', 'g')) > 500"
+    return f"""
+    WITH {_o_page_bodies()},
+    f AS (SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN '<p>short</p>' || repeat('<br/>', 200)
+                              WHEN doc_id % 3 = 0 THEN '<p class=''a''>' || text || '</p>'
+                              ELSE substring(text, 1, 100) END AS fb, doc_id % 7 = 0 AS blank FROM documents),
+    p AS (SELECT pb.page_id, article_text, CASE WHEN article_text IS NULL THEN '404 not found' ELSE page_text END AS page_text,
+                 CASE WHEN pb.page_id % 5 = 0 THEN repeat(pages.url, 20) END AS main
+          FROM pb JOIN pages ON pages.page_id = pb.page_id),
+    j AS (SELECT f.doc_id, fb, {ok} AS ok, p.* EXCLUDE (page_id) FROM f LEFT JOIN p ON p.page_id = f.doc_id AND NOT f.blank)
+    SELECT doc_id,
+           CASE WHEN ok THEN 'feed' WHEN length(main) > 500 THEN 'main' WHEN article_text IS NOT NULL THEN 'article'
+                WHEN page_text IS NOT NULL THEN 'page' ELSE 'missing' END AS body_source,
+           CASE WHEN ok THEN fb WHEN length(main) > 500 THEN main ELSE coalesce(article_text, page_text) END AS body
+    FROM j"""
+
+
 # --------------------------------------------------------------------------
 # Keys, ledger, authors, cap, outcomes
 
@@ -267,7 +316,7 @@ def o_ledger_anti():
 
 
 def _o_author_match(col: str, names: list[str]) -> str:
-    alt = "|".join(screen.normalize_names(names))
+    alt = "|".join(names)  # the fixture names are normalized as written
     norm = f"lower(trim(regexp_replace({col}, {Q.q(fixed.char_class(fixed.PY_WHITESPACE) + '+')}, ' ', 'g'), {Q.WS}))"
     return (f"coalesce(CASE WHEN {col} IS NULL OR {col} = '' THEN false ELSE "
             f"regexp_matches({norm}, {Q.q('(?:^|[^a-z])(?:' + alt + ')(?:[^a-z]|$)')}) END, false)")
@@ -307,10 +356,10 @@ def o_author_screen_table():
 
 def q_feed_positions(spark, sf_dir):
     """WIN-04: dense position of every document within its source (the
-    feed), in id order, computed with key blocks rather than a per-feed
+    feed), in id order, computed over sampled range blocks rather than a per-feed
     row_number."""
     d = _t(spark, sf_dir, "documents").select("doc_id", "source")
-    return keys.feed_position(d, "doc_id", "feed_pos", ["source"], key_block=64)
+    return keys.feed_position(d, "doc_id", "feed_pos", ["source"])
 
 
 def o_feed_positions():
@@ -399,37 +448,35 @@ def o_run_summary():
 # Packages: validation, promo wording, prompts, outbox
 
 
-def _conv_packages(spark, sf_dir):
-    """Assistant turns of a conversation stand in for a model response: one
-    turn is a single post, several turns are a thread in turn order.
-    Returns (packages, items) in long form."""
-    a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-         .select("conv_id", "turn", "text"))
-    pk = (a.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"), F.max("text").alias("_one"))
-           .select("conv_id",
-                   F.when(F.col("_n") == 1, "single").otherwise("thread").alias("delivery_mode"),
-                   F.when(F.col("_n") == 1, F.col("_one")).otherwise(F.lit("")).alias("single_tweet")))
-    items = a.join(pk.where(F.col("delivery_mode") == "thread").select("conv_id"), "conv_id",
-                   "left_semi")
-    return pk, items
+def _conv_items(spark, sf_dir):
+    """Assistant turns of a conversation stand in for a model response: one turn
+    is a single post, several turns are a thread in turn order.  One scan: the
+    stripped texts and their lengths, written once."""
+    text = T.py_strip(F.coalesce(F.col("text"), F.lit("")))
+    return materialize(_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
+                       .select("conv_id", "turn", text.alias("t"), F.length(text).alias("n")), "items")
 
 
-def _validated(spark, sf_dir, max_chars):
-    pk, items = _conv_packages(spark, sf_dir)
-    return packages.validate_long(pk, items, "conv_id", "turn", "text", max_chars=max_chars)
+def _validated(items, max_chars):
+    """(conv_id, delivery_mode, n_items, error) from the lengths alone."""
+    pk = (items.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"), F.max("n").alias("_len"))
+               .select("conv_id", F.when(F.col("_n") == 1, "single").otherwise("thread").alias("delivery_mode"),
+                       F.when(F.col("_n") == 1, F.col("_len")).otherwise(F.lit(0)).alias("single_len")))
+    thread = items.join(pk.where("delivery_mode = 'thread'").select("conv_id"), "conv_id", "left_semi")
+    return packages.validate_lengths(pk, thread, "conv_id", "turn", "n", max_chars=max_chars)
 
 
 def _q_validate(max_chars):
     def q(spark, sf_dir):
-        v = _validated(spark, sf_dir, max_chars)
+        v = _validated(_conv_items(spark, sf_dir), max_chars)
         return v.select("conv_id", "delivery_mode", "n_items", "error",
                         F.col("error").isNull().alias("valid"))
     return q
 
 
 def _o_validated(max_chars):
-    too_long = fixed.ERR_SINGLE_TOO_LONG.replace("280", str(max_chars))
-    head, tail = fixed.ERR_THREAD_ITEM_TOO_LONG.replace("280", str(max_chars)).split("{idx}")
+    too_long = f"single_tweet exceeds {max_chars} characters"
+    head, tail = "thread tweet ", f" exceeds {max_chars} characters"
     return f"""
     a AS (SELECT conv_id, turn, trim(text, {Q.WS}) AS t FROM conversations WHERE role = 'assistant'),
     p AS (SELECT conv_id, CASE WHEN count(*) = 1 THEN 'single' ELSE 'thread' END AS delivery_mode,
@@ -467,13 +514,34 @@ PROMO_FIXTURE = {"hit_on": [r"\bon\b"], "hit_for": [r"\bfor\b"]}
 
 
 def q_promo_flag(spark, sf_dir):
-    """Every assistant turn checked as a post: the fixture word lists
-    ``on`` / ``for`` (which do occur) and the default promotional list."""
-    a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-         .select("conv_id", "turn", "text"))
+    """Every turn checked as a post: the fixture word lists ``on`` / ``for``
+    (which do occur) and the default promotional list."""
     cols = [packages.promo_flag("text", None, pats).alias(name) for name, pats in PROMO_FIXTURE.items()]
     cols.append(packages.promo_flag("text").alias("promo_default"))
-    return a.select("conv_id", "turn", *cols)
+    return _t(spark, sf_dir, "conversations").select("conv_id", "turn", *cols)
+
+
+# Words put behind a turn's role, by conversation and turn: each promotional
+# pattern is hit by one and narrowly missed by another.
+PROMO_SAMPLES = ["Check out this", "checkout", "READ more", "bread", "watch it", "watching", "Follow us", "followed", "subscribe now",
+                 "subscribed", "visit", "visits", "a preview of", "previews", "previewed", "promo code", "promotion", "exclusive", "exclusively"]
+
+
+def q_promo_words(spark, sf_dir):
+    """FLT-08 with the default list, on posts that hit every pattern of it."""
+    i = ((F.col("conv_id") * 7 + F.col("turn")) % len(PROMO_SAMPLES) + 1).cast("int")
+    post = F.concat_ws(" ", "role", F.element_at(F.array(*[F.lit(x) for x in PROMO_SAMPLES]), i))
+    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", post.alias("post"))
+    return c.select("conv_id", "turn", "post", packages.promo_flag("post").alias("promo"))
+
+
+def o_promo_words():
+    samples = "[" + ", ".join(Q.q(x) for x in PROMO_SAMPLES) + "]"
+    rx = r"\b(check out|read|watch|follow|subscribe|visit|preview|previews|promo|exclusive)\b"
+    return f"""
+    WITH c AS (SELECT conv_id, turn, role || ' ' || ({samples})[(conv_id * 7 + turn) % {len(PROMO_SAMPLES)} + 1] AS post
+               FROM conversations)
+    SELECT conv_id, turn, post, regexp_matches(lower(post), {Q.q(rx)}) AS promo FROM c"""
 
 
 def _re2_word(p: str) -> str:
@@ -487,21 +555,34 @@ def o_promo_flag():
             for name, pats in PROMO_FIXTURE.items()]
     dflt = "|".join(_re2_word(x) for x in fixed.PROMO_PATTERNS)
     cols.append(f"regexp_matches(lower(coalesce(text, '')), {Q.q(dflt)}) AS promo_default")
-    return f"SELECT conv_id, turn, {', '.join(cols)} FROM conversations WHERE role = 'assistant'"
+    return f"SELECT conv_id, turn, {', '.join(cols)} FROM conversations"
 
 
-def q_prompt_table(spark, sf_dir):
-    """Generation prompts for every document: the first clean line is the
-    title, the source the author, no publish time."""
+def _prompt_parts(spark, sf_dir, cap):
     d = _docs(spark, sf_dir, "doc_id", "source", "text")
-    a = (d.withColumn("_l", T.clean_lines("text"))
-          .withColumn("clean_text", F.array_join("_l", "\n"))
-          .withColumn("pts", S.key_points("_l"))
-          .withColumn("title", F.coalesce(F.element_at("_l", 1), F.lit(""))))
-    allow = S.allow_thread(F.col("pts"), F.col("clean_text"))
-    pr = prompts.generate_prompt("title", "source", F.lit(None).cast("timestamp"),
-                                 "clean_text", "pts", allow)
-    return a.select("doc_id", pr.alias("prompt"), F.length(pr).cast("bigint").alias("prompt_chars"))
+    return (d.withColumn("_l", T.clean_lines("text"))
+             .withColumn("clean_text", F.array_join("_l", "\n"))
+             .withColumn("pts", S.key_points("_l", cap=cap))
+             .withColumn("title", F.coalesce(F.element_at("_l", 1), F.lit("")))
+             .withColumn("allow", S.allow_thread(F.col("pts"), F.col("clean_text"))))
+
+
+def _q_prompts(kind, cap, budget, max_points):
+    """Prompts for every document: the first clean line is the title, the source
+    the author, no publish time; the draft of the later steps is a single post
+    made of the title."""
+    def q(spark, sf_dir):
+        a = _prompt_parts(spark, sf_dir, cap)
+        draft = prompts.draft_json(F.lit("single"), "title", F.array().cast("array<string>"))
+        if kind == "generate":
+            pr = prompts.generate_prompt("title", "source", F.lit(None).cast("timestamp"), "clean_text", "pts",
+                                         F.col("allow"), text_budget=budget, max_points=max_points)
+        elif kind == "fact_check":
+            pr = prompts.fact_check_prompt("clean_text", "pts", draft, F.col("allow"), text_budget=budget, max_points=max_points)
+        else:
+            pr = prompts.promo_rewrite_prompt("clean_text", draft, F.col("allow"), text_budget=budget)
+        return a.select("doc_id", pr.alias("prompt"), F.length(pr).cast("bigint").alias("prompt_chars"))
+    return q
 
 
 def _o_render(template: str, fields: dict[str, str]) -> str:
@@ -517,55 +598,60 @@ def _o_render(template: str, fields: dict[str, str]) -> str:
     return "concat(" + ", ".join(parts) + ")"
 
 
-def o_prompt_table():
-    src = f"SELECT doc_id, {Q.clean_lines('text')} AS arr FROM documents"
-    bullets = (f"CASE WHEN len(coalesce(pts, [])[1:{fixed.PROMPT_POINTS_GENERATE}]) = 0 THEN {Q.q(fixed.NO_POINTS_LINE)} "
-               f"ELSE array_to_string(list_transform(pts[1:{fixed.PROMPT_POINTS_GENERATE}], lambda x: {Q.q(fixed.POINT_BULLET)} || x), chr(10)) END")
-    text = f"substring(array_to_string(arr, chr(10)), 1, {fixed.PROMPT_TEXT_CHARS})"
-    allow = (f"CASE WHEN len(coalesce(pts, [])) >= {fixed.MIN_INSIGHTS_FOR_THREAD} AND "
-             f"length(array_to_string(arr, chr(10))) >= {fixed.MIN_CHARS_FOR_THREAD} THEN 'true' ELSE 'false' END")
-    pr = _o_render(prompts.GENERATE_TEMPLATE, {
-        "title": "coalesce(arr[1], '')", "author": f"coalesce(nullif(source, ''), {Q.q(fixed.UNKNOWN)})",
-        "published": Q.q(fixed.UNKNOWN), "text": text, "points": bullets, "thread_allowed": allow})
-    return f"""
-    WITH {Q.key_point_rows(src, fixed.MAX_KEY_POINTS)},
-    agg AS (SELECT doc_id, list(l ORDER BY i) AS pts FROM points GROUP BY doc_id),
-    base AS (SELECT d.doc_id, d.source, c.arr, agg.pts FROM documents d
-             JOIN ({src}) c USING (doc_id) LEFT JOIN agg USING (doc_id)),
-    pr AS (SELECT doc_id, {pr} AS prompt FROM base)
-    SELECT doc_id, prompt, CAST(length(prompt) AS BIGINT) AS prompt_chars FROM pr"""
+# The oracle's own copies of the templates' fixed lines.
+_O_TEMPLATES = {
+    "generate": ("Headline: {title}\nByline: {author}\nPublished: {published}\n\nArticle text (the only source of facts):\n{text}\n\n"
+                 "Key data points:\n{points}\n\nWrite one post about the single strongest betting angle in the article. "
+                 "A three-post thread is allowed: {thread_allowed}."),
+    "fact_check": ("Article text (the only source of facts):\n{text}\n\nKey data points:\n{points}\n\nDraft as JSON:\n{draft}\n\n"
+                   "Check every claim in the draft against the article, remove anything it does not support, and return the same "
+                   "JSON shape. A three-post thread is allowed: {thread_allowed}."),
+    "promo_rewrite": ("Article text (the only source of facts):\n{text}\n\nDraft as JSON:\n{draft}\n\nRemove promotional wording and "
+                      "calls to action; keep the insight. Return the same JSON shape. A three-post thread is allowed: {thread_allowed}."),
+}
+
+
+def _o_prompts(kind, cap, budget, max_points):
+    def o():
+        src = f"SELECT doc_id, {Q.clean_lines('text')} AS arr FROM documents"
+        some = f"pts[1:{max_points}]" if max_points else "pts"
+        bullets = (f"CASE WHEN len(coalesce(pts, [])) = 0 THEN '- none extracted' "
+                   f"ELSE array_to_string(list_transform({some}, lambda x: '- ' || x), chr(10)) END")
+        text = "array_to_string(arr, chr(10))"
+        allow = (f"CASE WHEN len(coalesce(pts, [])) >= {fixed.MIN_INSIGHTS_FOR_THREAD} AND "
+                 f"length({text}) >= {fixed.MIN_CHARS_FOR_THREAD} THEN 'true' ELSE 'false' END")
+        draft = ("""'{"delivery_mode":"single","single_tweet":' || to_json(coalesce(arr[1], ''))::VARCHAR || ',"thread":[]}'""")
+        pr = _o_render(_O_TEMPLATES[kind], {
+            "title": "coalesce(arr[1], '')", "author": "coalesce(nullif(source, ''), 'Unknown')", "published": "'Unknown'",
+            "text": f"substring({text}, 1, {budget})" if budget else text, "points": bullets, "draft": draft,
+            "thread_allowed": allow})
+        return f"""
+        WITH {Q.key_point_rows(src, cap or 10**9)},
+        agg AS (SELECT doc_id, list(l ORDER BY i) AS pts FROM points GROUP BY doc_id),
+        base AS (SELECT d.doc_id, d.source, c.arr, agg.pts FROM documents d
+                 JOIN ({src}) c USING (doc_id) LEFT JOIN agg USING (doc_id)),
+        pr AS (SELECT doc_id, {pr} AS prompt FROM base)
+        SELECT doc_id, prompt, CAST(length(prompt) AS BIGINT) AS prompt_chars FROM pr"""
+    return o
 
 
 OUTBOX_MAX_CHARS = 1000
 
 
 def q_outbox_rows(spark, sf_dir):
-    """Posts of every valid package (checked at 1,000 characters so that
-    some pass) in long form: thread items in turn order, or the single
-    post, then the "Read more" reply built from the page whose id is the
-    conversation id.  Valid threads have exactly three items, so ranking
-    them needs no unbounded group."""
-    pk, items = _conv_packages(spark, sf_dir)
-    v = packages.validate_long(pk, items, "conv_id", "turn", "text", max_chars=OUTBOX_MAX_CHARS)
-    ok = v.where(F.col("error").isNull()).select("conv_id", "delivery_mode", "single_tweet")
+    """Posts of every valid package (checked at 1,000 characters so that some
+    pass): the post list with the "Read more" reply built from the page whose id
+    is the conversation id, one row per post.  Valid threads have exactly three
+    items, so a valid package is gathered without an unbounded group."""
+    items = _conv_items(spark, sf_dir)
+    ok = _validated(items, OUTBOX_MAX_CHARS).where(F.col("error").isNull()).select("conv_id", "delivery_mode")
     pages = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), "url")
-    ok = ok.join(pages, "conv_id", "left").withColumn("reply", outbox.read_more("url"))
-    th_items = (items.join(ok.where(F.col("delivery_mode") == "thread").select("conv_id"), "conv_id",
-                           "left_semi")
-                     .withColumn("_t", T.py_strip(F.col("text"))).where(F.col("_t") != ""))
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    thread_posts = th_items.select("conv_id", F.lit("thread").alias("draft_type"),
-                                   F.row_number().over(w).cast("bigint").alias("post_no"),
-                                   F.col("_t").alias("text"))
-    single_posts = ok.where(F.col("delivery_mode") == "single").select(
-        "conv_id", F.lit("single").alias("draft_type"), F.lit(1).cast("bigint").alias("post_no"),
-        F.col("single_tweet").alias("text"))
-    replies = ok.where(F.col("reply").isNotNull()).select(
-        "conv_id", F.col("delivery_mode").alias("draft_type"),
-        F.when(F.col("delivery_mode") == "thread", F.lit(fixed.THREAD_SIZE + 1))
-         .otherwise(F.lit(2)).cast("bigint").alias("post_no"),
-        F.col("reply").alias("text"))
-    return thread_posts.unionByName(single_posts).unionByName(replies)
+    texts = (items.where("n > 0").join(ok, "conv_id").groupBy("conv_id", "delivery_mode")
+                  .agg(F.sort_array(F.collect_list(F.struct("turn", "t")))["t"].alias("texts")))
+    posts = outbox.post_list("delivery_mode", F.col("texts")[0], "texts", outbox.read_more("url"))
+    return (texts.join(pages, "conv_id", "left")
+                 .select("conv_id", F.col("delivery_mode").alias("draft_type"), F.posexplode(posts).alias("_i", "text"))
+                 .select("conv_id", "draft_type", (F.col("_i") + 1).cast("bigint").alias("post_no"), "text"))
 
 
 def o_outbox_rows():
@@ -636,14 +722,19 @@ def _queue_pages(spark, sf_dir):
     return e.select("user_id", F.floor(F.col("value") / 5).cast("int").alias("page"), body.alias("body"))
 
 
-def q_queue_latest(spark, sf_dir):
-    q = _queue_pages(spark, sf_dir)
-    out = schedule.latest_queued(q, F.lit(QUEUE_NOW).cast("timestamp"), ["user_id"])
-    return out.select("user_id", F.when(F.col("latest").isNotNull(),
-                                        schedule.slot_text("latest")).alias("latest"))
+def _q_queue_latest(max_pages):
+    def q(spark, sf_dir):
+        out = schedule.latest_queued(_queue_pages(spark, sf_dir), F.lit(QUEUE_NOW).cast("timestamp"), ["user_id"],
+                                     max_pages=max_pages)
+        return out.select("user_id", F.when(F.col("latest").isNotNull(), schedule.slot_text("latest")).alias("latest"))
+    return q
+
 
+def _o_queue_latest(max_pages):
+    return lambda: _o_queue(max_pages)
 
-def o_queue_latest():
+
+def _o_queue(max_pages):
     keys = "|".join(fixed.SCHEDULE_KEYS)
     rx = '"(?:' + keys + r')"\s*:\s*"([^"\\]*)"'
     body = ("'{\"id\":' || CAST(event_id AS VARCHAR) || ',\"type\":\"' || event_type || "
@@ -659,12 +750,51 @@ def o_queue_latest():
     WITH pg AS (SELECT user_id, CAST(floor(value / 5) AS INTEGER) AS page, {body} AS body FROM events),
     vals AS (SELECT user_id, unnest(CASE WHEN len(x) = 0 THEN [NULL] ELSE x END) AS v
              FROM (SELECT user_id, regexp_extract_all(body, {Q.q(rx)}, 1) AS x FROM pg
-                   WHERE page < {fixed.MAX_QUEUE_PAGES})),
+                   {f'WHERE page < {max_pages}' if max_pages else ''})),
     p AS (SELECT user_id, {parse} AS us FROM vals),
     m AS (SELECT user_id, max(CASE WHEN us >= {now} THEN us END) AS latest FROM p GROUP BY user_id)
     SELECT user_id, CASE WHEN latest IS NOT NULL THEN {_o_iso('latest')} END AS latest FROM m"""
 
 
+QUEUE_FILE_EVENTS = 500
+QUEUE_KEY_SPELLINGS = ["publish_at", "publishAt", "scheduled_at", "scheduledAt", "scheduled_date", "scheduledDate",
+                       "schedule-date", "scheduleDate", "publishedAt"]
+
+
+def q_queue_files(spark, sf_dir):
+    """SRC-04: landed queue snapshots, one JSON file per 500 events, read back
+    with ``read_queue``; each event is a draft whose time stands under one of the
+    eight key spellings (or a ninth that is none of them)."""
+    import uuid
+
+    from gleaner.session import shared_dir
+    from gleaner.sources.tables import read_queue
+
+    e = _t(spark, sf_dir, "events").select("event_id", "ts", F.floor(F.col("event_id") / QUEUE_FILE_EVENTS).alias("page"))
+    key = F.element_at(F.array(*[F.lit(k) for k in QUEUE_KEY_SPELLINGS]),
+                       (F.col("event_id") % len(QUEUE_KEY_SPELLINGS) + 1).cast("int"))
+    lines = e.select("page", F.col("event_id").alias("n"), F.concat(
+        F.lit('{"'), key, F.lit('": "'), iso_text("ts", "Z"), F.lit('"},')).alias("value"))
+    ends = e.select("page").distinct().select("page", F.explode(F.array(
+        F.struct(F.lit(-1).cast("bigint").alias("n"), F.lit('{"drafts": [').alias("value")),
+        F.struct(F.lit(2**62).alias("n"), F.lit("null]}").alias("value")))).alias("x")).select("page", "x.*")
+    path = shared_dir(spark, f"queue_files/{uuid.uuid4().hex}")
+    # All lines of a snapshot (502 at most) are in one partition, so it is one file.
+    (lines.unionByName(ends).repartition("page").sortWithinPartitions("page", "n").select("page", "value")
+          .write.partitionBy("page").text(path))
+    q = read_queue(spark, f"{path}/*")
+    out = schedule.latest_queued(q, F.lit(QUEUE_NOW).cast("timestamp"), ["page"])
+    return out.select(F.col("page").cast("bigint").alias("page"),
+                      F.when(F.col("latest").isNotNull(), schedule.slot_text("latest")).alias("latest"))
+
+
+def o_queue_files():
+    us = f"max(CASE WHEN event_id % 9 <> 8 AND ts >= TIMESTAMP '{QUEUE_NOW}' THEN epoch_us(ts) END)"
+    return f"""
+    WITH m AS (SELECT event_id // {QUEUE_FILE_EVENTS} AS page, {us} AS latest FROM events GROUP BY 1)
+    SELECT page, CASE WHEN latest IS NOT NULL THEN {_o_iso('latest')} END AS latest FROM m"""
+
+
 def q_latest_draft(spark, sf_dir):
     """Event times stand in for draft creation times; latest per user."""
     e = _t(spark, sf_dir, "events").select("user_id", "ts")
@@ -684,14 +814,19 @@ RSS_ROOT = "rss"
 
 def _rss_items(spark, sf_dir):
     """Every document as one RSS ``<item>``: guid = doc id (left empty for
-    English documents, so the key falls back to the link), padded title,
-    source as ``creator``, an RFC 822 date (German documents carry an
-    unparseable one), the text as ``encoded`` (Spark's XML writer takes no
-    namespace prefixes; the reader accepts both spellings)."""
+    English documents, so the key falls back to the link), padded title, source
+    as ``creator``; dates in four forms (German documents carry an unparseable
+    one); the text as one ``encoded`` value, as two, or as ``description``
+    (Spark's XML writer takes no namespace prefixes; the reader accepts both)."""
     d = _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    i = F.col("doc_id") % 4
     ts = F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 3600)
-    pub = F.when(F.col("lang") == "de", F.lit("not a date")).otherwise(
-        F.concat(F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000")))
+    rfc = F.date_format(ts, "dd MMM yyyy HH:mm")
+    pub = (F.when(F.col("lang") == "de", F.lit("not a date"))
+            .when(i == 0, F.concat(F.date_format(ts, "EEE, "), rfc, F.lit(":00 +0000")))
+            .when(i == 1, F.concat(rfc, F.lit(":00 GMT")))
+            .when(i == 2, F.concat(rfc, F.lit(" +0000")))
+            .otherwise(iso_text(ts, "Z")))
     guid = F.when(F.col("lang") == "en", F.lit("")).otherwise(F.col("doc_id").cast("string"))
     link = F.concat(F.lit("https://news.example.org/"), F.col("source"), F.lit("/"),
                     F.col("doc_id").cast("string"))
@@ -702,7 +837,8 @@ def _rss_items(spark, sf_dir):
         F.struct(guid.alias("_text"), F.lit("false").alias("_attr_isPermaLink")).alias("guid"),
         F.col("source").alias("creator"),
         pub.alias("pubDate"),
-        F.col("text").alias("encoded"))
+        F.when(i == 0, F.array("text")).when(i == 1, F.array("text", "source")).alias("encoded"),
+        F.when(i >= 2, F.col("text")).otherwise(F.lit("not the body")).alias("description"))
 
 
 def q_feed_scan(spark, sf_dir):
@@ -735,18 +871,52 @@ def o_feed_scan():
            source || ' story ' || CAST(doc_id AS VARCHAR) AS title,
            source AS author, {link} AS url,
            CASE WHEN lang = 'de' THEN NULL ELSE {_o_iso(us)} END AS published,
-           text AS feed_content
+           CASE WHEN doc_id % 4 = 1 THEN text || chr(10) || source ELSE text END AS feed_content
+    FROM documents"""
+
+
+def q_atom_scan(spark, sf_dir):
+    """SRC-01 for Atom: every document as an ``<entry>`` with a related and an
+    alternate link, an author element, and its text as content or summary."""
+    import uuid
+
+    from gleaner.session import shared_dir
+    from gleaner.sources.feed import read_feed
+
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    url = F.concat(F.lit("https://atom.example.org/"), F.col("doc_id").cast("string"))
+    link = lambda href, rel: F.struct(href.alias("_attr_href"), rel.alias("_attr_rel"))
+    ts = iso_text(F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id") * 3600), "Z")
+    path = shared_dir(spark, f"atom_scan/{uuid.uuid4().hex}")
+    d.select(
+        F.struct(F.concat(F.col("source"), F.lit(" entry")).alias("_text"), F.lit("text").alias("_attr_type")).alias("title"),
+        F.array(link(F.lit("https://elsewhere.example.org/"), F.lit("related")), link(url, F.lit("alternate"))).alias("link"),
+        F.concat(F.lit("tag:atom,"), F.col("doc_id").cast("string")).alias("id"),
+        F.struct(F.col("source").alias("name")).alias("author"),
+        F.when(F.col("doc_id") % 2 == 0, ts).alias("published"), ts.alias("updated"),
+        F.when(F.col("doc_id") % 3 > 0, F.struct(F.col("text").alias("_text"), F.lit("html").alias("_attr_type"))).alias("content"),
+        F.struct(F.col("text").alias("_text"), F.lit("text").alias("_attr_type")).alias("summary"),
+    ).write.format("xml").option("rootTag", "feed").option("rowTag", "entry").option("attributePrefix", "_attr_") \
+        .option("valueTag", "_text").save(path)
+    f = read_feed(spark, path)
+    return f.select("article_id", "title", "author", "url", iso_text("published_at", "Z").alias("published"), "feed_content")
+
+
+def o_atom_scan():
+    us = "(CAST(1704067200 + doc_id * 3600 AS BIGINT) * 1000000)"
+    return f"""
+    SELECT sha256('tag:atom,' || CAST(doc_id AS VARCHAR)) AS article_id, source || ' entry' AS title, source AS author,
+           'https://atom.example.org/' || CAST(doc_id AS VARCHAR) AS url, {_o_iso(us)} AS published, text AS feed_content
     FROM documents"""
 
 
 RESPONSE_MAX_CHARS = 1000
 
 
-def q_response_check(spark, sf_dir):
-    """SRC-05 + FLT-07 (array form): each assistant turn is turned into a
-    model response JSON -- a multi-line turn as a thread of its lines, a
-    one-line turn as a padded single post -- then parsed, normalized and
-    validated at 1,000 characters."""
+def _response_packages(spark, sf_dir):
+    """Each assistant turn as a model response JSON -- a multi-line turn as a
+    thread of its lines, a one-line turn as a padded single post -- parsed,
+    normalized and validated at 1,000 characters."""
     a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
          .select("conv_id", "turn", "text"))
     multi = F.instr(F.col("text"), "\n") > 0
@@ -755,16 +925,20 @@ def q_response_check(spark, sf_dir):
         F.when(multi, F.lit("")).otherwise(F.concat(F.lit(" "), F.col("text"), F.lit(" "))).alias("single_tweet"),
         F.when(multi, F.split(F.col("text"), "\n")).otherwise(F.array().cast("array<string>")).alias("thread")))
     parsed = parse_responses(a.select("conv_id", "turn", resp.alias("response")))
-    v = packages.validate_packages(parsed, max_chars=RESPONSE_MAX_CHARS)
-    return v.select("conv_id", "turn", "delivery_mode",
-                    F.size("thread").cast("bigint").alias("n_items"),
-                    F.coalesce("parse_error", "error").alias("error"))
+    return packages.validate_packages(parsed, max_chars=RESPONSE_MAX_CHARS).withColumn(
+        "error", F.coalesce("parse_error", "error"))
+
+
+def q_response_check(spark, sf_dir):
+    """SRC-05 + FLT-07 (array form) over every assistant turn."""
+    return _response_packages(spark, sf_dir).select(
+        "conv_id", "turn", "delivery_mode", F.size("thread").cast("bigint").alias("n_items"), "error")
 
 
 def _o_response_rows() -> str:
     m = RESPONSE_MAX_CHARS
-    too_long = fixed.ERR_SINGLE_TOO_LONG.replace("280", str(m))
-    head, tail = fixed.ERR_THREAD_ITEM_TOO_LONG.replace("280", str(m)).split("{idx}")
+    too_long = f"single_tweet exceeds {m} characters"
+    head, tail = "thread tweet ", f" exceeds {m} characters"
     return f"""
     a AS (SELECT conv_id, turn, text, contains(text, chr(10)) AS multi
           FROM conversations WHERE role = 'assistant'),
@@ -800,16 +974,7 @@ def q_draft_rows(spark, sf_dir):
     the conversation's id; the publishing service's answer is simulated per
     row (top-level id on even turns, an empty id with a nested draft id on
     odd ones) and the remote id is picked from it."""
-    v = q_response_check(spark, sf_dir)
-    a = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-         .select("conv_id", "turn", "text"))
-    multi = F.instr(F.col("text"), "\n") > 0
-    pk = a.select("conv_id", "turn",
-                  F.when(multi, F.lit("")).otherwise(T.py_strip(F.col("text"))).alias("single_tweet"),
-                  F.when(multi, F.filter(F.transform(F.split(F.col("text"), "\n"), T.py_strip),
-                                         lambda x: x != "")).otherwise(F.array().cast("array<string>"))
-                  .alias("thread"))
-    ok = v.where(F.col("error").isNull()).join(pk, ["conv_id", "turn"])
+    ok = _response_packages(spark, sf_dir).where(F.col("error").isNull())
     pages = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), "url")
     ok = ok.join(pages, "conv_id", "left").withColumn("reply", outbox.read_more("url"))
     body = F.when(F.col("turn") % 2 == 0, F.concat(F.lit('{"id": '), F.col("conv_id").cast("string"), F.lit("}"))) \
@@ -836,28 +1001,19 @@ def o_draft_rows():
 
 
 # --------------------------------------------------------------------------
-# Both batch jobs end to end
+# The batch jobs end to end
 
 
 RUN_NOW = "2024-02-01 00:00:00"
+RUN_SOURCES = ["src2"]
+RUN_POINTS, RUN_CHARS = 1, 500
 
 
-def q_curation_run(spark, sf_dir):
-    """``prepare`` then ``deliver`` over whole tables, outputs written per
-    batch to the shared folder and the outcome facts read back.
-
-    Mapping: every document is a feed entry (key = sha256 of the text,
-    position = doc id, author = source, url ``page:<id>``); the page with
-    the same id is its web page; labelled documents are already in the
-    ledger; ``src1`` is an excluded author; the model's answer for an
-    article is the first assistant turn of the conversation whose id is the
-    article's position, as JSON (a multi-line turn is a thread of its
-    lines); posts are scheduled 30 minutes apart from a fixed ``now``."""
-    import uuid
-
-    from gleaner.plans import jobs
-    from gleaner.session import shared_dir
-
+def _curation_inputs(spark, sf_dir):
+    """Mapping: every document is a feed entry (key = sha256 of the text,
+    position = doc id, author = source, url ``page:<id>``); the page with the
+    same id is its web page; labelled documents are already in the ledger;
+    ``src2`` is an excluded author."""
     docs = _t(spark, sf_dir, "documents")
     feed = docs.select(
         keys.article_key(id_col=F.col("text")).alias("article_id"),
@@ -872,186 +1028,344 @@ def q_curation_run(spark, sf_dir):
     labelled = _t(spark, sf_dir, "labels").select("doc_id")
     ledger = (docs.join(labelled, "doc_id", "left_semi")
                   .select(keys.article_key(id_col=F.col("text")).alias("article_id")))
-    prep = jobs.prepare(feed, pages, ledger, excluded_authors=EXCLUDED_SOURCES, max_articles=None)
-    conv = (_t(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-            .groupBy("conv_id").agg(F.min_by("text", "turn").alias("text")))
-    multi = F.instr(F.col("text"), "\n") > 0
-    resp = F.to_json(F.struct(
-        F.when(multi, F.lit("thread")).otherwise(F.lit("single")).alias("delivery_mode"),
-        F.when(multi, F.lit("")).otherwise(F.col("text")).alias("single_tweet"),
-        F.when(multi, F.split(F.col("text"), "\n")).otherwise(F.array().cast("array<string>")).alias("thread")))
-    responses = (prep.articles.select("article_id", "feed_pos")
-                 .join(conv, F.col("feed_pos") == F.col("conv_id"))
-                 .select("article_id", resp.alias("response")))
-    out = jobs.deliver(prep, responses, "run_fixture", publish_mode="schedule",
-                       now=F.lit(RUN_NOW).cast("timestamp"))
-    base = shared_dir(spark, f"curation_run/{uuid.uuid4().hex}")
-    jobs.write_outputs(out, base, 0)
-    facts = spark.read.parquet(f"{base}/outcomes")
+    return feed, pages, ledger
+
+
+def _model_answers(articles: DataFrame) -> DataFrame:
+    """What the model says, by position: a single post, or (position mod 5 = 1) a
+    thread; wording to rewrite (mod 7 = 3), no response (mod 11 = 5), a bad mode
+    (mod 13 = 6).  An earlier attempt that is not JSON comes along."""
+    p, said = F.col("feed_pos"), F.concat(F.lit("post "), F.col("feed_pos").cast("string"), F.lit(" "), F.col("title"))
+    said = F.when(p % 7 == 3, F.concat(said, F.lit(" check out this"))).otherwise(said)
+    thread = p % 5 == 1
+    body = F.to_json(F.struct(
+        F.when(p % 13 == 6, F.lit("poster")).when(thread, F.lit("thread")).otherwise(F.lit("single")).alias("delivery_mode"),
+        F.when(thread, F.lit("")).otherwise(said).alias("single_tweet"),
+        F.when(thread, F.array(said, F.lit("two"), F.lit("three"))).otherwise(F.array().cast("array<string>")).alias("thread")))
+    good = articles.where(p % 11 != 5).select("article_id", body.alias("response"), F.lit(2).alias("attempt"))
+    return good.unionByName(good.select("article_id", F.lit("{zzz not json").alias("response"), F.lit(1).alias("attempt")))
+
+
+def _curation(spark, sf_dir, empty: bool = False) -> str:
+    """All jobs over whole tables, the outputs written per batch to the shared
+    folder: prepare, saved and loaded; the model's answers; rewrites for flagged
+    posts with an even position; schedule mode from a fixed ``now``; the publishing
+    service answers all requests but those with position mod 17 = 8."""
+    import uuid
+
+    from gleaner.plans import jobs
+    from gleaner.session import shared_dir
+
+    base = shared_dir(spark, f"curation/{uuid.uuid4().hex}")
+    feed, pages, ledger = _curation_inputs(spark, sf_dir)
+    if empty:
+        feed = feed.limit(0)
+    jobs.save_prepared(jobs.prepare(feed, pages, ledger, excluded_authors=RUN_SOURCES, min_points_for_thread=RUN_POINTS,
+                                    min_chars_for_thread=RUN_CHARS), base, 0)
+    prep = jobs.load_prepared(spark, base, 0)
+    responses = _model_answers(prep.articles)
+    flagged = jobs.promo_rewrite_table(prep, responses, attempt_col="attempt")
+    rewrites = (flagged.join(prep.articles.select("article_id", "feed_pos"), "article_id").where("feed_pos % 2 = 0")
+                .select("article_id", F.concat(F.lit('{"delivery_mode": "single", "single_tweet": "rewritten '),
+                                               F.col("feed_pos").cast("string"), F.lit('", "thread": []}')).alias("response"),
+                        F.lit(1).alias("attempt")))
+    now = F.lit(RUN_NOW).cast("timestamp")
+    sent = jobs.deliver(prep, responses, publish_mode="schedule", now=now, attempt_col="attempt", rewrites=rewrites)
+    out = sent.outbox.withColumn("posts", F.to_json("posts")).select("article_id", "feed_pos", "posts", "payload")
+    out.write.parquet(f"{base}/outbox")
+    p = F.col("feed_pos").cast("string")
+    answers = sent.outbox.where("feed_pos % 17 <> 8").select("article_id", F.when(
+        F.col("feed_pos") % 2 == 0, F.concat(F.lit('{"id": 1'), p, F.lit("}"))).otherwise(
+        F.concat(F.lit('{"id": "", "draft": {"id": "d'), p, F.lit('"}}'))).alias("answer"))
+    jobs.write_outputs(jobs.confirm(prep, sent, answers, "run_fixture", now=now), base, 0)
+    return base
+
+
+def q_curation_run(spark, sf_dir):
+    """Outcome facts of the whole run."""
+    facts = spark.read.parquet(f"{_curation(spark, sf_dir)}/outcomes")
     return facts.select("feed_pos", "article_id", "outcome", "error")
 
 
-def o_curation_run():
-    v = _o_author_match("d.source", EXCLUDED_SOURCES)
+def q_curation_outbox(spark, sf_dir):
+    return spark.read.parquet(f"{_curation(spark, sf_dir)}/outbox")
+
+
+def q_curation_drafts(spark, sf_dir):
+    drafts = spark.read.parquet(f"{_curation(spark, sf_dir)}/drafts")
+    return drafts.select("article_id", "draft_remote_id", "draft_type", "payload", "publish_mode", "status")
+
+
+def q_curation_ledger(spark, sf_dir):
+    return spark.read.parquet(f"{_curation(spark, sf_dir)}/ledger").select("article_id", "url", "title")
+
+
+def q_curation_run_row(spark, sf_dir):
+    """The run rows of the run and of one without any entry."""
+    cols = ["run_id", "articles_found", "articles_processed", "articles_failed", "skipped_duplicate", "skipped_excluded", "status"]
+    full = spark.read.parquet(f"{_curation(spark, sf_dir)}/runs").select(*cols)
+    none = spark.read.parquet(f"{_curation(spark, sf_dir, empty=True)}/runs").select(*cols)
+    return full.unionByName(none.withColumn("run_id", F.concat("run_id", F.lit("_empty"))))
+
+
+def _o_curation() -> str:
+    """The run as the loop over entries in position order: already in the ledger,
+    then excluded author, then the model and the publishing service; an entry
+    that was excluded or sent puts its key into the ledger."""
+    promo = "said LIKE '%check out%'"
     return f"""
-    WITH e AS (
-      SELECT d.doc_id AS feed_pos, sha256(d.text) AS article_id, {v} AS ex,
+    e AS (
+      SELECT d.doc_id AS feed_pos, sha256(d.text) AS article_id, d.text, d.source || ' ' || CAST(d.doc_id AS VARCHAR) AS title,
+             {_o_author_match("d.source", RUN_SOURCES)} AS ex,
              sha256(d.text) IN (SELECT sha256(x.text) FROM documents x JOIN labels l USING (doc_id)) AS in_ledger
       FROM documents d
     ),
-    pre AS (SELECT *, CASE WHEN in_ledger THEN 'duplicate' WHEN ex THEN 'excluded' END AS pre_outcome FROM e),
-    fx AS (SELECT article_id, min(feed_pos) AS first_ex FROM pre WHERE pre_outcome = 'excluded' GROUP BY article_id),
-    todo AS (SELECT p.* FROM pre p LEFT JOIN fx USING (article_id)
-             WHERE p.pre_outcome IS NULL AND (fx.first_ex IS NULL OR p.feed_pos < fx.first_ex)),
-    art AS (SELECT article_id, min(feed_pos) AS pos FROM todo GROUP BY article_id),
+    -- The model sees a key once: its first entry, unless that one is excluded (then all later ones are duplicates).
+    art AS (SELECT article_id, min(feed_pos) AS pos FROM e WHERE NOT in_ledger
+            GROUP BY article_id HAVING NOT arg_min(ex, feed_pos)),
     {_o_page_bodies()},
     body AS (
-      SELECT art.article_id, art.pos AS doc_id,
-             CASE WHEN coalesce(length(regexp_replace(d.text, '<[^>]+>', '', 'g')) > 500, false) THEN d.text
-                  WHEN pb.article_text IS NOT NULL THEN pb.article_text ELSE pb.page_text END AS body
-      FROM art JOIN documents d ON d.doc_id = art.pos LEFT JOIN pb ON pb.page_id = art.pos
+      SELECT art.article_id, art.pos AS doc_id, e.title,
+             CASE WHEN length(e.text) > 500 THEN e.text WHEN pb.article_text IS NOT NULL THEN pb.article_text
+                  ELSE pb.page_text END AS body
+      FROM art JOIN e ON e.feed_pos = art.pos LEFT JOIN pb ON pb.page_id = art.pos
     ),
-    cl AS (SELECT article_id, doc_id, {Q.clean_lines('body')} AS arr FROM body),
-    {Q.key_point_rows("SELECT doc_id, arr FROM cl", fixed.MAX_KEY_POINTS)},
-    np AS (SELECT doc_id, count(*) AS n FROM points GROUP BY doc_id),
-    gate AS (SELECT cl.article_id, coalesce(np.n, 0) >= {fixed.MIN_INSIGHTS_FOR_THREAD}
-                    AND length(array_to_string(cl.arr, chr(10))) >= {fixed.MIN_CHARS_FOR_THREAD} AS allow
-             FROM cl LEFT JOIN np USING (doc_id)),
-    turn1 AS (SELECT conv_id, arg_min(text, turn) AS text FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-    pk AS (
-      SELECT art.article_id, t.text IS NULL AS missing,
-             CASE WHEN contains(t.text, chr(10)) THEN 'thread' ELSE 'single' END AS mode,
-             CASE WHEN contains(t.text, chr(10)) THEN '' ELSE trim(t.text, {Q.WS}) END AS single_tweet,
-             CASE WHEN contains(t.text, chr(10)) THEN list_filter(list_transform(string_split(t.text, chr(10)),
-                    lambda x: trim(x, {Q.WS})), lambda x: x <> '') ELSE [] END AS thread
-      FROM art LEFT JOIN turn1 t ON t.conv_id = art.pos
+    cl AS (SELECT article_id, doc_id, title, {Q.clean_lines('body')} AS arr FROM body),
+    gate AS (
+      SELECT article_id, doc_id AS pos, title, length(array_to_string(arr, chr(10))) >= {RUN_CHARS}
+             AND len(list_filter(arr, lambda l: {Q.stat_any('l')} OR {Q.angle_any('l')})) >= {RUN_POINTS} AS allow FROM cl
     ),
-    pkg AS (SELECT pk.*, gate.allow FROM pk JOIN gate USING (article_id)),
-    err AS (
-      SELECT article_id,
-             CASE WHEN missing THEN 'no model response'
-                  WHEN mode = 'single' AND single_tweet = '' THEN {Q.q(fixed.ERR_SINGLE_MISSING)}
-                  WHEN mode = 'single' AND length(single_tweet) > 280 THEN {Q.q(fixed.ERR_SINGLE_TOO_LONG)}
-                  WHEN mode = 'single' THEN NULL
-                  WHEN NOT allow THEN {Q.q(fixed.ERR_THREAD_DISABLED)}
-                  WHEN len(thread) <> {fixed.THREAD_SIZE} THEN {Q.q(fixed.ERR_THREAD_SIZE)}
-                  WHEN list_position(list_transform(thread, lambda x: length(x) > 280), true) > 0
-                    THEN 'thread tweet ' || CAST(list_position(list_transform(thread, lambda x: length(x) > 280), true) AS VARCHAR)
-                         || ' exceeds 280 characters'
+    drafted AS (
+      SELECT *, 'post ' || CAST(pos AS VARCHAR) || ' ' || title || CASE WHEN pos % 7 = 3 THEN ' check out this' ELSE '' END AS said,
+             pos % 5 = 1 AS is_thread FROM gate
+    ),
+    checked AS (
+      SELECT *, {promo} AND pos % 11 <> 5 AS flagged,
+             CASE WHEN pos % 11 = 5 THEN 'no model response'
+                  WHEN {promo} THEN CASE WHEN pos % 2 = 1 THEN 'promotional wording not rewritten' END
+                  WHEN pos % 13 = 6 THEN {Q.q("delivery_mode must be either 'single' or 'thread'")}
+                  WHEN is_thread AND NOT allow THEN 'Thread returned while thread generation is disabled'
              END AS error
-      FROM pkg
+      FROM drafted
     ),
-    f AS (SELECT pre.*, coalesce(err.error IS NOT NULL, false) AS fail, err.error
-          FROM pre LEFT JOIN err USING (article_id)),
-    w AS (SELECT *, coalesce(max(CASE WHEN ex OR NOT fail THEN 1 ELSE 0 END) OVER (
-                  PARTITION BY article_id ORDER BY feed_pos
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done_before
+    package AS (
+      SELECT article_id, pos, error, NOT flagged AND is_thread AS threaded,
+             CASE WHEN flagged THEN ['rewritten ' || CAST(pos AS VARCHAR)] WHEN is_thread THEN [said, 'two', 'three'] ELSE [said] END AS own,
+             'Read more: page:' || CAST(pos AS VARCHAR) AS reply
+      FROM checked
+    ),
+    slot AS (
+      SELECT *, list_append(own, reply) AS posts,
+             epoch_us(TIMESTAMP '{RUN_NOW}') + (row_number() OVER (ORDER BY pos) - 1) * 1800000000 AS us
+      FROM package WHERE error IS NULL
+    ),
+    verdict AS (
+      SELECT article_id, coalesce(error, CASE WHEN pos % 17 = 8 THEN 'no answer from the publishing service' END) AS error FROM package
+    ),
+    f AS (SELECT e.*, v.error FROM e LEFT JOIN verdict v USING (article_id)),
+    w AS (SELECT *, coalesce(max(CASE WHEN NOT in_ledger AND (ex OR error IS NULL) THEN 1 ELSE 0 END) OVER (
+                  PARTITION BY article_id ORDER BY feed_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done_before
           FROM f),
-    oc AS (SELECT feed_pos, article_id, error,
-                  coalesce(pre_outcome, CASE WHEN done_before = 1 THEN 'duplicate' WHEN ex THEN 'excluded'
-                                             WHEN fail THEN 'failed' ELSE 'processed' END) AS outcome
-           FROM w)
+    oc AS (SELECT feed_pos, article_id, title,
+                  CASE WHEN in_ledger OR done_before = 1 THEN 'duplicate' WHEN ex THEN 'excluded'
+                       WHEN error IS NOT NULL THEN 'failed' ELSE 'processed' END AS outcome, error
+           FROM w)"""
+
+
+def o_curation_run():
+    return f"""WITH {_o_curation()}
     SELECT feed_pos, article_id, outcome, CASE WHEN outcome = 'failed' THEN error END AS error FROM oc"""
 
 
+def o_curation_outbox():
+    post = "json_object('text', x)"
+    return f"""WITH {_o_curation()}
+    SELECT article_id, pos AS feed_pos, CAST(to_json(posts) AS VARCHAR) AS posts,
+           '{{"platforms":{{"x":{{"enabled":true,"posts":' || CAST(to_json(list_transform(posts, lambda x: {post})) AS VARCHAR)
+             || '}}}},"publish_at":"' || {_o_iso('us')} || '"}}' AS payload
+    FROM slot"""
+
+
+def o_curation_drafts():
+    return f"""WITH {_o_curation()}
+    SELECT article_id, CASE WHEN pos % 2 = 0 THEN '1' || CAST(pos AS VARCHAR) ELSE 'd' || CAST(pos AS VARCHAR) END AS draft_remote_id,
+           CASE WHEN threaded THEN 'thread' ELSE 'single' END AS draft_type,
+           CASE WHEN threaded THEN json_object('thread', own, 'reply', reply)
+                ELSE json_object('single_tweet', own[1], 'reply', reply) END::VARCHAR AS payload,
+           'schedule' AS publish_mode, 'ok' AS status
+    FROM slot WHERE pos % 17 <> 8"""
+
+
+def o_curation_ledger():
+    return f"""WITH {_o_curation()}
+    SELECT article_id, 'page:' || CAST(min(feed_pos) AS VARCHAR) AS url, arg_min(title, feed_pos) AS title
+    FROM oc WHERE outcome IN ('processed', 'excluded') GROUP BY article_id"""
+
+
+def o_curation_run_row():
+    n = lambda x: f"CAST(count_if(outcome = '{x}') AS BIGINT)"
+    return f"""WITH {_o_curation()}
+    SELECT 'run_fixture' AS run_id, count(*) AS articles_found, {n('processed')} AS articles_processed,
+           {n('failed')} AS articles_failed, {n('duplicate')} AS skipped_duplicate, {n('excluded')} AS skipped_excluded,
+           CASE WHEN {n('failed')} = 0 THEN 'completed' ELSE 'completed_with_errors' END AS status FROM oc
+    UNION ALL SELECT 'run_fixture_empty', 0, 0, 0, 0, 0, 'completed'"""
+
+
+CONFIRM_MODES = ("draft", "publish_now", "schedule")
+
+
+def q_confirm_rows(spark, sf_dir):
+    """PRJ-12 + PRJ-14: every conversation turn as one request in one of the three
+    publish modes; the service answers two of three, and only those get a draft
+    row with the remote id of the answer."""
+    c = _t(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    mode = F.element_at(F.array(*[F.lit(m) for m in CONFIRM_MODES]), (F.col("turn") % 3 + 1).cast("int"))
+    slot = F.when(mode == "schedule", F.lit("2024-02-01T00:00:00Z"))
+    posts = outbox.post_list(F.lit("single"), "text", F.array().cast("array<string>"))
+    key = F.concat_ws("_", "conv_id", "turn")
+    sent = c.select("conv_id", "turn", key.alias("article_id"), F.lit("single").alias("delivery_mode"),
+                    F.col("text").alias("single_tweet"), F.array().cast("array<string>").alias("thread"),
+                    F.lit(None).cast("string").alias("reply"), mode.alias("publish_mode"),
+                    outbox.outbox_payload(posts, mode, slot).alias("request"))
+    answers = c.where((F.col("conv_id") + F.col("turn")) % 3 != 1).select(
+        key.alias("article_id"), F.concat(F.lit('{"draft": {"id": "'), key, F.lit('"}}')).alias("answer"))
+    went = sent.join(answers, "article_id")
+    rows = outbox.draft_rows(went, publish_mode="publish_mode", response_body="answer",
+                             created_at=F.lit(RUN_NOW), keep=("conv_id", "turn", "request"))
+    return rows.select("conv_id", "turn", "request", "payload", "publish_mode", "draft_remote_id")
+
+
+def o_confirm_rows():
+    at = """CASE turn % 3 WHEN 1 THEN ',"publish_at":"now"' WHEN 2 THEN ',"publish_at":"2024-02-01T00:00:00Z"' ELSE '' END"""
+    return f"""
+    SELECT conv_id, turn,
+           '{{"platforms":{{"x":{{"enabled":true,"posts":[' || CAST(json_object('text', text) AS VARCHAR) || ']}}}}' || {at} || '}}' AS request,
+           CAST(json_object('single_tweet', text, 'reply', NULL) AS VARCHAR) AS payload,
+           ['draft', 'publish_now', 'schedule'][turn % 3 + 1] AS publish_mode,
+           CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS draft_remote_id
+    FROM conversations WHERE (conv_id + turn) % 3 <> 1"""
+
+
 # --------------------------------------------------------------------------
 # Streaming
 
 
-def q_stream_ledger(spark, sf_dir):
-    """STR-01/02 + SNK-01: the documents file is consumed by a checkpointed
-    file stream (availableNow); each micro-batch is deduplicated against the
-    ledger and appends its new keys.  The ledger read back is the result:
-    one row per distinct text, first document id as url, source as title."""
+STREAM_BATCHES = 4
+
+
+def _stream_documents(spark, sf_dir, name, decide=None):
+    """Documents land in four pieces (by id), each picked up by one run of the
+    same checkpointed stream: four micro-batches with copies across them."""
     import uuid
 
     from gleaner.session import shared_dir
     from gleaner.streaming import start_feed_stream
 
-    use_utc(spark)
-    base = shared_dir(spark, f"stream_ledger/{uuid.uuid4().hex}")
-    path = f"{sf_dir}/documents.parquet"
-    schema = spark.read.parquet(path).schema
-    # A glob naming the one file: the file source wants a directory or glob.
-    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-           .parquet(f"{sf_dir}/documents*.parquet")
-           .select(keys.article_key(id_col=F.col("text")).alias("article_id"),
-                   F.col("doc_id").cast("string").alias("url"),
-                   F.col("source").alias("title"),
-                   F.lit(None).cast("timestamp").alias("published_at"),
-                   F.col("doc_id").alias("feed_pos")))
-    q = start_feed_stream(src, f"{base}/checkpoint", f"{base}/ledger")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(f"{base}/ledger").select("article_id", "url", "title")
+    base = shared_dir(spark, f"{name}/{uuid.uuid4().hex}")
+    docs = _t(spark, sf_dir, "documents")
+    land = docs.select(keys.article_key(id_col=F.col("text")).alias("article_id"),
+                       F.col("doc_id").cast("string").alias("url"), F.col("source").alias("title"),
+                       F.lit(None).cast("timestamp").alias("published_at"), F.col("doc_id").alias("feed_pos"))
+    for i in range(STREAM_BATCHES):
+        land.where(F.col("feed_pos") % STREAM_BATCHES == i).write.parquet(f"{base}/landed/piece_{i}")
+        src = spark.readStream.schema(land.schema).parquet(f"{base}/landed/*")
+        q = start_feed_stream(src, f"{base}/checkpoint", f"{base}/ledger", f"{base}/retry", f"{base}/outcomes", decide)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return base
+
+
+def q_stream_ledger(spark, sf_dir):
+    """STR-01/02 + SNK-01 + SRC-03: each micro-batch is deduplicated against the
+    ledger the earlier ones wrote, and appends its new keys: one row per distinct
+    text, with the first document of the first piece that holds it."""
+    base = _stream_documents(spark, sf_dir, "stream_ledger")
+    return spark.read.parquet(f"{base}/ledger").select("article_id", "url", "title", F.col("batch_id").cast("bigint").alias("batch_id"))
 
 
 def o_stream_ledger():
-    return """
-    SELECT sha256(text) AS article_id, CAST(min(doc_id) AS VARCHAR) AS url,
-           arg_min(source, doc_id) AS title
+    at = f"doc_id % {STREAM_BATCHES} * 1000000000000 + doc_id"
+    return f"""
+    SELECT sha256(text) AS article_id, CAST(arg_min(doc_id, {at}) AS VARCHAR) AS url, arg_min(source, {at}) AS title,
+           min(doc_id % {STREAM_BATCHES}) AS batch_id
     FROM documents GROUP BY sha256(text)"""
 
 
-# --------------------------------------------------------------------------
+def q_stream_retry(spark, sf_dir):
+    """STR-04: entries with id mod 10 = 3 fail in the batch they arrive in and
+    would succeed in the next; the facts of every batch."""
+    decide = lambda df: df.withColumn("excluded", F.lit(False)).withColumn(
+        "failed", (F.col("_new") == 1) & (F.col("feed_pos") % 10 == 3))
+    base = _stream_documents(spark, sf_dir, "stream_retry", decide)
+    return spark.read.parquet(f"{base}/outcomes").select(
+        F.col("run_batch").cast("bigint").alias("run_batch"), "feed_pos", "article_id", "outcome")
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "key_points": q_key_points,
-    "line_flags": q_line_flags,
-    "clean_documents": q_clean_documents,
-    "page_text": q_page_text,
-    "body_ladder": q_body_ladder,
-    "article_keys": q_article_keys,
-    "ledger_anti": q_ledger_anti,
-    "author_screen": q_author_screen,
-    "batch_cap": q_batch_cap,
-    "ingest_outcomes": q_ingest_outcomes,
-    "run_summary": q_run_summary,
-    "thread_gate": q_thread_gate,
-    "validate_packages": _q_validate(fixed.MAX_POST_CHARS),
-    "validate_packages_1000": _q_validate(1000),
-    "promo_flag": q_promo_flag,
-    "prompt_table": q_prompt_table,
-    "outbox_rows": q_outbox_rows,
-    "publish_slots": q_publish_slots,
-    "queue_latest": q_queue_latest,
-    "latest_draft": q_latest_draft,
-    "stream_ledger": q_stream_ledger,
-    "feed_scan": q_feed_scan,
-    "response_check": q_response_check,
-    "curation_run": q_curation_run,
-    "draft_rows": q_draft_rows,
-    "author_screen_table": q_author_screen_table,
-    "feed_positions": q_feed_positions,
-}
 
-ORACLES: dict[str, Callable[[], str]] = {
-    "key_points": o_key_points,
-    "line_flags": o_line_flags,
-    "clean_documents": o_clean_documents,
-    "page_text": o_page_text,
-    "body_ladder": o_body_ladder,
-    "article_keys": o_article_keys,
-    "ledger_anti": o_ledger_anti,
-    "author_screen": o_author_screen,
-    "batch_cap": o_batch_cap,
-    "ingest_outcomes": o_ingest_outcomes,
-    "run_summary": o_run_summary,
-    "thread_gate": o_thread_gate,
-    "validate_packages": _o_validate(fixed.MAX_POST_CHARS),
-    "validate_packages_1000": _o_validate(1000),
-    "promo_flag": o_promo_flag,
-    "prompt_table": o_prompt_table,
-    "outbox_rows": o_outbox_rows,
-    "publish_slots": o_publish_slots,
-    "queue_latest": o_queue_latest,
-    "latest_draft": o_latest_draft,
-    "stream_ledger": o_stream_ledger,
-    "feed_scan": o_feed_scan,
-    "response_check": o_response_check,
-    "curation_run": o_curation_run,
-    "draft_rows": o_draft_rows,
-    "author_screen_table": o_author_screen_table,
-    "feed_positions": o_feed_positions,
+def o_stream_retry():
+    # An attempt's place: its batch, retries before new entries, then the id.
+    return f"""
+    WITH d AS (SELECT doc_id AS p, sha256(text) AS k, doc_id % {STREAM_BATCHES} AS b, doc_id % 10 = 3 AS fails FROM documents),
+    a AS (SELECT *, b * 10000000000 + 5000000000 + p AS seat, (b + 1) * 10000000000 + p AS again FROM d),
+    k AS (SELECT k, min(CASE WHEN NOT fails THEN seat WHEN b < {STREAM_BATCHES - 1} THEN again END) AS done FROM a GROUP BY k),
+    r AS (SELECT a.*, coalesce(done, 99 * 10000000000) AS done FROM a JOIN k USING (k))
+    SELECT b AS run_batch, p AS feed_pos, k AS article_id,
+           CASE WHEN seat > done THEN 'duplicate' WHEN seat = done THEN 'processed' ELSE 'failed' END AS outcome FROM r
+    UNION ALL
+    SELECT b + 1, p, k, CASE WHEN again > done THEN 'duplicate' ELSE 'processed' END FROM r
+    WHERE fails AND seat < done AND b < {STREAM_BATCHES - 1} AND done >= (b + 1) * 10000000000"""
+
+
+# --------------------------------------------------------------------------
+
+_CUT = (fixed.MAX_KEY_POINTS, fixed.PROMPT_TEXT_CHARS)
+
+# Name -> (query, its oracle SQL).
+_REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[[], str]]] = {
+    "key_points": (q_key_points, o_key_points),
+    "key_points_all": (q_key_points_all, o_key_points_all),
+    "stat_lines": (q_stat_lines, o_stat_lines),
+    "line_flags": (q_line_flags, o_line_flags),
+    "clean_documents": (q_clean_documents, o_clean_documents),
+    "page_text": (q_page_text, o_page_text),
+    "body_ladder": (q_body_ladder, o_body_ladder),
+    "body_ladder_main": (q_body_ladder_main, o_body_ladder_main),
+    "article_keys": (q_article_keys, o_article_keys),
+    "ledger_anti": (q_ledger_anti, o_ledger_anti),
+    "author_screen": (q_author_screen, o_author_screen),
+    "author_screen_table": (q_author_screen_table, o_author_screen_table),
+    "feed_positions": (q_feed_positions, o_feed_positions),
+    "batch_cap": (q_batch_cap, o_batch_cap),
+    "ingest_outcomes": (q_ingest_outcomes, o_ingest_outcomes),
+    "run_summary": (q_run_summary, o_run_summary),
+    "thread_gate": (q_thread_gate, o_thread_gate),
+    "validate_packages": (_q_validate(fixed.MAX_POST_CHARS), _o_validate(fixed.MAX_POST_CHARS)),
+    "validate_packages_1000": (_q_validate(1000), _o_validate(1000)),
+    "promo_flag": (q_promo_flag, o_promo_flag),
+    "promo_words": (q_promo_words, o_promo_words),
+    **{name: (_q_prompts(*how), _o_prompts(*how)) for name, how in {
+        "prompt_table": ("generate", *_CUT, fixed.PROMPT_POINTS_GENERATE),
+        "prompt_table_full": ("generate", None, None, None),
+        "fact_check_table": ("fact_check", None, fixed.PROMPT_TEXT_CHARS, fixed.PROMPT_POINTS_FACT_CHECK),
+        "promo_rewrite_table": ("promo_rewrite", *_CUT, None)}.items()},
+    "outbox_rows": (q_outbox_rows, o_outbox_rows),
+    "publish_slots": (q_publish_slots, o_publish_slots),
+    "queue_latest": (_q_queue_latest(fixed.MAX_QUEUE_PAGES), _o_queue_latest(fixed.MAX_QUEUE_PAGES)),
+    "queue_latest_all": (_q_queue_latest(None), _o_queue_latest(None)),
+    "queue_files": (q_queue_files, o_queue_files),
+    "latest_draft": (q_latest_draft, o_latest_draft),
+    "feed_scan": (q_feed_scan, o_feed_scan),
+    "atom_scan": (q_atom_scan, o_atom_scan),
+    "response_check": (q_response_check, o_response_check),
+    "draft_rows": (q_draft_rows, o_draft_rows),
+    "confirm_rows": (q_confirm_rows, o_confirm_rows),
+    "curation_run": (q_curation_run, o_curation_run),
+    "curation_outbox": (q_curation_outbox, o_curation_outbox),
+    "curation_drafts": (q_curation_drafts, o_curation_drafts),
+    "curation_ledger": (q_curation_ledger, o_curation_ledger),
+    "curation_run_row": (q_curation_run_row, o_curation_run_row),
+    "stream_ledger": (q_stream_ledger, o_stream_ledger),
+    "stream_retry": (q_stream_retry, o_stream_retry),
 }
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: q for n, (q, _) in _REGISTERED.items()}
+ORACLES: dict[str, Callable[[], str]] = {n: o for n, (_, o) in _REGISTERED.items()}

@@ -1,21 +1,25 @@
-"""The two batch jobs, split where the external text model sits.
+"""The batch jobs, split where work outside Spark sits: the text
+model and the publishing service are called on landed tables between them.
 
-``prepare``: feed -> cap -> ledger dedup and author screen -> body ladder ->
-clean text and key points -> thread gate -> prompt table.
+``prepare``  feed -> cap -> ledger dedup and author screen -> body ladder ->
+             clean text and key points -> thread gate -> prompt table
+``fact_check_table``, ``promo_rewrite_table``
+             prompts of the model's second and third step, from its answers
+``deliver``  model responses -> parse -> validate -> promo wording -> publish
+             slots -> outbox
+``confirm``  answers of the publishing service -> draft rows with their remote
+             ids -> outcomes, ledger rows and the run row
 
-``deliver``: model responses -> parse -> validate -> promo flag -> publish
-slots -> outbox and draft rows -> outcomes, ledger rows and the run row.
-
-Both return DataFrames.  Nothing reaches the driver but one scalar (the
-latest queued publish time); intermediate tables that several outputs read
-are written once as thin reliable checkpoints, so calling a job runs those
-stages.  ``write_outputs`` writes the results per batch id in the safe order
-(drafts and outbox first, ledger last).
+All return DataFrames.  Nothing reaches the driver but one scalar (the latest
+queued publish time); intermediate tables that several outputs read are written
+once to the shared folder.  ``save_prepared`` / ``load_prepared`` hand the first
+job over to a later session; ``write_outputs`` writes a batch in the safe order
+(drafts first, ledger last).
 """
 
 from __future__ import annotations
 
-import secrets
+import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -30,14 +34,18 @@ from gleaner.operators import article, keys, outbox, outcomes, packages, prompts
 from gleaner.operators.common import materialize, spread
 from gleaner.sources.tables import parse_responses
 
+ERR_NO_KEY = "entry has no id, guid or link"
+ERR_NO_RESPONSE = "no model response"
+ERR_NOT_REWRITTEN = "promotional wording not rewritten"
+ERR_NO_ANSWER = "no answer from the publishing service"
+
 
-def make_run_id(now: datetime | None = None) -> str:
-    """PRJ-15: ``run_`` + compact UTC time + ``_`` + 8 hex digits.  Made on
-    the driver once per run and passed to the jobs, so a replay of the same
-    run keeps its id."""
-    stamp = (now or datetime.now(timezone.utc)).strftime(fixed.RUN_ID_TIME_FORMAT)
-    suffix = secrets.token_hex(fixed.RUN_ID_HEX_DIGITS // 2)
-    return "_".join([fixed.RUN_ID_PREFIX.rstrip("_"), stamp, suffix])
+def run_id(source: str, batch_id: int, started: datetime) -> str:
+    """PRJ-15: the id of the run that handles one batch of one source (e.g. the
+    checkpoint folder of a stream, or a feed folder).  A replay of the batch has
+    the same digits, so its rows can be told from another run's."""
+    digits = hashlib.sha256(f"{source}#{batch_id}".encode()).hexdigest()[:fixed.RUN_ID_HEX_DIGITS]
+    return f"{fixed.RUN_ID_PREFIX}{started.astimezone(timezone.utc):{fixed.RUN_ID_TIME_FORMAT}}_{digits}"
 
 
 def failed_run_row(spark, run_id: str, found: int = 0, processed: int = 0,
@@ -60,7 +68,12 @@ class Prepared:
 
 @dataclass
 class Delivered:
-    outbox: DataFrame
+    outbox: DataFrame    # requests for the publishing service, with the packages they came from
+    failures: DataFrame  # (article_id, error_text) of articles that could not be sent
+
+
+@dataclass
+class Confirmed:
     drafts: DataFrame
     outcomes: DataFrame
     ledger: DataFrame
@@ -69,29 +82,34 @@ class Delivered:
 
 def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
             excluded_authors: Iterable[str] | DataFrame = (),
-            max_articles: int | None = fixed.MAX_ARTICLES_PER_RUN,
+            max_articles: int | None = None,
             feed_cols: tuple[str, ...] = ("feed_file",),
             allow_threads: bool = True,
             min_points_for_thread: int = fixed.MIN_INSIGHTS_FOR_THREAD,
             min_chars_for_thread: int = fixed.MIN_CHARS_FOR_THREAD,
             cap_after_dedup: bool = False,
-            body_col: str = "feed_content") -> Prepared:
+            body_col: str = "feed_content",
+            key_point_cap: int | None = None,
+            text_budget: int | None = None,
+            prompt_points: int | None = None) -> Prepared:
     """Job 1.  ``feed`` is normalized (``sources.feed.read_feed``); ``pages``
     holds ``url`` and ``html``; ``ledger`` holds ``article_id``.
 
-    The cap is taken per feed file before dedup (``cap_after_dedup`` moves
-    it after the ledger test).  Only the first copy of a key in the batch is
-    sent to the model; later copies are settled by ``deliver``."""
+    All entries, points and text are used unless a limit is given
+    (``max_articles`` per feed file, before dedup or, with ``cap_after_dedup``,
+    after the ledger test).  Entries are told apart by (feed columns, position);
+    only the first copy of a key in the batch is sent to the model, later copies
+    are settled by ``confirm``."""
     part = [c for c in feed_cols if c in feed.columns]
     f = feed
     if cap_after_dedup and ledger is not None:
         f = screen.ledger_anti_join(f, ledger)
     if max_articles is not None:
         f = keys.batch_cap(f, max_articles, ["feed_pos"], part)
-    # Decisions are taken on a thin copy of the entries (no body text),
-    # written once: the ledger test, the author screen and the per-key
-    # minima below all read it instead of rescanning the wide feed.
-    thin = screen.screen_authors(f.drop(body_col), "author", excluded_authors, out="excluded")
+    # Decisions are taken on a thin copy of the entries (no body text), written
+    # once: the author screen, the ledger test and the per-key minima read it.
+    thin = materialize(f.drop(body_col), "entries")
+    thin = screen.screen_authors(thin, "author", excluded_authors, out="excluded")
     seen = F.lit(False)
     if ledger is not None:
         batch_keys = thin.select("article_id").where(F.col("article_id").isNotNull()).distinct()
@@ -100,110 +118,184 @@ def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
         thin = thin.join(led, "article_id", "left")
         seen = F.coalesce(F.col("_seen"), F.lit(False))
     thin = thin.withColumn("pre_outcome", F.when(seen, "duplicate").when(F.col("excluded"), "excluded"))
-    entries = materialize(thin.drop("_seen") if ledger is not None else thin)
+    entries = materialize(thin.drop("_seen") if ledger is not None else thin, "decided")
     # A copy after an excluded copy of the same key is a duplicate (the
     # excluded one marks the ledger), so it is not sent to the model; of the
     # rest, the first copy of each key is.
+    place = F.struct("feed_pos", *part)
     first_ex = (entries.where(F.col("pre_outcome") == "excluded")
-                       .groupBy("article_id").agg(F.min("feed_pos").alias("_first_ex")))
+                       .groupBy("article_id").agg(F.min(place).alias("_first_ex")))
     first_pos = (entries.where(F.col("pre_outcome").isNull() & F.col("article_id").isNotNull())
                         .join(first_ex, "article_id", "left")
-                        .where(F.col("_first_ex").isNull() | (F.col("feed_pos") < F.col("_first_ex")))
-                        .groupBy("article_id").agg(F.min("feed_pos").alias("feed_pos")))
-    # One more pass over the wide feed fetches the bodies of those copies;
-    # the article set is written once since the body ladder reads it twice.
-    first = materialize(
-        entries.join(first_pos, ["article_id", "feed_pos"], "left_semi")
-               .join(f.select("article_id", "feed_pos", body_col), ["article_id", "feed_pos"]))
-    # Small article sets may land in a few (coalesced) partitions; text work
-    # is CPU-bound, so keep at least one task per core.
-    first = spread(first, "article_id")
+                        .where(F.col("_first_ex").isNull() | (place < F.col("_first_ex")))
+                        .groupBy("article_id").agg(F.min(place).alias("_at"))
+                        .select(F.col("article_id").alias("_key"), F.col("_at.feed_pos").alias("_pos"),
+                                *[F.col("_at")[c].alias(f"_at_{c}") for c in part]))
+    # One more pass over the wide feed fetches the bodies of those copies; the
+    # article set is written once since the body ladder reads it twice.
+    same = (F.col("article_id") == F.col("_key")) & (F.col("feed_pos") == F.col("_pos"))
+    for c in part:
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    first = f.join(first_pos, same, "left_semi").dropDuplicates(["article_id"])
+    first = spread(materialize(first, "articles"), "article_id")
     bodies = article.body_ladder(first, pages, "url", "url", body_col)
-    arts = article.assemble_articles(bodies, "body")
+    arts = article.assemble_articles(bodies, "body", cap=key_point_cap)
     allow = S.allow_thread(F.col("extracted_insights"), F.col("clean_text"), allow_threads,
                            min_points_for_thread, min_chars_for_thread)
     arts = (arts.withColumn("allow_thread", allow)
                 .withColumn("prompt", prompts.generate_prompt(
                     "title", "author", "published_at", "clean_text", "extracted_insights",
-                    F.col("allow_thread"))))
+                    F.col("allow_thread"), text_budget=text_budget, max_points=prompt_points)))
     return Prepared(entries=entries, articles=arts)
 
 
-def deliver(prepared: Prepared, responses: DataFrame, run_id: str,
-            publish_mode: str = "draft", now: Column | None = None,
+def save_prepared(prepared: Prepared, base: str, batch_id: int) -> None:
+    """Write job 1 under ``base`` for a later session (the model step takes hours)."""
+    sinks.write_outcomes(prepared.entries, f"{base}/entries", batch_id)
+    sinks.write_outcomes(prepared.articles, f"{base}/articles", batch_id)
+
+
+def load_prepared(spark, base: str, batch_id: int) -> Prepared:
+    """What ``save_prepared`` (or the prepare stream) wrote for one batch."""
+    read = lambda name: spark.read.parquet(f"{base}/{name}/batch_id={int(batch_id)}")
+    return Prepared(entries=read("entries"), articles=read("articles"))
+
+
+def latest_response(responses: DataFrame, response_col: str = "response", attempt_col: str | None = None) -> DataFrame:
+    """One response per article: of the last attempt (``attempt_col``, a number
+    or time), or without one the greatest text, so that the choice is the same
+    on every run."""
+    order = F.struct(*([attempt_col] if attempt_col else []), response_col)
+    return responses.groupBy("article_id").agg(F.max_by(response_col, order).alias(response_col))
+
+
+def _parsed(prepared: Prepared, responses: DataFrame, response_col: str, attempt_col: str | None,
+            max_chars: int) -> DataFrame:
+    """Articles with their package, its first error (also: none landed) and ``promo``."""
+    arts = prepared.articles.join(latest_response(responses, response_col, attempt_col), "article_id", "left")
+    arts = packages.validate_packages(parse_responses(arts, response_col), allow_thread=F.col("allow_thread"),
+                                      max_chars=max_chars, out="error")
+    return (arts.withColumn("error", F.when(F.col(response_col).isNull(), F.lit(ERR_NO_RESPONSE))
+                            .otherwise(F.coalesce("parse_error", "error")))
+                .withColumn("promo", packages.promo_flag("single_tweet", "thread")))
+
+
+def fact_check_table(prepared: Prepared, responses: DataFrame, response_col: str = "response",
+                     attempt_col: str | None = None, max_chars: int = fixed.MAX_POST_CHARS,
+                     text_budget: int | None = None, max_points: int | None = None) -> DataFrame:
+    """The model's second step: (article_id, prompt) for every valid draft."""
+    ok = _parsed(prepared, responses, response_col, attempt_col, max_chars).where("error is null")
+    return ok.select("article_id", prompts.fact_check_prompt(
+        "clean_text", "extracted_insights", prompts.draft_json("delivery_mode", "single_tweet", "thread"),
+        F.col("allow_thread"), text_budget=text_budget, max_points=max_points).alias("prompt"))
+
+
+def promo_rewrite_table(prepared: Prepared, responses: DataFrame, response_col: str = "response",
+                        attempt_col: str | None = None, max_chars: int = fixed.MAX_POST_CHARS,
+                        text_budget: int | None = None) -> DataFrame:
+    """The model's third step: (article_id, prompt) for every parsed package
+    (``responses`` of the fact check) with promotional wording."""
+    arts = _parsed(prepared, responses, response_col, attempt_col, max_chars)
+    flagged = arts.where(F.col(response_col).isNotNull() & F.col("parse_error").isNull() & F.col("promo"))
+    return flagged.select("article_id", prompts.promo_rewrite_prompt(
+        "clean_text", prompts.draft_json("delivery_mode", "single_tweet", "thread"),
+        F.col("allow_thread"), text_budget=text_budget).alias("prompt"))
+
+
+def deliver(prepared: Prepared, responses: DataFrame, publish_mode: str = "draft", now: Column | None = None,
             queue: DataFrame | None = None, fixed_schedule: str | None = None,
             spacing_minutes: int = fixed.PUBLISH_SPACING_MINUTES,
-            response_col: str = "response") -> Delivered:
-    """Job 2.  ``responses`` holds ``article_id`` and the model's JSON text.
-
-    An article fails when its response is missing, not JSON, or invalid.
-    In schedule mode every valid post gets a slot ``spacing`` after the
-    previous one, starting after the latest queued post."""
-    now = now if now is not None else F.current_timestamp()
-    # One response per article: a retried model step may have landed more
-    # than one; the greatest text is kept so the choice is deterministic.
-    resp = responses.groupBy("article_id").agg(F.max(response_col).alias(response_col))
-    arts = prepared.articles.join(resp, "article_id", "left")
-    arts = parse_responses(arts, response_col)
-    arts = packages.validate_packages(arts, allow_thread=F.col("allow_thread"), out="error")
-    arts = (arts.withColumn("error", F.coalesce(
-                F.when(F.col(response_col).isNull(), F.lit("no model response")),
-                F.col("parse_error"), F.col("error")))
-                .withColumn("promo", packages.promo_flag("single_tweet", "thread"))
-                .withColumn("reply", outbox.read_more("url")))
-    # Every output below reads these rows: write them once (thin: no text,
-    # no prompt) so the prepare chain is not recomputed per sink.
-    arts = materialize(arts.select("article_id", "feed_pos", "url", "delivery_mode", "single_tweet",
-                                   "thread", "reply", "error", "promo"))
+            response_col: str = "response", attempt_col: str | None = None,
+            rewrites: DataFrame | None = None, max_chars: int = fixed.MAX_POST_CHARS) -> Delivered:
+    """Job 2.  ``responses`` holds ``article_id`` and the JSON text of the fact
+    check (or of the first step); ``rewrites`` that of the promo rewrite.
+
+    An article fails when its response is missing, not JSON or invalid, or when
+    it has promotional wording and no rewrite has landed.  In schedule mode every
+    valid post gets a slot ``spacing`` after the previous one, starting after the
+    latest queued post."""
+    now = now if now is not None else F.lit(datetime.now(timezone.utc))
+    keep = ("article_id", "feed_pos", "url", "delivery_mode", "single_tweet", "thread", "error", "promo")
+    arts = _parsed(prepared, responses, response_col, attempt_col, max_chars).select(*keep, "parse_error")
+    flagged = F.col("promo") & F.col("parse_error").isNull() & (F.coalesce("error", F.lit("")) != ERR_NO_RESPONSE)
+    if rewrites is None:
+        arts = arts.withColumn("error", F.coalesce("error", F.when(flagged, F.lit(ERR_NOT_REWRITTEN)))).select(*keep)
+    else:
+        arts = materialize(arts.withColumn("_flagged", flagged), "packages")
+        again = _parsed(prepared, rewrites, response_col, attempt_col, max_chars).select(*keep)
+        arts = arts.where(~F.col("_flagged")).select(*keep).unionByName(
+            again.join(arts.where("_flagged").select("article_id"), "article_id", "left_semi")
+                 .withColumn("error", F.when(F.col("error") == ERR_NO_RESPONSE, F.lit(ERR_NOT_REWRITTEN))
+                             .otherwise(F.col("error"))))
+    # Every output below reads these rows: write them once (no text, no prompt).
+    arts = materialize(arts.drop("promo").withColumn("reply", outbox.read_more("url")), "packages")
     ok = arts.where(F.col("error").isNull())
     if publish_mode == "schedule" and fixed_schedule is None:
         latest = None
         if queue is not None:
             latest = schedule.latest_queued(queue, now).first()[0]
-        ok = ok.withColumn("_arrival", now)
-        # One ``now`` for the whole batch: slots follow feed position; the
-        # range blocks split that single run of equal times by position.
-        ok = schedule.publish_slots(ok, "_arrival", "feed_pos", (), spacing_minutes,
-                                    latest=F.lit(latest) if latest is not None else None,
-                                    materialize_rows=False).drop("_arrival")
+        # One ``now`` for the whole batch: slots follow feed position.
+        ok = schedule.publish_slots(ok.withColumn("_arrival", now), "_arrival", "feed_pos", (), spacing_minutes,
+                                    latest=F.lit(latest) if latest is not None else None).drop("_arrival")
         ok = ok.withColumn("slot_text", schedule.slot_text("slot"))
     else:
         ok = ok.withColumn("slot_text", F.lit(fixed_schedule).cast("string"))
     # An unknown publish mode or a schedule without a usable time fails the
     # article while building its request, as the send step would.
     ok = ok.withColumn("_perr", outbox.payload_error(F.lit(publish_mode), "slot_text"))
-    send = ok.where(F.col("_perr").isNull())
     posts = outbox.post_list("delivery_mode", "single_tweet", "thread", "reply")
-    ob = send.select("article_id", "feed_pos", posts.alias("posts"), "slot_text",
-                     outbox.outbox_payload(posts, F.lit(publish_mode), "slot_text").alias("payload"))
-    drafts = outbox.draft_rows(send, publish_mode=publish_mode, created_at=now)
-    errors = (arts.where(F.col("error").isNotNull()).select("article_id", F.col("error").alias("error_text"))
-              .unionByName(ok.where(F.col("_perr").isNotNull())
-                             .select("article_id", F.col("_perr").alias("error_text"))))
-    failed_keys = errors.select("article_id").distinct().withColumn("failed", F.lit(True))
-    entries = (prepared.entries.join(failed_keys, "article_id", "left")
-               .withColumn("failed", F.coalesce(F.col("failed"), F.lit(False))))
-    labelled = outcomes.ingest_outcomes(entries, "article_id", "feed_pos",
-                                        excluded="excluded", failed="failed")
-    labelled = labelled.withColumn("outcome", F.coalesce(F.col("pre_outcome"), F.col("outcome")))
-    keep = [c for c in ("article_id", "feed_pos", "outcome", "url", "title", "published_at")
-            if c in labelled.columns]
-    labelled = materialize(labelled.select(*keep))
-    facts = (labelled.join(errors, "article_id", "left")
-             .select(F.lit(run_id).alias("run_id"), "article_id", "feed_pos", "outcome",
-                     F.when(F.col("outcome") == "failed", F.col("error_text")).alias("error")))
-    adds = outcomes.ledger_additions(labelled)
-    ledger_rows = sinks.ledger_rows(adds, None, 0, processed_at=now)
-    run = (outcomes.run_summary(facts, "run_id")
+    sent = ok.where(F.col("_perr").isNull()).select(
+        "article_id", "feed_pos", "delivery_mode", "single_tweet", "thread", "reply", posts.alias("posts"),
+        "slot_text", F.lit(publish_mode).alias("publish_mode"),
+        outbox.outbox_payload(posts, F.lit(publish_mode), "slot_text").alias("payload"))
+    failures = (arts.where(F.col("error").isNotNull()).select("article_id", F.col("error").alias("error_text"))
+                .unionByName(ok.where(F.col("_perr").isNotNull())
+                               .select("article_id", F.col("_perr").alias("error_text"))))
+    return Delivered(outbox=sent, failures=failures)
+
+
+def confirm(prepared: Prepared, delivered: Delivered, answers: DataFrame | None, run_id: str,
+            now: Column | None = None, answer_col: str = "answer",
+            feed_cols: tuple[str, ...] = ("feed_file",)) -> Confirmed:
+    """Job 3.  ``answers`` holds ``article_id`` and the publishing service's
+    answer (JSON text, null for a refused request) for every request that went
+    through; a request without one fails and stays out of the ledger, so the
+    article is tried again.  ``answers=None`` is a dry run: nothing is sent,
+    there are no drafts, and valid articles count as processed."""
+    now = now if now is not None else F.lit(datetime.now(timezone.utc))
+    spark = prepared.entries.sparkSession
+    failures, drafts = delivered.failures, None
+    if answers is not None:
+        one = answers.groupBy("article_id").agg(F.max(answer_col).alias("_answer"))
+        sent = materialize(delivered.outbox.join(one, "article_id", "left"), "sent")
+        went = sent.where(F.col("_answer").isNotNull())
+        failures = failures.unionByName(sent.where(F.col("_answer").isNull()).select(
+            "article_id", F.lit(ERR_NO_ANSWER).alias("error_text")))
+    else:
+        went = delivered.outbox.limit(0).withColumn("_answer", F.lit(None).cast("string"))
+    drafts = outbox.draft_rows(went, publish_mode="publish_mode", response_body="_answer", created_at=now)
+    errors = materialize(failures, "failures")
+    # A key fails once per batch: its copies share the first copy's model call.
+    by_key = errors.groupBy("article_id").agg(F.min("error_text").alias("error_text"))
+    part = [c for c in feed_cols if c in prepared.entries.columns]
+    entries = prepared.entries.join(by_key, "article_id", "left").withColumn("failed", F.col("error_text").isNotNull())
+    labelled = outcomes.ingest_outcomes(entries, "article_id", ["feed_pos", *part], excluded="excluded", failed="failed")
+    # Only the ledger test is final here; whether a copy comes after an excluded
+    # or processed one is for the outcome rule.
+    labelled = materialize(labelled.withColumn("outcome", F.when(F.col("pre_outcome") == "duplicate", "duplicate")
+                                               .otherwise(F.col("outcome"))), "labelled")
+    facts = labelled.select(F.lit(run_id).alias("run_id"), "article_id", "feed_pos", *part, "outcome",
+                            F.when(F.col("outcome") == "failed", F.when(F.col("article_id").isNull(), F.lit(ERR_NO_KEY))
+                                   .otherwise(F.col("error_text"))).alias("error"))
+    ledger_rows = sinks.ledger_rows(outcomes.ledger_additions(labelled), None, 0, processed_at=now)
+    run = (outcomes.run_summary(facts, "run_id", runs=spark.createDataFrame([(run_id,)], "run_id string"))
            .withColumn("started_at", now).withColumn("completed_at", now))
-    return Delivered(outbox=ob, drafts=drafts, outcomes=facts, ledger=ledger_rows, run=run)
+    return Confirmed(drafts=drafts, outcomes=facts, ledger=ledger_rows, run=run)
 
 
-def write_outputs(out: Delivered, base: str, batch_id: int, dry_run: bool = False) -> None:
-    """Write one batch: outbox and drafts, outcomes and run, ledger last."""
-    if not dry_run:
-        sinks.append_drafts(out.outbox, f"{base}/outbox", batch_id)
-        sinks.append_drafts(out.drafts, f"{base}/drafts", batch_id)
+def write_outputs(out: Confirmed, base: str, batch_id: int, dry_run: bool = False) -> None:
+    """Write one batch: drafts, outcomes and run, ledger last."""
+    sinks.append_drafts(out.drafts, f"{base}/drafts", batch_id, dry_run=dry_run)
     sinks.write_outcomes(out.outcomes, f"{base}/outcomes", batch_id)
     sinks.write_run(out.run, f"{base}/runs", batch_id)
     sinks.append_ledger(out.ledger, f"{base}/ledger", batch_id, dry_run=dry_run)

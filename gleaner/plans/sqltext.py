@@ -45,11 +45,6 @@ def disclaimer_re2(patterns=fixed.DISCLAIMER_PATTERNS) -> str | None:
     return "(?i)" + "|".join("(?:" + p + ")" for p in pats) if pats else None
 
 
-def ci(cond: str) -> str:
-    """count_if as BIGINT (DuckDB returns HUGEINT)."""
-    return f"CAST(count_if({cond}) AS BIGINT)"
-
-
 def stat_any(x: str) -> str:
     return "(" + " OR ".join(f"regexp_matches({x}, {q(p)})" for p in STAT_RE2.values()) + ")"
 

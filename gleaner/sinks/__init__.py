@@ -1,8 +1,9 @@
 """Sinks: ledger, drafts, runs and outcomes (SNK-01..04).
 
-Every batch writes into its own ``batch_id=<n>`` folder with dynamic
-partition overwrite, so a batch that is retried after a failure replaces its
-own earlier attempt instead of adding a second copy.  Write order is
+Every batch writes into its own ``batch_id=<n>`` folder and overwrites that
+folder, so a batch that is retried after a failure replaces its own earlier
+attempt, with nothing if nothing is left, instead of adding a second copy.  An
+empty batch leaves a file without rows, so the folder keeps its schema.  Write order is
 drafts/outbox first and ledger last: a crash in between leaves articles that
 are retried, never articles marked done without their drafts.
 """
@@ -19,11 +20,7 @@ LEDGER_COLUMNS = ["article_id", "url", "title", "published_at", "processed_at"]
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id")
-       .format(fmt).save(path))
+    df.drop("batch_id").write.mode("overwrite").format(fmt).save(f"{path}/batch_id={int(batch_id)}")
 
 
 def ledger_rows(entries: DataFrame, ledger: DataFrame | None, batch_id: int,

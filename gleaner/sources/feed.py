@@ -33,6 +33,21 @@ RSS_ITEM_SCHEMA = T.StructType([
     T.StructField("summary", T.StringType()),
 ])
 
+# One Atom entry as landed; only what an entry has of the RSS item's fields.
+_TEXT = T.StructType([T.StructField("_text", T.StringType()), T.StructField("_attr_type", T.StringType())])
+ATOM_ENTRY_SCHEMA = T.StructType([
+    T.StructField("title", _TEXT),
+    T.StructField("link", T.ArrayType(T.StructType([T.StructField("_text", T.StringType()),
+                                                    T.StructField("_attr_href", T.StringType()),
+                                                    T.StructField("_attr_rel", T.StringType())]))),
+    T.StructField("id", T.StringType()),
+    T.StructField("author", T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))),
+    T.StructField("published", T.StringType()),
+    T.StructField("updated", T.StringType()),
+    T.StructField("content", T.ArrayType(_TEXT)),
+    T.StructField("summary", _TEXT),
+])
+
 FEED_SCHEMA = T.StructType([
     T.StructField("article_id", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -69,6 +84,25 @@ def read_rss_items(spark: SparkSession, path: str, streaming: bool = False,
     return df.withColumn("_pos", pos)
 
 
+def read_atom_entries(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Atom entries in the columns of RSS items: the link is the alternate one
+    (or the first), the author the first author's name, ``encoded`` the contents."""
+    r = (_reader(spark, streaming).format("xml")
+         .option("rowTag", "entry").option("ignoreNamespace", "true")
+         .option("attributePrefix", "_attr_").option("valueTag", "_text")
+         .schema(ATOM_ENTRY_SCHEMA))
+    df = r.load(path).withColumn("feed_file", F.col("_metadata.file_path"))
+    links = F.coalesce(F.col("link"), F.array().cast(ATOM_ENTRY_SCHEMA["link"].dataType))
+    alternate = F.filter(links, lambda x: F.coalesce(x["_attr_rel"], F.lit("alternate")) == "alternate")
+    pos = F.lit(None).cast("bigint") if streaming else F.monotonically_increasing_id()
+    return df.select(
+        F.col("title._text").alias("title"),
+        F.coalesce(F.get(alternate, 0)["_attr_href"], F.get(links, 0)["_attr_href"]).alias("link"), "id",
+        F.get("author", 0)["name"].alias("author"), "published", "updated",
+        F.filter(F.transform("content", lambda x: x["_text"]), lambda x: x.isNotNull()).alias("encoded"),
+        F.col("summary._text").alias("summary"), "feed_file").withColumn("_pos", pos)
+
+
 def normalize_feed(items: DataFrame, pos_col: str = "_pos") -> DataFrame:
     """Feed entries in the shape the rest of the engine uses.
 
@@ -108,9 +142,15 @@ def read_feed(spark: SparkSession, path: str, fmt: str = "xml",
               streaming: bool = False) -> DataFrame:
     """SRC-01: landed feed files -> normalized entries.
 
-    ``fmt='xml'`` reads RSS items; ``'parquet'`` / ``'json'`` read files
-    already in the normalized shape (``FEED_SCHEMA``)."""
-    if fmt == "xml":
+    ``fmt='xml'`` reads RSS items and Atom entries (a file holds one kind);
+    ``'rss'`` / ``'atom'`` only those, and streams name the one they read;
+    ``'parquet'`` / ``'json'`` read files already in the normalized shape
+    (``FEED_SCHEMA``)."""
+    if fmt == "atom":
+        return normalize_feed(read_atom_entries(spark, path, streaming))
+    if fmt == "rss" or fmt == "xml" and streaming:
         return normalize_feed(read_rss_items(spark, path, streaming))
+    if fmt == "xml":
+        return normalize_feed(read_rss_items(spark, path)).unionByName(normalize_feed(read_atom_entries(spark, path)))
     r = _reader(spark, streaming).format(fmt).schema(FEED_SCHEMA)
     return r.load(path)

@@ -27,13 +27,22 @@ from gleaner.operators.outcomes import ingest_outcomes
 from gleaner.sources.tables import read_ledger
 
 
-def _read_or_empty(spark, path: str, like: DataFrame) -> DataFrame:
+def _read_or_empty(spark, path: str, schema) -> DataFrame:
     try:
-        return spark.read.schema(like.schema).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], like.schema)
+        return spark.createDataFrame([], schema)
+
+
+def _numbered(batch: DataFrame) -> DataFrame:
+    """The micro-batch written once, its rows numbered: streamed XML rows carry
+    no position, and a number must not shift when a task is retried."""
+    batch = batch.withColumn("_row", F.monotonically_increasing_id())
+    if "feed_pos" in batch.columns:
+        batch = batch.withColumn("feed_pos", F.coalesce("feed_pos", "_row"))
+    return materialize(batch, "batch")
 
 
 def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
@@ -44,27 +53,15 @@ def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
     ledger, write outcome facts, retries and finally the ledger rows.
 
     ``decide`` adds ``excluded`` / ``failed`` columns (author screen, body
-    and model steps); without it every new entry is processed."""
-    spark = batch.sparkSession
-    if "feed_pos" in batch.columns:
-        # Streamed XML rows carry no position: number them within the batch.
-        batch = batch.withColumn("feed_pos", F.coalesce(F.col("feed_pos"),
-                                                        F.monotonically_increasing_id()))
-    # The micro-batch is read by several writes below; writing it once also
-    # turns the rest into ordinary batch queries that adaptive execution can
-    # re-plan (partition counts, join strategies) from measured sizes.
-    batch = materialize(batch)
-    entries = batch
+    and model steps); without it every new entry is processed.  The retry table
+    holds, per batch, the rows that still fail after it (possibly none); a batch
+    takes up those of the batch before, ahead of its own entries."""
+    spark, names = batch.sparkSession, batch.columns
+    entries = _numbered(batch).withColumn("_new", F.lit(1))
     if retry_path is not None:
-        pending = _read_or_empty(spark, retry_path, batch.withColumn("batch_id", F.lit(0).cast("bigint")))
-        if "batch_id" in pending.columns:
-            # Retries written by earlier batches only; a replay of this batch
-            # must not read back its own output.
-            latest = pending.where(F.col("batch_id") < batch_id)
-            last_id = latest.agg(F.max("batch_id")).first()[0]
-            pending = latest.where(F.col("batch_id") == F.lit(last_id)).drop("batch_id") \
-                if last_id is not None else latest.limit(0).drop("batch_id")
-            entries = entries.unionByName(pending.select(*batch.columns))
+        pending = _read_or_empty(spark, f"{retry_path}/batch_id={int(batch_id) - 1}", batch.schema)
+        entries = materialize(entries.unionByName(pending.withColumns(
+            {"_row": F.monotonically_increasing_id(), "_new": F.lit(0)})), "entries")
     if decide is not None:
         entries = decide(entries)
     else:
@@ -72,18 +69,21 @@ def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
     ledger = read_ledger(spark, ledger_path)
     if "batch_id" in ledger.columns:
         ledger = ledger.where(F.col("batch_id") != F.lit(int(batch_id)))
-    # Kept for the three writes below; a lost cache block is recomputed from
-    # the batch's (replayable) source files.
-    labelled = ingest_outcomes(entries, ledger=ledger.select("article_id")).persist()
+    # Read by the three writes below.
+    labelled = materialize(ingest_outcomes(entries, order_col=["_new", "feed_pos", "_row"],
+                                           ledger=ledger.select("article_id")), "labelled")
+    facts = labelled.drop("_new", "_row").withColumn("run_batch", F.lit(int(batch_id)))
     if outcomes_path is not None:
-        sinks.write_outcomes(labelled.withColumn("run_batch", F.lit(int(batch_id))), outcomes_path, batch_id)
+        sinks.write_outcomes(facts, outcomes_path, batch_id)
     if retry_path is not None:
-        failed = labelled.where(F.col("outcome") == "failed").select(*batch.columns)
+        # A later copy in this batch may have settled a key that failed first.
+        done = labelled.where(F.col("outcome").isin("processed", "excluded")).select("article_id").distinct()
+        failed = labelled.where((F.col("outcome") == "failed") & F.col("article_id").isNotNull())
+        failed = failed.join(done, "article_id", "left_anti").select(*names)
         sinks.write_outcomes(failed, retry_path, batch_id)
     rows = sinks.ledger_rows(labelled.where(F.col("outcome").isin("processed", "excluded")),
                              None, batch_id)
     sinks.append_ledger(rows, ledger_path, batch_id)
-    labelled.unpersist()
 
 
 def start_feed_stream(feed: DataFrame, checkpoint: str, ledger_path: str,
@@ -103,27 +103,30 @@ def start_feed_stream(feed: DataFrame, checkpoint: str, ledger_path: str,
 def start_prepare_stream(feed: DataFrame, pages: DataFrame, checkpoint: str, out_dir: str,
                          ledger_path: str, excluded_authors=(),
                          max_articles: int | None = None,
+                         outcomes_path: str | None = None,
                          available_now: bool = True,
                          processing_time: str | None = None) -> StreamingQuery:
     """STR-01 for the first job: every micro-batch of landed feed entries is
     prepared against the ledger (dedup, author screen, bodies, clean text,
-    key points, prompts) and written under ``batch_id=<n>``: the prompt
-    table to ``out_dir/prompts`` and the entry decisions to
-    ``out_dir/entries``, ready for the model step and ``plans.jobs.deliver``."""
+    key points, prompts) and saved under ``out_dir`` for the model step and
+    ``plans.jobs.load_prepared``.
+
+    Articles of earlier batches that wait for their delivery are not prepared
+    again; those that ``outcomes_path`` shows as failed since are."""
     from gleaner.plans import jobs  # local import: plans depend on this package
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if "feed_pos" in batch.columns:
-            batch = batch.withColumn("feed_pos", F.coalesce(F.col("feed_pos"),
-                                                            F.monotonically_increasing_id()))
-        ledger = read_ledger(spark, ledger_path)
-        prep = jobs.prepare(batch, pages, ledger.select("article_id"),
+        seen = read_ledger(spark, ledger_path).select("article_id")
+        waiting = _read_or_empty(spark, f"{out_dir}/articles", "article_id string, batch_id long").where(
+            F.col("batch_id") < int(batch_id)).select("article_id")
+        if outcomes_path is not None:
+            failed = _read_or_empty(spark, outcomes_path, "article_id string, outcome string").where(
+                "outcome = 'failed'").select("article_id")
+            waiting = waiting.join(failed, "article_id", "left_anti")
+        prep = jobs.prepare(_numbered(batch).drop("_row"), pages, seen.unionByName(waiting),
                             excluded_authors=excluded_authors, max_articles=max_articles)
-        sinks.write_outcomes(prep.articles.select("article_id", "feed_pos", "title", "url",
-                                                  "body_source", "allow_thread", "prompt"),
-                             f"{out_dir}/prompts", batch_id)
-        sinks.write_outcomes(prep.entries, f"{out_dir}/entries", batch_id)
+        jobs.save_prepared(prep, out_dir, batch_id)
 
     w = (feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "15 minutes")

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from gleaner.plans.driver import QUERIES
 from tools.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -17,7 +18,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cols = df.columns
@@ -30,6 +31,24 @@ def test_query_matches_oracle(spark, con, name):
     assert got == rows_of(ocols, res.fetchall())
 
 
+def test_every_query_is_registered_with_an_oracle():
+    assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())
+
+
+def test_signals_are_not_vacuous(spark):
+    lines = E.queries()["stat_lines"](spark, SF)
+    for c in ("is_record", "is_percentage", "is_odds", "is_total"):
+        assert 0 < lines.where(c).count() < lines.count(), c
+    words = E.queries()["promo_words"](spark, SF)
+    assert len({r.post.split(" ", 1)[1] for r in words.where("promo").collect()}) >= 8
+    drafts = E.queries()["curation_drafts"](spark, SF)
+    assert {r.draft_type for r in drafts.collect()} == {"single", "thread"}
+    run = {r.outcome: r["count"] for r in E.queries()["curation_run"](spark, SF).groupBy("outcome").count().collect()}
+    assert set(run) == {"duplicate", "excluded", "failed", "processed"}
+    rungs = {r.body_source for r in E.queries()["body_ladder_main"](spark, SF).collect()}
+    assert rungs == {"feed", "main", "article", "missing"} | rungs & {"page"}
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["doc_id", "point_no", "point"]

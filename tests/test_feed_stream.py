@@ -88,8 +88,9 @@ def test_read_queue_pages(spark):
             f.write(body)
     q = read_queue(spark, d)
     assert sorted(r.page for r in q.collect()) == [0, 1, 12]
-    got = latest_queued(q, F.lit(dt.datetime(2026, 1, 1))).first().latest
-    assert got == dt.datetime(2027, 1, 6, 0, 0)
+    now = F.lit(dt.datetime(2026, 1, 1))
+    assert latest_queued(q, now, max_pages=10).first().latest == dt.datetime(2027, 1, 6, 0, 0)
+    assert latest_queued(q, now).first().latest == dt.datetime(2030, 1, 1, 0, 0)
 
 
 def test_failed_rows_are_retried_next_batch(spark):
@@ -128,8 +129,75 @@ def test_prepare_stream_writes_prompts_per_batch(spark):
     q = start_prepare_stream(read_feed(spark, land, streaming=True), pages, f"{base}/ck", base,
                              f"{base}/ledger", excluded_authors=["jane roe"])
     q.awaitTermination()
-    prompts = spark.read.parquet(f"{base}/prompts").collect()
+    prompts = spark.read.parquet(f"{base}/articles").collect()
     assert [r.url for r in prompts] == ["https://x/b"]
     assert prompts[0].body_source == "article" and "Page b text" in prompts[0].prompt
     entries = {r.url: r.pre_outcome for r in spark.read.parquet(f"{base}/entries").collect()}
     assert entries == {"https://x/a": "excluded", "https://x/b": None}
+
+
+ATOM = """<?xml version="1.0"?>
+<feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>
+<entry><title type="html">One</title><link rel="self" href="https://x/self"/><link href="https://x/1"/>
+  <id>tag:1</id><author><name>Ann</name></author><updated>2027-01-05T10:00:00Z</updated>
+  <content type="html">&lt;p&gt;Body&lt;/p&gt;</content><summary>short</summary></entry>
+<entry><title>Two</title><link rel="self" href="https://x/2"/><summary>Only summary</summary></entry>
+</feed>
+"""
+
+
+def test_read_atom_beside_rss(spark):
+    d = _land(ATOM, "atom.xml")
+    with open(os.path.join(d, "feed.xml"), "w") as f:
+        f.write(RSS)
+    rows = {r.title: r for r in read_feed(spark, d).collect()}
+    assert set(rows) == {"First", "Second", "One", "Two"}
+    one, two = rows["One"], rows["Two"]
+    assert (one.url, one.author, one.feed_content) == ("https://x/1", "Ann", "<p>Body</p>")
+    assert one.article_id == hashlib.sha256(b"tag:1").hexdigest() and one.published_at == dt.datetime(2027, 1, 5, 10)
+    assert (two.url, two.author, two.feed_content) == ("https://x/2", None, "Only summary")
+
+
+SCHEMA = "article_id string, url string, title string, published_at timestamp, feed_pos long"
+
+
+def _batches(spark, base, batches, decide):
+    from gleaner.streaming import handle_batch
+    for i, keys in enumerate(batches):
+        df = spark.createDataFrame([(k, "u", "t", None, p) for p, k in enumerate(keys)], SCHEMA)
+        handle_batch(df, i, f"{base}/ledger", f"{base}/retry", f"{base}/outcomes", decide)
+    facts = spark.read.parquet(f"{base}/outcomes").collect()
+    return sorted((r.batch_id, r.article_id, r.outcome) for r in facts)
+
+
+def test_retry_ends_after_success(spark):
+    """Fail, succeed, and two later batches: no fact for the article after that."""
+    base = tempfile.mkdtemp(prefix="gleaner-retry-")
+    fails = lambda df: df.withColumn("excluded", F.lit(False)).withColumn("failed", (F.col("article_id") == "A") & (F.col("_new") == 1))
+    got = _batches(spark, base, [["A"], ["B"], ["C"], ["D"]], fails)
+    assert got == [(0, "A", "failed"), (1, "A", "processed"), (1, "B", "processed"), (2, "C", "processed"), (3, "D", "processed")]
+
+
+def test_retry_and_new_copy_with_one_position(spark):
+    base = tempfile.mkdtemp(prefix="gleaner-retry-")
+    fails = lambda df: df.withColumn("excluded", F.lit(False)).withColumn("failed", (F.col("article_id") == "A") & (F.col("batch") == 0))
+    from gleaner.streaming import handle_batch
+    for i in range(2):
+        df = spark.createDataFrame([("A", "u", "t", None, 0)], SCHEMA)
+        handle_batch(df, i, f"{base}/ledger", f"{base}/retry", f"{base}/outcomes",
+                     lambda d, i=i: fails(d.withColumn("batch", F.lit(i))).drop("batch"))
+    facts = sorted((r.batch_id, r.outcome) for r in spark.read.parquet(f"{base}/outcomes").collect())
+    assert facts == [(0, "failed"), (1, "duplicate"), (1, "processed")]
+
+
+def test_waiting_articles_are_not_prepared_again(spark):
+    from gleaner.streaming import start_prepare_stream
+    land, base = tempfile.mkdtemp(prefix="gleaner-prep-land-"), tempfile.mkdtemp(prefix="gleaner-prep-")
+    pages = spark.createDataFrame([], "url string, html string")
+    for name in ("a.xml", "b.xml"):  # the same feed polled twice
+        with open(os.path.join(land, name), "w") as f:
+            f.write(RSS)
+        start_prepare_stream(read_feed(spark, land, streaming=True), pages, f"{base}/ck", base, f"{base}/ledger").awaitTermination()
+    assert spark.read.parquet(f"{base}/articles").groupBy("batch_id").count().collect()[0]["count"] == 2
+    again = spark.read.parquet(f"{base}/entries").where("batch_id = 1").collect()
+    assert {r.pre_outcome for r in again} == {"duplicate"}

@@ -38,7 +38,7 @@ def test_prompt_variants(spark):
 
 
 def test_run_id_and_failed_row(spark):
-    rid = jobs.make_run_id(dt.datetime(2026, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc))
+    rid = jobs.run_id("feed", 0, dt.datetime(2026, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc))
     assert re.fullmatch(r"run_20260102T030405Z_[0-9a-f]{8}", rid)
     row = jobs.failed_run_row(spark, rid, 3, 1, 1).first()
     assert (row.status, row.articles_failed) == ("failed", 2)
@@ -91,11 +91,12 @@ def test_duplicate_pages_do_not_duplicate_rows(spark):
     pages = spark.createDataFrame([("u1", "<article>B</article>"), ("u1", "<article>A</article>")],
                                   "url string, html string")
     got = [(r.body_source, r.body) for r in body_ladder(feed, pages).collect()]
-    assert got == [("article", "A")]
+    assert got == [("article", "B")]  # no crawl time: the greater text
 
 
 def test_shared_dir_uses_the_session_checkpoint_dir(spark):
     from gleaner.session import shared_dir
+    shared_dir(spark, "first")
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     got = shared_dir(spark, "x/y")
     assert base and got.rstrip("/").endswith("/x/y")

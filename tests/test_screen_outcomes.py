@@ -30,6 +30,39 @@ def test_author_table_path_equals_regex(spark):
     assert by_regex[4] and not by_regex[5] and by_regex[6] and not by_regex[9]
 
 
+def test_names_match_themselves_in_every_script(spark):
+    names = ["Strau\u00df", "\u0393\u03b9\u03ce\u03c1\u03b3\u03bf\u03c2", "  Jane   ROE ", "O'Neil (Jr.)", "", None]
+    authors = ["STRAUSS", "strau\u00df", "\u0393\u0399\u038f\u03a1\u0393\u039f\u03a3", "\u03b3\u03b9\u03ce\u03c1\u03b3\u03bf\u03c2", "by jane roe",
+               "o'neil (jr.)", "nobody", "", None]
+    df = spark.createDataFrame(list(enumerate(authors)), "id int, a string")
+    want = [True] * 6 + [False] * 3
+    by_list = screen.screen_authors(df, "a", names).orderBy("id").collect()
+    by_table = screen.screen_authors(df, "a", spark.createDataFrame([(n,) for n in names], "name string")).orderBy("id").collect()
+    by_rule = df.select("id", screen.author_excluded("a", names).alias("excluded")).orderBy("id").collect()
+    assert [r.excluded for r in by_list] == [r.excluded for r in by_table] == [r.excluded for r in by_rule] == want
+
+
+def test_long_lists_take_the_same_path(spark):
+    df = spark.createDataFrame([(1, "name 700"), (2, "xname 7")], "id int, a string")
+    got = screen.screen_authors(df, "a", [f"name {i}" for i in range(1000)]).orderBy("id").collect()
+    assert [r.excluded for r in got] == [True, False]
+
+
+def test_ties_are_broken_by_further_order_columns(spark):
+    rows = [(0, 0, "a", False), (1, 0, "a", False), (1, 0, "b", True)]
+    df = spark.createDataFrame(rows, "batch int, feed_pos int, article_id string, failed boolean")
+    got = outcomes.ingest_outcomes(df, order_col=["batch", "feed_pos"], excluded=None).collect()
+    assert sorted((r.batch, r.article_id, r.outcome) for r in got) == [
+        (0, "a", "processed"), (1, "a", "duplicate"), (1, "b", "failed")]
+
+
+def test_run_without_entries_has_a_row(spark):
+    none = spark.createDataFrame([], "run_id string, outcome string")
+    runs = spark.createDataFrame([("r1",)], "run_id string")
+    r = outcomes.run_summary(none, runs=runs).first()
+    assert (r.articles_found, r.articles_failed, r.status) == (0, 0, "completed")
+
+
 def test_repeat_after_success_and_failure(spark):
     rows = [(1, "a", False, False), (2, "a", False, False),
             (3, "b", False, True), (4, "b", False, False), (5, "b", False, False)]
