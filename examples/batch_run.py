@@ -1,17 +1,23 @@
-"""One curation run over landed files, as a cron-started batch job.
-
-    python examples/batch_run.py FEED_DIR PAGES_PATH RESPONSES_PATH OUT_DIR
-
-FEED_DIR holds landed RSS files, PAGES_PATH a table of (url, html),
-RESPONSES_PATH a table of (article_id, response) written by the model step,
-OUT_DIR the shared folder for ledger, outbox, drafts, outcomes and runs.
-The first call (without RESPONSES_PATH) writes the prompt table instead.
+"""One curation run over landed files, as cron-started batch jobs.
+
+    python examples/batch_run.py prepare FEED_DIR PAGES_PATH OUT_DIR BATCH
+    python examples/batch_run.py check   RESPONSES OUT_DIR BATCH
+    python examples/batch_run.py deliver CHECKED REWRITES OUT_DIR BATCH
+    python examples/batch_run.py confirm CHECKED REWRITES ANSWERS OUT_DIR BATCH
+
+FEED_DIR holds landed feed files, PAGES_PATH a table of (url, html); RESPONSES,
+CHECKED and REWRITES are tables of (article_id, response) written by the model's
+three steps, ANSWERS one of (article_id, answer) from the publishing service.
+``prepare`` writes the prompts, ``check`` those of the fact check, ``deliver`` the
+prompts of posts to rewrite and the outbox, ``confirm`` drafts, outcomes, the run
+row and the ledger.  OUT_DIR is a folder that driver and executors share.
 """
 
 from __future__ import annotations
 
 import os
 import sys
+from datetime import datetime, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -23,27 +29,31 @@ from gleaner.sources.feed import read_feed  # noqa: E402
 from gleaner.sources.tables import read_ledger, read_pages  # noqa: E402
 
 
-def main(feed_dir: str, pages_path: str, responses_path: str | None, out_dir: str) -> None:
-    b = SparkSession.builder.appName("gleaner-run")
+def main(step: str, *args: str) -> None:
+    *tables, out_dir, batch = args
+    b = SparkSession.builder.appName("gleaner-run").config("spark.checkpoint.dir", f"{out_dir}/work")
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    feed = read_feed(spark, feed_dir)
-    pages = read_pages(spark, pages_path)
-    ledger = read_ledger(spark, f"{out_dir}/ledger")
-    prep = jobs.prepare(feed, pages, ledger, excluded_authors=[])
-    if not responses_path:
-        prep.articles.select("article_id", "prompt").write.mode("overwrite").parquet(f"{out_dir}/prompts")
+    batch_id = int(batch)
+    if step == "prepare":
+        prep = jobs.prepare(read_feed(spark, tables[0]), read_pages(spark, tables[1]), read_ledger(spark, f"{out_dir}/ledger"))
+        jobs.save_prepared(prep, out_dir, batch_id)
+        return
+    prep = jobs.load_prepared(spark, out_dir, batch_id)
+    responses = spark.read.parquet(tables[0])
+    if step == "check":
+        jobs.fact_check_table(prep, responses).write.mode("overwrite").parquet(f"{out_dir}/fact_check/batch_id={batch_id}")
+        return
+    rewrites = None if tables[1] == "-" else spark.read.parquet(tables[1])  # "-": none have landed
+    sent = jobs.deliver(prep, responses, rewrites=rewrites)
+    if step == "deliver":
+        jobs.promo_rewrite_table(prep, responses).write.mode("overwrite").parquet(f"{out_dir}/rewrite/batch_id={batch_id}")
+        sent.outbox.write.mode("overwrite").parquet(f"{out_dir}/outbox/batch_id={batch_id}")
         return
-    run_id = jobs.make_run_id()
-    out = jobs.deliver(prep, spark.read.parquet(responses_path), run_id, publish_mode="draft")
-    batch_id = int(run_id.split("_")[1].replace("T", "").rstrip("Z"))
-    jobs.write_outputs(out, out_dir, batch_id)
+    run_id = jobs.run_id(out_dir, batch_id, datetime.now(timezone.utc))
+    jobs.write_outputs(jobs.confirm(prep, sent, spark.read.parquet(tables[2]), run_id), out_dir, batch_id)
 
 
 if __name__ == "__main__":
-    args = sys.argv[1:]
-    if len(args) == 3:
-        main(args[0], args[1], None, args[2])
-    else:
-        main(*args[:4])
+    main(*sys.argv[1:])
