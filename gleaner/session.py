@@ -9,8 +9,10 @@ process gets a temporary folder; any other session is refused.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -82,7 +84,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         context = spark.sparkContext
         if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gleaner-"))
+        own = tempfile.mkdtemp(prefix="gleaner-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)  # one process: nobody else reads it
+        context.setCheckpointDir(own)
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}"
 
