@@ -129,11 +129,6 @@ def to_java(pattern: str, ignorecase: bool = False) -> str:
     return ("(?iU)" if ignorecase else "(?U)") + pattern
 
 
-def literal_alternation(words: list[str]) -> str:
-    """Java regex matching any of ``words`` literally."""
-    return "|".join(r"\Q" + w + r"\E" for w in words)
-
-
 def char_class(chars: str) -> str:
     """Regex character class (Java and RE2 syntax) for a set of characters."""
     return "[" + "".join(r"\x{%X}" % ord(c) for c in chars) + "]"

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleaner.functions import fixed
-from gleaner.functions.fixed import literal_alternation, to_java
+from gleaner.functions.fixed import to_java
 from gleaner.functions.memo import by_column_name
 
 
