@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, chunkdedup, decontam, licenses, packing, parsing, quality, simhash, suffixes, tokencount
+from gleaner.llm import chat, chunkdedup, decontam, licenses, oracles, packing, parsing, quality, simhash, suffixes, tokencount
 from gleaner.llm.common import table
 
 
@@ -92,4 +92,9 @@ QUERIES = {
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_license_scan": oracles.license_scan(),
+    "op5_suffix_array_dedup": oracles.suffix_array_dedup(),
+    "op9_decontamination": oracles.decontamination(),
+    "op10_chat_formatting": oracles.chat_formatting(),
+}

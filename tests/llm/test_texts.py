@@ -88,6 +88,7 @@ def test_equal_substrings_share_names_at_any_offset():
 
 def test_fingerprint_does_not_depend_on_the_batch():
     texts = [b"", b"a", b"aaaaaaa", "é日😀".encode() * 30, b"abc" * 50, b"", b"xyz uvw"]
+    assert (parsing.from_hex(parsing.hexes(parsing.fingerprints(texts))) == parsing.fingerprints(texts)).all()
     assert (parsing.fingerprints(texts) == np.concatenate([parsing.fingerprints([t]) for t in texts])).all()
 
 
