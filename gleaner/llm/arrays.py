@@ -61,13 +61,6 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(out)
 
 
-def words8(data: np.ndarray) -> np.ndarray:
-    """The little-endian 8-byte word at every position (zero padded at the end)."""
-    buf = np.zeros(len(data) + 8, np.uint8)
-    buf[: len(data)] = data
-    return np.ndarray((len(data),), "<u8", buf.tobytes(), 0, (1,))
-
-
 def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays of one length as a compressed blob, byte planes apart."""
     n = len(arrays[0]) if arrays else 0
@@ -118,7 +111,7 @@ def power_tables(n: int, base: int = 0xD6E8FEB86659FD93) -> tuple[np.ndarray, np
     """Powers of an odd number and of its inverse modulo 2**64 (grown on demand)."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 21)
+        size = 1 << max(16, (n - 1).bit_length())
         up, down = np.full(size, base, U64), np.full(size, pow(base, -1, 2**64), U64)
         up[0] = down[0] = U64(1)
         have = _POWERS[base] = np.multiply.accumulate(up), np.multiply.accumulate(down)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gleaner.session import shared_dir
 
 #: Rows of one Arrow batch handed to Python; keeps a batch of very long texts small.
-BATCH_ROWS = 2000
+BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,6 +26,7 @@ either side gives no hits.  Columns named like an output are replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ from gleaner.llm.common import small_batches, written
 WINDOW = 10
 GAP = 64
 BLOCK_WINDOWS = 50_000
+#: Blocks searched in one pass over the shards.
+ONE_PASS = 8
 #: Text bytes of a shard (one document at least).
 SHARD = 2 << 20
 #: Candidate starts compared at once.
@@ -72,8 +75,10 @@ def _to_ipc(batch: pa.RecordBatch) -> bytes:
 def build_index(docs: DataFrame, text_col: str = "text", keep_text: bool = False, shard: int = SHARD) -> DataFrame:
     """One row per shard of documents; other columns travel with the shard."""
     small_batches(docs.sparkSession)
-    carried = [c for c in docs.columns if keep_text or c != text_col]
+    return docs.mapInArrow(_build(text_col, [c for c in docs.columns if keep_text or c != text_col], shard), INDEX)
 
+
+def _build(text_col: str, carried: list[str], shard: int):
     def run(batches):
         for b in batches:
             if not b.num_rows:
@@ -94,7 +99,7 @@ def build_index(docs: DataFrame, text_col: str = "text", keep_text: bool = False
                      "found": [b""]}, schema=_INDEX)
                 at = to
 
-    return docs.mapInArrow(run, INDEX)
+    return run
 
 
 def _windows(rows, window: int) -> Iterator[tuple[str, np.ndarray]]:
@@ -195,19 +200,21 @@ def search(index: DataFrame, benchmark: DataFrame, item_col: str = "item_id", te
     """
     if not 0 <= slop <= GAP // 2:
         raise ValueError(f"slop must be between 0 and {GAP // 2}")
-    sc, blocks = index.sparkSession.sparkContext, 0
-    for words, lengths, items in _blocks(benchmark, item_col, text_col, window, block_windows):
-        if blocks == 1:
+    blocks = 0
+    for shared in _shared_blocks(index.sparkSession, benchmark, item_col, text_col, window, block_windows):
+        if blocks == 1 or blocks and blocks % ONE_PASS == 0:
             index = written(index, "index")  # more than one pass over the shards: store them
-        elif blocks and blocks % 8 == 0:
-            index = written(index, "index")
-        vocab, word = np.unique(words, return_inverse=True)
-        shared = sc.broadcast((vocab, word, lengths, items))
         index = index.mapInArrow(_search_block(shared, slop), INDEX)
         blocks += 1
     return index
 
 
+def _shared_blocks(spark, benchmark, item_col, text_col, window, block_windows):
+    for words, lengths, items in _blocks(benchmark, item_col, text_col, window, block_windows):
+        vocab, word = np.unique(words, return_inverse=True)
+        yield spark.sparkContext.broadcast((vocab, word, lengths, items))
+
+
 def _search_block(shared, slop: int):
     def run(batches):
         vocab, word, lengths, items = shared.value
@@ -260,8 +267,10 @@ def report(index: DataFrame, carried: T.StructType) -> DataFrame:
     """One row per document: its columns, words, words inside matches, and the
     sorted ids of the items with matches."""
     fields = [f for f in carried.fields if f.name not in {r.name for r in REPORT}]
-    schema = T.StructType(fields + REPORT)
+    return index.mapInArrow(_report([f.name for f in fields]), T.StructType(fields + REPORT))
 
+
+def _report(fields: list[str]):
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
@@ -281,9 +290,9 @@ def report(index: DataFrame, carried: T.StructType) -> DataFrame:
                 out = {"n_words": pa.array(n), "n_hit": pa.array(n_hit),
                        "n_items": pa.array([len(x) for x in mine], pa.int64()),
                        "items": pa.array(mine, pa.list_(pa.string())), "contaminated": pa.array(n_hit > 0)}
-                yield from pa.table({f.name: docs.column(f.name) for f in fields} | out).to_batches()
+                yield from pa.table({f: docs.column(f) for f in fields} | out).to_batches()
 
-    return index.mapInArrow(run, schema)
+    return run
 
 
 def matches(index: DataFrame, id_type: T.DataType, id_col: str = "doc_id") -> DataFrame:
@@ -301,20 +310,34 @@ def matches(index: DataFrame, id_type: T.DataType, id_col: str = "doc_id") -> Da
                     out = [{id_col: ids[d], "item": name, "word": int(s - first[d]), "n_words": int(k)}
                            for d, (s, k, i) in zip(doc, found.tolist()) for name in names[i]]
                     if out:
-                        yield from pa.Table.from_pylist(out, schema=_MATCH(id_col, docs)).to_batches()
+                        yield from pa.Table.from_pylist(out, schema=_match_schema(id_col, docs)).to_batches()
 
     return index.mapInArrow(run, schema)
 
 
-def _MATCH(id_col: str, docs: pa.Table) -> pa.Schema:
+def _match_schema(id_col: str, docs: pa.Table) -> pa.Schema:
     return pa.schema([(id_col, docs.schema.field(id_col).type), ("item", pa.string()), ("word", pa.int64()),
                       ("n_words", pa.int32())])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text: str = "text", window: int = WINDOW, keep_text: bool = False) -> DataFrame:
-    """``docs`` with the columns of ``report``."""
+    """``docs`` with the columns of ``report``.
+
+    The index is built, searched and reported in one pass over the documents; with
+    more test items than ONE_PASS blocks hold it is stored and searched on."""
+    spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(*[c for c in docs.columns if c not in {r.name for r in REPORT}])
-    index = build_index(docs, text_col, keep_text)
     carried = T.StructType([f for f in docs.schema.fields if keep_text or f.name != text_col])
-    return report(search(index, benchmark, item_col, item_text, window), carried)
+    blocks = list(islice(_shared_blocks(spark, benchmark, item_col, item_text, window, BLOCK_WINDOWS), ONE_PASS + 1))
+    if len(blocks) > ONE_PASS:
+        return report(search(build_index(docs, text_col, keep_text), benchmark, item_col, item_text, window), carried)
+    steps = [_build(text_col, carried.names, SHARD), *(_search_block(b, 0) for b in blocks), _report(carried.names)]
+
+    def run(batches):
+        for step in steps:
+            batches = step(batches)
+        yield from batches
+
+    return docs.mapInArrow(run, T.StructType(carried.fields + REPORT))

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm.arrays import (GOLD, U64, expand, mix64, pack, ranges, squeeze, starts_of, unpack,
+from gleaner.llm.arrays import (GOLD, U64, expand, mix64, pack, power_tables, ranges, squeeze, starts_of, unpack,
                                 utf8, xxhash64_long)
 from gleaner.llm.common import order_key, partitions, small_batches, written
 
@@ -59,20 +59,6 @@ HOT_LEAST = 64
 MAX_ID = 2**63 - 1
 
 _ODD = U64(0xD6E8FEB86659FD93)
-_INV = U64(pow(0xD6E8FEB86659FD93, -1, 2**64))
-_P = np.ones(1, U64), np.ones(1, U64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _P
-    if len(_P[0]) < n:
-        size = max(n, CHUNK + (1 << 16))
-        up, down = np.full(size, _ODD, U64), np.full(size, _INV, U64)
-        up[0] = down[0] = U64(1)
-        _P = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _P
-
-
 def _grams(data: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit hash of the q-gram (8 <= q <= 24) at every position that has one."""
     raw, n = data.tobytes(), len(data) - q + 1
@@ -112,7 +98,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, match: int = MATCH, q: int =
     count = np.diff(np.append(first, len(places)))
     at = places[first]
     doc = np.searchsorted(offsets, at, "right") - 1
-    up, down = _powers(n + 1)
+    up, down = power_tables(n + 1)
     total = np.zeros(n + 1, U64)
     np.cumsum(h * up[:n], out=total[1:])
     end = at + count + match - q  # one past the last q-gram
@@ -251,21 +237,34 @@ def _judge_hashes(n_blocks):
     """Pass 2, reduce side: equal segments, and segments that share an anchor."""
 
     def run(batches):
-        keys, seg, orders, tags, los, ns = [], [], [], [], [], []
+        blobs, keys = [], []
         for b in batches:
             for row in b.to_pylist():
                 if row["kind"] == 1:
                     yield pa.RecordBatch.from_pylist(
                         [{"block": row["bucket"], "kind": 0, "runs": row["blob"]}], schema=_RUNS)
                     continue
-                k, s, idx, lo, n = unpack(row["blob"], "u8", "u8", "u4", "u4", "u2")
-                do, dt = unpack(row["text"], "i8", "u4")
-                at = np.cumsum(idx.astype(np.int64))
-                for acc, x in zip((keys, seg, orders, tags, los, ns), (k, s, do[at], dt[at], lo, n)):
-                    acc.append(x)
-        if not keys:
+                blobs.append((row["blob"], row["text"]))
+                keys.append(unpack(row["blob"], "u8")[0])
+        if not blobs:
+            return
+        # Most anchors occur once and are done with: only the others are unpacked
+        # further, and the hot ones, whose other segments are in other buckets.
+        keys = np.sort(np.concatenate(keys))
+        again = np.unique(np.concatenate([keys[1:][keys[1:] == keys[:-1]], keys[keys > _KEY]]))
+        del keys
+        if not len(again):
             return
-        key, seg, order, tag, lo, n = map(np.concatenate, (keys, seg, orders, tags, los, ns))
+        found = []
+        for blob, docs in blobs:
+            k, s, idx, lo, n = unpack(blob, "u8", "u8", "u4", "u4", "u2")
+            do, dt = unpack(docs, "i8", "u4")
+            i = np.flatnonzero(again[np.minimum(np.searchsorted(again, k), len(again) - 1)] == k)
+            at = np.cumsum(idx.astype(np.int64))[i]
+            found.append((k[i], s[i], do[at], dt[at], lo[i], n[i]))
+        del blobs
+        key, seg, order, tag, lo, n = (np.concatenate(x) for x in zip(*found))
+        del found
         hot = (key >> U64(48)).astype(bool)
         by, group, least = _firsts(order, key, seg)
         key, hot, order, tag, lo, n = key[by], hot[by], order[by], tag[by], lo[by], n[by]
@@ -326,7 +325,7 @@ def _ship_texts(match, q, n_buckets, n_blocks, text):
         piece = data[ranges(offsets[row] + lo, size)]
         cut = starts_of(size)
         h = _grams(piece, q)
-        up, down = _powers(len(h) + 1)
+        up, down = power_tables(len(h) + 1)
         total = np.zeros(len(h) + 1, U64)
         np.cumsum(h * up[:len(h)], out=total[1:])
         content = mix64((total[cut[1:] - q + 1] - total[cut[:-1]]) * down[cut[:-1]] + n.astype(U64))

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from gleaner.llm.common import small_batches
 
 #: Pre-tokens remembered by a worker besides the vocabulary's; then it starts anew.
-MEMORY = 400_000
+MEMORY = 200_000
 SPACE = "▁"
 #: A run of spaces (the first is the model's own) or a line feed, and what follows.
 PRE_TOKEN = re.compile(r" +[^ \n]*|\n[^ \n]*")
