@@ -42,7 +42,7 @@ from gleaner.llm.common import partitions, small_batches, written
 CAPACITY = 4096
 END_ID = 1
 #: Units remembered by a worker; beyond it the memory starts anew.
-MEMORY = 400_000
+MEMORY = 100_000
 #: ASCII marks that the tokenizer's pattern always parts from a preceding letter.
 MARKS = ".,!?;:*%$&#|()\"-"
 
