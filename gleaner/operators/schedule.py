@@ -60,10 +60,11 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
                   spacing_minutes: int = fixed.PUBLISH_SPACING_MINUTES,
                   latest: ColumnOrName | None = None,
                   fixed_at: ColumnOrName | None = None,
-                  out: str = "slot", block_rows: int = 500_000) -> DataFrame:
-    """WIN-02: give every row a publish slot; ``key_col`` is unique.
+                  out: str = "slot", block_rows: int = 500_000,
+                  order_cols: Sequence[str] = ()) -> DataFrame:
+    """WIN-02: give every row a publish slot; ``key_col`` is unique (one null key may be among them).
 
-    Loop semantics, per channel in (time, key) order, with ``t`` the row's
+    Loop semantics, per channel in (time, ``order_cols``, key) order, with ``t`` the row's
     arrival time: ``slot = max(t, previous slot + spacing)``; the first slot
     is also at least ``latest + spacing`` when the channel's queue already
     holds a later post.  Closed form, with ``i`` the row's index and ``d``
@@ -72,9 +73,9 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
     The running max is a prefix scan, computed in parallel so that a channel
     holding a large share of all rows is never sorted in one task:
 
-    1. a sampled range partitioning of (channel, time, key) cuts the rows into
+    1. a sampled range partitioning of (channel, time, order, key) cuts the rows into
        similarly sized contiguous blocks, whatever the skew, bursts and ties;
-       only these three columns are shuffled, and written once with their block
+       only these columns are shuffled, and written once with their block
        (so that a recomputation cannot renumber it);
     2. a window inside a block gives the local index and running max, a partial
        aggregate each block's row count and max;
@@ -87,12 +88,14 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
         return df.withColumn(out, _col(fixed_at).cast("timestamp"))
     d = int(spacing_minutes) * MICROS_PER_MINUTE
     names = [f"_c{i}" for i in range(len(channel_cols))]
+    order = ["_t", *[f"_o{i}" for i in range(len(order_cols))], "_k"]
     thin = df.select(*[F.col(c).alias(n) for c, n in zip(channel_cols, names)],
+                     *[F.col(c).alias(n) for c, n in zip(order_cols, order[1:-1])],
                      F.col(key_col).alias("_k"), epoch_micros(time_col).alias("_t"))
     n_blocks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // block_rows))
-    thin = materialize(thin.repartitionByRange(n_blocks, *names, "_t", "_k")
+    thin = materialize(thin.repartitionByRange(n_blocks, *names, *order)
                            .withColumn("_b", F.spark_partition_id().cast("bigint")), "slot_blocks")
-    wb = Window.partitionBy(*names, "_b").orderBy("_t", "_k")
+    wb = Window.partitionBy(*names, "_b").orderBy(*order)
     rows = (thin.withColumn("_j", (F.row_number().over(wb) - 1).cast("bigint"))
                 .withColumn("_v", F.col("_t") - F.col("_j") * F.lit(d))
                 .withColumn("_lmax", F.max("_v").over(
@@ -111,7 +114,7 @@ def publish_slots(df: DataFrame, time_col: str, key_col: str,
         prefix = F.greatest(prefix, epoch_micros(_col(latest)) + F.lit(d))
     slot = F.timestamp_micros((F.col("_off") + F.col("_j")) * F.lit(d) + prefix)
     slots = rows.join(blocks, same).select(F.col("_k"), slot.alias("_slot"))
-    return df.join(slots, F.col(key_col) == F.col("_k")).withColumn(out, F.col("_slot")).drop("_k", "_slot")
+    return df.join(slots, F.col(key_col).eqNullSafe(F.col("_k"))).withColumn(out, F.col("_slot")).drop("_k", "_slot")
 
 
 def slot_text(c: ColumnOrName) -> Column:

@@ -206,16 +206,19 @@ def deliver(prepared: Prepared, responses: DataFrame, publish_mode: str = "draft
             queue: DataFrame | None = None, fixed_schedule: str | None = None,
             spacing_minutes: int = fixed.PUBLISH_SPACING_MINUTES,
             response_col: str = "response", attempt_col: str | None = None,
-            rewrites: DataFrame | None = None, max_chars: int = fixed.MAX_POST_CHARS) -> Delivered:
+            rewrites: DataFrame | None = None, max_chars: int = fixed.MAX_POST_CHARS,
+            feed_cols: tuple[str, ...] = ("feed_file",)) -> Delivered:
     """Job 2.  ``responses`` holds ``article_id`` and the JSON text of the fact
     check (or of the first step); ``rewrites`` that of the promo rewrite.
 
     An article fails when its response is missing, not JSON or invalid, or when
     it has promotional wording and no rewrite has landed.  In schedule mode every
     valid post gets a slot ``spacing`` after the previous one, starting after the
-    latest queued post."""
+    latest queued post; posts follow (position, feed columns), as positions are
+    unique only within a feed."""
     now = now if now is not None else F.lit(datetime.now(timezone.utc))
-    keep = ("article_id", "feed_pos", "url", "delivery_mode", "single_tweet", "thread", "error", "promo")
+    part = [c for c in feed_cols if c in prepared.articles.columns]
+    keep = ("article_id", "feed_pos", *part, "url", "delivery_mode", "single_tweet", "thread", "error", "promo")
     arts = _parsed(prepared, responses, response_col, attempt_col, max_chars).select(*keep, "parse_error")
     flagged = F.col("promo") & F.col("parse_error").isNull() & (F.coalesce("error", F.lit("")) != ERR_NO_RESPONSE)
     if rewrites is None:
@@ -235,8 +238,9 @@ def deliver(prepared: Prepared, responses: DataFrame, publish_mode: str = "draft
         if queue is not None:
             latest = schedule.latest_queued(queue, now).first()[0]
         # One ``now`` for the whole batch: slots follow feed position.
-        ok = schedule.publish_slots(ok.withColumn("_arrival", now), "_arrival", "feed_pos", (), spacing_minutes,
-                                    latest=F.lit(latest) if latest is not None else None).drop("_arrival")
+        ok = schedule.publish_slots(ok.withColumn("_arrival", now), "_arrival", "article_id", (), spacing_minutes,
+                                    latest=F.lit(latest) if latest is not None else None,
+                                    order_cols=["feed_pos", *part]).drop("_arrival")
         ok = ok.withColumn("slot_text", schedule.slot_text("slot"))
     else:
         ok = ok.withColumn("slot_text", F.lit(fixed_schedule).cast("string"))

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from gleaner import sinks
 from gleaner.operators import article
+from gleaner.operators.common import materialize
 from gleaner.operators.keys import article_key
 from gleaner.plans import jobs
 from gleaner.session import shared_dir
+from gleaner.sources import feed as feed_source
 
 
 def _feed(spark, rows):
@@ -166,6 +168,29 @@ def test_positions_may_repeat_across_feed_files(spark):
     assert prep.articles.count() == 2 and prep.entries.count() == 3
 
 
+def test_an_rss_and_an_atom_file_get_one_slot_a_post(spark):
+    d = tempfile.mkdtemp(prefix="gleaner-mixed-")
+    rss = "".join(f"<item><guid>r{i}</guid><title>r{i}</title><link>https://r/{i}</link></item>" for i in range(3))
+    atom = "".join(f'<entry><id>a{i}</id><title>a{i}</title><link href="https://a/{i}"/></entry>' for i in range(3))
+    for name, text in (("one.xml", f"<rss><channel>{rss}</channel></rss>"),
+                       ("two.xml", f'<feed xmlns="http://www.w3.org/2005/Atom">{atom}</feed>')):
+        with open(f"{d}/{name}", "w") as f:
+            f.write(text)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # both files in one read partition
+    try:
+        prep = jobs.prepare(feed_source.read_feed(spark, d), spark.createDataFrame([], "url string, html string"))
+        prep = jobs.Prepared(prep.entries, materialize(prep.articles, "mixed"))
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    at = {r.article_id: (r.feed_pos, r.feed_file) for r in prep.articles.collect()}
+    assert len(at) == 6 and len({p for p, _ in at.values()}) == 3
+    resp = _responses(spark, [(k, _single("ok")) for k in at])
+    sent = jobs.deliver(prep, resp, publish_mode="schedule", now=F.lit(dt.datetime(2026, 1, 1, 10, 0))).outbox.collect()
+    assert [r.article_id for r in sorted(sent, key=lambda r: r.slot_text)] == sorted(at, key=at.get)
+    first = dt.datetime(2026, 1, 1, 10, 0)
+    assert sorted(r.slot_text for r in sent) == [f"{first + i * dt.timedelta(minutes=30):%Y-%m-%dT%H:%M:%SZ}" for i in range(6)]
+
+
 def test_a_replay_with_an_empty_result_leaves_nothing(spark):
     base = tempfile.mkdtemp(prefix="gleaner-sink-")
     df = spark.createDataFrame([("a", 1)], "k string, n int")
