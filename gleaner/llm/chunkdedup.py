@@ -6,7 +6,10 @@ A gear rolling hash runs over the UTF-8 bytes; a chunk ends where the hash's top
 same places in equal passages whatever stands before them: an insertion changes
 the chunks around it and no others.
 
-Chunks are known by a 128-bit digest of their bytes.  Every digest is kept once,
+Chunks are known by a 128-bit digest of their bytes.  The end of a text may be
+shorter than ``least`` bytes; it is known by the chunk before it and itself, so
+that it goes only where both have occurred together, and a whole text below
+``least`` only where a whole text repeats it.  Every digest is kept once,
 where it occurs first (smallest document id, then place); all other chunks are
 removed, in the same document as well.  Only the keepers are told: a digest that
 a third of all documents share is reduced to its first place before and in the
@@ -71,8 +74,9 @@ def cuts(data: np.ndarray, offsets: np.ndarray, bits: int = BITS, least: int = L
                 while p - last > most:
                     last += most
                     out.append(last)
-                out.append(p)
-                last = p
+                if p - last >= least:
+                    out.append(p)
+                    last = p
         while b - last > most:
             last += most
             out.append(last)
@@ -94,6 +98,16 @@ PLACES = "hi long, lo long, ord long, tag long, place long"
 _PLACES = ["hi", "lo", "ord", "tag", "place"]
 
 
+def _spans(begin: np.ndarray, end: np.ndarray, n: np.ndarray, least: int) -> np.ndarray:
+    """Where the bytes begin by which every chunk is known: a last chunk below
+    ``least`` takes the one before it along."""
+    out, first = begin.copy(), starts_of(n)
+    last = first[1:][n > 1] - 1
+    short = last[end[last] - begin[last] < least]
+    out[short] = begin[short - 1]
+    return out
+
+
 def _digests(bits, least, most):
     def run(batches):
         for b in batches:
@@ -104,9 +118,11 @@ def _digests(bits, least, most):
                 end, n = cuts(part, off, bits, least, most)
                 raw = part.tobytes()
                 begin = np.concatenate([[0], end[:-1]]) if len(end) else end
+                known = _spans(begin, end, n, least)
                 digest = xxhash.xxh3_128_digest
-                both = np.frombuffer(b"".join([digest(raw[x:y]) for x, y in zip(begin.tolist(), end.tolist())]),
+                both = np.frombuffer(b"".join([digest(raw[x:y]) for x, y in zip(known.tolist(), end.tolist())]),
                                      ">i8").reshape(-1, 2).astype(np.int64)
+                both[known < begin, 0] ^= 1  # not the digest of a chunk with the same bytes
                 doc = np.repeat(np.arange(at, to), n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(both[:, 0]), pa.array(both[:, 1]), order.take(pa.array(doc)), tag.take(pa.array(doc)),

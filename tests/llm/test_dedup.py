@@ -180,6 +180,29 @@ def test_chunk_dedup_equals_brute_force(odd_docs, odd_rows):
     assert got == want
 
 
+def test_short_ends_go_only_with_what_stands_before_them(spark):
+    rnd = random.Random(9)
+
+    def body():  # ends where a chunk ends
+        text = "".join(chr(rnd.randrange(97, 123)) for _ in range(600))
+        return text[:cuts_by_hand(text.encode())[-2]]
+
+    a, b, end = body(), body(), "The end."
+    rows = [(1, a + end), (2, b + end), (3, a + end), (4, a + "Other."), (5, end), (6, end), (7, "x" + end)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.kept.decode(), r.n_removed_chunks) for r in chunkdedup.drop_repeated_chunks(df).collect()}
+    n = len(cuts_by_hand(a.encode()))
+    assert got == {1: (a + end, 0), 2: (b + end, 0), 3: ("", n + 1), 4: ("Other.", n), 5: (end, 0), 6: ("", 1), 7: ("x" + end, 0)}
+
+
+def test_no_chunk_below_the_least_after_a_longest_one():
+    rnd = random.Random(10)
+    for n in range(480, 530):
+        b = b"a" * n + bytes(rnd.randrange(97, 123) for _ in range(300))
+        ends = chunkdedup.cuts(np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0].tolist()
+        assert ends == cuts_by_hand(b) and min(np.diff([0, *ends[:-1]])) >= chunkdedup.LEAST
+
+
 def test_chunks_find_their_places_again_after_an_insertion():
     rnd = random.Random(8)
     body = bytes(rnd.randrange(97, 123) for _ in range(4000))
