@@ -47,6 +47,34 @@ def test_licence_cosine_by_hand(spark):
     assert got.name == names[best] and abs(got.score - score[best]) < 1e-6
 
 
+def test_licence_headers_tags_and_wrapped_notices(spark):
+    gnu = ("/* This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU{} General "
+           "Public License as published by\n * the Free Software Foundation, either version {} of the License, or\n"
+           " * (at your option) any later version.\n *\n * This program is distributed in the hope\n */\nint main();")
+    bsd = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the "
+           "following conditions are met:\n\n1. Redistributions of source code must retain the notice.\n")
+    cases = {"All rights reserved.": "All-Rights-Reserved", "Copyright (c) 2020 A. Body. All rights reserved.\n\ncode": "All-Rights-Reserved",
+             "# SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: Apache-2.0\ncode": "Apache-2.0",
+             "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0", "SPDX-License-Identifier: (MIT OR Apache-2.0)": "MIT OR Apache-2.0",
+             gnu.format("", 3): "GPL-3.0", gnu.format("", 2): "GPL-2.0", gnu.format(" Lesser", 3): "LGPL-3.0",
+             gnu.format(" Affero", 3): "AGPL-3.0",
+             "prose before it\nThis work is licensed under the GNU General\nPublic License, version 3\nand prose after it": "GPL-3.0",
+             "All rights reserved.\n" + bsd: "BSD-2-Clause",
+             bsd + "\n3. Neither the name of X nor the names may be used to endorse or\npromote products": "BSD-3-Clause",
+             "All rights are reserved for those who wait": "unknown", "You have permission to use the table": "unknown"}
+    df = spark.createDataFrame([(f"d{i}/x", t) for i, t in enumerate(cases)], "path string, text string")
+    got = {r.path: r.license for r in licenses.scan(df).collect()}
+    assert {t: got[f"d{i}/x"] for i, t in enumerate(cases)} == cases
+
+
+def test_licence_prefilter_loses_no_match():
+    for templates in (licenses.TEMPLATES, licenses.NOTICES):
+        marks, vectors = set(licenses.mark_terms(templates)), licenses.template_vectors(templates)[1]
+        for i, (_, text) in enumerate(templates):
+            rest = set(licenses._terms(text)) - marks
+            assert sum(vectors[t][i] ** 2 for t in rest) < licenses.LINE_SCORE ** 2
+
+
 def test_licence_scan_has_no_python(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").withColumn("path", F.concat_ws("/", "source", "doc_id"))
     plan = licenses.scan(df)._jdf.queryExecution().executedPlan().toString()
