@@ -82,6 +82,72 @@ def chat_formatting() -> str:
            sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM a"""
 
 
+def hard_negatives() -> str:
+    return """
+    WITH rows AS (
+      SELECT row_number() OVER () AS no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    scored AS (
+      SELECT a.no AS a_no, a.vec_id AS anchor_id, b.no, b.vec_id, a.label = b.label AS same,
+             CAST(coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])), 0) AS HUGEINT) AS s
+      FROM rows a, rows b WHERE a.vec_id % 100 = 0 AND a.no <> b.no
+    ),
+    positives AS (
+      SELECT a_no, anchor_id, no AS p_no, vec_id AS positive_id, s AS p FROM scored WHERE same
+      QUALIFY row_number() OVER (PARTITION BY a_no ORDER BY s DESC, vec_id NULLS LAST, no) <= 5
+    ),
+    held AS (
+      SELECT p.*, n.no, n.vec_id, n.s,
+             row_number() OVER (PARTITION BY p.a_no, p.p_no ORDER BY n.s DESC, n.vec_id NULLS LAST, n.no) AS rank
+      FROM positives p JOIN scored n ON n.a_no = p.a_no AND NOT n.same AND 30 * p.p <= 100 * n.s AND 100 * n.s <= 90 * p.p
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, vec_id AS negative_id, CAST(p AS BIGINT) AS positive_score,
+           CAST(s AS BIGINT) AS negative_score
+    FROM held WHERE rank <= 10"""
+
+
+def phrase_collocations() -> str:
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, {_LOWER.format(x="coalesce(text, '')")} AS t FROM documents),
+    pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+    runs AS (SELECT lang, m, array_to_string(w[p + 1:p + m], ' ') AS phrase
+             FROM (SELECT lang, w, m, unnest(range(len(w) - m + 1)) AS p FROM words, range(1, 4) t(m) WHERE len(w) >= m)),
+    f AS (SELECT lang, m, phrase, CAST(count(*) AS HUGEINT) AS n FROM runs GROUP BY ALL HAVING count(*) >= 10),
+    totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+    cand AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, n AS a FROM f WHERE m >= 2),
+    cut AS (SELECT lang, phrase, m, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:m], ' ') AS y
+            FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+    scored AS (SELECT cut.*, fx.n AS l, fy.n AS r, (1000000 * a * a) // (fx.n * fy.n) AS score
+               FROM cut JOIN f fx ON fx.lang = cut.lang AND fx.phrase = x JOIN f fy ON fy.lang = cut.lang AND fy.phrase = y),
+    least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (SELECT lang, array_to_string(w[s:s + 1], ' ') AS phrase, max(a) AS longer
+               FROM (SELECT lang, w, a, unnest([1, 2]) AS s FROM cand WHERE m = 3) GROUP BY ALL),
+    free AS (SELECT least.* FROM least LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free)
+    SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+           CAST(totals.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+def minhash_near_dedup() -> str:
+    words = "regexp_extract_all({low}, '[^\\x20\\x09-\\x0D]+')".format(low=_LOWER.format(x="coalesce(text, '')"))
+    return f"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS no, doc_id, {words} AS w FROM documents),
+    sh AS (SELECT DISTINCT no, array_to_string(w[p + 1:p + 5], ' ') AS s
+           FROM (SELECT no, w, unnest(range(greatest(len(w) - 4, 1))) AS p FROM d WHERE len(w) > 0)),
+    size AS (SELECT no, count(*) AS n FROM sh GROUP BY no),
+    alike AS (SELECT a.no AS x, b.no AS y, count(*) AS common FROM sh a JOIN sh b ON a.s = b.s AND a.no <> b.no GROUP BY ALL),
+    links AS (SELECT x, y FROM alike JOIN size p ON p.no = x JOIN size q ON q.no = y WHERE 100 * common >= 85 * (p.n + q.n - common)),
+    reach AS (SELECT no, no AS y FROM d UNION SELECT reach.no, links.y FROM reach JOIN links ON links.x = reach.y),
+    least AS (SELECT reach.no, min(d.doc_id) AS component_id FROM reach JOIN d ON d.no = reach.y GROUP BY reach.no)
+    SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, least.component_id, d.doc_id = least.component_id AS kept
+    FROM d LEFT JOIN size USING (no) JOIN least USING (no)"""
+
+
 def license_scan() -> str:
     templates = ", ".join(f"({_q(n)}, {_q(t)})" for n, t in TEMPLATES)
     terms = "regexp_extract_all(lower({x}), '[a-z0-9]+')"

@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, chunkdedup, decontam, licenses, oracles, packing, parsing, quality, simhash, suffixes, tokencount
+from gleaner.llm import (chat, chunkdedup, chosenpath, decontam, licenses, negatives, oracles, packing, parsing, phrases,
+                         quality, simhash, suffixes, tokencount)
 from gleaner.llm.common import table
 
 
@@ -78,6 +79,24 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(conversations, tokenizer), tokenizer)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh vector changes its label first; every hundredth is an anchor."""
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chosenpath.near_duplicates(docs, shingle=5, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -89,6 +108,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
@@ -97,4 +119,7 @@ ORACLES: dict[str, str] = {
     "op5_suffix_array_dedup": oracles.suffix_array_dedup(),
     "op9_decontamination": oracles.decontamination(),
     "op10_chat_formatting": oracles.chat_formatting(),
+    "op11_hard_negatives": oracles.hard_negatives(),
+    "op12_phrase_collocations": oracles.phrase_collocations(),
+    "op13_minhash_near_dedup": oracles.minhash_near_dedup(),
 }
