@@ -132,21 +132,10 @@ VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link",
              "source", "track", "wbr"]
 
 
-def class_attr_regex(classes: Iterable[str]) -> str:
-    """A start tag's remainder after its name when one of its classes is in
-    ``classes``: ``class`` must be a whole attribute name; the value may be
-    double-, single- or unquoted."""
-    n = "|".join(classes)
-    quoted = (r"""\sclass\s*=\s*(?:"(?:[^"]*\s)?(?:%s)(?:\s[^"]*)?"|'(?:[^']*\s)?(?:%s)(?:\s[^']*)?')"""
-              % (n, n))
-    bare = r"\sclass\s*=\s*(?:%s)" % n
-    return r"[^>]*?(?:" + quoted + r"[^>]*>|" + bare + r"(?:\s[^>]*>|/?>))"
-
-
-def _class_regex(classes: Iterable[str]) -> str:
-    """Elements carrying one of the CSS classes, up to their own close tag."""
-    return (r"(?is)<(?!(?:" + "|".join(VOID_TAGS) + r")\b)([a-z][a-z0-9]*)\b"
-            + class_attr_regex(classes) + r".*?(?:</\1\s*>|$)")
+# The value of a tag's first ``class`` attribute, quoted or not; values of other
+# attributes are stepped over whole.
+CLASS_VALUE = (r"""(?is)^<[a-z][^\s/>]*(?:(?![\s/]+class\s*=)[\s/]+[^\s=>/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*"""
+               r"""[\s/]+class\s*=\s*("[^"]*"|'[^']*'|[^\s"'>/]+)""")
 
 
 def remove_invisible(c: ColumnOrName) -> Column:
@@ -155,25 +144,112 @@ def remove_invisible(c: ColumnOrName) -> Column:
     return F.regexp_replace(out, _element_regex(["script", "style", "template"]), "")
 
 
-def remove_boilerplate(c: ColumnOrName,
-                       tags: Iterable[str] = fixed.BOILERPLATE_TAGS,
-                       classes: Iterable[str] = fixed.BOILERPLATE_CLASSES) -> Column:
-    """PRJ-06 first half: drop comments, script/style, navigation-type
-    elements and ``.menu``/``.ad`` blocks.  Nested elements of the same name
-    are cut at the first close tag (a regex limit, documented)."""
-    out = F.regexp_replace(_col(c), COMMENT, "")
-    out = F.regexp_replace(out, _element_regex(tags), "")
-    classes = list(classes)
-    if classes:
-        out = F.regexp_replace(out, _class_regex(classes), "")
-    return out
-
-
-def article_inner(c: ColumnOrName) -> Column:
-    """Inner HTML of the first ``<article>`` element, null when none."""
+# A page as tokens that cover it exactly: comments, script and style with their
+# content, tags, text, and a '<' that starts none of these.
+RAW_TAGS = ["script", "style"]
+PAGE_TOKENS = (r"(?is)<!--.*?(?:-->|$)|<(script|style)\b(?:\"[^\"]*\"|'[^']*'|[^'\">]+)*+>.*?(?:</\1\s*>|$)"
+               r"|<[a-z/!?](?:\"[^\"]*\"|'[^']*'|[^'\">]+)*+>|[^<]+|<")
+# Elements that a start tag of the same name ends.
+SIBLING_TAGS = ["dd", "dt", "li", "option", "p", "td", "th", "tr"]
+
+_PAGE_STATE = ("struct<stack:array<string>,cut:int,start:int,cuts:array<struct<s:int,e:int>>,"
+               "art:int,art_s:int,art_e:int>")
+
+
+def _is_markup(token: Column) -> Column:
+    return token.startswith("<") & (F.length(token) > 1)
+
+
+def _tag_marks(tokens: Column, tags: Iterable[str], classes: Iterable[str]) -> Column:
+    """The tags of a page as (place, name, kind, doomed); kind 1 opens, -1 closes, 0 does neither."""
+    doomed_names, classes = sorted({*tags, *RAW_TAGS, "template"}), list(classes)
+    def mark(tok: Column, i: Column) -> Column:
+        name = F.lower(F.regexp_extract(tok, r"^</?([A-Za-z][^\s/>]*)", 1))
+        kind = (F.when(tok.startswith("</"), -1)
+                 .when(name.isin(*VOID_TAGS, *RAW_TAGS) | tok.endswith("/>"), 0).otherwise(1))
+        doomed = name.isin(*doomed_names)
+        if classes:
+            given = F.split(F.trim(F.regexp_extract(tok, CLASS_VALUE, 1), F.lit("\"' \t\r\n\f")), r"\s+")
+            doomed = doomed | (F.lower(tok).contains("class") & F.arrays_overlap(given, F.array(*map(F.lit, classes))))
+        return F.when(_is_markup(tok) & (name != ""), F.struct(
+            i.alias("i"), name.alias("name"), kind.alias("kind"), doomed.alias("doomed")))
+
+    return F.filter(F.transform(tokens, mark), lambda m: m.isNotNull())
+
+
+def _page_step(state: Column, m: Column) -> Column:
+    """One tag of the walk: the open elements, the element being removed, the first article."""
+    stack, i, opens = state["stack"], m["i"], m["kind"] == 1
+    n = F.size(stack)
+    sibling = m["name"].isin(*SIBLING_TAGS) & (F.try_element_at(stack, F.lit(-1)) == m["name"])
+    closes = F.array_position(F.reverse(stack), m["name"]).cast("int")  # from the innermost, 0: not open
+    depth = (F.when(opens, n - F.when(sibling, 1).otherwise(0))
+              .when((m["kind"] == -1) & (closes > 0), n - closes).otherwise(n))
+    # An element ends with its own end tag or with that of an element around it.
+    last = F.when(opens, i - 1).otherwise(i)
+    ends_cut, ends_art = (state["cut"] > depth), (state["art"] > depth)
+    cut = F.when(ends_cut, 0).otherwise(state["cut"])
+    enters = opens & (cut == 0) & m["doomed"]
+    article = opens & (cut == 0) & ~m["doomed"] & (state["art"] == 0) & (m["name"] == "article")
+    single = (m["kind"] == 0) & (cut == 0) & m["doomed"]
+    cuts = F.when(ends_cut, F.concat(state["cuts"], F.array(F.struct(state["start"].alias("s"), last.alias("e"))))).otherwise(
+        state["cuts"])
+    base = F.when(depth == n, stack).otherwise(F.slice(stack, F.lit(1), depth))
+    return F.struct(
+        F.when(opens, F.concat(base, F.array(m["name"]))).otherwise(base).alias("stack"),
+        F.when(enters, depth + 1).otherwise(cut).cast("int").alias("cut"),
+        F.when(enters, i).otherwise(state["start"]).cast("int").alias("start"),
+        F.when(single, F.concat(cuts, F.array(F.struct(i.alias("s"), i.alias("e"))))).otherwise(cuts).alias("cuts"),
+        F.when(article, depth + 1).when(ends_art, -1).otherwise(state["art"]).cast("int").alias("art"),
+        F.when(article, i).otherwise(state["art_s"]).cast("int").alias("art_s"),
+        F.when(ends_art, last).otherwise(state["art_e"]).cast("int").alias("art_e")).cast(_PAGE_STATE)
+
+
+def page_texts(c: ColumnOrName, tags: Iterable[str] = fixed.BOILERPLATE_TAGS,
+               classes: Iterable[str] = fixed.BOILERPLATE_CLASSES) -> Column:
+    """PRJ-06 as a struct (article_text, page_text): text nodes, one a line, of the
+    first ``<article>`` (null where the page has none) and of the whole page, without
+    script, style, template, the elements named in ``tags`` and those with one of
+    ``classes``, each removed whole.
+
+    One pass over the page's tags keeps the names of the open elements.  A removed
+    element ends at its own end tag, however deeply elements of its name are nested in
+    it, or where an element around it ends, or with the page; an end tag of an element
+    that is not open means nothing; void elements (``img``, ``br``, ...) and tags ending
+    in ``/>`` have no content; ``li``, ``p`` and the like end where a sibling starts.
+    Null gives null."""
     col = _col(c)
-    inner = F.regexp_extract(col, r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)", 1)
-    return F.when(col.rlike(r"(?i)<article\b"), inner)
+    tokens = F.regexp_extract_all(col, F.lit(PAGE_TOKENS), 0)
+    nothing = F.struct(F.array().cast("array<string>").alias("stack"), F.lit(0).alias("cut"), F.lit(0).alias("start"),
+                       F.array().cast("array<struct<s:int,e:int>>").alias("cuts"), F.lit(0).alias("art"),
+                       F.lit(-1).alias("art_s"), F.lit(-1).alias("art_e")).cast(_PAGE_STATE)
+
+    def texts(x: Column) -> Column:
+        toks, state = x["tokens"], x["state"]
+        n = F.size(toks)
+        cuts = F.when(state["cut"] > 0, F.concat(state["cuts"], F.array(F.struct(
+            state["start"].alias("s"), (n - 1).alias("e"))))).otherwise(state["cuts"])
+        # Stretches that stay, between the cuts: from s up to, not including, e.
+        stays = F.arrays_zip(F.concat(F.array(F.lit(0)), F.transform(cuts, lambda k: k["e"] + 1)).alias("s"),
+                             F.concat(F.transform(cuts, lambda k: k["s"]), F.array(n)).alias("e"))
+
+        def text(lo: Column, hi: Column) -> Column:
+            inside = F.filter(F.transform(stays, lambda r: F.struct(
+                F.greatest(r["s"], lo).alias("s"), F.least(r["e"], hi).alias("e"))), lambda r: r["s"] < r["e"])
+            said = F.transform(inside, lambda r: F.array_join(F.transform(
+                F.slice(toks, r["s"] + 1, r["e"] - r["s"]),
+                lambda t: F.when(_is_markup(t), F.lit("\n")).otherwise(t)), ""))
+            return F.array_join(nonblank_lines(decode_entities(F.array_join(said, "\n"))), "\n")
+
+        art_end = F.when(state["art"] > 0, n).otherwise(state["art_e"])
+        return F.struct(F.when(state["art_s"] >= 0, text(state["art_s"] + 1, art_end)).alias("article_text"),
+                        text(F.lit(0), n).alias("page_text"))
+
+    def walked(toks: Column) -> Column:
+        return F.struct(toks.alias("tokens"), F.aggregate(_tag_marks(toks, tags, classes), nothing, _page_step).alias("state"))
+
+    bound = F.transform(F.transform(F.array(tokens), walked), texts)
+    return F.when(col.isNotNull(), F.element_at(bound, 1))
 
 
 def markup_lines(c: ColumnOrName) -> Column:

@@ -18,16 +18,14 @@ def page_bodies(pages: DataFrame, html_col: str = "html",
                 classes: Iterable[str] = fixed.BOILERPLATE_CLASSES) -> DataFrame:
     """PRJ-06: add ``article_text`` (text of the first ``<article>``, null
     when the page has none) and ``page_text`` (text of the whole page), both
-    after boilerplate removal, and drop the raw HTML.
+    after boilerplate removal (``functions.text.page_texts``), and drop the raw HTML.
 
     Row-local: run it before any join so that only extracted text, not raw
     HTML, is shuffled."""
-    return (pages.withColumn("_stripped", T.remove_boilerplate(F.col(html_col), tags, classes))
-                 .withColumn("_inner", T.article_inner(F.col("_stripped")))
-                 .withColumn("article_text",
-                             F.when(F.col("_inner").isNotNull(), T.markup_text(F.col("_inner"))))
-                 .withColumn("page_text", T.markup_text(F.col("_stripped")))
-                 .drop("_stripped", "_inner", html_col))
+    return (pages.withColumn("_texts", T.page_texts(F.col(html_col), tags, classes))
+                 .withColumn("article_text", F.col("_texts.article_text"))
+                 .withColumn("page_text", F.col("_texts.page_text"))
+                 .drop("_texts", html_col))
 
 
 def longer_than(body: F.Column, min_chars: int) -> F.Column:

@@ -196,22 +196,49 @@ def q_page_text(spark, sf_dir):
 
 
 def _o_page_bodies() -> str:
-    stripped = Q.remove_boilerplate("html")
-    return f"""
-    pb0 AS (SELECT page_id, {stripped} AS s FROM pages),
-    pb1 AS (SELECT page_id, s, {Q.article_inner('s')} AS inner_html FROM pb0),
-    pb AS (SELECT page_id,
-                  CASE WHEN inner_html IS NOT NULL THEN {Q.markup_text('inner_html')} END AS article_text,
-                  {Q.markup_text('s')} AS page_text FROM pb1)"""
+    return Q.page_bodies("SELECT page_id, html FROM pages")
 
 
-def o_page_text():
+def _o_page_rows(bodies: str) -> str:
     return f"""
-    WITH {_o_page_bodies()}
+    WITH {bodies}
     SELECT page_id, CASE WHEN article_text IS NOT NULL THEN 'article' ELSE 'page' END AS body_source,
            coalesce(article_text, page_text) AS text FROM pb"""
 
 
+def o_page_text():
+    return _o_page_rows(_o_page_bodies())
+
+
+# Menus, asides and advertisements with elements of their own name inside, ``{0}`` deep.
+_NESTED_MENU = ('<div class="side menu">', "<div>in ", "deep", " out</div>", "still menu</div>")
+_NESTED_ASIDE = ("<aside><p>a</p><aside>b</aside>c</aside><span class='ad big'>s<span>t</span>u<span>v</span>w</span>"
+                 "<article>a note<article>in a note</article></article><div class=\"readme\">stays<div>whole</div></div>")
+
+
+def q_page_text_nested(spark, sf_dir):
+    """PRJ-06 on pages with nested menus (up to four deep, by page id) before, in and
+    after the article, and nested asides, advertisements and articles inside it."""
+    k = F.col("page_id") % 4 + 1
+    a, b, c, d, e = (F.lit(x) for x in _NESTED_MENU)
+    menu = F.concat(a, F.repeat(b, k.cast("int")), c, F.repeat(d, k.cast("int")), e)
+    html = F.replace(F.replace(F.col("html"), F.lit("<article>"), F.concat(menu, F.lit("<article>"), menu)),
+                     F.lit("</article>"), F.concat(F.lit(_NESTED_ASIDE), menu, F.lit("end</article>"), menu))
+    p = spread(_t(spark, sf_dir, "pages").select("page_id", "html"), "page_id").select("page_id", html.alias("html"))
+    return article.page_bodies(p).select(
+        "page_id", F.when(F.col("article_text").isNotNull(), "article").otherwise("page").alias("body_source"),
+        F.coalesce("article_text", "page_text").alias("text"), "page_text")
+
+
+def o_page_text_nested():
+    a, b, c, d, e = (Q.q(x) for x in _NESTED_MENU)
+    menu = f"({a} || repeat({b}, CAST(page_id % 4 + 1 AS INT)) || {c} || repeat({d}, CAST(page_id % 4 + 1 AS INT)) || {e})"
+    html = (f"replace(replace(html, '<article>', {menu} || '<article>' || {menu}), '</article>', "
+            f"{Q.q(_NESTED_ASIDE)} || {menu} || 'end</article>' || {menu})")
+    return _o_page_rows(Q.page_bodies(f"SELECT page_id, {html} AS html FROM pages")).replace(
+        "AS text FROM pb", "AS text, page_text FROM pb")
+
+
 def q_body_ladder(spark, sf_dir):
     """Documents act as feed bodies; each document's page is the page with
     the same id (left join, so bodies without a page are 'missing')."""
@@ -1328,6 +1355,7 @@ _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[
     "line_flags": (q_line_flags, o_line_flags),
     "clean_documents": (q_clean_documents, o_clean_documents),
     "page_text": (q_page_text, o_page_text),
+    "page_text_nested": (q_page_text_nested, o_page_text_nested),
     "body_ladder": (q_body_ladder, o_body_ladder),
     "body_ladder_main": (q_body_ladder_main, o_body_ladder_main),
     "article_keys": (q_article_keys, o_article_keys),

@@ -79,18 +79,41 @@ def remove_invisible(x: str) -> str:
     return f"regexp_replace({out}, {q(el)}, '', 'g')"
 
 
-CLASS_TAGS = ["div", "section", "span", "ul", "ol", "li", "p", "aside", "nav", "header",
-              "footer", "table", "form", "a", "iframe", "article"]
-
-
-def remove_boilerplate(x: str, tags=fixed.BOILERPLATE_TAGS, classes=fixed.BOILERPLATE_CLASSES) -> str:
-    out = f"regexp_replace({x}, {q(r'(?s)<!--.*?(?:-->|$)')}, '', 'g')"
-    el = "(?is)" + "|".join(rf"<{t}\b[^>]*>.*?(?:</{t}\s*>|$)" for t in tags)
-    out = f"regexp_replace({out}, {q(el)}, '', 'g')"
-    from gleaner.functions.text import class_attr_regex
-    cls = class_attr_regex(classes)
-    alts = "|".join(rf"<{t}\b{cls}.*?(?:</{t}\s*>|$)" for t in CLASS_TAGS)
-    return f"regexp_replace({out}, {q('(?is)' + alts)}, '', 'g')"
+def page_bodies(source: str, tags=fixed.BOILERPLATE_TAGS, classes=fixed.BOILERPLATE_CLASSES) -> str:
+    """CTEs ending in ``pb(page_id, article_text, page_text)`` over ``source``, a query of
+    (page_id, html).  Every token is a row; an element ends where the running count of its
+    own name is back to what it was before (windows, no regex over elements)."""
+    token = (r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<[a-z/!?][^>]*>|[^<]+|<")
+    void = ", ".join(q(t) for t in ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
+                                    "track", "wbr", "script", "style"])
+    named = ", ".join(q(t) for t in [*tags, "template"])
+    marked = ", ".join(q(c) for c in classes)
+    return f"""
+    tok AS (SELECT page_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i, len(ts) AS n
+            FROM (SELECT page_id, regexp_extract_all(html, {q(token)}) AS ts FROM ({source}))),
+    tag AS (SELECT page_id, i, n, t, lower(regexp_extract(t, '^</?([A-Za-z][^\\s/>]*)', 1)) AS name,
+                   starts_with(t, '</') AS closes FROM tok WHERE starts_with(t, '<') AND length(t) > 1),
+    lev AS (SELECT *, sum(CASE WHEN closes THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY i) AS d
+            FROM tag WHERE name <> '' AND name NOT IN ({void})),
+    ends AS (SELECT o.page_id, o.i, o.name, o.t, coalesce(min(c.i), any_value(o.n)) AS e
+             FROM lev o LEFT JOIN lev c ON c.page_id = o.page_id AND c.name = o.name AND c.i > o.i AND c.closes AND c.d = o.d - 1
+             WHERE NOT o.closes GROUP BY o.page_id, o.i, o.name, o.t),
+    cut AS (SELECT page_id, i AS s, e FROM ends WHERE name IN ({named})
+            OR list_has_any(string_split(regexp_extract(t, '\\sclass\\s*=\\s*["'']([^"'']*)["'']', 1), ' '), [{marked}])),
+    gone AS (SELECT DISTINCT tok.page_id, tok.i FROM tok JOIN cut ON cut.page_id = tok.page_id AND tok.i BETWEEN s AND e),
+    art AS (SELECT page_id, min(i) AS s, arg_min(e, i) AS e FROM ends WHERE name = 'article'
+            AND (page_id, i) NOT IN (SELECT (page_id, i) FROM gone) GROUP BY page_id),
+    said AS (SELECT tok.page_id, tok.i, CASE WHEN gone.i IS NOT NULL OR starts_with(t, '<') AND length(t) > 1 THEN chr(10) ELSE t END AS t,
+                    art.s IS NOT NULL AS has, coalesce(tok.i > art.s AND tok.i < art.e, false) AS inside
+             FROM tok LEFT JOIN gone ON gone.page_id = tok.page_id AND gone.i = tok.i LEFT JOIN art ON art.page_id = tok.page_id),
+    raw AS (SELECT page_id, any_value(has) AS has, coalesce(string_agg(t, '' ORDER BY i) FILTER (inside), '') AS a,
+                   string_agg(t, '' ORDER BY i) AS p FROM said GROUP BY page_id),
+    pb AS (SELECT page_id, CASE WHEN has THEN {lines_text('a')} END AS article_text, {lines_text('p')} AS page_text FROM raw)"""
+
+
+def lines_text(x: str) -> str:
+    """Stripped, non-blank lines of a text whose markup is gone, entities decoded."""
+    return f"array_to_string({nonblank_lines(decode_entities(x))}, chr(10))"
 
 
 def markup_lines(x: str) -> str:
@@ -102,11 +125,6 @@ def markup_text(x: str) -> str:
     return f"array_to_string({markup_lines(x)}, chr(10))"
 
 
-def article_inner(x: str) -> str:
-    return (f"CASE WHEN regexp_matches({x}, {q(r'(?i)<article\b')}) THEN "
-            f"regexp_extract({x}, {q(r'(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)')}, 1) END")
-
-
 def clean_lines(x: str, disclaimers=fixed.DISCLAIMER_PATTERNS, min_chars: int = 2) -> str:
     lines = markup_lines(remove_invisible(x))
     rx = disclaimer_re2(disclaimers)
