@@ -26,11 +26,71 @@ def schedule_key_regex(keys: Iterable[str] = fixed.SCHEDULE_KEYS) -> str:
     return r'"(?:' + alt + r')"\s*:\s*"([^"\\]*)"'
 
 
+def _escaped_regex(keys: Iterable[str]) -> str:
+    """Texts whose escapes may matter: a key or value under a key may be spelled with
+    them, or a longer key end like one (any other string is no pair to the pattern)."""
+    alt = "|".join(r"\Q" + k + r"\E" for k in keys)
+    return rf'\\u00|\\"(?:{alt})"|"(?:{alt})"\s*:\s*"[^"\\]*\\'
+
+
+# A JSON text as tokens: a string, with the string it is the key of, or anything between.
+_JSON_STRING = r'"(?:[^"\\]|\\.)*+"'
+_JSON_TOKENS = rf'(?s){_JSON_STRING}(?:\s*:\s*{_JSON_STRING})?|[^"]+|"'
+_JSON_PAIR = rf'(?s)^{_JSON_STRING}\s*:\s*"'
+#: Levels of nesting that a JSON text can have at all (the parser's own limit).
+_JSON_LEVELS = 1000
+_WALK = "struct<level:array<variant>,found:array<string>>"
+
+
+def variant_strings(v: Column, keys: Iterable[str], levels: Column) -> Column:
+    """String values under any of ``keys`` anywhere in a VARIANT, as an array.
+
+    The walk goes down one level at a time, within the row: the objects and lists of a
+    level are opened together, matching entries are noted, and everything in them is
+    the next level.  ``levels`` bounds its depth; levels below the last are empty."""
+    wanted = [F.lit(k) for k in keys]
+
+    def down(state: Column, _: Column) -> Column:
+        opened = F.transform(state["level"], lambda x: F.struct(
+            F.try_variant_get(x, "$", "map<string,variant>").alias("fields"),
+            F.try_variant_get(x, "$", "array<variant>").alias("items")))
+        fields = F.filter(F.transform(opened, lambda o: o["fields"]), lambda m: m.isNotNull())
+        items = F.filter(F.transform(opened, lambda o: o["items"]), lambda a: a.isNotNull())
+        named = F.flatten(F.transform(fields, lambda m: F.filter(F.map_entries(m), lambda e: (
+            e["key"].isin(*wanted) & (F.schema_of_variant(e["value"]) == "STRING")))))
+        found = F.transform(named, lambda e: F.try_variant_get(e["value"], "$", "string"))
+        return F.struct(F.concat(F.flatten(F.transform(fields, lambda m: F.map_values(m))), F.flatten(items)).alias("level"),
+                        F.concat(state["found"], found).alias("found")).cast(_WALK)
+
+    start = F.struct(F.array(v).alias("level"), F.array().cast("array<string>").alias("found")).cast(_WALK)
+    return F.aggregate(F.sequence(F.lit(1), levels), start, down, lambda state: state["found"])
+
+
+def _pair_strings(body: Column, keys: Iterable[str]) -> Column:
+    """The same from the text's tokens, for JSON that VARIANT does not take (a key that
+    stands twice in one object, a text beyond its size): every value counts."""
+    pairs = F.filter(F.regexp_extract_all(body, F.lit(_JSON_TOKENS), 0), lambda t: t.rlike(_JSON_PAIR))
+    entries = F.flatten(F.transform(pairs, lambda t: F.map_entries(
+        F.from_json(F.concat(F.lit("{"), t, F.lit("}")), "map<string,string>"))))
+    return F.transform(F.filter(entries, lambda e: e["key"].isin(*[F.lit(k) for k in keys])), lambda e: e["value"])
+
+
 def schedule_values(body: ColumnOrName, keys: Iterable[str] = fixed.SCHEDULE_KEYS) -> Column:
-    """FLT-10: string values stored under any schedule key, at any depth of
-    the JSON text.  Only real keys match: a quoted look-alike inside an
-    escaped string value is preceded by a backslash and is skipped."""
-    return F.regexp_extract_all(_col(body), F.lit(schedule_key_regex(keys)), 1)
+    """FLT-10: string values stored under any schedule key, at any depth of the JSON
+    text, as the JSON parser reads them (escapes in keys and values included).
+
+    Where no escape can matter a pattern finds the pairs; any other text is parsed to a
+    VARIANT and walked."""
+    body, keys = _col(body), list(keys)
+    brackets = F.length(body) - F.length(F.translate(body, "{[", ""))
+    # The VARIANT is bound once, as a one-element array.
+    walked = F.element_at(F.transform(F.array(F.try_parse_json(body)), lambda v: F.when(
+        v.isNotNull(), variant_strings(v, keys, F.least(F.greatest(brackets, F.lit(1)), F.lit(_JSON_LEVELS))))), 1)
+    plain = F.regexp_extract_all(body, F.lit(schedule_key_regex(keys)), 1)
+    valid = F.get_json_object(body, "$").isNotNull()
+    as_is = ~body.contains("\\") | ~body.rlike(_escaped_regex(keys))
+    return F.when(as_is, plain).otherwise(
+        F.coalesce(walked, F.when(valid, _pair_strings(body, keys)), F.array().cast("array<string>")))
 
 
 def latest_queued(queue: DataFrame, now: ColumnOrName, group_cols: Sequence[str] = (),

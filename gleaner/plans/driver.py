@@ -783,6 +783,61 @@ def _o_queue(max_pages):
     SELECT user_id, CASE WHEN latest IS NOT NULL THEN {_o_iso('latest')} END AS latest FROM m"""
 
 
+def _queue_variants(spark, sf_dir):
+    """An event as one queue page, of seven kinds by event id: escaped signs, slashes and
+    keys, lists, nesting of two to eight levels, look-alikes inside strings, other types."""
+    e = _t(spark, sf_dir, "events").select("event_id", "user_id", iso_text("ts", "").alias("t"))
+    bodies = [
+        F.concat(F.lit('{"drafts":[{"publish_at":"'), F.col("t"), F.lit('\\u002b00:00"}]}')),
+        F.concat(F.lit('{"publish\\u005fat" : "'), F.col("t"), F.lit('\\u005A","x":[[],{}]}')),
+        F.concat(F.lit('{"pages":[[{"scheduledAt":"'), F.col("t"), F.lit('"},{"scheduled_at":"no\\/time"}],7,null]}')),
+        F.concat(F.lit('{"publishAt":["'), F.col("t"), F.lit('","a\\\\"],"scheduleDate":{"schedule-date":null}}')),
+        F.concat(F.lit('{"note":"\\"publish_at\\":\\"'), F.col("t"), F.lit('\\"","more":"\\\\","publish_at ":"'), F.col("t"), F.lit('"}')),
+        F.concat(F.lit('{"scheduled_date":'), F.col("user_id").cast("string"), F.lit(',"s":"\\t","publishAt":true}')),
+        F.concat(F.repeat(F.lit('{"in":[{"a":"\\"}]","scheduled_at":0,"b":'), (F.col("event_id") % 3 + 1).cast("int")),
+                 F.lit('{"scheduled_at":"'), F.col("t"), F.lit('"}'), F.repeat(F.lit("}]}"), (F.col("event_id") % 3 + 1).cast("int")))]
+    body = F.element_at(F.array(*bodies), (F.col("event_id") % len(bodies) + 1).cast("int"))
+    return e.select("event_id", "user_id", body.alias("body"))
+
+
+def q_queue_variant(spark, sf_dir):
+    """FLT-10 + AGG-03 through VARIANT: every value found, and the latest time, by user."""
+    q = _queue_variants(spark, sf_dir)
+    found = q.select("user_id", F.explode(schedule.schedule_values("body")).alias("v")).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_values"), F.min("v").alias("least"), F.max("v").alias("greatest"))
+    latest = schedule.latest_queued(q, F.lit(QUEUE_NOW).cast("timestamp"), ["user_id"])
+    return latest.join(found, "user_id", "left").select(
+        "user_id", F.coalesce("n_values", F.lit(0)).alias("n_values"), "least", "greatest",
+        F.when(F.col("latest").isNotNull(), schedule.slot_text("latest")).alias("latest"))
+
+
+def o_queue_variant():
+    """Every node of the parsed document is a row (DuckDB's own JSON tree)."""
+    t = _o_iso("epoch_us(ts)", "")
+    k = "CAST(event_id % 3 + 1 AS INT)"
+    bodies = [
+        f"""'{{"drafts":[{{"publish_at":"' || {t} || '\\u002b00:00"}}]}}'""",
+        f"""'{{"publish\\u005fat" : "' || {t} || '\\u005A","x":[[],{{}}]}}'""",
+        f"""'{{"pages":[[{{"scheduledAt":"' || {t} || '"}},{{"scheduled_at":"no\\/time"}}],7,null]}}'""",
+        f"""'{{"publishAt":["' || {t} || '","a\\\\"],"scheduleDate":{{"schedule-date":null}}}}'""",
+        f"""'{{"note":"\\"publish_at\\":\\"' || {t} || '\\"","more":"\\\\","publish_at ":"' || {t} || '"}}'""",
+        """'{"scheduled_date":' || CAST(user_id AS VARCHAR) || ',"s":"\\t","publishAt":true}'""",
+        f"""repeat('{{"in":[{{"a":"\\"}}]","scheduled_at":0,"b":', {k}) || '{{"scheduled_at":"' || {t} || '"}}' || repeat('}}]}}', {k})"""]
+    keys = ", ".join(Q.q(x) for x in fixed.SCHEDULE_KEYS)
+    parse = ("CASE WHEN regexp_matches(v, '(Z|[+-][0-9][0-9]:?[0-9][0-9])$') "
+             "THEN epoch_us(try_cast(v AS TIMESTAMPTZ)) ELSE epoch_us(try_cast(v AS TIMESTAMP)) END")
+    return f"""
+    WITH pg AS (SELECT event_id AS ev, user_id, CAST(([{', '.join(bodies)}])[event_id % {len(bodies)} + 1] AS JSON) AS body FROM events),
+    v AS (SELECT user_id, json_extract_string(e.atom, '$') AS v FROM pg, json_tree(pg.body) e
+          WHERE e.key IN ({keys}) AND e.type = 'VARCHAR'),
+    m AS (SELECT user_id, count(*) AS n_values, min(v) AS least, max(v) AS greatest,
+                 max(CASE WHEN us >= epoch_us(TIMESTAMP '{QUEUE_NOW}') THEN us END) AS latest
+          FROM (SELECT *, {parse} AS us FROM v) GROUP BY user_id)
+    SELECT u.user_id, coalesce(n_values, 0) AS n_values, least, greatest,
+           CASE WHEN latest IS NOT NULL THEN {_o_iso('latest')} END AS latest
+    FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN m USING (user_id)"""
+
+
 QUEUE_FILE_EVENTS = 500
 QUEUE_KEY_SPELLINGS = ["publish_at", "publishAt", "scheduled_at", "scheduledAt", "scheduled_date", "scheduledDate",
                        "schedule-date", "scheduleDate", "publishedAt"]
@@ -1380,6 +1435,7 @@ _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[
     "publish_slots": (q_publish_slots, o_publish_slots),
     "queue_latest": (_q_queue_latest(fixed.MAX_QUEUE_PAGES), _o_queue_latest(fixed.MAX_QUEUE_PAGES)),
     "queue_latest_all": (_q_queue_latest(None), _o_queue_latest(None)),
+    "queue_variant": (q_queue_variant, o_queue_variant),
     "queue_files": (q_queue_files, o_queue_files),
     "latest_draft": (q_latest_draft, o_latest_draft),
     "feed_scan": (q_feed_scan, o_feed_scan),

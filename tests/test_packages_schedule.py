@@ -147,3 +147,52 @@ def test_parse_response_item_types(spark):
     rows = [('{"delivery_mode": "thread", "thread": ["a", null, 5, "  "], "single_tweet": null}',)]
     r = parse_responses(spark.createDataFrame(rows, "response string")).first()
     assert (r.delivery_mode, r.single_tweet, list(r.thread), r.parse_error) == ("thread", "", ["a", "5"], None)
+
+
+def _walk(obj, keys):
+    """The values a walk over the parsed document meets."""
+    if isinstance(obj, dict):
+        for k, v in obj.items():
+            if k in keys and isinstance(v, str):
+                yield v
+            yield from _walk(v, keys)
+    elif isinstance(obj, list):
+        for v in obj:
+            yield from _walk(v, keys)
+
+
+def test_schedule_values_equal_a_walk_over_the_parsed_json(spark):
+    """Random documents with every way of writing a string, and texts VARIANT does not take."""
+    import json
+    import random
+
+    from gleaner.functions import fixed
+
+    rnd = random.Random(8)
+    names = [*fixed.SCHEDULE_KEYS, "x", 'a"publish_at', "publish_at\\", "note"]
+    words = ["2030-01-01T00:00:00+00:00", '"publish_at":"no"', "a\\", "é/\t", "", '","publish_at":"']
+
+    def text(s):
+        return '"' + "".join(
+            f"\\u{ord(c):04x}" if rnd.random() < 0.1 else json.dumps(c)[1:-1] if c in '"\\\t' or rnd.random() < 0.5 else c
+            for c in s) + '"'
+
+    def doc(depth):
+        kind = rnd.random()
+        if depth == 0 or kind < 0.3:
+            return rnd.choice([text(rnd.choice(words)), text(rnd.choice(words)), "null", "1.5", "true"])
+        gap = rnd.choice(["", " ", "\n "])
+        if kind < 0.55:
+            return "[" + f",{gap}".join(doc(depth - 1) for _ in range(rnd.randint(0, 3))) + "]"
+        inner = rnd.sample(names, rnd.randint(0, 4))
+        return "{" + ",".join(f"{gap}{text(k)}{gap}:{gap}{doc(depth - 1)}" for k in inner) + "}"
+
+    bodies = ["{" + f'"d":{doc(rnd.randint(0, 6))}' + "}" for _ in range(1200)]
+    deep = '{"b":[' * 300 + '{"publish_at":"\\u0041"}' + "]}" * 300
+    bodies += [deep, "{}", "[]", '{"publish_at":"a\\u0062"}']
+    rows = spark.createDataFrame(list(enumerate(bodies)), "i int, body string")
+    got = {r.i: sorted(r.v) for r in rows.select("i", schedule.schedule_values("body").alias("v")).collect()}
+    for i, body in enumerate(bodies):
+        assert got[i] == sorted(_walk(json.loads(body), set(fixed.SCHEDULE_KEYS))), body
+    odd = spark.createDataFrame([(None,), ("no json \\u0041",), ('{"publish_at":"\\u0061","publish_at":"b"}',)], "body string")
+    assert [r.v for r in odd.select(schedule.schedule_values("body").alias("v")).collect()] == [[], [], ["a", "b"]]
