@@ -1398,6 +1398,126 @@ def o_stream_retry():
     WHERE fails AND seat < done AND b < {STREAM_BATCHES - 1} AND done >= (b + 1) * 10000000000"""
 
 
+CHAIN_POLLS = 3
+
+
+def _land(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as landed files: written, and read back as a stream of the whole folder."""
+    df.write.parquet(path)
+    folder = path.rsplit("/", 1)[0]
+    return df.sparkSession.readStream.schema(df.schema).parquet(f"{folder}/*")
+
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def q_curation_retry(spark, sf_dir):
+    """STR-04 through the whole chain, as streams: documents land in three pieces, one a
+    poll; the model's answer to an article is invalid in its first (position mod 4)
+    attempts, and with position mod 5 = 2 the publishing service refuses the first valid
+    one.  Every attempt of every poll, and the entries settled before the model."""
+    import uuid
+
+    from gleaner.plans import chain
+    from gleaner.session import shared_dir
+
+    base = shared_dir(spark, f"curation_retry/{uuid.uuid4().hex}")
+    feed, pages, _ = _curation_inputs(spark, sf_dir)
+    for k in range(CHAIN_POLLS):
+        src = _land(feed.where(F.col("feed_pos") % CHAIN_POLLS == k), f"{base}/landed/feed/piece_{k}")
+        _finish(chain.start_prepare(src, f"{base}/ck/feed", pages, base, max_attempts=CHAIN_POLLS))
+        asked = spark.read.parquet(f"{base}/articles/poll=prepare-{k}")
+        p = F.col("feed_pos")
+        good = F.concat(F.lit('{"delivery_mode":"single","single_tweet":"post '), p.cast("string"), F.lit('"}'))
+        src = _land(asked.select("article_id", "attempt", F.when(F.col("attempt") > p % 4, good).otherwise(
+            F.lit('{"delivery_mode":"poster"}')).alias("response")), f"{base}/landed/responses/piece_{k}")
+        _finish(chain.start_deliver(src, f"{base}/ck/responses", base))
+        sent = spark.read.parquet(f"{base}/outbox/batch_id={k}")
+        refused = (p % 5 == 2) & (F.col("attempt") == p % 4 + 1)
+        src = _land(sent.select("article_id", "attempt", F.when(~refused, F.concat(
+            F.lit('{"id":'), p.cast("string"), F.lit("}"))).alias("answer")), f"{base}/landed/answers/piece_{k}")
+        _finish(chain.start_confirm(src, f"{base}/ck/answers", base))
+    return spark.read.parquet(f"{base}/outcomes").select(
+        F.col("batch_id").cast("bigint").alias("poll"), F.col("stage").cast("string").alias("stage"), "article_id",
+        "feed_pos", F.col("attempt").cast("bigint").alias("attempt"), "outcome", "error")
+
+
+def o_curation_retry():
+    return f"""
+    WITH d AS (SELECT doc_id AS p, sha256(text) AS k, doc_id % {CHAIN_POLLS} AS poll FROM documents),
+    art AS (SELECT k, min(poll) AS poll, arg_min(p, poll * 1000000000000 + p) AS p FROM d GROUP BY k),
+    -- Tries until the first valid answer, and one more where that one is refused.
+    need AS (SELECT *, p % 4 + 1 AS valid, p % 4 + 1 + CASE WHEN p % 5 = 2 THEN 1 ELSE 0 END AS sent FROM art),
+    tries AS (SELECT *, unnest(range(1, least(sent, {CHAIN_POLLS} - poll) + 1)) AS attempt FROM need)
+    SELECT poll + attempt - 1 AS poll, CASE WHEN attempt < valid THEN 'deliver' ELSE 'confirm' END AS stage, k AS article_id,
+           p AS feed_pos, attempt, CASE WHEN attempt = sent THEN 'processed' ELSE 'failed' END AS outcome,
+           CASE WHEN attempt < valid THEN {Q.q("delivery_mode must be either 'single' or 'thread'")}
+                WHEN attempt < sent THEN 'no answer from the publishing service' END AS error
+    FROM tries
+    UNION ALL
+    SELECT d.poll, 'prepare', d.k, d.p, NULL, 'duplicate', NULL FROM d JOIN art USING (k) WHERE d.p <> art.p"""
+
+
+def q_stream_deliver(spark, sf_dir):
+    """JOIN-03 as a stream: every document waits for its response; responses land in
+    three pieces by position, some twice in one piece (mod 5 = 1), some again in a later
+    one (mod 7 = 2), some under an attempt that is over (mod 11 = 3) or for articles that
+    nobody asked about.  Posts by batch, and the responses set aside with their reason."""
+    import uuid
+
+    from gleaner.plans import chain
+    from gleaner.session import shared_dir
+
+    base = shared_dir(spark, f"stream_deliver/{uuid.uuid4().hex}")
+    feed, pages, _ = _curation_inputs(spark, sf_dir)
+    _finish(chain.start_prepare(_land(feed, f"{base}/landed/feed/piece_0"), f"{base}/ck/feed", pages, base))
+    asked = spark.read.parquet(f"{base}/articles").select("article_id", "feed_pos")
+    p = F.col("feed_pos")
+
+    def says(word: str):
+        return F.concat(F.lit('{"delivery_mode":"single","single_tweet":"'), F.lit(word), p.cast("string"), F.lit('"}')).alias("response")
+
+    one = F.lit(None).cast("int").alias("attempt")
+    for k in range(CHAIN_POLLS):
+        here, before = asked.where(p % CHAIN_POLLS == k), asked.where((p + 1) % CHAIN_POLLS == k)
+        piece = here.where(p % 11 != 3).select("article_id", says("a "), one)
+        piece = piece.unionByName(here.where(p % 5 == 1).select("article_id", says("b "), F.lit(1).alias("attempt")))
+        piece = piece.unionByName(before.where(p % 7 == 2).select("article_id", says("c "), one))
+        piece = piece.unionByName(here.where(p % 11 == 3).select("article_id", says("d "), F.lit(0).alias("attempt")))
+        piece = piece.unionByName(here.where(p % 13 == 4).select(F.concat(F.lit("nobody "), p.cast("string")).alias("article_id"), says("e "), one))
+        src = _land(piece, f"{base}/landed/responses/piece_{k}")
+        _finish(chain.start_deliver(src, f"{base}/ck/responses", base))
+    posts = spark.read.parquet(f"{base}/outbox").select(
+        F.col("batch_id").cast("bigint").alias("batch"), "article_id", F.col("single_tweet").alias("said"), F.lit("sent").alias("what"))
+    aside = spark.read.parquet(f"{base}/ignored/stage=deliver").select(
+        F.col("batch_id").cast("bigint").alias("batch"), "article_id",
+        F.get_json_object("response", "$.single_tweet").alias("said"), F.col("reason").alias("what"))
+    return posts.unionByName(aside)
+
+
+def o_stream_deliver():
+    n = CHAIN_POLLS
+    return f"""
+    WITH a AS (SELECT sha256(text) AS k, min(doc_id) AS p FROM documents GROUP BY 1),
+    landed AS (
+      SELECT p % {n} AS b, k, 'a ' || p AS said, CAST(NULL AS INT) AS attempt, true AS asked FROM a WHERE p % 11 <> 3
+      UNION ALL SELECT p % {n}, k, 'b ' || p, 1, true FROM a WHERE p % 5 = 1
+      UNION ALL SELECT (p + 1) % {n}, k, 'c ' || p, NULL, true FROM a WHERE p % 7 = 2
+      UNION ALL SELECT p % {n}, k, 'd ' || p, 0, true FROM a WHERE p % 11 = 3
+      UNION ALL SELECT p % {n}, 'nobody ' || p, 'e ' || p, NULL, false FROM a WHERE p % 13 = 4),
+    -- The first batch that holds a response to the waiting attempt, and its greatest text.
+    first AS (SELECT k, min(b) AS b FROM landed WHERE asked AND coalesce(attempt, 1) = 1 GROUP BY k),
+    best AS (SELECT l.k, l.b, max(said) AS said FROM landed l JOIN first f ON l.k = f.k AND l.b = f.b
+             WHERE asked AND coalesce(attempt, 1) = 1 GROUP BY l.k, l.b)
+    SELECT l.b AS batch, l.k AS article_id, l.said,
+           CASE WHEN NOT asked THEN 'unknown' WHEN attempt = 0 THEN 'late' WHEN l.b > best.b THEN 'settled'
+                WHEN l.said = best.said THEN 'sent' ELSE 'doubled' END AS what
+    FROM landed l LEFT JOIN best ON best.k = l.k"""
+
+
 # --------------------------------------------------------------------------
 
 _CUT = (fixed.MAX_KEY_POINTS, fixed.PROMPT_TEXT_CHARS)
@@ -1450,6 +1570,8 @@ _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[
     "curation_run_row": (q_curation_run_row, o_curation_run_row),
     "stream_ledger": (q_stream_ledger, o_stream_ledger),
     "stream_retry": (q_stream_retry, o_stream_retry),
+    "curation_retry": (q_curation_retry, o_curation_retry),
+    "stream_deliver": (q_stream_deliver, o_stream_deliver),
 }
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: q for n, (q, _) in _REGISTERED.items()}
 ORACLES: dict[str, Callable[[], str]] = {n: o for n, (_, o) in _REGISTERED.items()}

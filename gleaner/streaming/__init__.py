@@ -36,7 +36,7 @@ def _read_or_empty(spark, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _numbered(batch: DataFrame) -> DataFrame:
+def numbered(batch: DataFrame) -> DataFrame:
     """The micro-batch written once, its rows numbered: streamed XML rows carry
     no position, and a number must not shift when a task is retried."""
     batch = batch.withColumn("_row", F.monotonically_increasing_id())
@@ -57,7 +57,7 @@ def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
     holds, per batch, the rows that still fail after it (possibly none); a batch
     takes up those of the batch before, ahead of its own entries."""
     spark, names = batch.sparkSession, batch.columns
-    entries = _numbered(batch).withColumn("_new", F.lit(1))
+    entries = numbered(batch).withColumn("_new", F.lit(1))
     if retry_path is not None:
         pending = _read_or_empty(spark, f"{retry_path}/batch_id={int(batch_id) - 1}", batch.schema)
         entries = materialize(entries.unionByName(pending.withColumns(
@@ -124,7 +124,7 @@ def start_prepare_stream(feed: DataFrame, pages: DataFrame, checkpoint: str, out
             failed = _read_or_empty(spark, outcomes_path, "article_id string, outcome string").where(
                 "outcome = 'failed'").select("article_id")
             waiting = waiting.join(failed, "article_id", "left_anti")
-        prep = jobs.prepare(_numbered(batch).drop("_row"), pages, seen.unionByName(waiting),
+        prep = jobs.prepare(numbered(batch).drop("_row"), pages, seen.unionByName(waiting),
                             excluded_authors=excluded_authors, max_articles=max_articles)
         jobs.save_prepared(prep, out_dir, batch_id)
 
