@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
@@ -39,5 +44,23 @@ def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
     from gleaner.session import shared_dir
 
     path = f"{shared_dir(df.sparkSession, 'tables')}/{name}-{uuid.uuid4().hex}"
+    if (made := _scratch.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialize`` writes inside the ``with`` are deleted at its end, so that a
+    stream that runs for months does not fill the shared folder.  For bodies whose results
+    are all written by then."""
+    made: list[str] = []
+    token = _scratch.set(made)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in made:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -74,6 +74,13 @@ def _flag(c: ColumnOrName | None) -> Column:
 COUNTERS = ("articles_found", "articles_processed", "articles_failed", "skipped_duplicate", "skipped_excluded")
 
 
+def outcome_counters(outcome_col: str = "outcome") -> dict[str, Column]:
+    """AGG-01: the counters as aggregates over outcome rows."""
+    kinds = ("processed", "failed", "duplicate", "excluded")
+    return {COUNTERS[0]: F.count(F.lit(1)),
+            **{name: F.count_if(F.col(outcome_col) == kind) for name, kind in zip(COUNTERS[1:], kinds)}}
+
+
 def run_summary(outcomes: DataFrame, run_col: str = "run_id",
                 outcome_col: str = "outcome", runs: DataFrame | None = None) -> DataFrame:
     """AGG-01 + AGG-02: one row per run with the counters and the status.
@@ -81,13 +88,7 @@ def run_summary(outcomes: DataFrame, run_col: str = "run_id",
     found counts every entry inside the cap; duplicates and excluded entries
     count only there.  ``runs`` (a table with ``run_col``) lists the runs that
     must have a row: one without entries is completed with zeros."""
-    o = F.col(outcome_col)
-    agg = outcomes.groupBy(run_col).agg(
-        F.count(F.lit(1)).alias("articles_found"),
-        F.count_if(o == "processed").alias("articles_processed"),
-        F.count_if(o == "failed").alias("articles_failed"),
-        F.count_if(o == "duplicate").alias("skipped_duplicate"),
-        F.count_if(o == "excluded").alias("skipped_excluded"))
+    agg = outcomes.groupBy(run_col).agg(*[c.alias(name) for name, c in outcome_counters(outcome_col).items()])
     if runs is not None:
         agg = runs.select(run_col).distinct().join(agg, run_col, "left").fillna(0, list(COUNTERS))
     status = F.when(F.col("articles_failed") == 0, F.lit("completed")).otherwise(

@@ -32,9 +32,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleaner import sinks
 from gleaner.operators import states
-from gleaner.operators.common import materialize
+from gleaner.operators.common import materialize, scratch_tables
 from gleaner.plans import jobs
-from gleaner.sources.tables import read_ledger
+from gleaner.sources.tables import ledger_of
 from gleaner.streaming import numbered
 
 STAGES = ("prepare", "retry", "deliver", "confirm")
@@ -67,9 +67,10 @@ def poll_prepare(batch: DataFrame, batch_id: int, pages: DataFrame, base: str, e
                  **limits) -> None:
     """Job 1 over one batch of feed entries (possibly none), with the retries that are due."""
     spark, poll = batch.sparkSession, f"{stage}-{int(batch_id)}"
-    ledger = read_ledger(spark, f"{base}/ledger").where(F.col("batch_id") != _ledger_batch(stage, batch_id))
+    batch = numbered(batch).drop("_row")
+    ledger = ledger_of(spark, f"{base}/ledger", batch, but_batch=_ledger_batch(stage, batch_id))
     known = materialize(states.read_states(spark, base, stage, batch_id), "known")
-    prep = jobs.prepare(numbered(batch).drop("_row"), pages, ledger.select("article_id").unionByName(known.select("article_id")),
+    prep = jobs.prepare(batch, pages, ledger.unionByName(known.select("article_id")),
                         excluded_authors=excluded_authors, feed_cols=feed_cols, **limits)
     due = known.where("state = 'failed'")
     if max_attempts is not None:
@@ -178,7 +179,11 @@ def poll_confirm(batch: DataFrame, batch_id: int, base: str, now: Column | None
 
 def _start(stream: DataFrame, checkpoint: str, run: Callable[[DataFrame, int], None], available_now: bool,
            processing_time: str | None) -> StreamingQuery:
-    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+    def scratched(batch: DataFrame, batch_id: int) -> None:
+        with scratch_tables(batch.sparkSession):
+            run(batch, batch_id)
+
+    w = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(scratched)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "15 minutes")
     return w.start()
 

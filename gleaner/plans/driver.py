@@ -992,6 +992,41 @@ def o_atom_scan():
     FROM documents"""
 
 
+MIXED_FILES = 6
+
+
+def q_feed_scan_mixed(spark, sf_dir):
+    """SRC-01 + WIN-04: one folder with RSS and Atom files; every entry's position within
+    its own file, dense and in document order."""
+    import uuid
+
+    from gleaner.session import shared_dir
+    from gleaner.sources.feed import read_feed
+
+    path = shared_dir(spark, f"feed_scan_mixed/{uuid.uuid4().hex}")
+    d = _t(spark, sf_dir, "documents").select("doc_id", "source")
+    d = d.withColumn("file", F.col("doc_id") % MIXED_FILES)
+    n = F.col("doc_id").cast("string")
+    rss = d.where("file % 2 = 0").select("file", "doc_id", F.concat(F.lit("<item><guid>"), n, F.lit("</guid><title>"), F.col(
+        "source"), F.lit("</title></item>")).alias("value"))
+    atom = d.where("file % 2 = 1").select("file", "doc_id", F.concat(F.lit("<entry><id>"), n, F.lit("</id><title>"), F.col(
+        "source"), F.lit("</title></entry>")).alias("value"))
+    ends = d.select("file").distinct().select("file", F.explode(F.array(
+        F.struct(F.lit(-1).cast("bigint").alias("doc_id"), F.lit("<feed>").alias("value")),
+        F.struct(F.lit(2**62).alias("doc_id"), F.lit("</feed>").alias("value")))).alias("x")).select("file", "x.*")
+    # One file for each residue, in id order.
+    (rss.unionByName(atom).unionByName(ends).repartition("file").sortWithinPartitions("file", "doc_id")
+        .select("file", "value").write.partitionBy("file").text(path))
+    f = read_feed(spark, f"{path}/*")
+    return f.select(F.regexp_extract("feed_file", r"file=(\d+)", 1).cast("bigint").alias("file"), "feed_pos", "article_id", "title")
+
+
+def o_feed_scan_mixed():
+    return f"""
+    SELECT doc_id % {MIXED_FILES} AS file, row_number() OVER (PARTITION BY doc_id % {MIXED_FILES} ORDER BY doc_id) AS feed_pos,
+           sha256(CAST(doc_id AS VARCHAR)) AS article_id, source AS title FROM documents"""
+
+
 RESPONSE_MAX_CHARS = 1000
 
 
@@ -1128,41 +1163,77 @@ def _model_answers(articles: DataFrame) -> DataFrame:
     return good.unionByName(good.select("article_id", F.lit("{zzz not json").alias("response"), F.lit(1).alias("attempt")))
 
 
-def _curation(spark, sf_dir, empty: bool = False) -> str:
+def _curation(spark, sf_dir, empty: bool = False, dies: str | None = None, base: str | None = None) -> str:
     """All jobs over whole tables, the outputs written per batch to the shared
     folder: prepare, saved and loaded; the model's answers; rewrites for flagged
     posts with an even position; schedule mode from a fixed ``now``; the publishing
-    service answers all requests but those with position mod 17 = 8."""
+    service answers all requests but those with position mod 17 = 8.  ``dies`` names
+    the step in which a task of the run raises an error."""
     import uuid
 
     from gleaner.plans import jobs
     from gleaner.session import shared_dir
 
-    base = shared_dir(spark, f"curation/{uuid.uuid4().hex}")
+    base = base or shared_dir(spark, f"curation/{uuid.uuid4().hex}")
     feed, pages, ledger = _curation_inputs(spark, sf_dir)
     if empty:
         feed = feed.limit(0)
-    jobs.save_prepared(jobs.prepare(feed, pages, ledger, excluded_authors=RUN_SOURCES, min_points_for_thread=RUN_POINTS,
-                                    min_chars_for_thread=RUN_CHARS), base, 0)
-    prep = jobs.load_prepared(spark, base, 0)
-    responses = _model_answers(prep.articles)
-    flagged = jobs.promo_rewrite_table(prep, responses, attempt_col="attempt")
-    rewrites = (flagged.join(prep.articles.select("article_id", "feed_pos"), "article_id").where("feed_pos % 2 = 0")
-                .select("article_id", F.concat(F.lit('{"delivery_mode": "single", "single_tweet": "rewritten '),
-                                               F.col("feed_pos").cast("string"), F.lit('", "thread": []}')).alias("response"),
-                        F.lit(1).alias("attempt")))
+
+    def broken(step: str, col: str):
+        return F.when(F.col("feed_pos") % 3 == 1, F.raise_error(F.lit(f"{step} broke"))).otherwise(F.col(col)) if dies == step else F.col(col)
+
     now = F.lit(RUN_NOW).cast("timestamp")
-    sent = jobs.deliver(prep, responses, publish_mode="schedule", now=now, attempt_col="attempt", rewrites=rewrites)
-    out = sent.outbox.withColumn("posts", F.to_json("posts")).select("article_id", "feed_pos", "posts", "payload")
-    out.write.parquet(f"{base}/outbox")
-    p = F.col("feed_pos").cast("string")
-    answers = sent.outbox.where("feed_pos % 17 <> 8").select("article_id", F.when(
-        F.col("feed_pos") % 2 == 0, F.concat(F.lit('{"id": 1'), p, F.lit("}"))).otherwise(
-        F.concat(F.lit('{"id": "", "draft": {"id": "d'), p, F.lit('"}}'))).alias("answer"))
-    jobs.write_outputs(jobs.confirm(prep, sent, answers, "run_fixture", now=now), base, 0)
+    with jobs.accounted_run(spark, f"run_{dies}" if dies else "run_fixture", base, 0) as run:
+        run.save_prepared(jobs.prepare(feed.withColumn("title", broken("feed", "title")), pages, ledger, excluded_authors=RUN_SOURCES,
+                                       min_points_for_thread=RUN_POINTS, min_chars_for_thread=RUN_CHARS))
+        prep = jobs.load_prepared(spark, base, 0)
+        responses = _model_answers(prep.articles)
+        if dies == "responses":
+            responses = responses.join(prep.articles.select("article_id", "feed_pos"), "article_id").withColumn(
+                "response", broken("responses", "response")).drop("feed_pos")
+        flagged = jobs.promo_rewrite_table(prep, responses, attempt_col="attempt")
+        rewrites = (flagged.join(prep.articles.select("article_id", "feed_pos"), "article_id").where("feed_pos % 2 = 0")
+                    .select("article_id", F.concat(F.lit('{"delivery_mode": "single", "single_tweet": "rewritten '),
+                                                   F.col("feed_pos").cast("string"), F.lit('", "thread": []}')).alias("response"),
+                            F.lit(1).alias("attempt")))
+        sent = jobs.deliver(prep, responses, publish_mode="schedule", now=now, attempt_col="attempt", rewrites=rewrites)
+        out = sent.outbox.withColumn("posts", F.to_json("posts")).select("article_id", "feed_pos", "posts", "payload")
+        out.write.parquet(f"{base}/outbox")
+        p = F.col("feed_pos").cast("string")
+        answers = sent.outbox.where("feed_pos % 17 <> 8").select("article_id", F.when(
+            F.col("feed_pos") % 2 == 0, F.concat(F.lit('{"id": 1'), p, F.lit("}"))).otherwise(
+            F.concat(F.lit('{"id": "", "draft": {"id": "d'), p, F.lit('"}}'))).alias("answer"))
+        run.write_outputs(jobs.confirm(prep, sent, answers, run.run_id, now=now))
     return base
 
 
+def q_curation_failed_row(spark, sf_dir):
+    """AGG-02 + SNK-03: runs whose tasks raise while the feed is scanned and while the
+    responses are read.  Both leave a run row with what was counted until then."""
+    import uuid
+
+    from gleaner.session import shared_dir
+
+    top = shared_dir(spark, f"curation/{uuid.uuid4().hex}")
+    for step in ("feed", "responses"):
+        try:
+            _curation(spark, sf_dir, dies=step, base=f"{top}/{step}")
+        except Exception as e:  # noqa: BLE001 - only the error that the fixture raises
+            if f"{step} broke" not in str(e):
+                raise
+    feed, responses = (spark.read.parquet(f"{top}/{step}/runs") for step in ("feed", "responses"))
+    return feed.unionByName(responses).select(
+        "run_id", "articles_found", "articles_processed", "articles_failed", "skipped_duplicate", "skipped_excluded", "status")
+
+
+def o_curation_failed_row():
+    return """
+    SELECT 'run_feed' AS run_id, CAST(0 AS BIGINT) AS articles_found, CAST(0 AS BIGINT) AS articles_processed,
+           CAST(1 AS BIGINT) AS articles_failed, CAST(0 AS BIGINT) AS skipped_duplicate, CAST(0 AS BIGINT) AS skipped_excluded,
+           'failed' AS status
+    UNION ALL SELECT 'run_responses', count(*), 0, 1, 0, 0, 'failed' FROM documents"""
+
+
 def q_curation_run(spark, sf_dir):
     """Outcome facts of the whole run."""
     facts = spark.read.parquet(f"{_curation(spark, sf_dir)}/outcomes")
@@ -1414,6 +1485,46 @@ def _finish(query) -> None:
         raise query.exception()
 
 
+DEDUP_PIECES = 8
+DEDUP_DELAY_HOURS = 1
+
+
+def q_stream_bounded_dedup(spark, sf_dir):
+    """STR-02 with bounded state: documents land in eight pieces, an hour apart; a key is
+    forgotten once the stream has seen a time two delays after it, and then comes again.
+    Each piece is a run of its own from the same checkpoint, so the state is restored."""
+    import uuid
+
+    from gleaner.session import shared_dir
+    from gleaner.streaming import bounded_dedup
+
+    base = shared_dir(spark, f"stream_bounded_dedup/{uuid.uuid4().hex}")
+    piece = F.col("doc_id") % DEDUP_PIECES
+    land = _t(spark, sf_dir, "documents").select(
+        keys.article_key(id_col=F.col("text")).alias("article_id"), piece.alias("piece"),
+        F.timestamp_seconds(F.lit(1704067200) + piece * 3600).alias("landed_at"))
+    for k in range(DEDUP_PIECES):
+        src = _land(land.where(F.col("piece") == k), f"{base}/landed/piece_{k}")
+        new = bounded_dedup(src, "landed_at", f"{DEDUP_DELAY_HOURS} hours")
+        _finish(new.writeStream.format("parquet").option("checkpointLocation", f"{base}/ck").option("path", f"{base}/new")
+                .trigger(availableNow=True).start())
+    return spark.read.parquet(f"{base}/new").select("article_id", F.col("piece").cast("bigint").alias("piece"))
+
+
+def o_stream_bounded_dedup():
+    # At the end of piece r the watermark is r less the delay; a key of piece p is kept until p plus the delay.
+    gap = 2 * DEDUP_DELAY_HOURS + 1
+    return f"""
+    WITH RECURSIVE k AS (SELECT DISTINCT sha256(text) AS article_id, doc_id % {DEDUP_PIECES} AS piece FROM documents),
+    seen AS (
+      SELECT article_id, min(piece) AS piece FROM k GROUP BY article_id
+      UNION ALL
+      SELECT s.article_id, (SELECT min(k.piece) FROM k WHERE k.article_id = s.article_id AND k.piece >= s.piece + {gap})
+      FROM seen s WHERE EXISTS (SELECT 1 FROM k WHERE k.article_id = s.article_id AND k.piece >= s.piece + {gap})
+    )
+    SELECT article_id, piece FROM seen"""
+
+
 def q_curation_retry(spark, sf_dir):
     """STR-04 through the whole chain, as streams: documents land in three pieces, one a
     poll; the model's answer to an article is invalid in its first (position mod 4)
@@ -1560,6 +1671,7 @@ _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[
     "latest_draft": (q_latest_draft, o_latest_draft),
     "feed_scan": (q_feed_scan, o_feed_scan),
     "atom_scan": (q_atom_scan, o_atom_scan),
+    "feed_scan_mixed": (q_feed_scan_mixed, o_feed_scan_mixed),
     "response_check": (q_response_check, o_response_check),
     "draft_rows": (q_draft_rows, o_draft_rows),
     "confirm_rows": (q_confirm_rows, o_confirm_rows),
@@ -1570,6 +1682,8 @@ _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[
     "curation_run_row": (q_curation_run_row, o_curation_run_row),
     "stream_ledger": (q_stream_ledger, o_stream_ledger),
     "stream_retry": (q_stream_retry, o_stream_retry),
+    "curation_failed_row": (q_curation_failed_row, o_curation_failed_row),
+    "stream_bounded_dedup": (q_stream_bounded_dedup, o_stream_bounded_dedup),
     "curation_retry": (q_curation_retry, o_curation_retry),
     "stream_deliver": (q_stream_deliver, o_stream_deliver),
 }

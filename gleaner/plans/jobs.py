@@ -20,7 +20,8 @@ job over to a later session; ``write_outputs`` writes a batch in the safe order
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -48,16 +49,49 @@ def run_id(source: str, batch_id: int, started: datetime) -> str:
     return f"{fixed.RUN_ID_PREFIX}{started.astimezone(timezone.utc):{fixed.RUN_ID_TIME_FORMAT}}_{digits}"
 
 
-def failed_run_row(spark, run_id: str, found: int = 0, processed: int = 0,
-                   failed: int = 0) -> DataFrame:
-    """AGG-02 fatal branch: the run row written when a job aborts; the
-    counters so far, with one more failure for the fatal error."""
-    return (spark.createDataFrame(
-        [(run_id, found, processed, failed + 1, 0, 0, "failed")],
-        "run_id string, articles_found long, articles_processed long, articles_failed long, "
-        "skipped_duplicate long, skipped_excluded long, status string")
-        .withColumn("started_at", F.current_timestamp())
-        .withColumn("completed_at", F.current_timestamp()))
+class RunAccount:
+    """The counters of one run, as its writes saw them (``accounted_run``)."""
+
+    def __init__(self, run_id: str, base: str, batch_id: int) -> None:
+        self.run_id, self.base, self.batch_id = run_id, base, batch_id
+        self.counts = dict.fromkeys(outcomes.COUNTERS, 0)
+
+    def save_prepared(self, prepared: Prepared) -> None:
+        """``jobs.save_prepared``; from here on the run has found its entries."""
+        got = sinks.write_observed(prepared.entries, f"{self.base}/entries", self.batch_id, found=F.count(F.lit(1)))
+        self.counts["articles_found"] = got["found"]
+        sinks.write_outcomes(prepared.articles, f"{self.base}/articles", self.batch_id)
+
+    def write_outputs(self, out: Confirmed, dry_run: bool = False) -> None:
+        """``jobs.write_outputs`` without its run row, which the end of the run writes."""
+        sinks.append_drafts(out.drafts, f"{self.base}/drafts", self.batch_id, dry_run=dry_run)
+        self.counts.update(sinks.write_observed(out.outcomes, f"{self.base}/outcomes", self.batch_id,
+                                                **outcomes.outcome_counters()))
+        sinks.append_ledger(out.ledger, f"{self.base}/ledger", self.batch_id, dry_run=dry_run)
+
+
+@contextmanager
+def accounted_run(spark, run_id: str, base: str, batch_id: int, started: datetime | None = None) -> Iterator[RunAccount]:
+    """A run that always leaves its run row (AGG-01, AGG-02, SNK-03).
+
+    The steps of the run are the body of the ``with``; the counters come from the writes
+    made through the account.  A body that ends writes the row with its status; one that
+    raises writes the counters so far, one more failure and the status ``failed``, and
+    the error goes on."""
+    started, account = started or datetime.now(timezone.utc), RunAccount(run_id, base, batch_id)
+
+    def write(counts: dict[str, int], status: str) -> None:
+        row = (run_id, *(counts[c] for c in outcomes.COUNTERS), status, started, datetime.now(timezone.utc))
+        kinds = ", ".join(f"{c} long" for c in outcomes.COUNTERS)
+        sinks.write_run(spark.createDataFrame(
+            [row], f"run_id string, {kinds}, status string, started_at timestamp, completed_at timestamp"), f"{base}/runs", batch_id)
+
+    try:
+        yield account
+    except BaseException:
+        write({**account.counts, "articles_failed": account.counts["articles_failed"] + 1}, "failed")
+        raise
+    write(account.counts, "completed_with_errors" if account.counts["articles_failed"] else "completed")
 
 
 @dataclass

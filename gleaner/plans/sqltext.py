@@ -89,26 +89,26 @@ def page_bodies(source: str, tags=fixed.BOILERPLATE_TAGS, classes=fixed.BOILERPL
     named = ", ".join(q(t) for t in [*tags, "template"])
     marked = ", ".join(q(c) for c in classes)
     return f"""
-    tok AS (SELECT page_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i, len(ts) AS n
+    pg_tok AS (SELECT page_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS i, len(ts) AS n
             FROM (SELECT page_id, regexp_extract_all(html, {q(token)}) AS ts FROM ({source}))),
-    tag AS (SELECT page_id, i, n, t, lower(regexp_extract(t, '^</?([A-Za-z][^\\s/>]*)', 1)) AS name,
-                   starts_with(t, '</') AS closes FROM tok WHERE starts_with(t, '<') AND length(t) > 1),
-    lev AS (SELECT *, sum(CASE WHEN closes THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY i) AS d
-            FROM tag WHERE name <> '' AND name NOT IN ({void})),
-    ends AS (SELECT o.page_id, o.i, o.name, o.t, coalesce(min(c.i), any_value(o.n)) AS e
-             FROM lev o LEFT JOIN lev c ON c.page_id = o.page_id AND c.name = o.name AND c.i > o.i AND c.closes AND c.d = o.d - 1
+    pg_tag AS (SELECT page_id, i, n, t, lower(regexp_extract(t, '^</?([A-Za-z][^\\s/>]*)', 1)) AS name,
+                   starts_with(t, '</') AS closes FROM pg_tok WHERE starts_with(t, '<') AND length(t) > 1),
+    pg_lev AS (SELECT *, sum(CASE WHEN closes THEN -1 ELSE 1 END) OVER (PARTITION BY page_id, name ORDER BY i) AS d
+            FROM pg_tag WHERE name <> '' AND name NOT IN ({void})),
+    pg_ends AS (SELECT o.page_id, o.i, o.name, o.t, coalesce(min(c.i), any_value(o.n)) AS e
+             FROM pg_lev o LEFT JOIN pg_lev c ON c.page_id = o.page_id AND c.name = o.name AND c.i > o.i AND c.closes AND c.d = o.d - 1
              WHERE NOT o.closes GROUP BY o.page_id, o.i, o.name, o.t),
-    cut AS (SELECT page_id, i AS s, e FROM ends WHERE name IN ({named})
+    pg_cut AS (SELECT page_id, i AS s, e FROM pg_ends WHERE name IN ({named})
             OR list_has_any(string_split(regexp_extract(t, '\\sclass\\s*=\\s*["'']([^"'']*)["'']', 1), ' '), [{marked}])),
-    gone AS (SELECT DISTINCT tok.page_id, tok.i FROM tok JOIN cut ON cut.page_id = tok.page_id AND tok.i BETWEEN s AND e),
-    art AS (SELECT page_id, min(i) AS s, arg_min(e, i) AS e FROM ends WHERE name = 'article'
-            AND (page_id, i) NOT IN (SELECT (page_id, i) FROM gone) GROUP BY page_id),
-    said AS (SELECT tok.page_id, tok.i, CASE WHEN gone.i IS NOT NULL OR starts_with(t, '<') AND length(t) > 1 THEN chr(10) ELSE t END AS t,
-                    art.s IS NOT NULL AS has, coalesce(tok.i > art.s AND tok.i < art.e, false) AS inside
-             FROM tok LEFT JOIN gone ON gone.page_id = tok.page_id AND gone.i = tok.i LEFT JOIN art ON art.page_id = tok.page_id),
-    raw AS (SELECT page_id, any_value(has) AS has, coalesce(string_agg(t, '' ORDER BY i) FILTER (inside), '') AS a,
-                   string_agg(t, '' ORDER BY i) AS p FROM said GROUP BY page_id),
-    pb AS (SELECT page_id, CASE WHEN has THEN {lines_text('a')} END AS article_text, {lines_text('p')} AS page_text FROM raw)"""
+    pg_gone AS (SELECT DISTINCT pg_tok.page_id, pg_tok.i FROM pg_tok JOIN pg_cut ON pg_cut.page_id = pg_tok.page_id AND pg_tok.i BETWEEN s AND e),
+    pg_art AS (SELECT page_id, min(i) AS s, arg_min(e, i) AS e FROM pg_ends WHERE name = 'article'
+            AND (page_id, i) NOT IN (SELECT (page_id, i) FROM pg_gone) GROUP BY page_id),
+    pg_said AS (SELECT pg_tok.page_id, pg_tok.i, CASE WHEN pg_gone.i IS NOT NULL OR starts_with(t, '<') AND length(t) > 1 THEN chr(10) ELSE t END AS t,
+                    pg_art.s IS NOT NULL AS has, coalesce(pg_tok.i > pg_art.s AND pg_tok.i < pg_art.e, false) AS inside
+             FROM pg_tok LEFT JOIN pg_gone ON pg_gone.page_id = pg_tok.page_id AND pg_gone.i = pg_tok.i LEFT JOIN pg_art ON pg_art.page_id = pg_tok.page_id),
+    pg_raw AS (SELECT page_id, any_value(has) AS has, coalesce(string_agg(t, '' ORDER BY i) FILTER (inside), '') AS a,
+                   string_agg(t, '' ORDER BY i) AS p FROM pg_said GROUP BY page_id),
+    pb AS (SELECT page_id, CASE WHEN has THEN {lines_text('a')} END AS article_text, {lines_text('p')} AS page_text FROM pg_raw)"""
 
 
 def lines_text(x: str) -> str:

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from gleaner.functions.text import py_strip
 from gleaner.functions.timefmt import parse_feed_date
-from gleaner.operators.keys import article_key
+from gleaner.operators.common import materialize
+from gleaner.operators.keys import article_key, feed_position
 
 # One RSS item as landed (all strings; ``content`` collects every
 # ``content:encoded`` element of the item).
@@ -77,11 +78,16 @@ def read_rss_items(spark: SparkSession, path: str, streaming: bool = False,
          .option("attributePrefix", "_attr_")
          .option("valueTag", "_text")
          .schema(RSS_ITEM_SCHEMA))
-    df = r.load(path).withColumn("feed_file", F.col("_metadata.file_path"))
-    # A stream has no stable row ids; its micro-batches number their rows
-    # (``streaming.handle_batch``).
+    return _placed(r.load(path), streaming)
+
+
+def _placed(df: DataFrame, streaming: bool) -> DataFrame:
+    """The file of each row and its place in it: ``_block``, where its split starts, and
+    ``_pos``, which rises along the split.  A stream has no stable row ids; its
+    micro-batches number their rows (``streaming.numbered``)."""
     pos = F.lit(None).cast("bigint") if streaming else F.monotonically_increasing_id()
-    return df.withColumn("_pos", pos)
+    return df.withColumn("feed_file", F.col("_metadata.file_path")).withColumn(
+        "_block", F.col("_metadata.file_block_start")).withColumn("_pos", pos)
 
 
 def read_atom_entries(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
@@ -91,19 +97,18 @@ def read_atom_entries(spark: SparkSession, path: str, streaming: bool = False) -
          .option("rowTag", "entry").option("ignoreNamespace", "true")
          .option("attributePrefix", "_attr_").option("valueTag", "_text")
          .schema(ATOM_ENTRY_SCHEMA))
-    df = r.load(path).withColumn("feed_file", F.col("_metadata.file_path"))
+    df = _placed(r.load(path), streaming)
     links = F.coalesce(F.col("link"), F.array().cast(ATOM_ENTRY_SCHEMA["link"].dataType))
     alternate = F.filter(links, lambda x: F.coalesce(x["_attr_rel"], F.lit("alternate")) == "alternate")
-    pos = F.lit(None).cast("bigint") if streaming else F.monotonically_increasing_id()
     return df.select(
         F.col("title._text").alias("title"),
         F.coalesce(F.get(alternate, 0)["_attr_href"], F.get(links, 0)["_attr_href"]).alias("link"), "id",
         F.get("author", 0)["name"].alias("author"), "published", "updated",
         F.filter(F.transform("content", lambda x: x["_text"]), lambda x: x.isNotNull()).alias("encoded"),
-        F.col("summary._text").alias("summary"), "feed_file").withColumn("_pos", pos)
+        F.col("summary._text").alias("summary"), "feed_file", "_block", "_pos")
 
 
-def normalize_feed(items: DataFrame, pos_col: str = "_pos") -> DataFrame:
+def normalize_feed(items: DataFrame, pos_col: str = "_pos", extra: tuple[str, ...] = ()) -> DataFrame:
     """Feed entries in the shape the rest of the engine uses.
 
     * article_id: sha256 of id, else guid, else link (PRJ-01)
@@ -135,7 +140,19 @@ def normalize_feed(items: DataFrame, pos_col: str = "_pos") -> DataFrame:
         parse_feed_date(pub_src).alias("published_at"),
         body.alias("feed_content"),
         F.col(pos_col).cast("bigint").alias("feed_pos"),
-        c("feed_file").alias("feed_file"))
+        c("feed_file").alias("feed_file"), *extra)
+
+
+def _entries(items: DataFrame) -> DataFrame:
+    return normalize_feed(items, extra=("_block", "_pos", "_kind"))
+
+
+def _with_positions(parts: list[DataFrame]) -> DataFrame:
+    """Entries of several scans with one dense position per file, from 1, in document
+    order: by the start of the split, then the order within it."""
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    rows = materialize(rows, "feed").withColumn("_place", F.struct("_block", "_kind", "_pos"))
+    return feed_position(rows.drop("feed_pos"), "_place", "feed_pos", ["feed_file"]).select(*FEED_SCHEMA.names)
 
 
 def read_feed(spark: SparkSession, path: str, fmt: str = "xml",
@@ -146,11 +163,14 @@ def read_feed(spark: SparkSession, path: str, fmt: str = "xml",
     ``'rss'`` / ``'atom'`` only those, and streams name the one they read;
     ``'parquet'`` / ``'json'`` read files already in the normalized shape
     (``FEED_SCHEMA``)."""
-    if fmt == "atom":
-        return normalize_feed(read_atom_entries(spark, path, streaming))
-    if fmt == "rss" or fmt == "xml" and streaming:
-        return normalize_feed(read_rss_items(spark, path, streaming))
-    if fmt == "xml":
-        return normalize_feed(read_rss_items(spark, path)).unionByName(normalize_feed(read_atom_entries(spark, path)))
+    if fmt in ("xml", "rss", "atom"):
+        kinds = {"rss": [read_rss_items], "atom": [read_atom_entries]}.get(
+            fmt, [read_rss_items] if streaming else [read_rss_items, read_atom_entries])
+        parts = [read(spark, path, streaming) for read in kinds]
+        if not streaming:
+            # Ranked once over the files' rows without their texts; joined back below.
+            parts = [p.withColumn("_kind", F.lit(k)) for k, p in enumerate(parts)]
+            return _with_positions([_entries(p) for p in parts])
+        return normalize_feed(parts[0])
     r = _reader(spark, streaming).format(fmt).schema(FEED_SCHEMA)
     return r.load(path)

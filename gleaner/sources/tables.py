@@ -17,6 +17,10 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
 ])
 
+#: Characters of the key that name a ledger folder: 16 folders a batch for hex keys; two
+#: (256) or three suit a ledger that is orders of magnitude larger than a batch.
+LEDGER_PREFIX_CHARS = 1
+
 RESPONSE_SCHEMA = T.StructType([
     T.StructField("delivery_mode", T.StringType()),
     T.StructField("single_tweet", T.StringType()),
@@ -30,20 +34,58 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-03: the ledger of handled articles; an absent ledger is empty.
+_LEDGER_READ = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("prefix", T.StringType()),
+                                                    T.StructField("batch_id", T.LongType())])
 
-    Ledger files are written per batch under ``batch_id=`` folders; the
-    partition column is kept so a replayed batch can leave its own rows
-    out."""
-    schema = T.StructType(LEDGER_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
+
+def _read_if_there(spark: SparkSession, schema: T.StructType | str, path: str) -> DataFrame | None:
     try:
         # An explicit schema also covers a folder that holds no files yet.
         return spark.read.schema(schema).parquet(path)
     except Exception as e:  # noqa: BLE001 - only "path does not exist" is expected
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def ledger_snapshot(spark: SparkSession, path: str):
+    """(snapshot, upto) of the last folded part of a ledger, or None."""
+    rows = _read_if_there(spark, "upto long, snapshot long", f"{path}_compact/upto")
+    return None if rows is None else rows.orderBy(F.col("snapshot").desc()).first()
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-03: the ledger of handled articles; an absent ledger is empty.
+
+    Ledger files are written per batch under ``batch_id=`` and ``prefix=`` folders.
+    Both partition columns are kept: a replayed batch leaves its own rows out, and a batch
+    reads the folders of its keys only.  Rows that ``sinks.compact_ledger`` has folded
+    carry no batch id."""
+    rows = _read_if_there(spark, _LEDGER_READ, path)
+    if rows is None:
+        return spark.createDataFrame([], _LEDGER_READ)
+    last = ledger_snapshot(spark, path)
+    if last is None:
+        return rows
+    folded = spark.read.schema(T.StructType(_LEDGER_READ.fields[:-1])).parquet(f"{path}_compact/rows/snapshot={last.snapshot}")
+    return rows.where(F.col("batch_id") > F.lit(last.upto)).unionByName(
+        folded.withColumn("batch_id", F.lit(None).cast("long")))
+
+
+def ledger_of(spark: SparkSession, path: str, keys: DataFrame, key: str = "article_id",
+              but_batch: int | None = None, prefix_chars: int = LEDGER_PREFIX_CHARS) -> DataFrame:
+    """SRC-03 + JOIN-01: the keys of the ledger that may be among ``keys``, without those of
+    batch ``but_batch``: only folders whose prefix occurs in ``keys`` are read.
+
+    The prefixes, at most 16 ** ``prefix_chars`` short texts for hex keys, are literals in the
+    plan, so the scan chooses its folders by them; files without a prefix are always read."""
+    ledger = read_ledger(spark, path)
+    ours = keys.select(F.substring(key, 1, prefix_chars).alias("p")).where("p is not null").distinct().collect()
+    here = F.col("prefix").isin(*[r.p for r in ours]) if ours else F.lit(False)
+    ledger = ledger.where(F.col("prefix").isNull() | here)
+    if but_batch is not None:
+        ledger = ledger.where(F.col("batch_id").isNull() | (F.col("batch_id") != F.lit(int(but_batch))))
+    return ledger.select(key)
 
 
 def read_queue(spark: SparkSession, path: str, page_pattern: str = r"page[-_=]?(\d+)") -> DataFrame:

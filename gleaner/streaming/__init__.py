@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleaner import sinks
-from gleaner.operators.common import materialize
+from gleaner.operators.common import materialize, scratch_tables
 from gleaner.operators.outcomes import ingest_outcomes
-from gleaner.sources.tables import read_ledger
+from gleaner.sources.tables import ledger_of
 
 
 def _read_or_empty(spark, path: str, schema) -> DataFrame:
@@ -56,22 +56,24 @@ def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
     and model steps); without it every new entry is processed.  The retry table
     holds, per batch, the rows that still fail after it (possibly none); a batch
     takes up those of the batch before, ahead of its own entries."""
+    with scratch_tables(batch.sparkSession):
+        _handle(batch, batch_id, ledger_path, retry_path, outcomes_path, decide)
+
+
+def _handle(batch: DataFrame, batch_id: int, ledger_path: str, retry_path: str | None, outcomes_path: str | None,
+            decide: Callable[[DataFrame], DataFrame] | None) -> None:
     spark, names = batch.sparkSession, batch.columns
     entries = numbered(batch).withColumn("_new", F.lit(1))
     if retry_path is not None:
         pending = _read_or_empty(spark, f"{retry_path}/batch_id={int(batch_id) - 1}", batch.schema)
-        entries = materialize(entries.unionByName(pending.withColumns(
-            {"_row": F.monotonically_increasing_id(), "_new": F.lit(0)})), "entries")
+        entries = entries.unionByName(pending.withColumns({"_row": F.monotonically_increasing_id(), "_new": F.lit(0)}))
+    ledger = ledger_of(spark, ledger_path, entries, but_batch=batch_id)
     if decide is not None:
         entries = decide(entries)
     else:
         entries = entries.withColumn("excluded", F.lit(False)).withColumn("failed", F.lit(False))
-    ledger = read_ledger(spark, ledger_path)
-    if "batch_id" in ledger.columns:
-        ledger = ledger.where(F.col("batch_id") != F.lit(int(batch_id)))
     # Read by the three writes below.
-    labelled = materialize(ingest_outcomes(entries, order_col=["_new", "feed_pos", "_row"],
-                                           ledger=ledger.select("article_id")), "labelled")
+    labelled = materialize(ingest_outcomes(entries, order_col=["_new", "feed_pos", "_row"], ledger=ledger), "labelled")
     facts = labelled.drop("_new", "_row").withColumn("run_batch", F.lit(int(batch_id)))
     if outcomes_path is not None:
         sinks.write_outcomes(facts, outcomes_path, batch_id)
@@ -86,6 +88,18 @@ def handle_batch(batch: DataFrame, batch_id: int, ledger_path: str,
     sinks.append_ledger(rows, ledger_path, batch_id)
 
 
+def bounded_dedup(feed: DataFrame, time_col: str, delay: str, key: str = "article_id") -> DataFrame:
+    """STR-02 with bounded state, for feeds whose copies come close together.
+
+    A streaming feed without the copies of a key that arrive while it is remembered: the
+    state store holds a key until the watermark (the greatest ``time_col`` seen, less
+    ``delay``) reaches the key's own time plus ``delay``; a copy after that passes again,
+    and a row older than the watermark is dropped as late.  Among copies of one batch an
+    arbitrary one passes.  A null key is a key like any other; rows without a time never
+    advance the watermark."""
+    return feed.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([key])
+
+
 def start_feed_stream(feed: DataFrame, checkpoint: str, ledger_path: str,
                       retry_path: str | None = None, outcomes_path: str | None = None,
                       decide: Callable[[DataFrame], DataFrame] | None = None,
@@ -117,17 +131,22 @@ def start_prepare_stream(feed: DataFrame, pages: DataFrame, checkpoint: str, out
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = read_ledger(spark, ledger_path).select("article_id")
+        batch = numbered(batch).drop("_row")
+        seen = ledger_of(spark, ledger_path, batch)
         waiting = _read_or_empty(spark, f"{out_dir}/articles", "article_id string, batch_id long").where(
             F.col("batch_id") < int(batch_id)).select("article_id")
         if outcomes_path is not None:
             failed = _read_or_empty(spark, outcomes_path, "article_id string, outcome string").where(
                 "outcome = 'failed'").select("article_id")
             waiting = waiting.join(failed, "article_id", "left_anti")
-        prep = jobs.prepare(numbered(batch).drop("_row"), pages, seen.unionByName(waiting),
+        prep = jobs.prepare(batch, pages, seen.unionByName(waiting),
                             excluded_authors=excluded_authors, max_articles=max_articles)
         jobs.save_prepared(prep, out_dir, batch_id)
 
-    w = (feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run))
+    def scratched(batch: DataFrame, batch_id: int) -> None:
+        with scratch_tables(batch.sparkSession):
+            run(batch, batch_id)
+
+    w = feed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(scratched)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "15 minutes")
     return w.start()

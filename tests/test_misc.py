@@ -3,6 +3,8 @@ import os
 import re
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from gleaner.functions.timefmt import parse_feed_date
@@ -37,11 +39,30 @@ def test_prompt_variants(spark):
     assert "Draft as JSON" in pr and "Key data points" not in pr
 
 
-def test_run_id_and_failed_row(spark):
+def test_run_id():
     rid = jobs.run_id("feed", 0, dt.datetime(2026, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc))
     assert re.fullmatch(r"run_20260102T030405Z_[0-9a-f]{8}", rid)
-    row = jobs.failed_run_row(spark, rid, 3, 1, 1).first()
-    assert (row.status, row.articles_failed) == ("failed", 2)
+
+
+def test_every_run_leaves_its_row(spark):
+    """Counters come from the writes; a run that dies keeps what it had counted."""
+    base = tempfile.mkdtemp(prefix="gleaner-runs-")
+    cols = ["articles_found", "articles_processed", "articles_failed", "skipped_duplicate", "skipped_excluded", "status"]
+    row = lambda n: tuple(spark.read.parquet(f"{base}/runs/batch_id={n}").select(*cols).first())
+    entries = spark.range(5).select(F.col("id").cast("string").alias("article_id"))
+    with jobs.accounted_run(spark, "r0", base, 0) as run:
+        run.save_prepared(jobs.Prepared(entries=entries, articles=entries))
+    assert row(0) == (5, 0, 0, 0, 0, "completed")
+    with pytest.raises(ZeroDivisionError):
+        with jobs.accounted_run(spark, "r1", base, 1) as run:
+            run.save_prepared(jobs.Prepared(entries=entries, articles=entries))
+            1 / 0
+    assert row(1) == (5, 0, 1, 0, 0, "failed")
+    with pytest.raises(Exception, match="in a task"):
+        with jobs.accounted_run(spark, "r2", base, 2) as run:
+            bad = entries.withColumn("x", F.raise_error(F.lit("in a task")).cast("string"))
+            run.save_prepared(jobs.Prepared(entries=bad, articles=entries))
+    assert row(2) == (0, 0, 1, 0, 0, "failed")
 
 
 def test_xml_feed_as_stream(spark):
