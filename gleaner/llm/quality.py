@@ -63,7 +63,8 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
     return (both[keep] >> U64(64 - bits)).astype(np.int32), 2 * n - (n > 0)
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epochs: int = EPOCHS,
+          l1: float = L1) -> np.ndarray:
     """Weights (the bias last) from (features, shares, label) rows, in order."""
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
@@ -73,12 +74,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int = BITS, epoc
             at = np.append(at, size - 1)
             x = np.append(share * SCALE, 1.0)
             zi, ni = z[at], n[at]
-            wi = np.where(np.abs(zi) <= L1, 0.0, (np.sign(zi) * L1 - zi) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
+            wi = np.where(np.abs(zi) <= l1, 0.0, (np.sign(zi) * l1 - zi) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
             g = (1 / (1 + np.exp(-np.clip(wi @ x, -35, 35))) - label) * x
             z[at] = zi + g - (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA * wi
             n[at] = ni + g * g
-    live = np.abs(z) > L1
-    w[live] = (np.sign(z[live]) * L1 - z[live]) / ((BETA + np.sqrt(n[live])) / ALPHA + L2)
+    live = np.abs(z) > l1
+    w[live] = (np.sign(z[live]) * l1 - z[live]) / ((BETA + np.sqrt(n[live])) / ALPHA + L2)
     return w
 
 
@@ -86,9 +87,11 @@ def checksum_part(id_col: str = "doc_id", parts: int = 5) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(parts))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "quality", max_train: int = MAX_TRAIN, bits: int = BITS) -> np.ndarray:
-    """Weights learnt from the labelled rows outside the held-out part."""
+def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           label_col: str = "quality", max_train: int = MAX_TRAIN, bits: int = BITS) -> DataFrame:
+    """``(place, id, label, features, shares)`` of at most ``max_train`` labelled texts outside
+    the held-out part, in order: those with the smallest hashes of their ids.  Neither
+    repeated rows nor long texts (2**bits features at most) widen it."""
     small_batches(docs.sparkSession)
     chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (checksum_part(id_col) != 0))
               .select(F.col(id_col).alias("_q_id"), F.col(label_col).cast("int").alias("label"),
@@ -110,10 +113,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                  pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())],
                 names=["place", "id", "label", "features", "shares"])
 
-    got = texts.mapInArrow(run, "place long, id long, label int, features binary, shares binary").collect()
-    got.sort(key=lambda r: (r["place"], r["id"], r["label"], bytes(r["features"])))
+    return texts.mapInArrow(run, "place long, id long, label int, features binary, shares binary").orderBy(
+        "place", "id", "label", "features").limit(max_train)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "quality", max_train: int = MAX_TRAIN, bits: int = BITS) -> np.ndarray:
+    """Weights learnt from the labelled rows outside the held-out part (``sample``)."""
+    got = sample(docs, labels, id_col, text_col, label_col, max_train, bits).collect()
     return train([(np.frombuffer(r["features"], "<i4"), np.frombuffer(r["shares"], "<f4").astype(float), r["label"])
-                  for r in got[:max_train]], bits)
+                  for r in got], bits)
 
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", keep_text: bool = False,
@@ -130,9 +139,12 @@ def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", keep_tex
         w = shared.value
         for b in batches:
             feat, n = features(*utf8(b.column("_q_text")), bits)
-            total = np.concatenate([[0.0], np.cumsum(w[feat])])
-            at = starts_of(n)
-            dot = (total[at[1:]] - total[at[:-1]]) / np.maximum(n, 1) * SCALE + w[-1]
+            # Each text's own sum, in the order of its own features: what stands before it in the
+            # batch does not enter.
+            dot, some = np.zeros(len(n)), np.flatnonzero(n)
+            for i, x in zip(some.tolist(), np.split(w[feat], starts_of(n[some])[1:-1]) if len(some) else []):
+                dot[i] = x.sum()
+            dot = dot / np.maximum(n, 1) * SCALE + w[-1]
             yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields),
                                               pa.array(1 / (1 + np.exp(-np.clip(dot, -35, 35))))], names=schema.names)
 
