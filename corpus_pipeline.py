@@ -4,6 +4,19 @@ Each stage takes (spark, docs, sf_dir), works on every document its predecessor
 kept and returns a DataFrame; ``run`` writes each result as Parquet in the shared
 folder and reads it back.  All stages but the last return the columns of
 ``documents``.
+
+The operators see the columns that they read and nothing else: every other column of
+``docs``, whatever its name, travels under a name of the pipeline's own and comes back
+as it was, so a column called ``score`` or ``kept`` is neither read nor replaced.  The
+last stage returns the placed pieces of each document: ``doc_id`` and the columns of
+``op8_best_fit_packing``.
+
+Defined cases, in every stage: an empty table gives an empty table with the same columns.
+A null text is an empty one; such documents score the classifier's bias, are one
+SimHash group (fingerprint zero, of which one stays), have nothing to cut and no
+words to be found in a benchmark, and become the end id alone.  A null id counts as
+larger than all others.  Rows that repeat, whole or by id, are rows of their own until
+SimHash near-dedup keeps one of them.  Very long texts are worked on whole.
 """
 
 from __future__ import annotations
@@ -16,27 +29,44 @@ from gleaner.llm import decontam, packing, quality, simhash, suffixes
 from gleaner.llm.common import table, written
 
 
+def _apart(docs: DataFrame, *read: str) -> DataFrame:
+    """``docs`` with the columns that a stage does not read under names of their own."""
+    return docs.withColumnsRenamed({c: f"_doc_{i}" for i, c in enumerate(docs.columns) if c not in read})
+
+
+def _back(out: DataFrame, docs: DataFrame, *read: str) -> DataFrame:
+    """The columns of ``docs`` again, under their names and in their order."""
+    return out.select(*[F.col(c if c in read else f"_doc_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least THRESHOLD stay."""
-    weights = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights, keep_text=True).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    read, weights = ("doc_id", "text"), quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(_apart(docs, *read), weights, keep_text=True)
+    return _back(scored.where(F.col("score") >= quality.THRESHOLD), docs, *read)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group within 3 bits of 3-word-shingle fingerprints stays."""
-    return simhash.one_of_each(docs, shingle=3, k=3)
+    read = ("doc_id", "text")
+    return _back(simhash.one_of_each(_apart(docs, *read), shingle=3, k=3), docs, *read)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes in 50-byte strings of a document with a smaller id go (characters as a whole)."""
-    return suffixes.remove_repeats(docs, whole_chars=True).withColumn(
-        "n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Bytes in 50-byte strings of a document with a smaller id go (characters as a whole);
+    ``n_chars``, if there is one, is that of what is left."""
+    read = ("doc_id", "text")
+    out = _back(suffixes.remove_repeats(_apart(docs, *read), whole_chars=True), docs, *read)
+    if "n_chars" not in docs.columns:
+        return out
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold 10 consecutive words of a benchmark item go."""
-    return decontam.contamination(docs, table(spark, sf_dir, "benchmark"), keep_text=True).where(
-        ~F.col("contaminated")).select(*docs.columns)
+    read = ("doc_id", "text")
+    found = decontam.contamination(_apart(docs, *read), table(spark, sf_dir, "benchmark"), keep_text=True)
+    return _back(found.where(~F.col("contaminated")), docs, *read)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
