@@ -16,9 +16,11 @@ pieces of its length; ranks are counted in salted sub-groups with running
 totals, so a length that a third of all pieces share is not ranked in one task.
 
 Ids are put together from white-space units: the tokenizer drops white space and
-never merges across it, so a text's ids are those of its units in turn.  Units
-repeat and are remembered; new words of plain letters go through the file's merge
-rules many at a time, all other new units through the tokenizer itself.
+never merges across it, so a text's ids are those of its units in turn.  The texts of
+a few batches are split and their units numbered at once; distinct units are looked
+up in a memory of ids, and the ids of all units are gathered from it.  New words of
+plain letters go through the file's merge rules many at a time, all other new units
+through the tokenizer itself.
 
 Defined cases: null text is empty and becomes the end id alone; null document
 ids are packed like others; repeated rows are separate documents; an empty table
@@ -37,13 +39,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from gleaner.llm.arrays import ranges, runs_of, starts_of, utf8
 from gleaner.llm.common import partitions, small_batches, written
 
 CAPACITY = 4096
 END_ID = 1
-#: Units remembered by a worker; beyond it the memory starts anew.
-MEMORY = 100_000
-#: ASCII marks that the tokenizer's pattern always parts from a preceding letter.
+#: Units remembered by a worker; beyond it only those of the texts at hand are kept.
+MEMORY = 400_000
+#: Bytes of text that a task works on at once.
+CHUNK = 4 << 20
+#: ASCII marks that the tokenizer's pattern always parts from a letter before them.
 MARKS = ".,!?;:*%$&#|()\"-"
 
 
@@ -69,15 +74,16 @@ class Merges:
         self.inner = np.array([vocab.get(c, -1) for c in chars], np.int64)
         self.final = np.array([vocab.get(c + self.suffix, -1) for c in chars], np.int64)
 
-    def words(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words (lower-cased UTF-8, not empty) as little-endian 32-bit."""
-        out: list[bytes] = [b""] * len(words)
+    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all words, where each word's begin, how many it has); words are
+        lower-cased UTF-8, not empty."""
         size = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), np.uint8)
         ends = np.cumsum(size) - 1
         sym = self.inner[data]
         sym[ends] = self.final[data[ends]]
         who = np.arange(len(words))
+        ids, start_of, size_of, at_end = [np.zeros(0, np.uint32)], np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), 0
         while len(who):
             start = np.cumsum(size) - size
             pair = np.empty(len(sym), np.int64)
@@ -88,60 +94,117 @@ class Merges:
             rank[start + size - 1] = self.NONE
             best = np.minimum.reduceat(rank, start)
             done = best == self.NONE
-            if done.any():
-                flat = sym.astype("<u4").tobytes()
-                for w, a, n in zip(who[done].tolist(), (4 * start[done]).tolist(), (4 * size[done]).tolist()):
-                    out[w] = flat[a:a + n]
             where = best[~done] & np.int64(0xFFFFFFFF)
             sym[where] = self.into[at[where]]
             keep = np.repeat(~done, size)
+            if done.any():
+                ids.append(sym[~keep].astype(np.uint32))
+                size_of[who[done]] = size[done]
+                start_of[who[done]] = at_end + np.cumsum(size[done]) - size[done]
+                at_end += len(ids[-1])
             keep[where + 1] = False
             sym, who, size = sym[keep], who[~done], size[~done] - 1
-        return out
+        return np.concatenate(ids), start_of, size_of
 
 
-class Units(dict):
-    """Little-endian 32-bit ids of white-space units, remembered."""
+class Units:
+    """Ids of white-space units, remembered by their parts: one array of ids, and where in
+    it the ids of each part stand."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer, self.merges = Tokenizer.from_file(path), Merges(path)
-        self[""] = b""
-
-    def learn(self, units: set[str]) -> None:
-        """Remember units that are new.  Words of ASCII or Latin-1 letters, and the
-        words of units that end in MARKS, are one word of the pattern each."""
-        new = units.difference(self)
-        if not new:
-            return
-        if len(self) + len(new) > MEMORY:
-            self.clear()
-            self[""] = b""
-            new = units
-        plain, split, odd = {}, [], set()
-        for u in new:
-            head = u.rstrip(MARKS)
-            if head.isalpha() and (head.isascii() or max(head) < "\u0100"):
-                if len(head) < len(u):
-                    split.append((u, head))
-                    odd.add(u[len(head):])
-                if head not in self:
-                    plain[head] = head.lower().encode()
-            else:
-                odd.add(u)
-        if plain:
-            self.update(zip(plain, self.merges.words(list(plain.values()))))
-        for u in odd.difference(self):
-            self[u] = np.asarray(self.tokenizer.encode(u, add_special_tokens=False).ids, "<u4").tobytes()
-        for u, head in split:
-            self[u] = self[head] + self[u[len(head):]]
-
-    def all_ids(self, texts: list[str]) -> list[bytes]:
-        lists = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*lists))
-        return [b"".join(map(self.__getitem__, x)) for x in lists]
+        self._start_anew()
+
+    def _start_anew(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _remember(self, words: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
+        """Parts with their ids one after another."""
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
+
+    def _by_tokenizer(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def learn(self, parts: list[bytes]) -> None:
+        """Remember new parts: lower-cased words of ASCII or Latin-1 letters are one word of
+        the tokenizer's pattern each."""
+        plain = np.fromiter((p.isalpha() or _letters(p) for p in parts), bool, len(parts))
+        size = np.zeros(len(parts), np.int64)
+        start, ids = np.zeros(len(parts), np.int64), np.zeros(0, np.uint32)
+        words = [parts[i] for i in np.flatnonzero(plain).tolist()]
+        if words:
+            ids, start[plain], size[plain] = self.merges.words(words)
+        odd = [self._by_tokenizer(parts[i].decode()) for i in np.flatnonzero(~plain).tolist()]
+        size[~plain] = [len(x) for x in odd]
+        start[~plain] = len(ids) + np.cumsum(size[~plain]) - size[~plain]
+        pool = np.concatenate([ids, *odd])
+        self._remember(parts, pool[ranges(start, size)], size)
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of distinct parts, learnt if need be."""
+        at = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            if len(self.known) + len(new) > MEMORY:
+                old = np.flatnonzero(at >= 0)
+                kept = self.ids[ranges(self.start[at[old]], self.size[at[old]])], self.size[at[old]]
+                self._start_anew()
+                self._remember([words[i] for i in old.tolist()], *kept)
+                at[old] = np.arange(len(old))
+            begin = len(self.known)
+            self.learn([words[i] for i in new.tolist()])
+            at[new] = np.arange(begin, begin + len(new))
+        return at
+
+    def all_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in turn, where each text's begin); a null text has none.
+
+        A unit of Latin-1 letters with MARKS behind them is two parts, letters (lower-cased)
+        and marks; any other unit is one part."""
+        data, off = utf8(texts)
+        inside = (data != 0x20) & (data != 0x0A)
+        start, end = runs_of(inside, off)
+        # Letters: ASCII, or 0xC3 and the byte behind it.
+        wide = np.zeros(len(data), bool)
+        wide[1:] = (data[:-1] == 0xC3) & _LATIN[data[1:]]
+        letter = _ASCII[data] | wide
+        letter[:-1] |= wide[1:]
+        strange = np.zeros(len(data) + 1, np.int32)
+        np.cumsum(~letter, out=strange[1:])
+        behind = np.maximum.accumulate(np.where(_MARK[data], np.int32(-1), np.arange(len(data), dtype=np.int32)))
+        head = np.maximum(behind[end - 1] + 1, start) if len(start) else end
+        plain = (head > start) & (strange[head] == strange[start])
+        lower = np.where(wide, _LATIN_LOWER[data], _ASCII_LOWER[data])
+        data = np.where(np.repeat(plain, end - start), lower[inside], data[inside])
+        # Parts in turn: the units' bytes with one more cut before the marks.
+        two = plain & (head < end)
+        n = np.stack([np.where(plain, head, end) - start, np.where(two, end - head, 0)], axis=1)
+        n = n.ravel()[np.stack([np.ones(len(two), bool), two], axis=1).ravel()]
+        parts = pa.Array.from_buffers(pa.large_binary(), len(n), [
+            None, pa.py_buffer(starts_of(n)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        at = self.places(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
+        upto, of_unit = starts_of(self.size[at]), np.concatenate([[0], np.cumsum(1 + two)])
+        return self.ids[ranges(self.start[at], self.size[at])], upto[of_unit[np.searchsorted(start, off)]]
+
+
+_BYTE = np.arange(256, dtype=np.uint8)
+_ASCII = ((_BYTE | 32) >= 0x61) & ((_BYTE | 32) <= 0x7A) & (_BYTE < 0x80)
+_MARK = np.isin(_BYTE, np.frombuffer(MARKS.encode(), np.uint8))
+#: Second bytes of the Latin-1 letters behind 0xC3, and their small forms.
+_LATIN = (_BYTE >= 0x80) & (_BYTE <= 0xBF) & (_BYTE != 0x97) & (_BYTE != 0xB7)
+_ASCII_LOWER = np.where((_BYTE >= 0x41) & (_BYTE <= 0x5A), _BYTE + 32, _BYTE).astype(np.uint8)
+_LATIN_LOWER = np.where((_BYTE >= 0x80) & (_BYTE <= 0x9E) & _LATIN, _BYTE + 32, _BYTE).astype(np.uint8)
+
+
+def _letters(part: bytes) -> bool:
+    """Latin-1 letters only."""
+    text = part.decode()
+    return text.isalpha() and max(text) < "\u0100" and text == text.lower()
 
 
 _UNITS: dict[str, Units] = {}
@@ -168,27 +231,38 @@ def token_pieces(docs: DataFrame, tokenizer: str, text_col: str = "text", capaci
     fields = [f for f in docs.schema.fields if f.name not in drop]
     src = docs.select(*[f.name for f in fields], F.col(text_col).cast("string").alias("_pk_text"))
     schema = T.StructType(fields + new)
-    end = np.asarray([end_id], "<u4").tobytes()
+
+    def chunks(batches):
+        held, size = [], 0
+        for b in batches:
+            held.append(b)
+            size += b.column("_pk_text").nbytes
+            if size >= CHUNK:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks()
 
     def run(batches):
         known = units(tokenizer)
-        for b in batches:
-            row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, buf in enumerate(known.all_ids([t or "" for t in b.column("_pk_text").to_pylist()])):
-                buf += end
-                for k, at in enumerate(range(0, len(buf), 4 * capacity)):
-                    part = buf[at:at + 4 * capacity]
-                    row.append(i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    if with_ids:
-                        ids.append(part)
-            at = pa.array(row, pa.int64())
+        for t in chunks(batches):
+            if not t.num_rows:
+                continue
+            ids, begin = known.all_ids(t.column("_pk_text"))
+            length = np.diff(begin) + 1  # with the end id
+            whole = np.insert(ids, begin[1:], np.uint32(end_id)).astype("<u4", copy=False)
+            pieces = -(-length // capacity)
+            row = np.repeat(np.arange(t.num_rows), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            size = np.minimum(capacity, length[row] - start)
+            at = (np.cumsum(length) - length)[row] + start
+            cut = list(zip(at.tolist(), (at + size).tolist()))
+            taken = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(f.name).take(at) for f in fields), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), *([pa.array(ids, pa.binary())] if with_ids else [])],
+                [*(t.column(f.name).combine_chunks().take(taken) for f in fields), pa.array(piece.astype(np.int32)),
+                 pa.array(start), pa.array(size), pa.array([zlib.crc32(whole[a:b]) for a, b in cut], pa.int64()),
+                 *([pa.array([whole[a:b].tobytes() for a, b in cut], pa.binary())] if with_ids else [])],
                 names=schema.names)
 
     return src.mapInArrow(run, schema)
