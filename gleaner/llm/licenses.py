@@ -105,8 +105,6 @@ PLAIN = frozenset("0 1 2 3 4 a above all an and any anyone are as at available b
 WEAK = frozenset(("by", "do", "mit", "this", "under"))
 #: A sentence may be wrapped over this many lines; a paragraph is compared as a whole as well.
 WRAPPED = 4
-#: The lines that the reference sentences are compared with in the SQL oracle.
-MARKS = ("licen", "public domain", "cc0")
 LINE_SCORE = 0.7
 FILE_SCORE = 0.35
 FILE_NAME = r"(?i)^((un)?licen[cs]e|copying|notice)([._-].*)?$"
@@ -131,14 +129,6 @@ def template_vectors(templates=TEMPLATES) -> tuple[list[str], dict[str, list[flo
     return names, {t: [r.get(t, 0.0) for r in rows] for t in df}, idf, math.log(1 + len(docs)) + 1
 
 
-def has_mark(text: Column) -> Column:
-    low = F.lower(text)
-    out = F.lit(False)
-    for m in MARKS:
-        out = out | low.contains(m)
-    return out
-
-
 def mark_terms(templates=TEMPLATES, least: float = LINE_SCORE) -> list[str]:
     """Terms of which a text must hold one to come to ``least`` with any template:
     the long terms of each (plain words last), until the others weigh too little by themselves
@@ -155,11 +145,15 @@ def mark_terms(templates=TEMPLATES, least: float = LINE_SCORE) -> list[str]:
     return sorted(out)
 
 
+def notice_terms() -> list[str]:
+    """The terms of which a unit must hold one to be compared."""
+    return sorted((set(mark_terms(TEMPLATES)) | set(mark_terms(NOTICES))) - WEAK)
+
+
 def may_be_notice(text: Column) -> Column:
     """Whether a text holds a term of ``mark_terms`` that says something by itself:
     what shares only WEAK terms with the templates is not compared."""
-    terms = sorted((set(mark_terms(TEMPLATES)) | set(mark_terms(NOTICES))) - WEAK)
-    return F.lower(text).rlike("(?<![a-z0-9])(?:" + "|".join(terms) + ")(?![a-z0-9])")
+    return F.lower(text).rlike("(?<![a-z0-9])(?:" + "|".join(notice_terms()) + ")(?![a-z0-9])")
 
 
 def closest(text: Column, templates=TEMPLATES) -> Column:

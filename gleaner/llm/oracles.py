@@ -7,7 +7,7 @@ learnt weights) are held against brute force in the tests.
 
 from __future__ import annotations
 
-from gleaner.llm.licenses import FILE_SCORE, LINE_SCORE, TEMPLATES
+from gleaner.llm.licenses import ALL_RIGHTS, FILE_SCORE, LINE_SCORE, NOTICES, RESERVED, SPDX, TEMPLATES, WRAPPED, notice_terms
 
 _LOWER = "translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -149,35 +149,63 @@ def minhash_near_dedup() -> str:
 
 
 def license_scan() -> str:
-    templates = ", ".join(f"({_q(n)}, {_q(t)})" for n, t in TEMPLATES)
-    terms = "regexp_extract_all(lower({x}), '[a-z0-9]+')"
-    mark = "(contains(lower({x}), 'licen') OR contains(lower({x}), 'public domain') OR contains(lower({x}), 'cc0'))"
+    """Every line, run of lines and paragraph with a notice term, and every whole text, is
+    compared with every template."""
+    def vectors(k: int, templates) -> str:
+        rows = ", ".join(f"({i}, {_q(n)}, {_q(t)})" for i, (n, t) in enumerate(templates))
+        return f"""
+    tf{k} AS (SELECT i, name, term, count(*) AS n FROM (
+        SELECT i, name, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM (VALUES {rows}) v(i, name, body)) GROUP BY ALL),
+    idf{k} AS (SELECT term, ln((1.0 + {len(templates)}) / (1 + count(*))) + 1 AS idf FROM tf{k} GROUP BY term),
+    tw{k} AS (SELECT i, name, term, (1 + ln(n)) * idf AS w FROM tf{k} JOIN idf{k} USING (term)),
+    tv{k} AS (SELECT i, name, term, w / sqrt(sum(w * w) OVER (PARTITION BY i)) AS w FROM tw{k})"""
+
+    def best(k: int, templates, units: str, name: str) -> str:
+        """(r, u, name, score): the first best template of each unit."""
+        unknown = f"(ln(1.0 + {len(templates)}) + 1)"
+        return f"""
+    {name}w AS (SELECT c.r, c.u, c.term, idf.term IS NOT NULL AS known,
+                       CASE WHEN idf.term IS NULL THEN {unknown} ELSE (1 + ln(c.n)) * idf.idf END AS w
+                FROM ({units}) c LEFT JOIN idf{k} idf USING (term)),
+    {name}n AS (SELECT r, u, sqrt(sum(w * w)) AS norm FROM {name}w GROUP BY r, u),
+    {name}s AS (SELECT x.r, x.u, t.i, t.name, round(sum(x.w * t.w) / any_value(n.norm), 6) AS score
+                FROM {name}w x JOIN tv{k} t USING (term) JOIN {name}n n ON n.r = x.r AND n.u = x.u WHERE x.known GROUP BY ALL),
+    {name} AS (SELECT r, u, arg_min(name, (-score, i)) AS name, max(score) AS score FROM {name}s GROUP BY r, u)"""
+
+    sets = (TEMPLATES, NOTICES)
+    unit, whole = "SELECT r, u, term, n FROM counts WHERE u >= 0", "SELECT r, u, term, n FROM counts WHERE u = -1"
+    terms = ", ".join(_q(t) for t in notice_terms())
+    single = "regexp_replace(x, '(?i)(-only|-or-later|[+])$', '')"
     return f"""
-    WITH tpl AS (SELECT name, {terms.format(x='body')} AS terms FROM (VALUES {templates}) v(name, body)),
-    tf AS (SELECT name, term, count(*) AS n FROM (SELECT name, unnest(terms) AS term FROM tpl) GROUP BY ALL),
-    idf AS (SELECT term, ln((1.0 + {len(TEMPLATES)}) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY term),
-    tw AS (SELECT name, term, (1 + ln(n)) * idf AS w FROM tf JOIN idf USING (term)),
-    tn AS (SELECT name, sqrt(sum(w * w)) AS norm FROM tw GROUP BY name),
+    WITH {",".join(vectors(k, t) for k, t in enumerate(sets))},
     f AS (SELECT row_number() OVER () AS r, doc_id, concat_ws('/', coalesce(source, ''), coalesce(lang, ''), doc_id % 50, doc_id || '.txt') AS path,
                  text FROM documents),
-    marked AS (SELECT * FROM f WHERE {mark.format(x='text')}),
-    units AS (
-      SELECT r, -1 AS line, text AS t FROM marked UNION ALL
-      SELECT r, line, t FROM (SELECT r, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM marked)
-      WHERE {mark.format(x='t')}
-    ),
-    ut AS (SELECT r, line, term, count(*) AS n FROM (SELECT r, line, unnest({terms.format(x='t')}) AS term FROM units) GROUP BY ALL),
-    uw AS (SELECT ut.*, idf.term IS NOT NULL AS known,
-                  CASE WHEN idf.term IS NULL THEN ln(1.0 + {len(TEMPLATES)}) + 1 ELSE (1 + ln(n)) * idf.idf END AS w
-           FROM ut LEFT JOIN idf USING (term)),
-    un AS (SELECT r, line, sqrt(sum(w * w)) AS norm FROM uw GROUP BY r, line),
-    cosine AS (SELECT uw.r, uw.line, tw.name, round(sum(uw.w * tw.w / tn.norm) / any_value(un.norm), 6) AS score
-               FROM uw JOIN tw USING (term) JOIN tn USING (name) JOIN un ON un.r = uw.r AND un.line = uw.line
-               GROUP BY uw.r, uw.line, tw.name),
-    own AS (SELECT r, arg_min(name, (-score, name)) AS name, max(score) AS score FROM cosine WHERE line > 0 GROUP BY r HAVING max(score) >= {LINE_SCORE}),
-    papers AS (SELECT regexp_extract(f.path, '^(.*)/[^/]*$', 1) AS dir, f.path, own.name, own.score
-               FROM own JOIN f USING (r) JOIN (SELECT r, max(score) AS whole FROM cosine WHERE line = -1 GROUP BY r) USING (r)
-               WHERE whole >= {FILE_SCORE} OR regexp_matches(regexp_extract(f.path, '([^/]*)$', 1), '(?i)^((un)?licen[cs]e|copying|notice)([._-].*)?$')),
+    line AS (SELECT r, unnest(ls) AS t, generate_subscripts(ls, 1) AS pos FROM (SELECT r, string_split(lower(text), chr(10)) AS ls FROM f)),
+    words AS (SELECT r, pos, regexp_extract_all(t, '[a-z0-9]+') AS ws FROM line),
+    runs AS (SELECT r, pos, w, list_sort(flatten(list(ws) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)[1:w])) AS ws,
+                    max(pos) OVER (PARTITION BY r) AS last FROM words, range(1, {WRAPPED} + 1) t(w)),
+    paras AS (SELECT r, list_sort(flatten(list(ws))) AS ws FROM (
+                SELECT *, count_if(len(ws) = 0) OVER (PARTITION BY r ORDER BY pos) AS p FROM words) GROUP BY r, p),
+    units AS (SELECT r, row_number() OVER () AS u, ws FROM (
+                SELECT DISTINCT r, ws FROM (SELECT r, ws FROM runs WHERE pos + w - 1 <= last UNION ALL SELECT r, ws FROM paras))
+              WHERE list_has_any(ws, [{terms}])
+              UNION ALL SELECT r, -1, flatten(list(ws)) FROM words GROUP BY r),
+    counts AS (SELECT r, u, term, count(*) AS n FROM (SELECT r, u, unnest(ws) AS term FROM units) GROUP BY ALL),
+    {",".join(best(k, t, unit, f"b{k}") for k, t in enumerate(sets))},
+    {best(0, TEMPLATES, whole, "entire")},
+    found AS (SELECT r, name, score FROM b0 UNION ALL SELECT r, name, score FROM b1
+              UNION ALL SELECT r, CASE WHEN contains(x, ' ') THEN x ELSE {single} END, 1.0
+              FROM (SELECT r, unnest(regexp_extract_all(text, {_q(SPDX)}, 1)) AS x FROM f)),
+    top AS (SELECT r, arg_min(name, (-score, name)) AS name, max(score) AS score FROM found GROUP BY r),
+    own AS (SELECT r, CASE WHEN coalesce(top.score, 0) >= {LINE_SCORE} THEN CASE WHEN top.name = 'BSD-2-Clause'
+                           AND regexp_matches(text, '(?i)\\bendorse\\s+or[\\s*#/]+promote\\b') THEN 'BSD-3-Clause' ELSE top.name END
+                           WHEN regexp_matches(text, {_q(RESERVED)}) THEN {_q(ALL_RIGHTS)} END AS name,
+                   CASE WHEN coalesce(top.score, 0) >= {LINE_SCORE} THEN top.score WHEN regexp_matches(text, {_q(RESERVED)}) THEN 1.0 END AS score,
+                   coalesce(entire.score >= {FILE_SCORE}, false) AS paper
+            FROM f LEFT JOIN top USING (r) LEFT JOIN entire USING (r)),
+    papers AS (SELECT regexp_extract(f.path, '^(.*)/[^/]*$', 1) AS dir, f.path, own.name, own.score FROM own JOIN f USING (r)
+               WHERE own.name IS NOT NULL AND (paper OR regexp_matches(regexp_extract(f.path, '([^/]*)$', 1),
+                                                                       '(?i)^((un)?licen[cs]e|copying|notice)([._-].*)?$'))),
     said AS (SELECT dir AS up, arg_min(name, (-score, path)) AS name, max(score) AS score, arg_min(path, (-score, path)) AS path FROM papers GROUP BY dir),
     ancestors AS (SELECT dir, d AS depth, array_to_string(string_split(dir, '/')[1:d], '/') AS up
                   FROM (SELECT dir, unnest(range(1, len(string_split(dir, '/')) + 1)) AS d
