@@ -56,46 +56,60 @@ def author_excluded(c: ColumnOrName, names: Iterable[str | None]) -> Column:
     return F.when(col.isNull() | (col == ""), F.lit(False)).otherwise(F.coalesce(out, F.lit(False)))
 
 
-def _name_candidates(author_norm: Column, max_len: Column) -> Column:
-    """All substrings of the author that start after a non ``[a-z]`` char (or
-    at the start), end before one (or at the end), and are no longer than
-    the longest excluded name: exactly the strings the boundary regex could
-    match."""
-    n = F.length(author_norm)
-    idx = F.sequence(F.lit(1), n)
-    is_sep = lambda i: ~F.substring(author_norm, i, 1).rlike("[a-z]")
-    starts = F.filter(idx, lambda i: (i == 1) | is_sep(i - 1))
-    ends = F.filter(idx, lambda i: (i == n) | is_sep(i + 1))
-    return F.flatten(F.transform(starts, lambda s: F.transform(
-        F.filter(ends, lambda e: (e >= s) & (e - s + 1 <= max_len)),
-        lambda e: F.substring(author_norm, s, e - s + 1))))
+def _first_word(text: Column) -> Column:
+    """The letters that a text begins with, or its first character."""
+    return F.regexp_extract(text, "(?s)^(?:[a-z]+|.)", 0)
+
+
+def _places(author: Column) -> Column:
+    """Where a name may begin in a normalized author (at the start or after a non ``[a-z]``
+    character), as (at, word): two texts that agree from there on share that first word."""
+    is_letter = lambda i: F.substring(author, i, 1).rlike("[a-z]")
+    starts = F.filter(F.sequence(F.lit(1), F.length(author)), lambda i: (i == 1) | ~is_letter(i - 1))
+    return F.transform(starts, lambda i: F.struct(
+        i.alias("at"), _first_word(F.substring(author, i, F.length(author))).alias("word")))
+
+
+def name_spans(authors: DataFrame, names: DataFrame) -> DataFrame:
+    """The spans of each ``_author`` that may be one of the names (``_cand``): those that begin
+    with a name's first word, have its length, and end before a non ``[a-z]`` character.
+
+    The names stand in an index of (first word, length); only places whose word is in it
+    are cut out, once for each length it has there."""
+    index = names.select(_first_word(F.col("_cand")).alias("word"), F.length("_cand").alias("n")).distinct()
+    places = authors.select("_author", F.explode(_places(F.col("_author"))).alias("p")).select("_author", "p.at", "p.word")
+    end = F.col("at") + F.col("n")
+    fits = (end == F.length("_author") + 1) | ~F.substring(F.col("_author"), end, F.lit(1)).rlike("[a-z]")
+    return places.join(index, "word").where((end <= F.length("_author") + 1) & fits).select(
+        "_author", F.substring(F.col("_author"), F.col("at"), F.col("n")).alias("_cand"))
+
+
+#: Names of a Python list that are tested as one Column rule; a longer list is joined.
+LISTED_NAMES = 100
 
 
 def screen_authors(df: DataFrame, author_col: str, names: DataFrame | Iterable[str],
                    name_col: str = "name", out: str = "excluded") -> DataFrame:
     """JOIN-04: add ``out`` = author matches any excluded name.
 
-    ``names`` is a Python list or a DataFrame of names, of any size.  Every
-    author is expanded into the bounded set of boundary-aligned substrings (no
-    longer than the longest name) and equi-joined to the names: exact,
-    shuffle-based, and with no broadcast whose size would grow with the list."""
+    ``names`` is a Python list or a DataFrame of names, of any size.  A short list is a rule
+    on the row (``author_excluded``).  A table is matched by its index of first words: the
+    few spans of an author that can be a name are cut out and equi-joined to the names,
+    exact and without a broadcast whose size would grow with the table."""
     if not isinstance(names, DataFrame):
+        names = list(names)
+        if len(names) <= LISTED_NAMES:
+            return df.withColumn(out, author_excluded(author_col, names))
         names = df.sparkSession.createDataFrame([(n,) for n in names], f"{name_col} string")
-    names = names.select(normalize_author(name_col).alias(name_col)).where(F.col(name_col) != "")
-    names = names.select(F.col(name_col).alias("_cand")).distinct()
-    max_len = names.agg(F.max(F.length("_cand"))).first()[0]
-    if max_len is None:
-        return df.withColumn(out, F.lit(False))
+    names = names.select(normalize_author(name_col).alias("_cand")).where(F.col("_cand") != "").distinct()
     # Work on distinct normalized authors (bylines repeat), then join the
     # verdict back on that value: deterministic under task retries, and a
     # byline carried by a third of all rows is one row on the match side.
     authors = (df.select(normalize_author(author_col).alias("_author"))
                  .where(F.col("_author").isNotNull() & (F.col("_author") != ""))
                  .distinct())
-    cands = authors.select("_author", F.explode(F.array_distinct(
-        _name_candidates(F.col("_author"), F.lit(max_len)))).alias("_cand"))
-    hits = (cands.join(names, "_cand", "left_semi").select("_author").distinct()
-                 .withColumn(out, F.lit(True)))
+    hits = (name_spans(authors, names).join(names, "_cand", "left_semi").select("_author").distinct()
+            .withColumn(out, F.lit(True)))
     return (df.withColumn("_author", normalize_author(author_col))
               .join(hits, "_author", "left")
               .withColumn(out, F.coalesce(F.col(out), F.lit(False)))

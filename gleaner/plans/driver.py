@@ -160,21 +160,23 @@ def o_line_flags():
     FROM f GROUP BY lang"""
 
 
-def q_thread_gate(spark, sf_dir):
-    d = _docs(spark, sf_dir, "doc_id", "text")
-    a = article.assemble_articles(d, "text", cap=fixed.MAX_KEY_POINTS)
-    return a.select(
-        "doc_id",
-        F.size("extracted_insights").cast("bigint").alias("n_points"),
-        F.length("clean_text").cast("bigint").alias("n_chars"),
-        S.allow_thread(F.col("extracted_insights"), F.col("clean_text"), True,
-                       THREAD_MIN_POINTS, THREAD_MIN_CHARS).alias("allow_thread"))
+def _q_thread_gate(cap):
+    def q(spark, sf_dir):
+        d = _docs(spark, sf_dir, "doc_id", "text")
+        a = article.assemble_articles(d, "text", cap=cap)
+        return a.select(
+            "doc_id",
+            F.size("extracted_insights").cast("bigint").alias("n_points"),
+            F.length("clean_text").cast("bigint").alias("n_chars"),
+            S.allow_thread(F.col("extracted_insights"), F.col("clean_text"), True,
+                           THREAD_MIN_POINTS, THREAD_MIN_CHARS).alias("allow_thread"))
+    return q
 
 
-def o_thread_gate():
+def _o_thread_gate(cap):
     src = f"SELECT doc_id, {Q.clean_lines('text')} AS arr FROM documents"
-    return f"""
-    WITH {Q.key_point_rows(src, fixed.MAX_KEY_POINTS)},
+    return lambda: f"""
+    WITH {Q.key_point_rows(src, cap or 2**62)},
     np AS (SELECT doc_id, count(*) AS n FROM points GROUP BY doc_id),
     ct AS (SELECT doc_id, length(array_to_string(arr, chr(10))) AS n_chars FROM ({src}))
     SELECT ct.doc_id, CAST(coalesce(np.n, 0) AS BIGINT) AS n_points, CAST(n_chars AS BIGINT) AS n_chars,
@@ -1652,7 +1654,8 @@ _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[
     "batch_cap": (q_batch_cap, o_batch_cap),
     "ingest_outcomes": (q_ingest_outcomes, o_ingest_outcomes),
     "run_summary": (q_run_summary, o_run_summary),
-    "thread_gate": (q_thread_gate, o_thread_gate),
+    "thread_gate": (_q_thread_gate(fixed.MAX_KEY_POINTS), _o_thread_gate(fixed.MAX_KEY_POINTS)),
+    "thread_gate_all": (_q_thread_gate(None), _o_thread_gate(None)),
     "validate_packages": (_q_validate(fixed.MAX_POST_CHARS), _o_validate(fixed.MAX_POST_CHARS)),
     "validate_packages_1000": (_q_validate(1000), _o_validate(1000)),
     "promo_flag": (q_promo_flag, o_promo_flag),
@@ -1661,7 +1664,9 @@ _REGISTERED: dict[str, tuple[Callable[[SparkSession, str], DataFrame], Callable[
         "prompt_table": ("generate", *_CUT, fixed.PROMPT_POINTS_GENERATE),
         "prompt_table_full": ("generate", None, None, None),
         "fact_check_table": ("fact_check", None, fixed.PROMPT_TEXT_CHARS, fixed.PROMPT_POINTS_FACT_CHECK),
-        "promo_rewrite_table": ("promo_rewrite", *_CUT, None)}.items()},
+        "fact_check_table_full": ("fact_check", None, None, None),
+        "promo_rewrite_table": ("promo_rewrite", *_CUT, None),
+        "promo_rewrite_table_full": ("promo_rewrite", None, None, None)}.items()},
     "outbox_rows": (q_outbox_rows, o_outbox_rows),
     "publish_slots": (q_publish_slots, o_publish_slots),
     "queue_latest": (_q_queue_latest(fixed.MAX_QUEUE_PAGES), _o_queue_latest(fixed.MAX_QUEUE_PAGES)),

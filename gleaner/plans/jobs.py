@@ -294,17 +294,18 @@ def deliver(prepared: Prepared, responses: DataFrame, publish_mode: str = "draft
 
 def confirm(prepared: Prepared, delivered: Delivered, answers: DataFrame | None, run_id: str,
             now: Column | None = None, answer_col: str = "answer",
-            feed_cols: tuple[str, ...] = ("feed_file",)) -> Confirmed:
+            feed_cols: tuple[str, ...] = ("feed_file",), attempt_col: str | None = None) -> Confirmed:
     """Job 3.  ``answers`` holds ``article_id`` and the publishing service's
     answer (JSON text, null for a refused request) for every request that went
-    through; a request without one fails and stays out of the ledger, so the
+    through, the one of the last attempt (``attempt_col``, a number or time; without it the
+    greatest text); a request without one fails and stays out of the ledger, so the
     article is tried again.  ``answers=None`` is a dry run: nothing is sent,
     there are no drafts, and valid articles count as processed."""
     now = now if now is not None else F.lit(datetime.now(timezone.utc))
     spark = prepared.entries.sparkSession
     failures, drafts = delivered.failures, None
     if answers is not None:
-        one = answers.groupBy("article_id").agg(F.max(answer_col).alias("_answer"))
+        one = latest_response(answers, answer_col, attempt_col).withColumnRenamed(answer_col, "_answer")
         sent = materialize(delivered.outbox.join(one, "article_id", "left"), "sent")
         went = sent.where(F.col("_answer").isNotNull())
         failures = failures.unionByName(sent.where(F.col("_answer").isNull()).select(

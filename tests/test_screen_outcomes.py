@@ -48,6 +48,18 @@ def test_long_lists_take_the_same_path(spark):
     assert [r.excluded for r in got] == [True, False]
 
 
+def test_only_spans_that_may_be_names_are_cut(spark):
+    """A long byline yields a span for each place and length that a name's first word has."""
+    authors = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)) + " ann lee-roe, ann x",
+               "o \u00e9 ann", "ann", "anna"]
+    df = spark.createDataFrame([(a,) for a in authors], "_author string")
+    names = spark.createDataFrame([("ann lee",), ("ann",), ("ann lee-roe",), ("\u00e9 ann",), ("zed",)], "_cand string")
+    got = {(r._author[:5], r._cand) for r in screen.name_spans(df, names).collect()}
+    assert got == {("waa w", "ann"), ("waa w", "ann lee"), ("waa w", "ann lee-roe"), ("o \u00e9 a", "\u00e9 ann"),
+                   ("o \u00e9 a", "ann"), ("ann", "ann")}
+    assert screen.name_spans(df, names).count() == 7  # of more than 180,000 spans between two boundaries
+
+
 def test_ties_are_broken_by_further_order_columns(spark):
     rows = [(0, 0, "a", False), (1, 0, "a", False), (1, 0, "b", True)]
     df = spark.createDataFrame(rows, "batch int, feed_pos int, article_id string, failed boolean")
