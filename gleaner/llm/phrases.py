@@ -26,6 +26,8 @@ held whole by its task.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,9 +38,11 @@ from gleaner.llm.arrays import U64, expand, hash_runs, mix64, runs_of, squeeze,
 from gleaner.llm.common import partitions, small_batches, written
 
 #: Suffixes of a group, and the part of all words that a budget is at least.
-GROUP_WORDS, FINEST = 1 << 21, 1 << 20
+GROUP_WORDS, FINEST = 1 << 19, 1 << 20
 #: Bytes of text that a task works on at once.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
+#: Suffixes whose texts a task puts together at once, and bytes that it gathers for the groups.
+TEXTS, PENDING = 1 << 17, 8 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -146,7 +150,7 @@ def _routes(s: Suffixes, hot: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]
     return depth, h[np.arange(len(h)), depth - 1]
 
 
-def _census(depth: int, hot, level: int):
+def _census(hot, level: int):
     """Counts of the prefixes of ``level`` words below those that are beyond the budget."""
 
     def merged(rows):
@@ -167,7 +171,7 @@ def _census(depth: int, hot, level: int):
                 yield pa.RecordBatch.from_arrays([pa.array(by[lang[i:i + 10000]], pa.string()), pa.array(h[i:i + 10000]),
                                                   pa.array(n[i:i + 10000])], names=["lang", "h", "n"])
 
-        for s in _chunks(batches, depth):
+        for s in _chunks(batches, level):
             at, h = _routes(s, hot.value if hot else [])
             here = at == level
             if not here.any():
@@ -184,13 +188,42 @@ def _census(depth: int, hot, level: int):
     return run
 
 
+def _packed(langs: list[str], lang: np.ndarray, level: np.ndarray, count: np.ndarray, text: np.ndarray) -> bytes:
+    """Suffixes (in the order of language and level) as one compressed value."""
+    names, lang = np.unique(lang, return_inverse=True)
+    said = json.dumps([langs[i] for i in names]).encode()
+    head = np.array([len(said), len(lang)], np.int64)
+    parts = (head, np.frombuffer(said, np.uint8), count.astype(np.int64), lang.astype(np.int32), level.astype(np.uint8), text)
+    return squeeze(np.concatenate([np.ascontiguousarray(x).view(np.uint8) for x in parts]))
+
+
+def _unpacked(blob: bytes):
+    """((language, level), counts, text) of each run of suffixes in a packed value."""
+    raw = expand(blob)
+    size, n = raw[:16].copy().view(np.int64).tolist()
+    langs, at = json.loads(raw[16:16 + size].tobytes()), 16 + size
+    count = raw[at:at + 8 * n].copy().view(np.int64)
+    lang = raw[at + 8 * n:at + 12 * n].copy().view(np.int32)
+    level, text = raw[at + 12 * n:at + 13 * n], raw[at + 13 * n:]
+    off = np.concatenate([[0], np.flatnonzero(text == 0x0A) + 1])
+    begin = np.flatnonzero(np.concatenate([[True], (lang[1:] != lang[:-1]) | (level[1:] != level[:-1])]))
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), n]):
+        yield (langs[lang[a]], int(level[a])), count[a:b], text[off[a]:off[b]]
+
+
 def _send(depth: int, plan):
-    """(group, lang, level, suffixes, counts) of each chunk."""
-    schema = pa.schema([("grp", pa.int64()), ("lang", pa.string()), ("level", pa.int32()), ("suffixes", pa.binary()),
-                        ("counts", pa.binary())])
+    """(group, packed suffixes) of a task's texts: one row a group, more where they are many."""
+    schema = pa.schema([("grp", pa.int64()), ("parts", pa.list_(pa.binary()))])
+
+    def rows(held: dict):
+        groups = sorted(held)
+        for i in range(0, len(groups), 16):
+            yield pa.RecordBatch.from_arrays([pa.array(groups[i:i + 16], pa.int64()), pa.array(
+                [held.pop(g) for g in groups[i:i + 16]], pa.list_(pa.binary()))], schema=schema)
 
     def run(batches):
         hot, cuts = plan.value
+        held, size = {}, 0
         for s in _chunks(batches, depth):
             if not len(s.count):
                 continue
@@ -198,19 +231,22 @@ def _send(depth: int, plan):
             group = np.searchsorted(cuts, h, "right")
             order = np.lexsort((level, s.lang, group))
             group, lang, level, count = group[order], s.lang[order], level[order], s.count[order]
-            data, off = utf8(s.texts(order))
-            new = np.ones(len(group), bool)
-            new[1:] = (group[1:] != group[:-1]) | (lang[1:] != lang[:-1]) | (level[1:] != level[:-1])
-            begin = np.flatnonzero(new)
+            begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
             end = np.append(begin[1:], len(group))
-            names = s.langs.to_pylist()
-            for i in range(0, len(begin), 64):
-                part = list(zip(begin[i:i + 64], end[i:i + 64]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(group[begin[i:i + 64]]), pa.array([names[lang[a]] for a, _ in part], pa.string()),
-                    pa.array(level[begin[i:i + 64]].astype(np.int32)),
-                    pa.array([squeeze(data[off[a]:off[b]]) for a, b in part], pa.binary()),
-                    pa.array([squeeze(count[a:b]) for a, b in part], pa.binary())], schema=schema)
+            langs, i = s.langs.to_pylist(), 0
+            while i < len(begin):
+                j = max(i + 1, int(np.searchsorted(end, begin[i] + TEXTS)))
+                first = begin[i]
+                data, off = utf8(s.texts(order[first:end[j - 1]]))
+                for a, b in zip(begin[i:j].tolist(), end[i:j].tolist()):
+                    blob = _packed(langs, lang[a:b], level[a:b], count[a:b], data[off[a - first]:off[b - first]])
+                    held.setdefault(int(group[a]), []).append(blob)
+                    size += len(blob)
+                i = j
+            if size > PENDING:
+                yield from rows(held)
+                held, size = {}, 0
+        yield from rows(held)
 
     return run
 
@@ -248,12 +284,13 @@ def subtree(leaves: np.ndarray, counts: np.ndarray, depth: int):
 
 def _grow(depth: int, least: int):
     def run(rows: pa.Table) -> pa.Table:
-        out = []
-        codes = list(zip(rows.column("lang").to_pylist(), rows.column("level").to_pylist()))
-        for lang, level in sorted(set(codes), key=str):
-            mine = [i for i, c in enumerate(codes) if c == (lang, level)]
-            leaves = np.concatenate([expand(rows.column("suffixes")[i].as_py()) for i in mine])
-            counts = np.concatenate([expand(rows.column("counts")[i].as_py()).view(np.int64) for i in mine])
+        out, runs = [], {}
+        for parts in rows.column("parts").to_pylist():
+            for blob in parts:
+                for code, count, text in _unpacked(blob):
+                    runs.setdefault(code, []).append((count, text))
+        for lang, level in sorted(runs):
+            counts, leaves = (np.concatenate(x) for x in zip(*runs.pop((lang, level))))
             for words, a, b, total in subtree(leaves, counts, depth):
                 if words >= level:
                     a, b, total = a[total >= least], b[total >= least], total[total >= least]
@@ -281,13 +318,13 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                         F.col(text_col).alias("text")).where("text is not null")
 
     def census(level: int, hot) -> DataFrame:
-        found = texts.mapInArrow(_census(max_words, hot, level), "lang string, h long, n long")
+        found = texts.mapInArrow(_census(hot, level), "lang string, h long, n long")
         return written(found.groupBy("lang", "h").agg(F.sum("n").alias("n")), f"prefixes{level}")
 
     counted = census(1, None)
     totals = written(counted.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    budget = group_words or max(-(-total // FINEST), min(GROUP_WORDS, total // (4 * partitions(spark))), 1)
+    budget = group_words or max(-(-total // FINEST), min(GROUP_WORDS, total // (2 * partitions(spark))), 1)
 
     hot: list[np.ndarray] = []
     pool = None
@@ -311,7 +348,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     cuts = np.sort(heads.select("h").toArrow().column("h").to_numpy())
 
     plan = spark.sparkContext.broadcast((hot, cuts))
-    sent = texts.mapInArrow(_send(max_words, plan), "grp long, lang string, level int, suffixes binary, counts binary")
+    sent = texts.mapInArrow(_send(max_words, plan), "grp long, parts array<binary>")
     nodes = written(sent.groupBy("grp").applyInArrow(_grow(max_words, min_count), NODES), "nodes")
     plan.destroy()
     parts = nodes.where(~F.col("whole")).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
