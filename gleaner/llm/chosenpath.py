@@ -10,11 +10,12 @@ on average) and a class goes on to the children named by its tokens there, so tw
 classes share a child more likely than not at every level if they are similar.
 Children are numbered in a table and met by one shuffle per level.  A node of one class
 ends; up to ``SMALL`` classes are compared exhaustively by sketches (8 bits of each
-token); a larger node first compares a pivot with all its classes and takes out the
-pivot's closest copies, and the rest branches on.  At the last level what is left of a
-large node is held together.  Candidates only have to join what may belong together:
-their components are the families.  ``TREES`` trees bring the chance that a pair at the
-threshold meets in none below one in a million.
+token); a larger node first compares a pivot with all its classes, then branches on.
+Candidates only have to join what may belong together: their components are the
+families.  So a node whose classes are all of one kin, joined by a pivot above it, ends
+too, and a large group of copies is settled at the first level.  At the last level what
+is left of a large node is held together.  ``TREES`` trees bring the chance that a pair
+at the threshold meets in none below one in a hundred thousand (exp(-TREES * RATE)).
 
 Confirmation: families are compared on full sets.  A family that fits a task is done by
 one: a set's intersections with all others are counted at once, and sets that are already
@@ -40,11 +41,14 @@ from gleaner.llm.arrays import GOLD, U64, hash_runs, mix64, ranges, runs_of, sta
 from gleaner.llm.common import connected_components, order_key, partitions, small_batches, written
 from gleaner.llm.simhash import Forest
 
-HASHES, TREES, RATE, LEVELS = 64, 9, 2.0, 6
-#: Classes of a node that are compared exhaustively, matches of a pivot's closest copies.
-SMALL, CLOSE = 64, 58
-#: Shingles of a family, or of a part of one, that a task holds; pivots of a large family.
-PART, PIVOTS = 1 << 19, 3
+HASHES, TREES, RATE, LEVELS = 64, 6, 2.0, 3
+#: Classes of a node that are compared exhaustively.
+SMALL = 64
+#: Shingles of a family, or of a part of one, that a task holds at most, and that it may
+#: hold however small the table is; pivots of a large family.
+PART, LEAST_PART, PIVOTS = 1 << 19, 1 << 14, 3
+#: Bits of the filter that finds the rows of families, at most.
+FILTER_BITS = 1 << 27
 STEP = 1 << 18  # pairs of sketches compared at once
 
 _TIMES = mix64(np.arange(1, HASHES + 1, dtype=U64) * GOLD) | U64(1)
@@ -125,21 +129,23 @@ def _describe(fields: list, shingle: int):
 
 
 def _branch(trees: int, chance: float):
-    """Children (node, c) of rows (c, sig), which start in the roots, or (node, c, sig)."""
+    """Children (node, c, kin) of rows (c, kin, sig), which start in the roots,
+    or (node, c, kin, sig)."""
     bound = U64(min(chance, 1.0) * (2**64 - 1024))
     roots = mix64(np.arange(1, trees + 1, dtype=U64) * GOLD)
 
     def run(batches):
         for b in batches:
-            sig, c = _lines(b.column("sig"), np.uint32, HASHES).astype(U64), b.column("c").to_numpy()
+            sig, c, kin = _lines(b.column("sig"), np.uint32, HASHES).astype(U64), b.column("c"), b.column("kin")
             starts = ([b.column("node").to_numpy().view(U64)] if "node" in b.schema.names
-                      else [np.full(len(c), root) for root in roots])
+                      else [np.full(len(sig), root) for root in roots])
             for node in starts:
                 for i in range(HASHES):
                     go = np.flatnonzero(mix64(node + _PLACE_SEEDS[i]) < bound)
                     if len(go):
-                        child = mix64(mix64(node[go] ^ _TIMES[i]) + sig[go, i])
-                        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(c[go])], names=["node", "c"])
+                        child, at = mix64(mix64(node[go] ^ _TIMES[i]) + sig[go, i]), pa.array(go)
+                        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), c.take(at), kin.take(at)],
+                                                         names=["node", "c", "kin"])
 
     return run
 
@@ -199,42 +205,44 @@ def _compare_small(least: int):
 
 
 def _matches(batches):
-    """Matching places of the sketches of rows (node, c, sketch, pivot, pivot_sketch)."""
+    """Matching places of the sketches of rows (node, c, kin, sketch, pivot, pivot_kin, pivot_sketch)."""
+    names = ["node", "c", "kin", "pivot", "pivot_kin"]
     for b in batches:
         same = (_lines(b.column("sketch"), np.uint8, HASHES) == _lines(b.column("pivot_sketch"), np.uint8, HASHES)).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([b.column("node"), b.column("c"), b.column("pivot"), pa.array(same)],
-                                         names=["node", "c", "pivot", "same"])
+        yield pa.RecordBatch.from_arrays([*(b.column(k) for k in names), pa.array(same)], names=[*names, "same"])
 
 
 def _families(classes: DataFrame, percent: int, trees: int, small: int) -> DataFrame:
-    """``(node, root)``: the family of each class that may have a link."""
-    spark, j = classes.sparkSession, percent / 100
-    n = partitions(spark)
+    """``(node, root)``: the family of each class (c, sig, sketch) that may have a link."""
+    n, j = partitions(classes.sparkSession), percent / 100
     least = int(HASHES * j - 5 * (HASHES * j * (1 - j)) ** 0.5)
     chance = RATE / j / HASHES
     sketches = classes.select("c", "sketch")
-    rows = written(classes.select("c", "sig").mapInArrow(_branch(trees, chance), "node long, c long"), "children")
+    rows = written(classes.select("c", F.col("c").alias("kin"), "sig").mapInArrow(_branch(trees, chance), "node long, c long, kin long"), "children")
     links = []
     for level in range(1, LEVELS + 1):
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", "c"), "c")).alias("p"))
-        sizes = sizes.where(F.col("size") > 1).select("node", "size", F.col("p.c").alias("pivot"))
+        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("kin").alias("k1"), F.max("kin").alias("k2"),
+                                         F.min(F.struct(F.xxhash64("node", "c"), "c", "kin")).alias("p"))
+        sizes = sizes.where("k1 < k2").select("node", "size", F.col("p.c").alias("pivot"), F.col("p.kin").alias("pivot_kin"))
         met = written(rows.join(sizes, "node"), "nodes")
         little = met.where(F.col("size") <= small).select("node", "c").join(sketches, "c").select("node", "c", "sketch")
         links.append(written(little.repartition(n, "node").sortWithinPartitions("node").mapInArrow(
             _compare_small(least), LINKS), "links"))
-        large = met.where(F.col("size") > small).select("node", "c", "pivot")
+        large = met.where(F.col("size") > small).drop("size")
         if large.isEmpty():
             break
-        heads = large.select("node", "pivot").distinct().join(sketches.withColumnsRenamed(
-            {"c": "pivot", "sketch": "pivot_sketch"}), "pivot").select("node", "pivot", "pivot_sketch")
-        seen = written(large.drop("pivot").join(sketches, "c").join(heads, "node").select(
-            "node", "c", "sketch", "pivot", "pivot_sketch").mapInArrow(_matches, "node long, c long, pivot long, same long"), "seen")
-        links.append(seen.where((F.col("same") >= least) if level < LEVELS else F.lit(True)).select(
-            F.col("c").alias("a"), F.col("pivot").alias("b")))
-        rest = seen.where((F.col("same") < CLOSE) | (F.col("c") == F.col("pivot"))).select("node", "c")
+        heads = large.select("pivot").distinct().join(sketches.withColumnsRenamed(
+            {"c": "pivot", "sketch": "pivot_sketch"}), "pivot")
+        seen = written(large.join(sketches, "c").join(heads, "pivot").select(
+            "node", "c", "kin", "sketch", "pivot", "pivot_kin", "pivot_sketch").mapInArrow(
+            _matches, "node long, c long, kin long, pivot long, pivot_kin long, same long"), "seen")
+        near = F.col("same") >= least
+        links.append(seen.where(near if level < LEVELS else F.lit(True)).select(
+            F.col("c").alias("a"), F.col("pivot").alias("b")).distinct())
         if level < LEVELS:
-            rows = written(rest.join(classes.select("c", "sig"), "c").select("node", "c", "sig").mapInArrow(
-                _branch(trees, chance), "node long, c long"), "children")
+            rest = seen.select("node", "c", F.when(near, F.col("pivot_kin")).otherwise(F.col("kin")).alias("kin"))
+            rows = written(rest.join(classes.select("c", "sig"), "c").select("node", "c", "kin", "sig").mapInArrow(
+                _branch(trees, chance), "node long, c long, kin long"), "children")
     edges = links[0]
     for more in links[1:]:
         edges = edges.unionByName(more)
@@ -416,18 +424,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     families = _families(classes, percent, trees, small).select(F.col("node").alias("c"), F.col("root").alias("family"))
     members = families.unionByName(families.select(F.col("family").alias("c"), "family").distinct()).distinct()
     members = written(members.join(classes.select("c", F.col("_cp_n").alias("n"), "_cp_ord", "_cp_t"), "c"), "members")
-    total = written(members.groupBy("family").agg(F.sum("n").alias("total")), "sizes")
-    texts = members.join(keyed.select("_cp_ord", "_cp_t", "_cp_text"), ["_cp_ord", "_cp_t"]).select(
-        "family", "c", "n", "_cp_text")
-    # A row that occurs several times stands for its class once.
-    sets = written(texts.mapInArrow(_full_sets(shingle), "family long, c long, n long, shingles binary").dropDuplicates(["c"])
-                   .join(total, "family"), "full")
-    little = sets.where(F.col("total") <= part)
+    sizes = written(members.groupBy("family").agg(F.sum("n").alias("total")), "sizes")
+    members = written(members.join(sizes, "family"), "members")
+    whole = sizes.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    held = min(part, max(LEAST_PART, whole // (2 * partitions(spark)))) if part == PART else part
+    # Only rows that a bounded filter lets through are shingled again and shuffled.
+    bits = min(FILTER_BITS, 1 << max(15, 3 + members.count().bit_length()))
+    place = F.pmod(F.xxhash64("_cp_ord", "_cp_t"), F.lit(bits))
+    known = spark.sparkContext.broadcast(_filter(members.select(place.alias("bit")), bits))
+    texts = keyed.select("_cp_ord", "_cp_t", place.alias("bit"), "_cp_text")
+    sets = texts.mapInArrow(_full_sets(shingle, known), "_cp_ord long, _cp_t long, shingles binary")
+    # A row that occurs several times stands for its class once; repeats go before the shuffle.
+    sets = written(sets.dropDuplicates(["_cp_ord", "_cp_t"]).join(members, ["_cp_ord", "_cp_t"]).select(
+        "family", "c", "n", "shingles", "total"), "full")
+    known.destroy()
+    little = sets.where(F.col("total") <= held)
     links = [little.select("family", "c", "shingles").repartition(partitions(spark), "family").sortWithinPartitions(
         "family").mapInArrow(_confirm_families(percent), LINKS)]
-    large = sets.where(F.col("total") > part).drop("total")
+    large = sets.where(F.col("total") > held).drop("total")
     if not large.isEmpty():
-        links += _confirm_large(large, percent, part)
+        links += _confirm_large(large, percent, held)
     confirmed = links[0]
     for more in links[1:]:
         confirmed = confirmed.unionByName(more)
@@ -447,12 +463,24 @@ def _low_bytes(sig: Column) -> Column:
     return F.unhex(F.concat(*[F.substring(text, 8 * i + 1, 2) for i in range(HASHES)]))
 
 
-def _full_sets(shingle: int):
+def _filter(places: DataFrame, bits: int) -> np.ndarray:
+    """The set bits of ``places(bit)``, as bytes; at most ``bits`` of them reach the driver."""
+    maps = places.groupBy(F.expr("bit div 32768").alias("no")).agg(
+        F.call_function("bitmap_construct_agg", F.pmod("bit", F.lit(32768))).alias("bits")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in maps:
+        out[4096 * r["no"]:4096 * (r["no"] + 1)] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _full_sets(shingle: int, known):
     def run(batches):
         for b in batches:
-            h, off = shingle_sets(b.column("_cp_text"), shingle)
-            blobs = pa.Array.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(off * 8), pa.py_buffer(h)])
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("family", "c", "n")), blobs.cast(pa.binary())],
-                                             names=["family", "c", "n", "shingles"])
+            bit = b.column("bit").to_numpy()
+            at = pa.array(np.flatnonzero(known.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1))
+            h, off = shingle_sets(b.column("_cp_text").take(at), shingle)
+            blobs = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(off * 8), pa.py_buffer(h)])
+            yield pa.RecordBatch.from_arrays([b.column("_cp_ord").take(at), b.column("_cp_t").take(at), blobs.cast(pa.binary())],
+                                             names=["_cp_ord", "_cp_t", "shingles"])
 
     return run
