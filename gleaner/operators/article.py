@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import fixed
 from gleaner.functions import signals as S
 from gleaner.functions import text as T
+from gleaner.operators.common import materialize
 
 
 def page_bodies(pages: DataFrame, html_col: str = "html",
@@ -65,7 +66,8 @@ def body_ladder(feed: DataFrame, pages: DataFrame,
 
     Rows whose feed body is long enough, and rows without a page key, never
     touch the pages.  Of the pages only those that a short row asks for are
-    kept (a semi join on the thin keys) before any text is extracted.  A page
+    kept (a semi join on the thin keys, written once: where their measured size
+    allows it they go to the pages and no HTML is shuffled) before any text is extracted.  A page
     crawled several times counts once: a crawl with an article before one
     without, then the latest by ``crawl_col`` (if there is one), then the one
     with the greater text.  A row with no page gets ``body_source = 'missing'``."""
@@ -74,7 +76,7 @@ def body_ladder(feed: DataFrame, pages: DataFrame,
     settled = feed.where(long_enough | blank)
     short = feed.where(~long_enough & ~blank)
     extra = [c for c in (main_col, crawl_col) if c]
-    wanted = short.select(F.col(feed_key).alias(page_key)).distinct()
+    wanted = materialize(short.select(F.col(feed_key).alias(page_key)).distinct(), "wanted")
     bodies = page_bodies(pages.select(page_key, html_col, *extra).join(wanted, page_key, "left_semi"), html_col)
     text_cols = ["article_text", "page_text"] + ([main_col] if main_col else [])
     best = F.struct(F.col("article_text").isNotNull().alias("_has"),

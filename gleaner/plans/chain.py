@@ -32,12 +32,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gleaner import sinks
 from gleaner.operators import states
-from gleaner.operators.common import materialize, scratch_tables
+from gleaner.operators.common import CODEC, materialize, scratch_tables
 from gleaner.plans import jobs
 from gleaner.sources.tables import ledger_of
 from gleaner.streaming import numbered
 
 STAGES = ("prepare", "retry", "deliver", "confirm")
+#: What only the poll that prepared an article holds; the feed's body column comes first.
+TEXTS = ("feed_content", "body", "clean_text", "extracted_insights", "prompt")
 
 
 def _ledger_batch(stage: str, batch_id: int) -> int:
@@ -46,7 +48,7 @@ def _ledger_batch(stage: str, batch_id: int) -> int:
 
 
 def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
 
 
 def _outcomes(df: DataFrame, base: str, stage: str, batch_id: int) -> None:
@@ -55,34 +57,53 @@ def _outcomes(df: DataFrame, base: str, stage: str, batch_id: int) -> None:
            f"{base}/outcomes/stage={stage}/batch_id={int(batch_id)}")
 
 
+def _of_polls(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` of ``articles`` in the polls that ``keys`` name: other folders are not read."""
+    polls = [r.prepared_in for r in keys.select("prepared_in").distinct().collect()]
+    return rows.where(F.col("poll").isin(*polls) if polls else F.lit(False))
+
+
 def _prepared_rows(spark, base: str, keys: DataFrame) -> DataFrame:
-    """Article rows of ``keys`` (article_id, prepared_in), from the polls that prepared them."""
-    rows = spark.read.parquet(f"{base}/articles").drop("attempt")
+    """Article rows of ``keys`` (article_id, prepared_in, attempt) without their texts, from
+    the polls that prepared them."""
+    rows = _of_polls(spark.read.parquet(f"{base}/articles").drop("attempt", "prepared_in", *TEXTS), keys)
     return rows.join(keys, (rows["article_id"] == keys["article_id"]) & (rows["poll"] == keys["prepared_in"]), "inner").drop(
         keys["article_id"]).drop("poll")
 
 
+def offered(spark, base: str, poll: str, body_col: str = TEXTS[0]) -> DataFrame:
+    """What a poll (e.g. ``prepare-3``) offers to the model, with all texts: those of an article
+    that is offered again are read from the poll that prepared it."""
+    rows = spark.read.parquet(f"{base}/articles/poll={poll}")
+    texts = [c for c in (body_col, *TEXTS[1:]) if c in rows.columns]
+    again = rows.where(F.col("prepared_in") != poll).drop(*texts)
+    held = _of_polls(spark.read.parquet(f"{base}/articles"), again).select(
+        F.col("article_id").alias("_id"), F.col("poll").alias("_poll"), *texts)
+    same = (F.col("article_id") == F.col("_id")) & (F.col("prepared_in") == F.col("_poll"))
+    return rows.where(F.col("prepared_in") == poll).unionByName(again.join(held, same).drop("_id", "_poll"))
+
+
 def poll_prepare(batch: DataFrame, batch_id: int, pages: DataFrame, base: str, excluded_authors=(),
                  max_attempts: int | None = None, stage: str = "prepare", feed_cols: tuple[str, ...] = ("feed_file",),
-                 **limits) -> None:
+                 body_col: str = TEXTS[0], **limits) -> None:
     """Job 1 over one batch of feed entries (possibly none), with the retries that are due."""
     spark, poll = batch.sparkSession, f"{stage}-{int(batch_id)}"
     batch = numbered(batch).drop("_row")
     ledger = ledger_of(spark, f"{base}/ledger", batch, but_batch=_ledger_batch(stage, batch_id))
     known = materialize(states.read_states(spark, base, stage, batch_id), "known")
     prep = jobs.prepare(batch, pages, ledger.unionByName(known.select("article_id")),
-                        excluded_authors=excluded_authors, feed_cols=feed_cols, **limits)
+                        excluded_authors=excluded_authors, feed_cols=feed_cols, body_col=body_col, **limits)
     due = known.where("state = 'failed'")
     if max_attempts is not None:
         due = due.where(F.col("attempt") < max_attempts)
     due = due.select("article_id", "prepared_in", (F.col("attempt") + 1).alias("attempt"))
-    offered = prep.articles.withColumn("attempt", F.lit(1))
+    offered = prep.articles.withColumns({"attempt": F.lit(1), "prepared_in": F.lit(poll)})
     if not due.isEmpty():
-        offered = offered.unionByName(_prepared_rows(spark, base, due).drop("prepared_in"))
+        offered = offered.unionByName(_prepared_rows(spark, base, due).drop(body_col), allowMissingColumns=True)
     _write(offered, f"{base}/articles/poll={poll}")
     _write(prep.entries, f"{base}/entries/poll={poll}")
     place = ["feed_pos", *[c for c in feed_cols if c in offered.columns]]
-    offered = spark.read.parquet(f"{base}/articles/poll={poll}").select("article_id", *place, "attempt")
+    offered = spark.read.parquet(f"{base}/articles/poll={poll}").select("article_id", *place, "attempt", "prepared_in")
 
     # Entries that go no further: known, excluded, without a key, or a later copy.
     new, entries = offered.where("attempt = 1").alias("n"), spark.read.parquet(f"{base}/entries/poll={poll}").alias("e")
@@ -94,7 +115,7 @@ def poll_prepare(batch: DataFrame, batch_id: int, pages: DataFrame, base: str, e
         "outcome": F.when(F.col("article_id").isNull(), "failed").otherwise(F.coalesce("pre_outcome", F.lit("duplicate"))),
         "error": F.when(F.col("article_id").isNull(), F.lit(jobs.ERR_NO_KEY))})
     _outcomes(settled, base, stage, batch_id)
-    states.write_states(offered.select("article_id", "attempt", F.lit("waiting").alias("state"), F.lit(poll).alias("prepared_in"),
+    states.write_states(offered.select("article_id", "attempt", F.lit("waiting").alias("state"), "prepared_in",
                                        F.lit(None).cast("string").alias("error")), base, stage, batch_id)
     sinks.append_ledger(sinks.ledger_rows(settled.where("outcome = 'excluded'"), None, 0), f"{base}/ledger",
                         _ledger_batch(stage, batch_id))

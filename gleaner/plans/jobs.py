@@ -170,7 +170,9 @@ def prepare(feed: DataFrame, pages: DataFrame, ledger: DataFrame | None = None,
     same = (F.col("article_id") == F.col("_key")) & (F.col("feed_pos") == F.col("_pos"))
     for c in part:
         same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
-    first = f.join(first_pos, same, "left_semi").dropDuplicates(["article_id"])
+    # ``first_pos`` has one place per key, so entries of one key are entries of one place:
+    # told apart by the join's own keys, the bodies are not dealt out a second time.
+    first = f.join(first_pos, same, "left_semi").dropDuplicates(["article_id", "feed_pos"])
     first = spread(materialize(first, "articles"), "article_id")
     bodies = article.body_ladder(first, pages, "url", "url", body_col)
     arts = article.assemble_articles(bodies, "body", cap=key_point_cap)
