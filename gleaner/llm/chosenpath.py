@@ -11,10 +11,12 @@ classes share a child more likely than not at every level if they are similar.
 Children are numbered in a table and met by one shuffle per level.  A node of one class
 ends; up to ``SMALL`` classes are compared exhaustively by sketches (8 bits of each
 token); a larger node first compares a pivot with all its classes, then branches on.
+Nodes choose pivots by few common orders, so those of the same classes mostly share
+theirs, and a class meets a pivot once, in however many nodes they are together.
 Candidates only have to join what may belong together: their components are the
-families.  So a node whose classes are all of one kin, joined by a pivot above it, ends
-too, and a large group of copies is settled at the first level.  At the last level what
-is left of a large node is held together.  ``TREES`` trees bring the chance that a pair
+families.  So a node whose classes are all of one kin, that is in one component of the
+links so far, ends too; where few classes are outside its largest kin, these are compared
+with all of it.  So a large group of copies is settled at the first level.  At the last level what is left of a large node is held together.  ``TREES`` trees bring the chance that a pair
 at the threshold meets in none below one in a hundred thousand (exp(-TREES * RATE)).
 
 Confirmation: families are compared on full sets.  A family that fits a task is done by
@@ -44,6 +46,11 @@ from gleaner.llm.simhash import Forest
 HASHES, TREES, RATE, LEVELS = 64, 6, 2.0, 3
 #: Classes of a node that are compared exhaustively.
 SMALL = 64
+#: Orders of the classes by which the nodes of a level choose their pivots.
+ORDERS = 4
+#: Classes of a larger node that is settled at once if few of them are outside its largest
+#: kin: these are compared with all, in at most SMALL * CLOSED pairs.
+CLOSED = 1 << 14
 #: Shingles of a family, or of a part of one, that a task holds at most, and that it may
 #: hold however small the table is; pivots of a large family.
 PART, LEAST_PART, PIVOTS = 1 << 19, 1 << 14, 3
@@ -179,8 +186,9 @@ def _runs_in_order(batches, key: str, rows: int):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _compare_small(least: int):
-    """Links of rows (node, c, sketch), sorted by node, within their nodes."""
+def _compare(least: int):
+    """Links of rows (node, c, sketch), sorted by node, within their nodes: of all pairs, or with
+    a column ``loose`` of the loose rows with all others."""
 
     def run(batches):
         for t in _runs_in_order(batches, "node", 1 << 15):
@@ -188,13 +196,17 @@ def _compare_small(least: int):
             sketch = _lines(t.column("sketch"), np.uint8, HASHES)
             values, ids = np.unique(c, return_inverse=True)
             forest = Forest(len(values))
-            end = np.searchsorted(node, node, "right")
-            n = end - np.arange(len(node)) - 1  # partners behind each row
+            at, end = np.arange(len(node)), np.searchsorted(node, node, "right")
+            first = at + 1
+            if "loose" in t.column_names:
+                at, first = np.flatnonzero(t.column("loose").to_numpy()), np.searchsorted(node, node)
+                end, first = end[at], first[at]
+            n = end - first  # partners of each row
             upto = np.cumsum(n)
             i = 0
             while i < len(n):
                 j = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + STEP)))
-                x, y = np.repeat(np.arange(i, j), n[i:j]), ranges(np.arange(i, j) + 1, n[i:j])
+                x, y = np.repeat(at[i:j], n[i:j]), ranges(first[i:j], n[i:j])
                 alike = (sketch[x] == sketch[y]).sum(axis=1) >= least
                 if alike.any():
                     forest.unite(ids[x[alike]], ids[y[alike]])
@@ -204,12 +216,16 @@ def _compare_small(least: int):
     return run
 
 
-def _matches(batches):
-    """Matching places of the sketches of rows (node, c, kin, sketch, pivot, pivot_kin, pivot_sketch)."""
-    names = ["node", "c", "kin", "pivot", "pivot_kin"]
-    for b in batches:
-        same = (_lines(b.column("sketch"), np.uint8, HASHES) == _lines(b.column("pivot_sketch"), np.uint8, HASHES)).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([*(b.column(k) for k in names), pa.array(same)], names=[*names, "same"])
+def _alike(least: int):
+    """The links among rows (c, pivot, sketch, pivot_sketch): sketches that match in ``least`` places."""
+
+    def run(batches):
+        for b in batches:
+            same = (_lines(b.column("sketch"), np.uint8, HASHES) == _lines(b.column("pivot_sketch"), np.uint8, HASHES)).sum(axis=1)
+            at = pa.array(np.flatnonzero(same >= least))
+            yield pa.RecordBatch.from_arrays([b.column("c").take(at), b.column("pivot").take(at)], schema=_LINKS)
+
+    return run
 
 
 def _families(classes: DataFrame, percent: int, trees: int, small: int) -> DataFrame:
@@ -219,34 +235,41 @@ def _families(classes: DataFrame, percent: int, trees: int, small: int) -> DataF
     chance = RATE / j / HASHES
     sketches = classes.select("c", "sketch")
     rows = written(classes.select("c", F.col("c").alias("kin"), "sig").mapInArrow(_branch(trees, chance), "node long, c long, kin long"), "children")
-    links = []
+    inside = lambda df: written(df.join(sketches, "c").repartition(n, "node").sortWithinPartitions("node").mapInArrow(
+        _compare(least), LINKS), "links")
+    joined = None  # the links of the levels above
     for level in range(1, LEVELS + 1):
+        turn = F.xxhash64(F.pmod("node", F.lit(ORDERS)), F.lit(level), "c")
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("kin").alias("k1"), F.max("kin").alias("k2"),
-                                         F.min(F.struct(F.xxhash64("node", "c"), "c", "kin")).alias("p"))
+                                         F.min(F.struct(turn, "c", "kin")).alias("p"))
         sizes = sizes.where("k1 < k2").select("node", "size", F.col("p.c").alias("pivot"), F.col("p.kin").alias("pivot_kin"))
         met = written(rows.join(sizes, "node"), "nodes")
-        little = met.where(F.col("size") <= small).select("node", "c").join(sketches, "c").select("node", "c", "sketch")
-        links.append(written(little.repartition(n, "node").sortWithinPartitions("node").mapInArrow(
-            _compare_small(least), LINKS), "links"))
-        large = met.where(F.col("size") > small).drop("size")
+        links = inside(met.where(F.col("size") <= small).select("node", "c"))
+        joined = links if joined is None else joined.unionByName(links)
+        large = met.where(F.col("size") > small)
         if large.isEmpty():
             break
-        heads = large.select("pivot").distinct().join(sketches.withColumnsRenamed(
+        # Many nodes share a pivot: a class meets it once, and only if they are not of one kin.
+        pairs = written(large.where("kin <> pivot_kin").select("c", "pivot").distinct(), "pairs")
+        if level == LEVELS:
+            joined = joined.unionByName(pairs.toDF("a", "b"))
+            break
+        heads = pairs.select("pivot").distinct().join(sketches.withColumnsRenamed(
             {"c": "pivot", "sketch": "pivot_sketch"}), "pivot")
-        seen = written(large.join(sketches, "c").join(heads, "pivot").select(
-            "node", "c", "kin", "sketch", "pivot", "pivot_kin", "pivot_sketch").mapInArrow(
-            _matches, "node long, c long, kin long, pivot long, pivot_kin long, same long"), "seen")
-        near = F.col("same") >= least
-        links.append(seen.where(near if level < LEVELS else F.lit(True)).select(
-            F.col("c").alias("a"), F.col("pivot").alias("b")).distinct())
-        if level < LEVELS:
-            rest = seen.select("node", "c", F.when(near, F.col("pivot_kin")).otherwise(F.col("kin")).alias("kin"))
-            rows = written(rest.join(classes.select("c", "sig"), "c").select("node", "c", "kin", "sig").mapInArrow(
-                _branch(trees, chance), "node long, c long, kin long"), "children")
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
-    return written(connected_components(edges), "families")
+        near = written(pairs.join(sketches, "c").join(heads, "pivot").select(
+            "c", "pivot", "sketch", "pivot_sketch").mapInArrow(_alike(least), LINKS), "near")
+        families = written(connected_components(joined.unionByName(near)), "families")
+        joined = families.toDF("a", "b")
+        kin = families.select(F.col("node").alias("c"), "root")
+        rest = written(large.select("node", "c").join(kin, "c", "left").select("node", "c", F.coalesce("root", "c").alias("kin")), "rest")
+        tops = rest.groupBy("node", "kin").agg(F.count(F.lit(1)).alias("k")).groupBy("node").agg(
+            F.sum("k").alias("size"), F.max(F.struct("k", "kin")).alias("top")).where(F.col("top.k") < F.col("size"))
+        few = ((F.col("size") - F.col("top.k")) * F.col("size") <= small * CLOSED) & (F.col("size") <= CLOSED)
+        mixed = written(rest.join(tops.select("node", F.col("top.kin").alias("most"), few.alias("few")), "node"), "mixed")
+        joined = joined.unionByName(inside(mixed.where("few").select("node", "c", (F.col("kin") != F.col("most")).alias("loose"))))
+        rows = written(mixed.where("not few").join(classes.select("c", "sig"), "c").select("node", "c", "kin", "sig").mapInArrow(
+            _branch(trees, chance), "node long, c long, kin long"), "children")
+    return written(connected_components(joined), "families")
 
 
 class Sets:

@@ -1,0 +1,57 @@
+"""A large group of near copies is settled at the first level of the chosen-path join."""
+
+import random
+
+from gleaner.llm import chosenpath
+from gleaner.llm.common import written
+
+
+def _texts(copies: int, strays: int) -> list[str]:
+    """Near copies of one text, and texts that share a bit over half of it."""
+    rnd = random.Random(7)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
+    out = [" ".join([*words, f"end{i}"]) for i in range(copies)]
+    for i in range(strays):
+        own, at = [f"s{i}x{k}" for k in range(150)], rnd.randrange(140)
+        out.append(" ".join([*words[:at], *own[:80], *words[at + 70:]]))
+    return out
+
+
+def test_near_copies_meet_a_pivot_once_and_are_not_carried_on(spark, monkeypatch):
+    made: dict[str, list[int]] = {}
+
+    def counted(df, name):
+        out = written(df, name)
+        made.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(chosenpath, "written", counted)
+    texts = _texts(400, 12)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in chosenpath.near_duplicates(docs).collect()}
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    assert all(100 * len(sets[0] & sets[i]) >= 85 * len(sets[0] | sets[i]) for i in range(1, 400))
+    linked = lambda x, y: 100 * len(x & y) >= 85 * len(x | y)
+    alone = [i for i in range(400, len(texts)) if not any(linked(sets[i], s) for s in (sets[0], *sets[400:i], *sets[i + 1:]))]
+    assert [got[i] for i in range(400)] == [0] * 400 and [got[i] for i in alone] == alone and len(alone) > 6
+    # Compared with pivots: the classes, not the places where they meet them.
+    assert 2 * sum(made["pairs"]) < sum(made["nodes"])
+    # Strays among the copies do not make the group branch on.
+    assert sum(made["children"][1:]) <= made["children"][0] // 10
+
+
+def test_loose_classes_are_compared_with_all(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(0, 256, chosenpath.HASHES, dtype=np.uint8)
+    rows = []
+    for c in range(90):
+        s = rnd.integers(0, 256, chosenpath.HASHES, dtype=np.uint8) if c % 3 else base.copy()
+        rows.append((c % 2, c, bytearray(s.tobytes()), c >= 60))
+    rows += [(0, 200, rows[4][2], True), (1, 201, rows[7][2], False), (0, 202, rows[5][2], True)]
+    df = spark.createDataFrame(rows, "node long, c long, sketch binary, loose boolean").repartition(1).sortWithinPartitions("node")
+    links = {(r.a, r.b) for r in df.mapInArrow(chosenpath._compare(40), chosenpath.LINKS).collect()}
+    # Only pairs with a loose row are compared: 201 and 7 are alike, but neither is loose.
+    assert (200, 4) in links and (201, 7) not in links and (202, 5) not in links
+    assert {a for a, _ in links if a < 90} == set(range(6, 90, 3))
