@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,17 +139,23 @@ def _branch(trees: int, chance: float):
             sig, c, kin = _lines(b.column("sig"), np.uint32, HASHES).astype(U64), b.column("c"), b.column("kin")
             starts = ([b.column("node").to_numpy().view(U64)] if "node" in b.schema.names
                       else [np.full(len(sig), root) for root in roots])
-            for node in starts:
-                for i in range(HASHES):
-                    go = np.flatnonzero(mix64(node + _PLACE_SEEDS[i]) < bound)
-                    if len(go):
-                        child, at = mix64(mix64(node[go] ^ _TIMES[i]) + sig[go, i]), pa.array(go)
-                        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), c.take(at), kin.take(at)],
-                                                         names=["node", "c", "kin"])
+            for node in starts:  # one batch of children each, not one a coordinate
+                go, i = np.nonzero(mix64(node[:, None] + _PLACE_SEEDS) < bound)
+                if len(go):
+                    child, at = mix64(mix64(node[go] ^ _TIMES[i]) + sig[go, i]), pa.array(go)
+                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), c.take(at), kin.take(at)],
+                                                     names=["node", "c", "kin"])
 
     return run
 
 
+def _sketches(batches):
+    """Rows with the lowest byte of each token of their ``sig``: the sketch."""
+    for b in batches:
+        low = _lines(b.column("sig"), np.uint32, HASHES).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([*b.columns, _rows(low)], names=[*b.schema.names, "sketch"])
+
+
 LINKS = "a long, b long"
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -419,7 +425,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by = ["_cp_d1", "_cp_d2", "_cp_n"]
     classes = written(marked.where("_cp_n > 0").groupBy(*by).agg(
         F.min(F.struct("_cp_ord", "_cp_t")).alias("first"), F.first("_cp_sig").alias("sig")).select(
-        F.monotonically_increasing_id().alias("c"), *by, "first.*", "sig", _low_bytes(F.col("sig")).alias("sketch")), "classes")
+        F.monotonically_increasing_id().alias("c"), *by, "first.*", "sig").mapInArrow(
+        _sketches, "c long, _cp_d1 long, _cp_d2 long, _cp_n long, _cp_ord long, _cp_t long, sig binary, sketch binary"), "classes")
 
     families = _families(classes, percent, trees, small).select(F.col("node").alias("c"), F.col("root").alias("family"))
     members = families.unionByName(families.select(F.col("family").alias("c"), "family").distinct()).distinct()
@@ -457,12 +464,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (own == F.col("_cp_ord")).alias("kept"))
 
 
-def _low_bytes(sig: Column) -> Column:
-    """The lowest byte of each 32-bit token: the sketch."""
-    text = F.hex(sig)
-    return F.unhex(F.concat(*[F.substring(text, 8 * i + 1, 2) for i in range(HASHES)]))
-
-
 def _filter(places: DataFrame, bits: int) -> np.ndarray:
     """The set bits of ``places(bit)``, as bytes; at most ``bits`` of them reach the driver."""
     maps = places.groupBy(F.expr("bit div 32768").alias("no")).agg(
